@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold QUERIES and, where SQL can express them, ORACLE_SQL.
-MODULES = ("bpe", "token_count")
+MODULES = ("bpe", "token_count", "chat", "sharding")
 
 
 def _all(name: str) -> dict:
