@@ -21,19 +21,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import cut, let, table, words
+from boxloom.llm.common import SPACES, WORD, cut, let, table, words
 
 WINDOW = 8
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MAX_LABELLED = 20_000
 BINS = 16
 
 
-def _without(text: Column, chars: str) -> Column:
-    """How many of ``chars`` a text has."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _count(text: Column, chars: str) -> Column:
+    """How many characters of the class ``chars`` a text has."""
+    return F.regexp_count(text, F.lit(chars)).cast("long")
 
 
 def _repeated(w: Column) -> Column:
@@ -64,22 +64,22 @@ def _repeated(w: Column) -> Column:
 def stats(text: Column) -> Column:
     """A struct of the statistics of a whole text."""
     body = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(body, "\n", -1), lambda x: F.translate(x, " \t\n\x0b\f\r", "") != "")
+    lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(WORD))
     line_counts = let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("d")))
-    chars = F.length(F.translate(body, " \t\n\x0b\f\r", ""))
+    chars = F.length(F.regexp_replace(body, SPACES, ""))
     in_words = let(words(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeated(w).alias("r")))
     return let(
         F.struct(in_words.alias("w"), line_counts.alias("l")),
         lambda s: F.struct(
             s["w"]["n"].alias("n_words"),
             chars.cast("long").alias("word_chars"),
-            _without(body, SYMBOLS).cast("long").alias("n_symbols"),
+            _count(body, SYMBOLS).alias("n_symbols"),
             (s["l"]["n"] - s["l"]["d"]).cast("long").alias("n_dup_lines"),
             s["w"]["r"].alias("n_repeat_words"),
             s["l"]["n"].cast("long").alias("n_lines"),
-            _without(body, "!?").cast("long").alias("n_marks"),
-            _without(body, ",;").cast("long").alias("n_commas"),
-            _without(body, "0123456789").cast("long").alias("n_digits"),
+            _count(body, "[!?]").alias("n_marks"),
+            _count(body, "[,;]").alias("n_commas"),
+            _count(body, "[0-9]").alias("n_digits"),
         ),
     )
 
