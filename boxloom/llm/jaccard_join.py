@@ -91,7 +91,7 @@ def band_of(n: int) -> int:
 
 def parts_of(s: np.ndarray, band: int, salt: int) -> np.ndarray:
     """The part of each shingle under a scheme."""
-    x = mix(s + _GOLD * np.uint64(band * 64 + salt + 1))
+    x = mix(s + np.uint64((0x9E3779B97F4A7C15 * (band * 64 + salt + 1)) & 0xFFFFFFFFFFFFFFFF))
     return (x >> np.uint64(33)) % np.uint64(bands()[band][2])
 
 
@@ -370,11 +370,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SETS = r"""
-RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+RECURSIVE w AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
   ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS s FROM w),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
 e AS MATERIALIZED (SELECT a, b FROM i JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 75 * (p.n + q.n - i)),
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
 """
