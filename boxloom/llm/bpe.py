@@ -243,8 +243,8 @@ def decode(coded: DataFrame, ids: str = "ids", out: str = "decoded", path: str |
     return inner.mapInArrow(run, schema).select("row.*", F.col(out))
 
 
-def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """Encodes, then decodes the ids, in one pass: ``key``, n_tokens, ids_sha256, decoded_sha256."""
+def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, with_ids: bool = False) -> DataFrame:
+    """Encodes, then decodes the ids, in one pass: ``key``, n_tokens, ids_sha256, decoded_sha256; also ids if asked."""
     path = path or public_tokenizers.path(VOCABULARY)
     inner = _pieces_of(docs, text, [F.col(key).alias("key")])
 
@@ -255,20 +255,20 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
             for row, end, flat, offsets in chunks(batch):
                 ids, bounds = own.encode(flat, offsets)
                 rows = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("key").slice(row, end - row),
-                        pa.array(np.diff(bounds)),
-                        pa.array([sha(x.tobytes()).hexdigest() for x in rows]),
-                        pa.array([sha(own.decode(x)).hexdigest() for x in rows]),
-                    ],
-                    [key, "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
-
-    schema = T.StructType(
-        [T.StructField(key, docs.schema[key].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
-    )
-    return inner.mapInArrow(run, schema)
+                cols = [
+                    batch.column("key").slice(row, end - row),
+                    pa.array(np.diff(bounds)),
+                    pa.array([sha(x.tobytes()).hexdigest() for x in rows]),
+                    pa.array([sha(own.decode(x)).hexdigest() for x in rows]),
+                ]
+                if with_ids:
+                    cols.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32))))
+                yield pa.RecordBatch.from_arrays(cols, names)
+
+    fields = [(key, docs.schema[key].dataType), ("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
+    fields += [("ids", T.ArrayType(T.IntegerType()))] * with_ids
+    names = [name for name, _ in fields]
+    return inner.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

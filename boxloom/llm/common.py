@@ -82,3 +82,22 @@ def may_hold(map_: Column, key: Column) -> Column:
     word = F.get(map_, F.shiftright(place, 6).cast("int"))
     # shiftright takes a constant or column of type int for its second argument
     return F.call_function("shiftright", word, F.pmod(place, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+#: Bits of the map that ``without`` uses.
+WITHOUT_BITS = 1 << 22
+
+
+def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``gone`` (one column); rows without a key stay.
+
+    Rows that a bitmap of fixed size shows to be absent stay where they are; only the others, those to go
+    and a few more, are shuffled to an exact anti-join.
+    """
+    names = [f"`{c}`" for c in docs.columns]
+    flag = "held_by_map"
+    marked = docs.select("*", bitmap(gone, key, WITHOUT_BITS).scalar().alias("map_of_gone"))
+    marked = marked.select(*names, F.coalesce(let(F.col("map_of_gone"), lambda m: may_hold(m, F.col(key))), F.lit(False)).alias(flag))
+    keep = marked.where(~F.col(flag) | F.col(key).isNull()).select(*names)
+    look = marked.where(F.col(flag) & F.col(key).isNotNull()).select(*names)
+    return keep.unionByName(look.join(gone, key, "left_anti").select(*names))
