@@ -13,9 +13,9 @@ Sets that are equal collapse to one class before pairs are formed. A bucket (one
 ``bucket`` classes gives all its pairs of fitting sizes. A larger one gives a star around its first class;
 what that leaves open is settled later: buckets whose classes have meanwhile joined one component drop
 out, and so do classes that have too few open signatures left to hold an undetected link (linked sets
-share at least [filled parts - 2b / 7] signatures, not just one); the pairs that remain are formed in
-rounds, each around another class of each open bucket, until no bucket has an unpaired class. All pairs
-are verified on their sets.
+share at least [filled parts - (a + b) / 7] signatures, not just one). Only pairs of the rest, from
+different components, are formed in large buckets, and only those that share so many signatures are
+verified. All links are verified on the sets.
 
 Defined results: null, empty and blank texts have an empty set, link with nothing and are their own
 component; texts of under five words have one shingle; repeated rows are members of one class; rows with a
@@ -335,34 +335,35 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
     return sets.join(of_set, "sid", "left").select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
 
 
-def settle(open_: DataFrame, edges: DataFrame, docs: DataFrame, key: str, text: str, classes: DataFrame, rounds: int = 1000) -> DataFrame:
-    """``edges`` and the links that stars around one class of each large bucket did not show."""
+def settle(open_: DataFrame, edges: DataFrame, docs: DataFrame, key: str, text: str, classes: DataFrame) -> DataFrame:
+    """``edges`` and the links that stars around the first class of each large bucket did not show.
+
+    A link that is still unknown joins two components, and all signatures that its sets share in the scheme
+    of the larger one lie in large buckets: at least ``spare`` of that set. So only sets with that many
+    open signatures can be its ends, and its pair must share that many.
+    """
     if open_.isEmpty():
         return edges
+    labels = components(edges).withColumnRenamed("node", "sid")
     spare = (F.col("parts") - F.floor(F.col("n") * F.lit(2 * (100 - PERCENT)) / F.lit(100 + PERCENT))).alias("spare")
-    rows = written(open_.join(classes.select("sid", "n", spare), "sid"))
-    turn = 0
-    # each turn pairs every open class with one more class of its bucket; a bucket of k classes is done after k turns
-    while turn < rounds:
-        labels = components(edges).withColumnRenamed("node", "sid")
-        here = rows.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-        mixed = here.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-        here = here.join(mixed, "sig")
-        enough = here.where("own = 1").groupBy("sid").agg(F.count("*").alias("c"), F.first("spare").alias("spare")).where("c >= spare").select(F.col("sid").alias("sid"), F.lit(1).alias("may"))
-        here = here.join(enough, "sid", "left").where("own = 0 OR may = 1")
-        used = here.groupBy("sig").agg(F.max("own").alias("any"), F.count("*").alias("c")).where("any = 1 AND c > 1").select("sig")
-        rows = written(here.join(used, "sig").select("sid", "sig", "own", "n", "spare"))
-        # the class at this turn: the least own sid above the one that led before; each leads once
-        leaders = rows.where("own = 1").groupBy("sig").agg(F.min("sid").alias("leader"), F.min_by("n", "sid").alias("leader_n"))
-        if leaders.isEmpty():
-            return edges
-        fits = 100 * F.least("n", "leader_n") >= PERCENT * F.greatest("n", "leader_n")
-        pairs = rows.join(leaders, "sig").where(fits & (F.col("sid") != F.col("leader"))).select(F.least("sid", "leader").alias("a"), F.greatest("sid", "leader").alias("b"))
-        # the leader of this turn has met all its bucket: it can leave it
-        rows = rows.join(leaders.select("sig", F.col("leader").alias("sid")), ["sig", "sid"], "left_anti")
-        edges = written(edges.unionByName(verified(written(pairs.distinct()), docs, key, text, classes)).distinct())
-        turn += 1
-    return edges
+    here = open_.join(classes.select("sid", "n", "parts", spare), "sid").join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    mixed = here.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
+    here = written(here.join(mixed, "sig"))
+    counts = here.groupBy("sid", "own").agg(F.count("*").alias("c"), F.first("spare").alias("spare"))
+    ends = counts.where("own = 0 OR c >= spare").select("sid", "own", "c")
+    rows = written(here.join(ends, ["sid", "own"]))
+    x = rows.where("own = 1").select("sig", *[F.col(c).alias(f"{c}_x") for c in ("sid", "n", "parts", "label", "spare")])
+    y = rows.select("sig", *[F.col(c).alias(f"{c}_y") for c in ("sid", "n", "label", "c")])
+    # of two sets in the same band both may be the larger: the pair is formed once, by size and name
+    once = (F.col("n_x") > F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("sid_x") > F.col("sid_y")))
+    fits = 100 * F.col("n_y") >= PERCENT * F.col("n_x")
+    meet = x.join(y, "sig").where((F.col("label_x") != F.col("label_y")) & once & fits & (F.col("c_y") >= F.col("spare_x")))
+    differ = F.floor((F.col("n_x") + F.col("n_y")) * F.lit(100 - PERCENT) / F.lit(100 + PERCENT))
+    shared = meet.groupBy("sid_x", "sid_y").agg(F.count("*").alias("shared"), F.first("parts_x").alias("parts"), F.first(differ).alias("differ")).where("shared >= parts - differ")
+    pairs = written(shared.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")))
+    if pairs.isEmpty():
+        return edges
+    return written(edges.unionByName(verified(pairs, docs, key, text, classes)))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
