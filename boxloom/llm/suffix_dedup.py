@@ -9,7 +9,8 @@ their least and greatest document; those in several documents mark a bitmap of f
 sends the fragments around anchors that pass the bitmap to the tasks that own their gram, sorted by
 document. Each task feeds them batch by batch to its index family: a batch gets a suffix array (prefix
 doubling, limited to LENGTH bytes), is merge-scanned against the sorted suffixes of all existing levels,
-and becomes a new level; levels of like size merge, so a suffix is merged O(log n) times. What the bitmap
+and becomes a new level; levels of like size merge, so a suffix is merged O(log n) times. A fragment that
+the family has as a whole from a smaller document is answered by a memo (128-bit digests). What the bitmap
 lets through by chance costs time only: matches are always compared on all LENGTH bytes.
 
 Defined results: null and empty texts, and texts of under LENGTH bytes, lose nothing; rows with a null key
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,32 +230,48 @@ def repeated_spans(fragments: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = Family()
+        memo: dict[bytes, int] = {}  # whole fragments that the family has, with their least document
+
+        def answer(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch | None:
+            """The repeated ranges of new fragments, which join the family."""
+            key, th, at = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+            size = np.array([len(r[3]) for r in rows])
+            count = size - LENGTH + 1
+            raw = np.frombuffer(b"".join([r[3] for r in rows]), np.uint8)
+            own = np.repeat(np.arange(len(size)), count)
+            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            gone = family.add(raw, (np.cumsum(size) - size)[own] + step, key[own]) < key[own]
+            edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+            inner = np.flatnonzero(gone[1:] & gone[:-1] & (own[1:] != own[:-1])) + 1
+            first = np.sort(np.concatenate([np.flatnonzero(edge == 1), inner]))
+            last = np.sort(np.concatenate([np.flatnonzero(edge == -1), inner])) - 1
+            if not len(first):
+                return None
+            of = own[first]
+            return pa.RecordBatch.from_arrays([pa.array(key[of]), pa.array(th[of]), pa.array(at[of] + step[first]), pa.array(at[of] + step[last] + LENGTH)], ["key", "th", "start", "stop"])
+
         for batch in batches:
-            col = batch.column("bytes")
-            lengths = np.diff(np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]).astype(np.int64)
-            windows = lengths - LENGTH + 1
-            bounds = np.cumsum(windows)
-            row = 0
-            while row < len(col):
-                end = min(len(col), max(row + 1, int(np.searchsorted(bounds, (bounds[row - 1] if row else 0) + BATCH, "right"))))
-                part = batch.slice(row, end - row)
-                raw = np.frombuffer(b"".join(part.column("bytes").to_pylist()), np.uint8)
-                size, count = lengths[row:end], windows[row:end]
-                row = end
-                begin, own = np.cumsum(size) - size, np.repeat(np.arange(len(size)), count)
-                step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                keys = part.column("key").to_numpy()
-                gone = family.add(raw, begin[own] + step, keys[own]) < keys[own]
-                edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
-                inner = np.flatnonzero(gone[1:] & gone[:-1] & (own[1:] != own[:-1])) + 1
-                first = np.sort(np.concatenate([np.flatnonzero(edge == 1), inner]))
-                last = np.sort(np.concatenate([np.flatnonzero(edge == -1), inner])) - 1
-                if len(first):
-                    at, of = part.column("at").to_numpy(), own[first]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[of]), pa.array(part.column("th").to_numpy()[of]), pa.array(at[of] + step[first]), pa.array(at[of] + step[last] + LENGTH)],
-                        ["key", "th", "start", "stop"],
-                    )
+            new: list[tuple[int, int, int, bytes]] = []
+            windows = 0
+            known: list[tuple[int, int, int, int]] = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "th", "at", "bytes"))):
+                name = xxhash.xxh3_128_digest(row[3])
+                if memo.setdefault(name, row[0]) < row[0]:  # all its windows start in that document
+                    known.append((*row[:3], row[2] + len(row[3])))
+                    continue
+                new.append(row)
+                windows += len(row[3]) - LENGTH + 1
+                if windows >= BATCH:
+                    out = answer(new)
+                    new, windows = [], 0
+                    if out is not None:
+                        yield out
+            if new:
+                out = answer(new)
+                if out is not None:
+                    yield out
+            if known:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*known)], ["key", "th", "start", "stop"])
 
     return dealt.select("key", "th", "at", "bytes").mapInArrow(run, "key long, th long, start long, stop long")
 
@@ -297,19 +315,32 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return hit.select("key", "th", "raw", "spans").mapInArrow(run, "key long, th long, spans array<struct<start:long,stop:long>>, kept binary")
 
 
+#: Bits of one block of the bitmap of grams.
+BLOCK_BITS = 1 << 18
+
+
 def _gram_map(grams: DataFrame) -> np.ndarray:
-    """The bitmap of the grams: GRAM_BITS / 64 words, whatever their number."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bitmap of the grams: GRAM_BITS / 8 bytes, whatever their number; the driver gets its blocks."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = bit_of(batch.column("h").to_numpy().view(np.uint64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(place // BLOCK_BITS), pa.array(place % BLOCK_BITS)], ["block", "place"])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
-            place = bit_of(batch.column("h").to_numpy().view(np.uint64))
-            word = (place >> np.uint64(6)).view(np.int64)
-            bit = (np.uint64(1) << (place & np.uint64(63))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit)], ["i", "w"])
-
-    got = grams.select("h").mapInArrow(run, "i long, w long").groupBy("i").agg(F.expr("bit_or(w)").alias("w")).toPandas()
-    bits = np.zeros(GRAM_BITS // 64, np.uint64)
-    bits[got["i"].to_numpy(np.int64)] = got["w"].to_numpy(np.int64).view(np.uint64)
-    return bits
+            of, at = batch.column("block").to_numpy(), batch.column("place").to_numpy()
+            for k in np.unique(of).tolist():
+                held.setdefault(k, np.zeros(BLOCK_BITS, bool))[at[of == k]] = True
+        for k, bits in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["block", "bits"])
+
+    dealt = grams.select("h").mapInArrow(places, "block long, place long").repartition("block")
+    out = np.zeros(GRAM_BITS // 64, np.uint64)
+    for row in dealt.mapInArrow(blocks, "block long, bits binary").collect():
+        out[row["block"] * (BLOCK_BITS // 64) : (row["block"] + 1) * (BLOCK_BITS // 64)] |= np.frombuffer(row["bits"], "<u8")
+    return out
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
