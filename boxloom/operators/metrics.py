@@ -76,7 +76,8 @@ def precision_recall(flags: DataFrame, n_gt: int) -> DataFrame:
     best = curve.groupBy("threshold", "range").agg(F.max("precision").alias("best"))
     later = Window.partitionBy("threshold").orderBy("range").rowsBetween(1, Window.unboundedFollowing)
     after = best.select("threshold", "range", F.coalesce(F.max("best").over(later), F.lit(0.0)).alias("after"))
-    inside = Window.partitionBy("threshold", "range").orderBy(F.desc("conf"), "image_id", "det_idx").rowsBetween(0, Window.unboundedFollowing)
+    # this rank or later, read from the end: a frame that grows is linear, one that shrinks is not
+    inside = Window.partitionBy("threshold", "range").orderBy("conf", F.desc("image_id"), F.desc("det_idx")).rowsBetween(Window.unboundedPreceding, 0)
     local = curve.withColumn("here", F.max("precision").over(inside))
     return local.join(F.broadcast(after), ["threshold", "range"]).withColumn("envelope", F.greatest("here", "after")).drop("here", "after", "range")
 
