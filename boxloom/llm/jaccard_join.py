@@ -14,8 +14,8 @@ Sets that are equal collapse to one class before pairs are formed. A bucket (one
 what that leaves open is settled later: buckets whose classes have meanwhile joined one component drop
 out, and so do classes that have too few open signatures left to hold an undetected link (linked sets
 share at least [filled parts - (a + b) / 7] signatures, not just one). Only pairs of the rest, from
-different components, are formed in large buckets, and only those that share so many signatures are
-verified. All links are verified on the sets.
+different components, are of interest. STARS more stars join most of them; of what is then left, those pairs
+are formed that share so many signatures. All links are verified on the sets.
 
 Defined results: null, empty and blank texts have an empty set, link with nothing and are their own
 component; texts of under five words have one shingle; repeated rows are members of one class; rows with a
@@ -39,6 +39,8 @@ SHINGLE = 5
 PERCENT = 75
 SMALL = 32
 BUCKET = 12
+#: Stars around further classes of large buckets before their remaining pairs are formed.
+STARS = 2
 #: Rows of one bucket that a worker holds at most.
 HELD = 20_000
 FILTER_BITS = 1 << 22
@@ -106,7 +108,7 @@ def filled(s: np.ndarray) -> tuple[int, int]:
     if band == 0:
         return 0, len(s)
     for salt in range(64):
-        n = len(np.unique(parts_of(s, band, salt)))
+        n = int(np.count_nonzero(np.bincount(parts_of(s, band, salt).astype(np.int64))))
         if n > most_different(len(s)):
             return salt, n
     raise ValueError(f"a set of {len(s)} shingles fills too few parts under any salt")
@@ -344,14 +346,26 @@ def settle(open_: DataFrame, edges: DataFrame, docs: DataFrame, key: str, text:
     """
     if open_.isEmpty():
         return edges
-    labels = components(edges).withColumnRenamed("node", "sid")
     spare = (F.col("parts") - F.floor(F.col("n") * F.lit(2 * (100 - PERCENT)) / F.lit(100 + PERCENT))).alias("spare")
-    here = open_.join(classes.select("sid", "n", "parts", spare), "sid").join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    mixed = here.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-    here = written(here.join(mixed, "sig"))
-    counts = here.groupBy("sid", "own").agg(F.count("*").alias("c"), F.first("spare").alias("spare"))
-    ends = counts.where("own = 0 OR c >= spare").select("sid", "own", "c")
-    rows = written(here.join(ends, ["sid", "own"]))
+    rows = open_.join(classes.select("sid", "n", "parts", spare), "sid")
+    for turn in range(STARS + 1):
+        labels = components(edges).withColumnRenamed("node", "sid")
+        here = rows.drop("label", "c").join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+        mixed = here.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
+        here = here.join(mixed, "sig")
+        counts = here.groupBy("sid", "own").agg(F.count("*").alias("c"), F.first("spare").alias("spare"))
+        rows = written(here.join(counts.where("own = 0 OR c >= spare").select("sid", "own", "c"), ["sid", "own"]))
+        if turn == STARS:
+            break
+        # a star around one class for all buckets that have it: the one that comes first in this turn's order
+        order = F.struct(F.xxhash64(F.lit(turn), "sid"), "sid", "n", "label", "spare")
+        first = rows.where("own = 1").groupBy("sig").agg(F.min(order).alias("x"))
+        if first.isEmpty():
+            return edges
+        near = rows.join(first, "sig").where("label <> x.label AND c >= x.spare").where(100 * F.least("n", "x.n") >= PERCENT * F.greatest("n", "x.n"))
+        pairs = written(near.select(F.least("sid", "x.sid").alias("a"), F.greatest("sid", "x.sid").alias("b")).distinct())
+        if not pairs.isEmpty():
+            edges = written(edges.unionByName(verified(pairs, docs, key, text, classes)))
     x = rows.where("own = 1").select("sig", *[F.col(c).alias(f"{c}_x") for c in ("sid", "n", "parts", "label", "spare")])
     y = rows.select("sig", *[F.col(c).alias(f"{c}_y") for c in ("sid", "n", "label", "c")])
     # of two sets in the same band both may be the larger: the pair is formed once, by size and name
