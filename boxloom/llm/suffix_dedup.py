@@ -2,7 +2,8 @@
 
 A byte is removed if a LENGTH-byte string that covers it also starts in a document with a smaller id.
 
-Every LENGTH-byte window has an anchor, the place in it with the least hash of GRAM bytes. Equal windows
+Whole copies of a text of a smaller document lose every byte and are left out of what follows; only the
+least document of each text remains. Every LENGTH-byte window has an anchor, the place in it with the least hash of GRAM bytes. Equal windows
 have equal anchors, so only windows whose anchor gram occurs in two documents can repeat, and windows need
 to meet only those with the same anchor gram. Anchor grams (about one byte in sixteen) are aggregated to
 their least and greatest document; those in several documents mark a bitmap of fixed size. A second pass
@@ -287,14 +288,29 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def copies_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(th, low) of the texts of LENGTH bytes or more that several keys have, with the least of these."""
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("th"), F.octet_length(text).alias("n")).where(f"key IS NOT NULL AND n >= {LENGTH}")
+    return written(rows.groupBy("th").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("th", "low"))
+
+
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, th, spans (array of start, stop), kept (binary) of each distinct (key, text) that loses bytes."""
-    raw = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("raw")).where("key IS NOT NULL AND raw IS NOT NULL")
-    grams = gram_table(raw.where(F.octet_length("raw") >= LENGTH)).groupBy("h").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
+    """``key``, th, spans (array of start, stop), kept (binary) of each distinct (key, text) that loses bytes.
+
+    Whole copies of a text of a smaller document are not listed: see ``copies_of``. They lose every byte.
+    """
+    raw = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("raw")).where(f"key IS NOT NULL AND octet_length(raw) >= {LENGTH}")
+    copies = copies_of(docs, key, text)
+    # texts that occur once stay where they are; of the others only the copies in the least document count
+    marked = raw.withColumn("map", bitmap(copies, "th", DOC_BITS).scalar())
+    flagged = marked.select("key", "th", "raw", let(F.col("map"), lambda m: may_hold(m, F.col("th"))).alias("held"))
+    some = written(flagged.where("held").select("key", "th", "raw").join(copies.select("th", "low"), "th", "left").where("low IS NULL OR key = low").select("key", "th", "raw"))
+    first = flagged.where("NOT held").select("key", "th", "raw").unionByName(some)
+    grams = gram_table(first).groupBy("h").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
     bits = _gram_map(grams)
-    spans = repeated_spans(fragment_table(raw.where(F.octet_length("raw") >= LENGTH), docs.sparkSession.sparkContext.broadcast(bits)))
+    spans = repeated_spans(fragment_table(first, docs.sparkSession.sparkContext.broadcast(bits)))
     per_doc = written(spans.groupBy("key", "th").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
-    may = raw.withColumn("map", bitmap(per_doc, "th", DOC_BITS).scalar())
+    may = first.withColumn("map", bitmap(per_doc, "th", DOC_BITS).scalar())
     near = may.where(let(F.col("map"), lambda m: may_hold(m, F.col("th")))).select("key", "th", "raw")
     hit = near.join(per_doc, ["key", "th"])
 
@@ -351,7 +367,15 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias(key), F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("th"), F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body.cast("binary"), 256).alias("whole"))
     zero = F.lit(0).cast("long")
-    return rows.join(cut_, ["key", "th"], "left").select(F.col(key), "n_bytes", F.coalesce("removed", zero).alias("n_removed"), F.coalesce("runs", zero).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
+    joined = rows.join(cut_, ["key", "th"], "left").join(copies_of(docs, key, text), "th", "left")
+    copy = F.coalesce((F.col("low") < F.col("key")) & (F.col("n_bytes") >= LENGTH), F.lit(False))
+    return joined.select(
+        F.col(key),
+        "n_bytes",
+        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("removed", zero)).alias("n_removed"),
+        F.when(copy, F.lit(1).cast("long")).otherwise(F.coalesce("runs", zero)).alias("n_spans"),
+        F.when(copy, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("sha", "whole")).alias("kept_sha256"),
+    )
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
