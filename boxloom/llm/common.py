@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxloom.functions.session import cut, shared_dir
+
+__all__ = ["ascii_lower", "bitmap", "cut", "let", "may_hold", "shared_dir", "table", "without", "words", "written"]
+
 #: Words are runs of anything but the ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -19,23 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which all executors share; a local one only where that is unset."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if not there:
-        there = tempfile.mkdtemp(prefix="boxloom-")
-        spark.conf.set("spark.checkpoint.dir", there)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(there)
-    return there.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder: for small rows, lineage ends here."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: compressed, column-pruned, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/boxloom-{uuid.uuid4().hex}"
