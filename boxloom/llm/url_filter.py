@@ -2,7 +2,8 @@
 
 Host edges come from the absolute links of pages. Trust spreads from trusted hosts along links
 (personalised PageRank), distrust from blocked hosts against them (who links to bad hosts is suspect). A
-host is blocked when its distrust is above ``min_score`` and above its trust. Scores are fixed-point
+host is blocked when its distrust is above its trust and above the part ``min_score`` / UNIT of what one
+blocked seed host starts with, so how many other seeds share UNIT does not matter. Scores are fixed-point
 integers, so sums do not depend on the order of rows, and a rerun gives the same verdicts.
 
 Defined results: a null url or one without ``://`` has empty host and path, no rule, and is allowed;
@@ -22,6 +23,7 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 UNIT = 10**15
 DAMPING_PERCENT = 85
 ROUNDS = 10
+#: Of a seed that starts with UNIT; it falls with the start of a seed when more of them share UNIT.
 MIN_SCORE = 10**9
 LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
 
@@ -82,9 +84,11 @@ def host_verdicts(pages: DataFrame, html: str, min_score: int = MIN_SCORE, round
     seeds = cut(pages.where("fit IS NOT NULL AND host <> ''").select("host", "fit.verdict").distinct())
     trust = propagate(edges, seeds.where("verdict = 'allow'").select("host"), rounds).withColumnRenamed("score", "trust")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    distrust = propagate(back, seeds.where("verdict = 'block'").select("host"), rounds).withColumnRenamed("score", "distrust")
+    blocked = seeds.where("verdict = 'block'").select("host")
+    distrust = propagate(back, blocked, rounds).withColumnRenamed("score", "distrust")
+    least = min_score // max(1, blocked.count())
     both = trust.join(distrust, "host", "full").fillna(0, ["trust", "distrust"])
-    return both.withColumn("method_verdict", F.when((F.col("distrust") > min_score) & (F.col("distrust") > F.col("trust")), "block").otherwise("allow"))
+    return both.withColumn("method_verdict", F.when((F.col("distrust") > least) & (F.col("distrust") > F.col("trust")), "block").otherwise("allow"))
 
 
 def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", rules=RULES, min_score: int = MIN_SCORE, rounds: int = ROUNDS) -> DataFrame:

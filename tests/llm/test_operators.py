@@ -91,6 +91,14 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(empty(pages)).count() == 0
 
 
+@pytest.mark.parametrize("seeds", [2, 10_000])
+def test_url_verdicts_do_not_fade_with_the_number_of_seeds(spark, seeds):
+    linkers = [(k, f"http://l{k}.io/", "<a href=//b0.net/>") for k in range(20)]
+    pages = linkers + [(100 + k, f"http://b{k}.net/", "") for k in range(seeds)] + [(50, "http://c.io/", "<a href=//l0.com/>")]
+    got = url_filter.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).where("page_id < 100")
+    assert {r.page_id: r.verdict for r in got.collect()} == {k: "block" for k in range(20)} | {50: "allow"}
+
+
 def test_pii_base_spans(spark):
     texts = ODD + ["".join(RND.choice("aé.@-+%1 2()34\n_") for _ in range(RND.randint(0, 40))) for _ in range(1500)] + ["".join(RND.choice("1234567890. -+") for _ in range(RND.randint(0, 60))) for _ in range(1500)]
     texts += ["a@b.c%x@d.e", "1.2.3.4.5.6.7.8", "0001.2.3.4", "x" * 50000 + "@", "1" * 20000]
