@@ -341,39 +341,44 @@ def settle(open_: DataFrame, edges: DataFrame, docs: DataFrame, key: str, text:
     """``edges`` and the links that stars around the first class of each large bucket did not show.
 
     A link that is still unknown joins two components, and all signatures that its sets share in the scheme
-    of the larger one lie in large buckets: at least ``spare`` of that set. So only sets with that many
-    open signatures can be its ends, and its pair must share that many.
+    of the larger one lie in large buckets. They are at least as many as either set fills parts of that
+    scheme, less what the two differ in: of the larger set at least ``spare``, of a smaller one in the same
+    band at least ``fewest``, since the larger may have 4/3 of its size. Only sets with that many open
+    signatures can be the one end or the other, and their pair must share that many.
     """
     if open_.isEmpty():
         return edges
     spare = (F.col("parts") - F.floor(F.col("n") * F.lit(2 * (100 - PERCENT)) / F.lit(100 + PERCENT))).alias("spare")
-    rows = open_.join(classes.select("sid", "n", "parts", spare), "sid")
+    largest = F.floor(F.col("n") * F.lit(100) / F.lit(PERCENT))
+    fewest = (F.col("parts") - F.floor((F.col("n") + largest) * F.lit(100 - PERCENT) / F.lit(100 + PERCENT))).alias("fewest")
+    rows = open_.join(classes.select("sid", "n", "parts", spare, fewest), "sid")
     for turn in range(STARS + 1):
         labels = components(edges).withColumnRenamed("node", "sid")
         here = rows.drop("label", "c").join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
         mixed = here.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
         here = here.join(mixed, "sig")
-        counts = here.groupBy("sid", "own").agg(F.count("*").alias("c"), F.first("spare").alias("spare"))
-        rows = written(here.join(counts.where("own = 0 OR c >= spare").select("sid", "own", "c"), ["sid", "own"]))
+        counts = here.groupBy("sid", "own").agg(F.count("*").alias("c"), F.first("fewest").alias("fewest"))
+        rows = written(here.join(counts.where("own = 0 OR c >= fewest").select("sid", "own", "c"), ["sid", "own"]))
         if turn == STARS:
             break
         # a star around one class for all buckets that have it: the one that comes first in this turn's order
         order = F.struct(F.xxhash64(F.lit(turn), "sid"), "sid", "n", "label", "spare")
-        first = rows.where("own = 1").groupBy("sig").agg(F.min(order).alias("x"))
+        first = rows.where("own = 1 AND c >= spare").groupBy("sig").agg(F.min(order).alias("x"))
         if first.isEmpty():
             return edges
         near = rows.join(first, "sig").where("label <> x.label AND c >= x.spare").where(100 * F.least("n", "x.n") >= PERCENT * F.greatest("n", "x.n"))
         pairs = written(near.select(F.least("sid", "x.sid").alias("a"), F.greatest("sid", "x.sid").alias("b")).distinct())
         if not pairs.isEmpty():
             edges = written(edges.unionByName(verified(pairs, docs, key, text, classes)))
-    x = rows.where("own = 1").select("sig", *[F.col(c).alias(f"{c}_x") for c in ("sid", "n", "parts", "label", "spare")])
-    y = rows.select("sig", *[F.col(c).alias(f"{c}_y") for c in ("sid", "n", "label", "c")])
+    x = rows.where("own = 1 AND c >= spare").select("sig", *[F.col(c).alias(f"{c}_x") for c in ("sid", "n", "parts", "label", "c")])
+    # a set of the band below has its own parts in another scheme
+    y = rows.select("sig", *[F.col(c).alias(f"{c}_y") for c in ("sid", "n", "label", "c")], F.when(F.col("own") == 1, F.col("parts")).otherwise(0).alias("parts_y"))
     # of two sets in the same band both may be the larger: the pair is formed once, by size and name
     once = (F.col("n_x") > F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("sid_x") > F.col("sid_y")))
     fits = 100 * F.col("n_y") >= PERCENT * F.col("n_x")
-    meet = x.join(y, "sig").where((F.col("label_x") != F.col("label_y")) & once & fits & (F.col("c_y") >= F.col("spare_x")))
-    differ = F.floor((F.col("n_x") + F.col("n_y")) * F.lit(100 - PERCENT) / F.lit(100 + PERCENT))
-    shared = meet.groupBy("sid_x", "sid_y").agg(F.count("*").alias("shared"), F.first("parts_x").alias("parts"), F.first(differ).alias("differ")).where("shared >= parts - differ")
+    least = F.greatest("parts_x", "parts_y") - F.floor((F.col("n_x") + F.col("n_y")) * F.lit(100 - PERCENT) / F.lit(100 + PERCENT))
+    meet = x.join(y, "sig").where((F.col("label_x") != F.col("label_y")) & once & fits & (F.least("c_x", "c_y") >= least))
+    shared = meet.groupBy("sid_x", "sid_y").agg(F.count("*").alias("shared"), F.first(least).alias("least")).where("shared >= least")
     pairs = written(shared.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")))
     if pairs.isEmpty():
         return edges

@@ -9,6 +9,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from boxloom.llm import bpe, chat, components, decontamination, jaccard_join, pii, quality, sharding, suffix_dedup, token_count, url_filter
@@ -170,6 +171,54 @@ def test_jaccard_join(spark):
     assert jaccard_join.jaccard_join(empty(docs)).count() == 0
 
 
+def shingled(text):
+    return jaccard_join.shingles(np.array([xxhash.xxh64_intdigest(w, seed=42) for w in text.split()], np.uint64))
+
+
+def contents(s, band):
+    """Part: the shingles in it."""
+    by = collections.defaultdict(set)
+    for part, x in zip(jaccard_join.parts_of(s, band, 0), s):
+        by[int(part)].add(int(x))
+    return by
+
+
+def contained_pair(small, large, rnd):
+    """Texts of two linked sets, and of a third for each part they share: it has that part too, and leads its bucket.
+
+    The two share fewer parts than the smaller one would with a linked set that is not larger.
+    """
+    band, fresh = jaccard_join.band_of(small), lambda n: [f"w{rnd.getrandbits(60)}" for _ in range(n)]
+    while True:
+        w = fresh(large + 4)
+        y, x = shingled(" ".join(w[: small + 4])), shingled(" ".join(w))
+        in_y, in_x = contents(y, band), contents(x, band)
+        common = [p for p in in_y if in_y[p] == in_x[p]]
+        ids = min(jaccard_join.set_id(x), jaccard_join.set_id(y))
+        if len(common) < len(in_y) - jaccard_join.most_different(small) and ids > 0 and len(in_x) > jaccard_join.most_different(large) and len(in_y) > jaccard_join.most_different(small):
+            break
+    texts = [" ".join(w[: small + 4]), " ".join(w)]
+    place = {int(shingled(" ".join(w[i : i + 5]))[0]): i for i in range(small)}
+    for p in common:
+        while True:
+            runs = [[*w[place[v] : place[v] + 5], *fresh(1)] for v in in_y[p]]
+            words = [v for run in runs for v in run]
+            text = " ".join(words + fresh(small + 4 - len(words)))
+            z = shingled(text)
+            if jaccard_join.band_of(len(z)) == band and contents(z, band)[p] == in_y[p] and jaccard_join.set_id(z) < ids:
+                break
+        texts.append(text)
+    return texts
+
+
+@pytest.mark.parametrize("small, large", [(33, 44), (45, 60)])
+def test_jaccard_join_keeps_the_smaller_end_of_a_link(spark, small, large):
+    texts = contained_pair(small, large, random.Random(small))
+    want = brute_classes(texts)
+    assert want[1][2] == 0
+    assert sorted(map(tuple, jaccard_join.jaccard_join(frame(spark, texts), bucket=2).collect())) == want
+
+
 def test_every_set_fills_enough_parts():
     for n in (33, 64, 200, 1500):
         s = np.unique(np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64))
