@@ -299,11 +299,28 @@ def set_arrays(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataF
     return _hashes(exact, "text", "sid").mapInArrow(run, "sid long, s array<long>").dropDuplicates(["sid"])
 
 
+def keyless_arrays(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
+    """(sid, s): the shingles of the sets named in ``wanted`` (sid), from the rows without a key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s for s in (shingles(h) for _, h in _rows(batch)) if len(s)]
+            if sets:
+                yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["sid", "s"])
+
+    every = _hashes(docs.where(F.col(key).isNull()), text).mapInArrow(run, "sid long, s array<long>")
+    may = every.select("sid", "s", bitmap(wanted, "sid", FILTER_BITS).scalar().alias("map")).where(let(F.col("map"), lambda m: may_hold(m, F.col("sid"))))
+    return may.select("sid", "s").join(wanted, "sid").dropDuplicates(["sid"])
+
+
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, classes: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b of sids) whose sets link."""
     sids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    wanted = written(sids.join(classes.where("rep IS NOT NULL"), "sid").select("sid", "rep"))
-    sets = written(set_arrays(docs, key, text, wanted))
+    wanted = written(sids.join(classes, "sid").select("sid", "rep"))
+    sets, keyless = set_arrays(docs, key, text, wanted.where("rep IS NOT NULL")), wanted.where("rep IS NULL").select("sid")
+    if not keyless.isEmpty():
+        sets = sets.unionByName(keyless_arrays(docs, key, text, keyless))
+    sets = written(sets)
     a, b = sets.select(F.col("sid").alias("a"), F.col("s").alias("sa")), sets.select(F.col("sid").alias("b"), F.col("s").alias("sb"))
     inter = F.size(F.array_intersect("sa", "sb"))
     return pairs.join(a, "a").join(b, "b").where(100 * inter >= PERCENT * (F.size("sa") + F.size("sb") - inter)).select("a", "b")

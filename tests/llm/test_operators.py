@@ -219,6 +219,14 @@ def test_jaccard_join_keeps_the_smaller_end_of_a_link(spark, small, large):
     assert sorted(map(tuple, jaccard_join.jaccard_join(frame(spark, texts), bucket=2).collect())) == want
 
 
+def test_jaccard_join_links_through_a_row_without_key(spark):
+    w = [f"k{i}" for i in range(104)]
+    head, tail = [f"a{i}" for i in range(12)] + w[12:], w[:-12] + [f"c{i}" for i in range(12)]
+    docs = spark.createDataFrame([(1, " ".join(head)), (None, " ".join(w)), (2, " ".join(tail)), (None, "alone")], "doc_id long, text string")
+    got = sorted(map(tuple, jaccard_join.jaccard_join(docs).collect()), key=str)
+    assert got == [(1, 100, 1), (2, 100, 1), (None, 1, None), (None, 100, 1)]
+
+
 def test_every_set_fills_enough_parts():
     for n in (33, 64, 200, 1500):
         s = np.unique(np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64))
