@@ -318,6 +318,26 @@ def test_decontamination(spark):
     assert decontamination.overlaps(docs, empty(bench)).count() == 0 and decontamination.overlaps(empty(docs), bench).count() == 0
 
 
+def test_decontamination_of_short_items_with_replaced_tokens(spark):
+    fill = lambda k: " ".join(f"f{k}x{j}" for j in range(25))
+    items, texts = [], []
+    for n, places in ((12, [4]), (10, [5]), (15, [5, 10]), (12, [1, 4, 7, 10])):
+        w = [f"n{len(items)}w{j}" for j in range(n)]
+        items.append(" ".join(w))
+        texts.append(" ".join([fill(1), *["zz" if j in places else t for j, t in enumerate(w)], fill(2)]))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.overlaps(frame(spark, texts), bench).collect()}
+    assert got == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_decontamination_of_scripts_without_spaces(spark):
+    items = ["今天天气很好,我们去公园散步吧。", "昨日は友達と映画を見に行きました。", "วันนี้อากาศดีมากเราไปเดินเล่นกัน"]
+    texts = [f"前文{items[0]}后文", f"ああ{items[1]}いい", f"abc {items[2]} def", "这里没有任何相同的句子", None]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.overlaps(frame(spark, texts), bench).collect()}
+    assert got == {(0, 0), (1, 1), (2, 2)}
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 102), (7, 7)], "a long, b long")
     got = {r.node: r.label for r in components.components(edges).collect()}
