@@ -14,14 +14,18 @@ def _least(pairs: DataFrame) -> DataFrame:
     return pairs.join(least, "u").withColumn("m", F.least("u", "m"))
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, label) of all nodes of ``edges`` (a, b): label is the least node of the component.
 
     An empty edge table gives no rows; edges from a node to itself are ignored.
+    Raises if ``rounds`` are given and do not suffice; labels are never returned before they are settled.
     """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
-    for _ in range(rounds):
+    before, turn = None, 0
+    while True:
+        if turn == rounds:
+            raise RuntimeError(f"labels are not settled after {rounds} rounds")
+        turn += 1
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _least(large)

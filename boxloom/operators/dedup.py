@@ -45,25 +45,29 @@ def near_pairs(hashes: DataFrame, key: str, h: str, within: int = 6) -> DataFram
     return a.join(both, "h").join(b, "h2").where("a < b").select("a", "b", hamming(F.col("h"), F.col("h2")).alias("distance"))
 
 
-def keep_greedily(nodes: DataFrame, pairs: DataFrame, key: str, max_rounds: int = 1000) -> DataFrame:
+def keep_greedily(nodes: DataFrame, pairs: DataFrame, key: str, max_rounds: int | None = None) -> DataFrame:
     """(key, kept): in key order, a node is kept unless an earlier kept one is its partner.
 
     A fixpoint: a node is kept once all earlier partners are dropped, and dropped once one is kept. The
-    number of rounds is the longest chain of decisions, not the number of nodes.
+    number of rounds is the longest chain of decisions, not the number of nodes. Never a partial result:
+    raises if ``max_rounds`` do not settle all nodes, or if a partner that is no node blocks one for ever.
     """
     open_ = cut(nodes.select(F.col(key).alias("node")))
     edges = cut(pairs.select("a", "b"))
-    done = None
-    for _ in range(max_rounds):
+    done, turn = None, 0
+    while done is None or not open_.isEmpty():
+        if turn == max_rounds:
+            raise RuntimeError(f"nodes are still open after {max_rounds} rounds")
+        turn += 1
         blocked = edges.select(F.col("b").alias("node")).distinct()
         kept = open_.join(blocked, "node", "left_anti").withColumn("kept", F.lit(True))
         dropped = edges.join(kept.select(F.col("node").alias("a")), "a").select(F.col("b").alias("node")).distinct().withColumn("kept", F.lit(False))
         now = cut(kept.unionByName(dropped))
+        if done is not None and now.isEmpty():
+            raise ValueError("a pair names a node that is not there")
         done = now if done is None else done.unionByName(now)
         open_ = cut(open_.join(now, "node", "left_anti"))
         edges = cut(edges.join(now.select(F.col("node").alias("a")), "a", "left_anti").join(now.select(F.col("node").alias("b")), "b", "left_anti"))
-        if open_.isEmpty():
-            break
     return done.select(F.col("node").alias(key), "kept")
 
 

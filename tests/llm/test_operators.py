@@ -345,6 +345,12 @@ def test_components(spark):
     assert components.components(empty(edges)).count() == 0
 
 
+def test_components_are_never_partial(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components.components(edges, rounds=1)
+
+
 def test_bitmap_and_without(spark):
     keys = spark.range(0, 300, 3).select(F.col("id").alias("k"))
     every = spark.range(300).withColumn("map", bitmap(keys, "k", 4096).scalar())

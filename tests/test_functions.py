@@ -108,6 +108,14 @@ def test_near_duplicates_lose_nothing(spark):
     assert sorted(r.id for r in U.keep_greedily(df, pairs, "id").where("kept").collect()) == kept
 
 
+def test_greedy_keeping_is_never_partial(spark):
+    nodes = spark.range(8)
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(7)], "a long, b long")
+    assert {r.id: r.kept for r in U.keep_greedily(nodes, pairs, "id").collect()} == {i: i % 2 == 0 for i in range(8)}
+    with pytest.raises(RuntimeError):
+        U.keep_greedily(nodes, pairs, "id", max_rounds=2)
+
+
 def test_upsert_is_idempotent(spark):
     lines = spark.createDataFrame([(1, 0), (1, 4), (2, 4)], "image_id int, cls int")
     plates = spark.createDataFrame([(1,), (1,)], "image_id int")
