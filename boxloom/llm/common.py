@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions.session import cut, shared_dir
 
-__all__ = ["ascii_lower", "bitmap", "cut", "let", "may_hold", "shared_dir", "table", "without", "words", "written"]
+__all__ = ["Shelf", "ascii_lower", "bitmap", "cut", "let", "may_hold", "shared_dir", "shuffle_partitions", "table", "without", "words", "written"]
 
 #: Words are runs of anything but the ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,6 +29,34 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shelf:
+    """Intermediate tables of one operator in the shared folder, which it can delete when it needs them no more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """``df`` as ``written``."""
+        path = f"{shared_dir(self.spark)}/boxloom-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[path] = out
+        return out
+
+    def clear(self, *keep: DataFrame) -> None:
+        """Deletes all tables but those in ``keep``; nothing may read them any more."""
+        for path, df in list(self.paths.items()):
+            if not any(df is k for k in keep):
+                where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+                del self.paths[path]
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions a shuffle has in this session."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(text, UPPER, LOWER)

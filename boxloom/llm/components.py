@@ -36,3 +36,16 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
             break
         before = seen
     return now.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label").unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct().join(now.select(F.col("u").alias("node")), "node", "left_anti"))
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (node, label) of all components after more ``edges`` (a, b) between nodes, known or new.
+
+    Only the components that the edges join are worked on, not all edges anew.
+    """
+    ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+    every = cut(labels.unionByName(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))))
+    for x in "ab":
+        edges = edges.join(every.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")), x)
+    joined = components(edges.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return every.join(joined, "label", "left").select("node", F.coalesce("to", "label").alias("label"))

@@ -1,25 +1,33 @@
 """N-gram Jaccard join by PartEnum signatures.
 
-Sets of five-word shingles fall into size bands, each at most 4/3 as wide as its start. Two sets that link
-(similarity at least 3/4, sizes a <= b) differ in at most (a + b) / 7 <= 2b / 7 shingles. The scheme of a
-band cuts the hash domain into so many parts that the larger set fills more than 2b / 7 of them: then
-some part that it fills holds no difference, and both sets have the same content there. The hash of a
-part's content is a signature; a set gives signatures for its own band and, as the smaller set, for the
-next. Sets of at most SMALL shingles use the finest enumeration, a part for each shingle. Whether a set
-fills enough parts is counted for every set; if one does not, its band gets another scheme with another
-salt, until all do. So no link is lost, whatever the data.
-
-Sets that are equal collapse to one class before pairs are formed. A bucket (one signature) with at most
-``bucket`` classes gives all its pairs of fitting sizes. A larger one gives a star around its first class;
-what that leaves open is settled later: buckets whose classes have meanwhile joined one component drop
-out, and so do classes that have too few open signatures left to hold an undetected link (linked sets
-share at least [filled parts - (a + b) / 7] signatures, not just one). Only pairs of the rest, from
-different components, are of interest. STARS more stars join most of them; of what is then left, those pairs
-are formed that share so many signatures. All links are verified on the sets.
+Sets of five-word shingles fall into levels of sizes, each up to twice its start. Two sets that link
+(similarity at least 3/4, sizes a <= b) differ in at most d = (a + b) / 7 <= a / 3 shingles. The scheme of a
+level cuts the hash domain into first-level groups and each group into three sub-partitions. By counting,
+if a set has more than d / 2 groups with two filled sub-partitions, a linked set differs from it in at most
+one shingle of one of them, so two of that group's three sub-partitions agree: each of the three subsets of
+two is a signature. A set gives signatures of its groups in the order of the hash domain until more than
+n / 3 differences are covered, plus a SLACK; where two sets stop at different places, the one that stops
+first has enough groups by itself. A set gives signatures for its own level and, as the smaller set, for the
+next one if a partner may lie there. Sets of at most SMALL shingles, and those that fill too few groups
+of a scheme, also enumerate single shingles in the same order; one partner with enough groups suffices, so
+these are needed only among themselves. No link is lost, whatever the data.
+
+Because of the SLACK, linked sets share not one but ``least_shared`` signatures, which rules out nearly all
+pairs and sets that meet through common passages. Sets that are equal collapse to one class before.
+Signatures travel as packed blocks; a bucket (one signature) of at most ``bucket`` classes gives its pairs,
+counted over all signatures, and pairs with enough of them are verified, first the best one of each class,
+then those that still join two components, a quarter of the hash domain first.
+
+Larger buckets are settled by their members: what has enough signatures in buckets of mixed components
+stays, unless so many of its shingles occur in no other such set that it cannot link. Stars around the
+member with the fewest shingles of its own join most of them; of the rest, pairs of different components
+that can link by these numbers are formed and verified. A signature that is hot within one task sends on
+``bucket`` + 1 members, which show that it is large, and the others as members only, dealt out evenly.
 
 Defined results: null, empty and blank texts have an empty set, link with nothing and are their own
 component; texts of under five words have one shingle; repeated rows are members of one class; rows with a
-null key take part, and their component is the least key that is not null.
+null key take part, and their component is the least key that is not null; very long texts are sets like
+others; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,377 +37,492 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import ascii_lower, bitmap, let, may_hold, table, words, written
-from boxloom.llm.components import components
+from boxloom.llm.common import Shelf, shuffle_partitions, table
+from boxloom.llm.components import components, merged
+from boxloom.llm.shingling import GOLD, chunks, mix, shingle_sets
 
-SHINGLE = 5
 PERCENT = 75
-SMALL = 32
+SMALL = 40
+SLACK = 60
 BUCKET = 12
-#: Stars around further classes of large buckets before their remaining pairs are formed.
+#: Stars in large buckets before their remaining pairs are formed.
 STARS = 2
-#: Rows of one bucket that a worker holds at most.
-HELD = 20_000
-FILTER_BITS = 1 << 22
-_M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+#: Signatures that a worker gathers before it sends them on, and members of one signature in these that count as many.
+FLUSH = 2_000_000
+HOT = 64
+#: Sets whose names a worker remembers, to skip copies.
+REMEMBERED = 100_000
+MAP_BITS = 1 << 24
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit integers that scatters them."""
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
-
-
-def shingles(h: np.ndarray) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text with word hashes ``h``."""
-    if not len(h):
-        return h
-    n = min(SHINGLE, len(h))
-    sums = np.full(len(h) - n + 1, np.uint64(n))
-    for k in range(n):
-        sums = mix(sums * _GOLD + h[k : len(h) - n + 1 + k])
-    return np.unique(sums)
-
-
-def set_id(s: np.ndarray) -> int:
-    """A 64-bit name of a set."""
-    return int(mix(np.array([np.add.reduce(mix(s + _GOLD)) ^ np.uint64(len(s))]))[0].view(np.int64))
+# ---- signatures ---------------------------------------------------------------------------------------
 
 
 @lru_cache(maxsize=1)
-def bands() -> list[tuple[int, int, int]]:
-    """(least size, greatest size, parts) of each band; band 0 holds the small sets."""
-    out, low = [(1, SMALL, 0)], SMALL + 1
+def levels() -> tuple[np.ndarray, np.ndarray]:
+    """(least size, groups) of each level; level 0 has single shingles only."""
+    lows, groups, low = [1], [0], SMALL + 1
     while low < 2**31:
-        high = low * 100 // PERCENT
-        load = 1.6 if high < 128 else 2.2 if high < 512 else 2.7 if high < 2048 else 3.0
-        out.append((low, high, int(np.ceil(high / load))))
-        low = high + 1
-    return out
+        top = 2 * (low - 1)
+        load = 3.0 if top <= 80 else 3.5 if top <= 160 else 4.0 if top <= 320 else 4.6 if top <= 640 else 4.9
+        lows.append(low)
+        groups.append(int(np.ceil(top / load)))
+        low = top + 1
+    return np.array(lows), np.array(groups)
+
+
+def groups_needed(n):
+    """Filled groups that a set of ``n`` shingles gives signatures of: twice as many cover n / 3 differences and more."""
+    return n // 6 + 1 + n // SLACK
+
+
+def singles_needed(n):
+    """Single shingles that a set gives, where groups do not suffice."""
+    return n // 3 + 1 + n // (SLACK // 2)
+
+
+def least_shared(n, m):
+    """How many signatures linked sets of ``n`` and ``m`` shingles share at least."""
+    k = np.minimum(n, m)
+    return np.minimum(2 * groups_needed(k), singles_needed(k)) - (n + m) * (100 - PERCENT) // (100 + PERCENT)
+
+
+def level_signatures(s: np.ndarray, size: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, set) of sets (sorted, one behind the other, none empty), each under the scheme of its ``level``."""
+    of = np.repeat(np.arange(len(size)), size)
+    lacks = level == 0
+    sigs, owner = [], []
+    if not lacks.all():
+        needed = groups_needed(size)
+        in_groups = ~lacks[of]
+        x, xo = s[in_groups], of[in_groups]
+        cell = ((x >> np.uint64(32)) * (3 * levels()[1][level[xo]]).astype(np.uint64)) >> np.uint64(32)
+        run = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (xo[1:] != xo[:-1])]))
+        content = np.add.reduceat(mix(x), run)
+        cell, xo = cell[run].astype(np.int64), xo[run]
+        group = cell // 3
+        begins = np.concatenate([[True], (group[1:] != group[:-1]) | (xo[1:] != xo[:-1])])
+        row = np.cumsum(begins) - 1
+        group, set_ = group[begins], xo[begins]
+        parts = np.zeros((len(group), 3), np.uint64)
+        parts[row, cell - 3 * (cell // 3)] = content
+        filled = np.bincount(row) >= 2
+        done = np.cumsum(filled)
+        first = np.flatnonzero(np.concatenate([[True], set_[1:] != set_[:-1]]))
+        before = np.zeros(len(size), np.int64)
+        before[set_[first]] = done[first] - filled[first]
+        give = done - before[set_] - filled < needed[set_]
+        for a, b in ((0, 1), (0, 2), (1, 2)):
+            some = give & ((parts[:, a] != 0) | (parts[:, b] != 0))
+            tag = mix((group[some] * 4 + a + b).astype(np.uint64) + level[set_[some]].astype(np.uint64) * GOLD)
+            sigs.append(mix((parts[some, a] + parts[some, b]) ^ tag))
+            owner.append(set_[some])
+        lacks = lacks | (np.bincount(set_, filled, len(size)) < needed)
+    place = np.arange(len(s)) - np.repeat(np.cumsum(size) - size, size)
+    single = lacks[of] & (place < singles_needed(size)[of])
+    sigs.append(mix(s[single] ^ GOLD) + level[of[single]].astype(np.uint64))
+    owner.append(of[single])
+    return np.concatenate(sigs), np.concatenate(owner)
+
+
+def signatures(s: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, set) under all schemes that concern the sets."""
+    lows = levels()[0]
+    level = np.searchsorted(lows, size, "right") - 1
+    up = size * 100 >= lows[level + 1] * PERCENT
+    own = level_signatures(s, size, level)
+    if not up.any():
+        return own
+    sig, of = level_signatures(s[np.repeat(up, size)], size[up], level[up] + 1)
+    return np.concatenate([own[0], sig]), np.concatenate([own[1], np.flatnonzero(up)[of]])
+
+
+def set_ids(s: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set; its last byte tells the size to within a twelfth."""
+    if not len(size):
+        return np.zeros(0, np.int64)
+    h = mix(np.add.reduceat(mix(s + GOLD), np.cumsum(size) - size) ^ size.astype(np.uint64))
+    return ((h & ~np.uint64(255)) | (np.log(size) / 0.0843).astype(np.uint64)).view(np.int64)
+
+
+#: ln(4 / 3) / 0.0843, rounded up.
+FAR = 4
+
+
+def may_fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """False if the sizes of the sets named ``a`` and ``b`` are certainly too different to link."""
+    return np.abs((a & 255) - (b & 255)) <= FAR
+
+
+# ---- over the documents -------------------------------------------------------------------------------
+
+
+def _raw(docs: DataFrame, text: str, *more: Column) -> DataFrame:
+    return docs.select(*more, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
+
+
+def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, row behind the last, shingles, set sizes, names of the sets that are not empty) of parts of a batch."""
+    for a, b, data, ends in chunks(batch.column("raw")):
+        s, size = shingle_sets(data, ends)
+        yield a, b, s, size, set_ids(s, size[size > 0])
 
 
-@lru_cache(maxsize=1)
-def _lows() -> np.ndarray:
-    return np.array([b[0] for b in bands()])
+def set_table(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, n, sid) of each row; sid is null for empty sets."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, _, size, sids in _sets(batch):
+                sid = np.zeros(len(size), np.int64)
+                sid[size > 0] = sids
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(a, b - a), pa.array(size), pa.array(sid, mask=size == 0)], ["key", "n", "sid"])
 
-def band_of(n: int) -> int:
-    return int(np.searchsorted(_lows(), n, "right")) - 1
+    kind = docs.schema[key].dataType.simpleString()
+    return _raw(docs, text, F.col(key).alias("key")).mapInArrow(run, f"key {kind}, n long, sid long")
 
 
-def parts_of(s: np.ndarray, band: int, salt: int) -> np.ndarray:
-    """The part of each shingle under a scheme."""
-    x = mix(s + np.uint64((0x9E3779B97F4A7C15 * (band * 64 + salt + 1)) & 0xFFFFFFFFFFFFFFFF))
-    return (x >> np.uint64(33)) % np.uint64(bands()[band][2])
+def packed(sig: np.ndarray, sid: np.ndarray) -> bytes:
+    """Rows (48 bits of a signature, set) as bytes; each set is written once."""
+    names, at = np.unique(sid, return_inverse=True)
+    at = at.astype(np.uint16 if len(names) <= 1 << 16 else np.uint32)
+    return b"".join([np.array([len(sig), len(names)], "<u4").tobytes(), names.tobytes(), (sig >> np.uint64(32)).astype(np.uint32).tobytes(), (sig >> np.uint64(16)).astype(np.uint16).tobytes(), at.tobytes()])
 
 
-def most_different(n: int) -> int:
-    """How many shingles a set of ``n`` and a linked one that is not larger differ in at most."""
-    return 2 * n * (100 - PERCENT) // (100 + PERCENT)
+def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, m = np.frombuffer(block, "<u4", 2).tolist()
+    names = np.frombuffer(block, np.int64, m, 8)
+    at = 8 + 8 * m
+    high, low = np.frombuffer(block, np.uint32, n, at), np.frombuffer(block, np.uint16, n, at + 4 * n)
+    where = np.frombuffer(block, np.uint16 if m <= 1 << 16 else np.uint32, n, at + 6 * n)
+    return high.astype(np.uint64) << np.uint64(16) | low, names[where]
 
 
-def filled(s: np.ndarray) -> tuple[int, int]:
-    """(salt, parts filled): the first salt under which the set fills enough parts of its own band."""
-    band = band_of(len(s))
-    if band == 0:
-        return 0, len(s)
-    for salt in range(64):
-        n = int(np.count_nonzero(np.bincount(parts_of(s, band, salt).astype(np.int64))))
-        if n > most_different(len(s)):
-            return salt, n
-    raise ValueError(f"a set of {len(s)} shingles fills too few parts under any salt")
+def signature_blocks(docs: DataFrame, text: str, bucket: int, parts: int) -> DataFrame:
+    """(part, open, block): packed signatures of all sets by the ``part`` that owns them.
 
+    Rows with open are members of signatures that are large already; any part may have them.
+    """
 
-def signatures(s: np.ndarray, salts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, whether the scheme is that of the set's own band) for all schemes that concern the set."""
-    own, sigs, flags = band_of(len(s)), [], []
-    for band in (own, own + 1):
-        if band == 0:
-            sigs.append(mix(s ^ _GOLD))
-            flags.append(np.ones(len(s), bool))
-            continue
-        if band != own and len(s) * 100 < bands()[band][0] * PERCENT:
-            continue
-        for salt in range(salts.get(band, 0) + 1):
-            part = parts_of(s, band, salt)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size_held = turn = 0
+
+        def emit() -> pa.RecordBatch:
+            sig, sid = (np.concatenate([x[k] for x in held]) for k in range(2))
+            order = np.argsort(sig)
+            sig, sid = sig[order], sid[order]
+            begin = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            count = np.diff(np.append(begin, len(sig)))
+            rest = (np.arange(len(sig)) - np.repeat(begin, count) > bucket) & np.repeat(count > HOT, count)
+            part = (((sig & np.uint64(0xFFFFFF)) * np.uint64(parts)) >> np.uint64(24)).astype(np.int64)
+            rows = []
+            if rest.any():
+                rows.append((int(sid[0] + turn) % parts, True, packed(sig[rest], sid[rest]), part[rest]))
+            sig, sid, part = sig[~rest], sid[~rest], part[~rest]
             order = np.argsort(part, kind="stable")
-            ranked = part[order]
-            begin = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-            content = np.add.reduceat(mix(s + _M1)[order], begin)
-            sigs.append(mix(content ^ mix(ranked[begin] * np.uint64(8192) + np.uint64(band * 64 + salt))))
-            flags.append(np.full(len(begin), band == own))
-    return np.concatenate(sigs), np.concatenate(flags)
-
-
-def _hashes(docs: DataFrame, text: str, *keep) -> DataFrame:
-    hashed = F.transform(words(ascii_lower(F.col(text))), lambda w: F.xxhash64(w))
-    return docs.select(*keep, hashed.alias("h"))
-
-
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    col = batch.column("h")
-    flat, offsets = col.values.to_numpy(zero_copy_only=False).view(np.uint64), col.offsets.to_numpy()
-    for i in range(len(col)):
-        yield i, flat[offsets[i] : offsets[i + 1]]
-
-
-def set_table(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n, sid, salt, parts) of each row; sid is null for empty sets."""
-    schema = f"key {docs.schema[key].dataType.simpleString()}, n int, sid long, salt int, parts int"
+            sig, sid, part = sig[order], sid[order], part[order]
+            cuts = np.searchsorted(part, np.arange(parts + 1))
+            rows += [(p, False, packed(sig[a:b], sid[a:b]), None) for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.binary()), pa.array([None if r[3] is None else r[3].astype(np.int32).tobytes() for r in rows], pa.binary())],
+                ["part", "open", "block", "owners"],
+            )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for _, h in _rows(batch):
-                s = shingles(h)
-                out.append((len(s), set_id(s), *filled(s)) if len(s) else (0, None, 0, 0))
-            cols = list(zip(*out)) if out else [()] * 4
-            types = (pa.int32(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), *[pa.array(c, t) for c, t in zip(cols, types)]], ["key", "n", "sid", "salt", "parts"])
+            for _, _, s, size, sids in _sets(batch):
+                size = size[size > 0]
+                new = np.zeros(len(sids), bool)
+                for i, sid in enumerate(sids.tolist()):
+                    if sid not in seen:
+                        seen.add(sid)
+                        new[i] = True
+                if new.any():
+                    sig, of = signatures(s[np.repeat(new, size)], size[new])
+                    held.append((sig, sids[new][of]))
+                    size_held += len(sig)
+                if size_held >= FLUSH or len(seen) > REMEMBERED:
+                    if held:
+                        yield emit()
+                    held, size_held, turn = [], 0, turn + 1
+                    if len(seen) > REMEMBERED:  # only here: no set is twice in what is sent on together
+                        seen.clear()
+        if held:
+            yield emit()
 
-    return _hashes(docs, text, F.col(key).alias("key")).mapInArrow(run, schema)
+    return _raw(docs, text).mapInArrow(run, "part int, open boolean, block binary, owners binary")
 
 
-def signature_table(docs: DataFrame, text: str, salts: dict[int, int]) -> DataFrame:
-    """(sig, own, sid, n): signatures of all sets, once for each set and task."""
+def bucket_rows(blocks: DataFrame, bucket: int, parts: int) -> DataFrame:
+    """Kind 0 rows are pairs (a, b, n signatures shared in small buckets), kind 1 rows (a set, b signature) of large buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # 8 bytes for each set of the task
-        held, size = [], 0
-
-        def emit():
-            arrays = [np.concatenate([x[k] for x in held]) for k in range(4)]
-            return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["sig", "own", "sid", "n"])
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def rows(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b.view(np.int64)), pa.array(n.astype(np.int32))], ["kind", "a", "b", "n"])
+
+        def named(sig: np.ndarray, part: np.ndarray) -> np.ndarray:
+            return mix(sig + part.astype(np.uint64) * GOLD)
+
+        def open_rows(sig: np.ndarray, sid: np.ndarray, part: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(sig), 100_000):
+                yield rows(1, sid[k : k + 100_000], named(sig[k : k + 100_000], part[k : k + 100_000]), np.ones(len(sig[k : k + 100_000])))
+
+        def work(part: int, blocks_: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            sig, sid = (np.concatenate([x[k] for x in blocks_]) for k in range(2))
+            order = np.argsort(sig)
+            ranked = sig[order]
+            same = ranked[1:] == ranked[:-1]
+            shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            sig, sid = ranked[shared], sid[order[shared]]
+            order = np.lexsort((sid, sig))
+            sig, sid = sig[order], sid[order]
+            fresh = np.ones(len(sig), bool)
+            fresh[1:] = (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])
+            sig, sid = sig[fresh], sid[fresh]
+            if not len(sig):
+                return
+            begin = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            count = np.diff(np.append(begin, len(sig)))
+            large = np.repeat(count > bucket, count)
+            yield from open_rows(sig[large], sid[large], np.full(int(large.sum()), part))
+            sig, sid = sig[~large], sid[~large]
+            pairs: list[tuple[np.ndarray, np.ndarray]] = []
+            for step in range(1, bucket):
+                near = np.flatnonzero(sig[step:] == sig[:-step])
+                if not len(near):
+                    break
+                a, b = sid[near], sid[near + step]  # a < b, as the sets of a bucket are in order
+                fits = may_fit(a, b)
+                pairs.append((a[fits], b[fits]))
+            if pairs:
+                a, b = (np.concatenate([x[k] for x in pairs]) for k in range(2))
+                order = np.lexsort((b, a))
+                a, b = a[order], b[order]
+                first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
+                n = np.diff(np.append(first, len(a)))
+                for k in range(0, len(first), 100_000):
+                    at = first[k : k + 100_000]
+                    yield rows(0, a[at], b[at], n[k : k + 100_000])
 
         for batch in batches:
-            for _, h in _rows(batch):
-                s = shingles(h)
-                if not len(s) or (sid := set_id(s)) in seen:
-                    continue
-                seen.add(sid)
-                sig, own = signatures(s, salts)
-                held.append((sig.view(np.int64), own.astype(np.int8), np.full(len(sig), sid), np.full(len(sig), len(s), np.int32)))
-                size += len(sig)
-                if size > 200_000:
-                    yield emit()
-                    held, size = [], 0
-        if held:
-            yield emit()
+            for part, open_, block, owners in zip(*(batch.column(c).to_pylist() for c in ("part", "open", "block", "owners"))):
+                if open_:
+                    yield from open_rows(*unpacked(block), np.frombuffer(owners, np.int32).astype(np.int64))
+                else:
+                    held.setdefault(part, []).append(unpacked(block))
+        for part in sorted(held):
+            yield from work(part, held.pop(part))
 
-    return _hashes(docs, text).mapInArrow(run, "sig long, own byte, sid long, n int")
+    return blocks.repartitionById(parts, "part").mapInArrow(run, "kind byte, a long, b long, n int")
 
 
-def _fits(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    return np.minimum(n, m).astype(np.int64) * 100 >= np.maximum(n, m).astype(np.int64) * PERCENT
+# ---- verification -------------------------------------------------------------------------------------
 
 
-def bucket_pairs(signed: DataFrame, bucket: int) -> DataFrame:
-    """From signatures: kind 0 rows are pairs (a, b, signatures shared), kind 1 rows (a = sid, b = sig, n = own) of large buckets."""
-    ordered = signed.repartition("sig").sortWithinPartitions("sig", F.desc("own"), "sid")
+def sid_map(sids: DataFrame) -> np.ndarray:
+    """A bitmap of MAP_BITS over the sets named in ``sids`` (sid); its size does not depend on their number."""
+    place = F.shiftrightunsigned("sid", 20).bitwiseAND(F.lit(MAP_BITS - 1))
+    words = sids.select(F.shiftright(place, 6).cast("int").alias("i"), F.pmod(place, F.lit(64)).cast("int").alias("b")).groupBy("i").agg(F.expr("bit_or(shiftleft(1L, b))").alias("w"))
+    found = words.toPandas()
+    out = np.zeros(MAP_BITS // 64, np.int64)
+    out[found["i"].to_numpy(np.int64)] = found["w"].to_numpy(np.int64)
+    return out.view(np.uint64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry: list[np.ndarray] | None = None
-        large: int | None = None  # signature of a bucket of which a part has gone out already
 
-        def work(cols: list[np.ndarray], large_sig: int | None) -> pa.RecordBatch | None:
-            sig, own, sid, n = cols
-            fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])])
-            sig, own, sid, n = sig[fresh], own[fresh], sid[fresh], n[fresh]
-            begin = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-            count = np.diff(np.append(begin, len(sig)))
-            good = (count > 1) & (own[begin] == 1)
-            keep = np.repeat(good, count)
-            first = np.repeat(begin, count)[keep]
-            many = np.repeat((count > bucket) | (sig[begin] == large_sig if large_sig is not None else np.zeros(len(begin), bool)), count)[keep]
-            if not keep.any():
-                return None
-            leader, leader_n = sid[first], n[first]
-            is_first = np.flatnonzero(keep) == first
-            sig, own, sid, n = sig[keep], own[keep], sid[keep], n[keep]
-            a, b = [], []
-            star = many & ~is_first & _fits(n, leader_n)
-            a.append(leader[star])
-            b.append(sid[star])
-            for step in range(1, bucket):
-                if step >= len(sig):
-                    break
-                near = (sig[step:] == sig[:-step]) & ~many[step:] & (own[:-step] == 1) & _fits(n[step:], n[:-step])
-                if not near.any() and not (sig[step:] == sig[:-step]).any():
-                    break
-                a.append(sid[:-step][near])
-                b.append(sid[step:][near])
-            a_, b_ = np.concatenate(a), np.concatenate(b)
-            pair = np.stack([np.minimum(a_, b_), np.maximum(a_, b_)], 1)
-            order = np.lexsort((pair[:, 1], pair[:, 0]))
-            pair = pair[order]
-            new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]).any(1)])) if len(pair) else np.zeros(0, np.int64)
-            shared = np.diff(np.append(new, len(pair)))
-            member = np.flatnonzero(many)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([np.zeros(len(new), np.int8), np.ones(len(member), np.int8)])),
-                    pa.array(np.concatenate([pair[new, 0], sid[member]])),
-                    pa.array(np.concatenate([pair[new, 1], sig[member]])),
-                    pa.array(np.concatenate([shared, own[member]]).astype(np.int32)),
-                ],
-                ["kind", "a", "b", "n"],
-            )
+def set_arrays(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
+    """(sid, n, low, high): the shingles of the sets named in ``wanted`` (sid), those in the lowest quarter of the domain apart.
 
-        for batch in batches:
-            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if carry is not None:
-                cols = [np.concatenate([x, y]) for x, y in zip(carry, cols)]
-            if not len(cols[0]):
-                continue
-            tail = int(np.searchsorted(cols[0], cols[0][-1], "left"))
-            carry = [c[tail:] for c in cols]
-            if tail:
-                out = work([c[:tail] for c in cols], large)
-                if out is not None:
-                    yield out
-            if len(carry[0]) > HELD:  # a hot bucket: its rows go out around its first one, which stays
-                out = work(carry, int(carry[0][0]))
-                large = int(carry[0][0])
-                if out is not None:
-                    yield out
-                carry = [c[:1] for c in carry]
-        if carry is not None and len(carry[0]):
-            out = work(carry, large)
-            if out is not None:
-                yield out
-
-    return ordered.mapInArrow(run, "kind byte, a long, b long, n int")
-
-
-def set_arrays(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(sid, s): the shingles of the sets named in ``wanted`` (sid, rep), from the rows with these keys.
-
-    Only rows that pass a bitmap of fixed size over the wanted keys reach the exact join.
+    Only sets that pass a bitmap of fixed size leave the scan; the join is exact.
     """
-    may = docs.select(F.col(key).alias("rep"), F.col(text).alias("text"), bitmap(wanted, "rep", FILTER_BITS).scalar().alias("map"))
-    near = may.where(let(F.col("map"), lambda m: may_hold(m, F.col("rep")))).select("rep", "text")
-    exact = near.join(wanted, "rep")
+    held = docs.sparkSession.sparkContext.broadcast(sid_map(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, seen = held.value, set()
         for batch in batches:
-            sids, sets = batch.column("sid").to_pylist(), []
-            kept = []
-            for i, h in _rows(batch):
-                s = shingles(h)
-                if len(s) and set_id(s) == sids[i]:  # another row may have the same key
-                    kept.append(sids[i])
-                    sets.append(s.view(np.int64))
-            if kept:
-                yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["sid", "s"])
+            out = []
+            for _, _, s, size, sids in _sets(batch):
+                size = size[size > 0]
+                place = (sids.view(np.uint64) >> np.uint64(20)) & np.uint64(MAP_BITS - 1)
+                may = (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+                begin = np.cumsum(size) - size
+                for i in np.flatnonzero(may).tolist():
+                    if (sid := int(sids[i])) in seen:
+                        continue
+                    seen.add(sid)
+                    x = s[begin[i] : begin[i] + size[i]]
+                    k = int(np.searchsorted(x, np.uint64(1 << 62)))
+                    out.append((sid, len(x), x[:k].tobytes(), x[k:].tobytes()))
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+            if out:
+                cols = list(zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())], ["sid", "n", "low", "high"])
+
+    found = _raw(docs, text).mapInArrow(run, "sid long, n long, low binary, high binary")
+    return found.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
+
+
+def in_common(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """How many numbers the sorted binary arrays share, row by row."""
+    out = np.zeros(len(x), np.int64)
+    for i, (a, b) in enumerate(zip(x.to_pylist(), y.to_pylist())):
+        v = np.frombuffer(a + b, np.uint64)
+        v = np.sort(v)
+        out[i] = np.count_nonzero(v[1:] == v[:-1])
+    return out
 
-    return _hashes(exact, "text", "sid").mapInArrow(run, "sid long, s array<long>").dropDuplicates(["sid"])
 
+def links(pairs: DataFrame, arrays: DataFrame, shelf: Shelf) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets link; a quarter of the domain rules out most others."""
 
-def keyless_arrays(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(sid, s): the shingles of the sets named in ``wanted`` (sid), from the rows without a key."""
+    def both(rows: DataFrame, part: str) -> DataFrame:
+        for x in "ab":
+            rows = rows.join(arrays.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col(part).alias(f"s_{x}")), x)
+        return rows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for s in (shingles(h) for _, h in _rows(batch)) if len(s)]
-            if sets:
-                yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["sid", "s"])
+            a, b = batch.column("s_a"), batch.column("s_b")
+            n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            low = in_common(a, b)
+            left = np.minimum(n_a - np.array([len(v) // 8 for v in a.to_pylist()], np.int64), n_b - np.array([len(v) // 8 for v in b.to_pylist()], np.int64))
+            ok = (low + left) * (100 + PERCENT) >= PERCENT * (n_a + n_b)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok)), pa.array(low[ok])], ["a", "b", "shared"])
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shared = batch.column("shared").to_numpy() + in_common(batch.column("s_a"), batch.column("s_b"))
+            ok = pa.array(shared * (100 + PERCENT) >= PERCENT * (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], ["a", "b"])
+
+    likely = shelf.put(both(pairs.select("a", "b"), "low").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(first, "a long, b long, shared long"))
+    return shelf.put(both(likely, "high").select("a", "b", "shared", "n_a", "n_b", "s_a", "s_b").mapInArrow(second, "a long, b long"))
+
+
+# ---- the join -----------------------------------------------------------------------------------------
 
-    every = _hashes(docs.where(F.col(key).isNull()), text).mapInArrow(run, "sid long, s array<long>")
-    may = every.select("sid", "s", bitmap(wanted, "sid", FILTER_BITS).scalar().alias("map")).where(let(F.col("map"), lambda m: may_hold(m, F.col("sid"))))
-    return may.select("sid", "s").join(wanted, "sid").dropDuplicates(["sid"])
 
+def _least_shared(n: Column, m: Column) -> Column:
+    """``least_shared`` of columns."""
+    k = F.least(n, m)
+    groups = 2 * (F.floor(k / 6) + 1 + F.floor(k / SLACK))
+    singles = F.floor(k / 3) + 1 + F.floor(k / (SLACK // 2))
+    return F.least(groups, singles) - F.floor((n + m) * (100 - PERCENT) / (100 + PERCENT))
 
-def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, classes: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b of sids) whose sets link."""
-    sids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    wanted = written(sids.join(classes, "sid").select("sid", "rep"))
-    sets, keyless = set_arrays(docs, key, text, wanted.where("rep IS NOT NULL")), wanted.where("rep IS NULL").select("sid")
-    if not keyless.isEmpty():
-        sets = sets.unionByName(keyless_arrays(docs, key, text, keyless))
-    sets = written(sets)
-    a, b = sets.select(F.col("sid").alias("a"), F.col("s").alias("sa")), sets.select(F.col("sid").alias("b"), F.col("s").alias("sb"))
-    inter = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(a, "a").join(b, "b").where(100 * inter >= PERCENT * (F.size("sa") + F.size("sb") - inter)).select("a", "b")
+
+def _fewest(n: Column) -> Column:
+    """The least of ``least_shared`` over all sizes that may link with ``n``: it falls towards either end of them."""
+    ends = [F.ceil(n * PERCENT / 100), F.floor(n * 100 / PERCENT)]
+    # floors move the value by less than 5 between the ends
+    return F.greatest(F.lit(1), F.least(*[_least_shared(n, m) for m in ends]) - 5)
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> DataFrame:
     """``key``, n_shingles, component_id of each row of ``docs``."""
-    sets = written(set_table(docs, key, text))
-    classes = written(sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.max("salt").alias("salt"), F.max("parts").alias("parts")))
-    salted = classes.where("salt > 0").select("n", "salt").distinct().collect()  # next to none: sets that fill too few parts
-    salts: dict[int, int] = {}
-    for r in salted:
-        salts[band_of(r.n)] = max(salts.get(band_of(r.n), 0), r.salt)
-    found = written(bucket_pairs(signature_table(docs, text, salts), bucket))
-    open_ = found.where("kind = 1").select(F.col("a").alias("sid"), F.col("b").alias("sig"), F.col("n").alias("own"))
-    per_set = open_.groupBy("sid").agg(F.count("*").alias("large"))
-    known = classes.join(per_set, "sid", "left").select("sid", "n", "parts", F.coalesce("large", F.lit(0)).alias("large"))
-    shared = found.where("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("shared"))
-    a, b = (known.select(*[F.col(c).alias(c if c == "sid" else f"{c}_{x}") for c in known.columns]).withColumnRenamed("sid", x) for x in "ab")
-    # linked sets share at least [parts filled by the larger - most they differ in] signatures
-    joined = shared.join(a, "a").join(b, "b")
-    parts = F.when(F.col("n_a") > F.col("n_b"), F.col("parts_a")).when(F.col("n_a") < F.col("n_b"), F.col("parts_b")).otherwise(F.least("parts_a", "parts_b"))
-    differ = F.floor((F.col("n_a") + F.col("n_b")) * F.lit(100 - PERCENT) / F.lit(100 + PERCENT))
-    likely = joined.where(F.col("shared") + F.least("large_a", "large_b") >= parts - differ).select("a", "b")
-    edges = written(verified(written(likely), docs, key, text, classes))
-    edges = settle(open_, edges, docs, key, text, classes)
-    labels = components(edges)
+    spark = docs.sparkSession
+    shelf = Shelf(spark)
+    parts = shuffle_partitions(spark)
+    sets = shelf.put(set_table(docs, key, text))
+    classes = shelf.put(sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("key").alias("rep"), F.first("n").alias("n")))
+    found = shelf.put(bucket_rows(signature_blocks(docs, text, bucket, parts), bucket, parts))
+    sizes = classes.select("sid", "n")
+    members = found.where("kind = 1").select(F.col("a").alias("sid"), F.col("b").alias("sig"))
+    large = members.groupBy("sid").agg(F.count("*").alias("large")).join(sizes, "sid")
+    open_ = shelf.put(large.where(F.col("large") >= _fewest(F.col("n"))).select("sid", "n"))
+    known = sizes.join(large.select("sid", "large"), "sid", "left").fillna(0, ["large"])
+    rows = found.where("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("shared"))
+    for x in "ab":
+        rows = rows.join(known.select(*[F.col(c).alias(x if c == "sid" else f"{c}_{x}") for c in known.columns]), x)
+    fits = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
+    pairs = shelf.put(rows.where(fits & (F.col("shared") + F.least("large_a", "large_b") >= _least_shared(F.col("n_a"), F.col("n_b")))).select("a", "b", "shared"))
+    wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).unionByName(open_.select("sid")).distinct()
+    arrays = shelf.put(set_arrays(docs, text, shelf.put(wanted)))
+
+    # the best pair of each class first, then what still joins two components
+    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
+    labels = shelf.put(components(links(best, arrays, shelf)))
+    labels = more_links(pairs.join(best, ["a", "b"], "left_anti"), labels, arrays, shelf)
+    labels = settle(members, open_, labels, arrays, shelf)
+
     named = classes.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_set = written(named.join(least, "label").select("sid", "component_id"))
-    return sets.join(of_set, "sid", "left").select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+    of_set = shelf.put(named.join(least, "label").select("sid", "component_id"))
+    shelf.clear(sets, of_set)
+    return sets.join(of_set, "sid", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+
+
+def more_links(pairs: DataFrame, labels: DataFrame, arrays: DataFrame, shelf: Shelf) -> DataFrame:
+    """``labels`` after those ``pairs`` (a, b) that link and join two components."""
+    apart = pairs.select("a", "b")
+    for x in "ab":
+        apart = apart.join(labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")), x, "left")
+    apart = shelf.put(apart.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b"))
+    if apart.isEmpty():
+        return labels
+    return shelf.put(merged(labels, links(apart, arrays, shelf)))
+
+
+def own_shingles(sids: DataFrame, arrays: DataFrame) -> DataFrame:
+    """(sid, own): how many shingles of each of the sets ``sids`` (sid) no other of them has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sid, low, high in zip(*(batch.column(c).to_pylist() for c in ("sid", "low", "high"))):
+                s = np.frombuffer(low + high, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), sid)), pa.array(s)], ["sid", "s"])
+
+    each = arrays.join(sids, "sid", "left_semi").select("sid", "low", "high").mapInArrow(run, "sid long, s long")
+    alone = each.groupBy("s").agg(F.count("*").alias("c"), F.min("sid").alias("sid")).where("c = 1")
+    return alone.groupBy("sid").agg(F.count("*").alias("own"))
 
 
-def settle(open_: DataFrame, edges: DataFrame, docs: DataFrame, key: str, text: str, classes: DataFrame) -> DataFrame:
-    """``edges`` and the links that stars around the first class of each large bucket did not show.
+def settle(members: DataFrame, open_: DataFrame, labels: DataFrame, arrays: DataFrame, shelf: Shelf) -> DataFrame:
+    """``labels`` after the links between ``members`` (sid, sig) of large buckets that small buckets did not show.
 
-    A link that is still unknown joins two components, and all signatures that its sets share in the scheme
-    of the larger one lie in large buckets. They are at least as many as either set fills parts of that
-    scheme, less what the two differ in: of the larger set at least ``spare``, of a smaller one in the same
-    band at least ``fewest``, since the larger may have 4/3 of its size. Only sets with that many open
-    signatures can be the one end or the other, and their pair must share that many.
+    Such a link joins two components, and its sets share ``least_shared`` signatures of large buckets; sets of
+    ``open_`` (sid, n) have that many. What its sets share lies in shingles that several open sets have.
     """
-    if open_.isEmpty():
-        return edges
-    spare = (F.col("parts") - F.floor(F.col("n") * F.lit(2 * (100 - PERCENT)) / F.lit(100 + PERCENT))).alias("spare")
-    largest = F.floor(F.col("n") * F.lit(100) / F.lit(PERCENT))
-    fewest = (F.col("parts") - F.floor((F.col("n") + largest) * F.lit(100 - PERCENT) / F.lit(100 + PERCENT))).alias("fewest")
-    rows = open_.join(classes.select("sid", "n", "parts", spare, fewest), "sid")
-    for turn in range(STARS + 1):
-        labels = components(edges).withColumnRenamed("node", "sid")
-        here = rows.drop("label", "c").join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-        mixed = here.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-        here = here.join(mixed, "sig")
-        counts = here.groupBy("sid", "own").agg(F.count("*").alias("c"), F.first("fewest").alias("fewest"))
-        rows = written(here.join(counts.where("own = 0 OR c >= fewest").select("sid", "own", "c"), ["sid", "own"]))
-        if turn == STARS:
-            break
-        # a star around one class for all buckets that have it: the one that comes first in this turn's order
-        order = F.struct(F.xxhash64(F.lit(turn), "sid"), "sid", "n", "label", "spare")
-        first = rows.where("own = 1 AND c >= spare").groupBy("sig").agg(F.min(order).alias("x"))
-        if first.isEmpty():
-            return edges
-        near = rows.join(first, "sig").where("label <> x.label AND c >= x.spare").where(100 * F.least("n", "x.n") >= PERCENT * F.greatest("n", "x.n"))
-        pairs = written(near.select(F.least("sid", "x.sid").alias("a"), F.greatest("sid", "x.sid").alias("b")).distinct())
-        if not pairs.isEmpty():
-            edges = written(edges.unionByName(verified(pairs, docs, key, text, classes)))
-    x = rows.where("own = 1 AND c >= spare").select("sig", *[F.col(c).alias(f"{c}_x") for c in ("sid", "n", "parts", "label", "c")])
-    # a set of the band below has its own parts in another scheme
-    y = rows.select("sig", *[F.col(c).alias(f"{c}_y") for c in ("sid", "n", "label", "c")], F.when(F.col("own") == 1, F.col("parts")).otherwise(0).alias("parts_y"))
-    # of two sets in the same band both may be the larger: the pair is formed once, by size and name
-    once = (F.col("n_x") > F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("sid_x") > F.col("sid_y")))
-    fits = 100 * F.col("n_y") >= PERCENT * F.col("n_x")
-    least = F.greatest("parts_x", "parts_y") - F.floor((F.col("n_x") + F.col("n_y")) * F.lit(100 - PERCENT) / F.lit(100 + PERCENT))
-    meet = x.join(y, "sig").where((F.col("label_x") != F.col("label_y")) & once & fits & (F.least("c_x", "c_y") >= least))
-    shared = meet.groupBy("sid_x", "sid_y").agg(F.count("*").alias("shared"), F.first(least).alias("least")).where("shared >= least")
-    pairs = written(shared.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")))
-    if pairs.isEmpty():
-        return edges
-    return written(edges.unionByName(verified(pairs, docs, key, text, classes)))
+    rows = members.join(open_, "sid")
+    own = None
+
+    def narrowed(rows: DataFrame) -> DataFrame:
+        """Rows of buckets with two components and a partner of fitting size, of sets that still have enough of them."""
+        here = rows.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+        each = here.groupBy("sig").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.min("n").alias("least"))
+        # a partner has `least` shingles or more; the two share at most n - own
+        can = (100 + PERCENT) * (F.col("n") - F.col("own")) >= PERCENT * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * PERCENT / 100)))
+        here = here.join(each.where("first <> last").select("sig", "least"), "sig").where(can).drop("least")
+        enough = here.groupBy("sid").agg(F.count("*").alias("c"), F.first("n").alias("n")).where(F.col("c") >= _fewest(F.col("n"))).select("sid", "c")
+        return shelf.put(here.drop("c").join(enough, "sid"))
+
+    rows = narrowed(rows.withColumn("own", F.lit(0).cast("long"))).drop("label", "c")
+    if rows.isEmpty():
+        return labels
+    own = own_shingles(rows.select("sid").distinct(), arrays)
+    rows = rows.drop("own").join(shelf.put(own), "sid", "left").fillna(0, ["own"])
+    possible = lambda n, own_, m, own_m: (100 + PERCENT) * F.least(n - own_, m - own_m) >= PERCENT * (n + m)
+    for _ in range(STARS):
+        rows = narrowed(rows)
+        if rows.isEmpty():
+            return labels
+        hub = rows.groupBy("sig").agg(F.min(F.struct("own", F.xxhash64("sid"), "sid", "n", "label")).alias("hub"))
+        near = rows.join(hub, "sig").where(F.col("label") != F.col("hub.label")).where(possible(F.col("n"), F.col("own"), F.col("hub.n"), F.col("hub.own")))
+        pairs = near.select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b")).distinct()
+        labels = more_links(pairs, labels, arrays, shelf)
+        rows = rows.drop("label", "c")
+    rows = narrowed(rows)
+    x, y = (rows.select("sig", *[F.col(c).alias(f"{c}_{z}") for c in ("sid", "n", "own", "label", "c")]) for z in "xy")
+    least = _least_shared(F.col("n_x"), F.col("n_y"))
+    can = possible(F.col("n_x"), F.col("own_x"), F.col("n_y"), F.col("own_y"))
+    meet = x.join(y, "sig").where((F.col("sid_x") < F.col("sid_y")) & (F.col("label_x") != F.col("label_y")) & can & (F.least("c_x", "c_y") >= least))
+    shared = meet.groupBy(F.col("sid_x").alias("a"), F.col("sid_y").alias("b")).agg(F.count("*").alias("shared"), F.first(least).alias("least"))
+    return more_links(shared.where("shared >= least"), labels, arrays, shelf)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,10 +9,9 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
-from boxloom.llm import bpe, chat, components, decontamination, jaccard_join, pii, quality, sharding, suffix_dedup, token_count, url_filter
+from boxloom.llm import bpe, chat, components, decontamination, jaccard_join, pii, quality, sharding, shingling, suffix_dedup, token_count, url_filter
 from boxloom.llm.common import bitmap, let, may_hold, without
 
 RND = random.Random(7)
@@ -171,54 +170,75 @@ def test_jaccard_join(spark):
     assert jaccard_join.jaccard_join(empty(docs)).count() == 0
 
 
-def shingled(text):
-    return jaccard_join.shingles(np.array([xxhash.xxh64_intdigest(w, seed=42) for w in text.split()], np.uint64))
+def as_sets(texts):
+    """(shingles, sizes) of texts, as workers make them."""
+    raw = [t.encode() for t in texts]
+    return shingling.shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(r) for r in raw]))
 
 
-def contents(s, band):
-    """Part: the shingles in it."""
-    by = collections.defaultdict(set)
-    for part, x in zip(jaccard_join.parts_of(s, band, 0), s):
-        by[int(part)].add(int(x))
-    return by
+@pytest.mark.parametrize("small, large", [(9, 12), (33, 44), (45, 60), (60, 80), (75, 100), (240, 320), (900, 1200), (50, 50), (400, 400)])
+def test_linked_sets_share_enough_signatures(small, large):
+    rnd, least = np.random.default_rng(small), []
+    for _ in range(200):
+        common = -(-3 * (small + large) // 7)  # as unlike as a link allows
+        x = np.unique(rnd.integers(0, 2**63, small + large - common).astype(np.uint64))
+        rnd.shuffle(x)
+        a, b = np.sort(x[:small]), np.sort(np.concatenate([x[:common], x[small:]]))
+        given = []
+        for s in (a, b):
+            given.append(set(jaccard_join.signatures(s, np.array([len(s)]))[0].tolist()))
+        assert len(given[0] & given[1]) >= max(1, jaccard_join.least_shared(len(a), len(b)))
+        least.append(len(given[0] & given[1]))
+    assert min(least) >= 1
 
 
-def contained_pair(small, large, rnd):
-    """Texts of two linked sets, and of a third for each part they share: it has that part too, and leads its bucket.
+def test_the_least_over_partners_is_a_bound(spark):
+    rows = spark.range(1, 1500).select("id", jaccard_join._fewest(F.col("id")).alias("f")).collect()
+    for r in rows:
+        assert r.f <= max(1, min(jaccard_join.least_shared(r.id, m) for m in range(-(-r.id * 3 // 4), r.id * 4 // 3 + 1)))
+
 
-    The two share fewer parts than the smaller one would with a linked set that is not larger.
-    """
-    band, fresh = jaccard_join.band_of(small), lambda n: [f"w{rnd.getrandbits(60)}" for _ in range(n)]
-    while True:
+@pytest.mark.parametrize("small, large", [(33, 44), (45, 60), (150, 200)])
+def test_jaccard_join_finds_contained_sets_in_large_buckets(spark, small, large):
+    rnd = random.Random(small)
+    fresh = lambda n: [f"w{rnd.getrandbits(60)}" for _ in range(n)]
+    texts = []
+    for _ in range(6):
         w = fresh(large + 4)
-        y, x = shingled(" ".join(w[: small + 4])), shingled(" ".join(w))
-        in_y, in_x = contents(y, band), contents(x, band)
-        common = [p for p in in_y if in_y[p] == in_x[p]]
-        ids = min(jaccard_join.set_id(x), jaccard_join.set_id(y))
-        if len(common) < len(in_y) - jaccard_join.most_different(small) and ids > 0 and len(in_x) > jaccard_join.most_different(large) and len(in_y) > jaccard_join.most_different(small):
-            break
-    texts = [" ".join(w[: small + 4]), " ".join(w)]
-    place = {int(shingled(" ".join(w[i : i + 5]))[0]): i for i in range(small)}
-    for p in common:
-        while True:
-            runs = [[*w[place[v] : place[v] + 5], *fresh(1)] for v in in_y[p]]
-            words = [v for run in runs for v in run]
-            text = " ".join(words + fresh(small + 4 - len(words)))
-            z = shingled(text)
-            if jaccard_join.band_of(len(z)) == band and contents(z, band)[p] == in_y[p] and jaccard_join.set_id(z) < ids:
-                break
-        texts.append(text)
-    return texts
-
-
-@pytest.mark.parametrize("small, large", [(33, 44), (45, 60)])
-def test_jaccard_join_keeps_the_smaller_end_of_a_link(spark, small, large):
-    texts = contained_pair(small, large, random.Random(small))
+        texts += [" ".join(w), " ".join(w[: small + 4]), " ".join(w[large - small :])]
+        for _ in range(8):  # these share passages with the pair, but do not link
+            at = rnd.randrange(large - large // 2)
+            texts.append(" ".join(w[at : at + large // 2] + fresh(large // 2)))
     want = brute_classes(texts)
-    assert want[1][2] == 0
     assert sorted(map(tuple, jaccard_join.jaccard_join(frame(spark, texts), bucket=2).collect())) == want
 
 
+def test_hot_signatures_of_one_task_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT", 3)
+    common = " ".join(f"c{i}" for i in range(40))
+    texts = [common + " " + " ".join(f"x{k}y{i}" for i in range(k % 25)) for k in range(80)] * 2
+    want = brute_classes(texts)
+    docs = frame(spark, texts).coalesce(1)
+    assert sorted(map(tuple, jaccard_join.jaccard_join(docs, bucket=2).collect())) == want
+
+
+def test_blocks_round_trip():
+    rnd = np.random.default_rng(1)
+    for n, names in ((1, 1), (1000, 7), (200_000, 70_000)):
+        sig, sid = rnd.integers(0, 2**63, n).astype(np.uint64), rnd.integers(-(2**62), 2**62, names)[rnd.integers(0, names, n)]
+        back = jaccard_join.unpacked(jaccard_join.packed(sig, sid))
+        assert (back[0] == sig >> np.uint64(16)).all() and (back[1] == sid).all()
+
+
+def test_shingles_of_odd_texts():
+    texts = [t or "" for t in ODD] + ["a b c d", "A B c d", "a b c d e", "x" * 60 + " y", "x" * 59 + "y y"]
+    s, size = as_sets(texts)
+    begin = np.cumsum(size) - size
+    assert size.tolist() == [n for _, n, _ in brute_classes(texts)]
+    of = lambda i: s[begin[i] : begin[i] + size[i]].tolist()
+    assert of(-5) == of(-4) and of(-2) != of(-1) and of(-3) != of(-5)
+
+
 def test_jaccard_join_links_through_a_row_without_key(spark):
     w = [f"k{i}" for i in range(104)]
     head, tail = [f"a{i}" for i in range(12)] + w[12:], w[:-12] + [f"c{i}" for i in range(12)]
@@ -227,13 +247,6 @@ def test_jaccard_join_links_through_a_row_without_key(spark):
     assert got == [(1, 100, 1), (2, 100, 1), (None, 1, None), (None, 100, 1)]
 
 
-def test_every_set_fills_enough_parts():
-    for n in (33, 64, 200, 1500):
-        s = np.unique(np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64))
-        salt, parts = jaccard_join.filled(s)
-        assert parts > jaccard_join.most_different(n)
-
-
 def test_suffix_dedup(spark):
     x = "the quick brown fox jumps over the lazy dog and runs away é " * 3
     parts = ["".join(RND.choice("abc ") for _ in range(RND.randint(30, 90))) for _ in range(12)]
