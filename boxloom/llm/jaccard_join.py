@@ -19,9 +19,11 @@ counted over all signatures, and pairs with enough of them are verified, first t
 then those that still join two components, a quarter of the hash domain first.
 
 Larger buckets are settled by their members: what has enough signatures in buckets of mixed components
-stays, unless so many of its shingles occur in no other such set that it cannot link. Stars around the
-member with the fewest shingles of its own join most of them; of the rest, pairs of different components
-that can link by these numbers are formed and verified. A signature that is hot within one task sends on
+stays, unless so few of its shingles occur in sets of other components that it cannot link to one. Stars
+around the members with the most such shingles join most of them. What is left goes by its rarest shingles:
+of two sets that must have k in common, the first n - k + 1 in any common order meet, and in the order of
+frequency among these sets they are hardly ever those that make the buckets large. Pairs of different
+components that meet there are verified. A signature that is hot within one task sends on
 ``bucket`` + 1 members, which show that it is large, and the others as members only, dealt out evenly.
 
 Defined results: null, empty and blank texts have an empty set, link with nothing and are their own
@@ -37,7 +39,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boxloom.llm.common import Shelf, shuffle_partitions, table
@@ -48,8 +50,8 @@ PERCENT = 75
 SMALL = 40
 SLACK = 60
 BUCKET = 12
-#: Stars in large buckets before their remaining pairs are formed.
-STARS = 2
+#: Rounds of stars in large buckets before their remaining pairs are formed, and the share of buckets that each uses.
+STARS, STAR_SHARE = 2, 8
 #: Signatures that a worker gathers before it sends them on, and members of one signature in these that count as many.
 FLUSH = 2_000_000
 HOT = 64
@@ -185,6 +187,14 @@ def set_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     return _raw(docs, text, F.col(key).alias("key")).mapInArrow(run, f"key {kind}, n long, sid long")
 
 
+def by_part(sig: np.ndarray, parts: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """(order, [(part, from, to)]): numbers dealt out over ``parts`` by their lowest bits."""
+    part = (((sig & np.uint64(0xFFFFFF)) * np.uint64(parts)) >> np.uint64(24)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+    return order, [(p, a, b) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+
+
 def packed(sig: np.ndarray, sid: np.ndarray) -> bytes:
     """Rows (48 bits of a signature, set) as bytes; each set is written once."""
     names, at = np.unique(sid, return_inverse=True)
@@ -219,17 +229,16 @@ def signature_blocks(docs: DataFrame, text: str, bucket: int, parts: int) -> Dat
             begin = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             count = np.diff(np.append(begin, len(sig)))
             rest = (np.arange(len(sig)) - np.repeat(begin, count) > bucket) & np.repeat(count > HOT, count)
-            part = (((sig & np.uint64(0xFFFFFF)) * np.uint64(parts)) >> np.uint64(24)).astype(np.int64)
             rows = []
             if rest.any():
-                rows.append((int(sid[0] + turn) % parts, True, packed(sig[rest], sid[rest]), part[rest]))
-            sig, sid, part = sig[~rest], sid[~rest], part[~rest]
-            order = np.argsort(part, kind="stable")
-            sig, sid, part = sig[order], sid[order], part[order]
-            cuts = np.searchsorted(part, np.arange(parts + 1))
-            rows += [(p, False, packed(sig[a:b], sid[a:b]), None) for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a]
+                owner = (((sig[rest] & np.uint64(0xFFFFFF)) * np.uint64(parts)) >> np.uint64(24)).astype(np.int32)
+                rows.append((int(sid[0] + turn) % parts, True, packed(sig[rest], sid[rest]), owner.tobytes()))
+            sig, sid = sig[~rest], sid[~rest]
+            order, cuts = by_part(sig, parts)
+            sig, sid = sig[order], sid[order]
+            rows += [(p, False, packed(sig[a:b], sid[a:b]), None) for p, a, b in cuts]
             return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.binary()), pa.array([None if r[3] is None else r[3].astype(np.int32).tobytes() for r in rows], pa.binary())],
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary())],
                 ["part", "open", "block", "owners"],
             )
 
@@ -468,61 +477,139 @@ def more_links(pairs: DataFrame, labels: DataFrame, arrays: DataFrame, shelf: Sh
     return shelf.put(merged(labels, links(apart, arrays, shelf)))
 
 
-def own_shingles(sids: DataFrame, arrays: DataFrame) -> DataFrame:
-    """(sid, own): how many shingles of each of the sets ``sids`` (sid) no other of them has."""
+def dealt_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame:
+    """(block, labels): the shingles of ``sets`` (sid, label) as packed blocks in the part that owns them.
+
+    They are told apart by 48 bits and their part, which may make two look equal, but never makes equal ones differ.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        label: dict[int, int] = {}  # of the sets that are held
+        size = 0
+
+        def emit() -> pa.RecordBatch:
+            s, of = (np.concatenate([x[k] for x in held]) for k in range(2))
+            order, cuts = by_part(s, parts)
+            s, of = s[order], of[order]
+            rows = []
+            for p, a, b in cuts:
+                rows.append((p, packed(s[a:b], of[a:b]), np.array([label[k] for k in np.unique(of[a:b]).tolist()], np.int64).tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["part", "block", "labels"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for sid, low, high in zip(*(batch.column(c).to_pylist() for c in ("sid", "low", "high"))):
-                s = np.frombuffer(low + high, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), sid)), pa.array(s)], ["sid", "s"])
+            for sid, lab, low, high in zip(*(batch.column(c).to_pylist() for c in ("sid", "label", "low", "high"))):
+                s = np.frombuffer(low + high, np.uint64)
+                held.append((s, np.full(len(s), sid)))
+                label[sid] = lab
+                size += len(s)
+                if size >= FLUSH:
+                    yield emit()
+                    held, size = [], 0
+                    label.clear()
+        if held:
+            yield emit()
+
+    each = arrays.join(sets, "sid").select("sid", "label", "low", "high")
+    return each.mapInArrow(deal, "part int, block binary, labels binary").repartitionById(parts, "part")
 
-    each = arrays.join(sids, "sid", "left_semi").select("sid", "low", "high").mapInArrow(run, "sid long, s long")
-    alone = each.groupBy("s").agg(F.count("*").alias("c"), F.min("sid").alias("sid")).where("c = 1")
-    return alone.groupBy("sid").agg(F.count("*").alias("own"))
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """(shingle, set, begin of the run of each shingle, whether a run has several labels) of a part; None if it is empty."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    part = 0
+    for batch in batches:
+        for part, block, labels in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "labels"))):
+            s, sid = unpacked(block)
+            held.append((mix(s + np.uint64(part * int(GOLD) % 2**64)), sid, np.frombuffer(labels, np.int64)[np.searchsorted(np.unique(sid), sid)]))
+    if not held:
+        return None
+    s, sid, label = (np.concatenate([x[k] for x in held]) for k in range(3))
+    order = np.argsort(s)
+    s, sid, label = s[order], sid[order], label[order]
+    begin = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+    return s, sid, begin, np.minimum.reduceat(label, begin) != np.maximum.reduceat(label, begin)
+
+
+def shared_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame:
+    """(sid, shared): how many shingles of each of ``sets`` (sid, label) one of them with another label has too, at most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (found := _gathered(batches)) is not None:
+            s, sid, begin, across = found
+            names, n = np.unique(sid[np.repeat(across, np.diff(np.append(begin, len(s))))], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n)], ["sid", "n"])
+
+    return dealt_shingles(sets, arrays, parts).mapInArrow(count, "sid long, n long").groupBy("sid").agg(F.sum("n").alias("shared"))
+
+
+def rarest_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame:
+    """(sid, s, place, across): the shingles of each of ``sets`` (sid, label) from the rarest among them on, place from 1."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (found := _gathered(batches)) is not None:
+            s, sid, begin, across = found
+            count = np.diff(np.append(begin, len(s)))
+            for k in range(0, len(s), 100_000):
+                at = slice(k, k + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(sid[at]), pa.array(s.view(np.int64)[at]), pa.array(np.repeat(count, count)[at]), pa.array(np.repeat(across, count)[at])], ["sid", "s", "n", "across"])
+
+    rows = dealt_shingles(sets, arrays, parts).mapInArrow(each, "sid long, s long, n long, across boolean")
+    return rows.select("sid", "s", "across", F.row_number().over(Window.partitionBy("sid").orderBy("n", "s")).alias("place"))
 
 
 def settle(members: DataFrame, open_: DataFrame, labels: DataFrame, arrays: DataFrame, shelf: Shelf) -> DataFrame:
     """``labels`` after the links between ``members`` (sid, sig) of large buckets that small buckets did not show.
 
     Such a link joins two components, and its sets share ``least_shared`` signatures of large buckets; sets of
-    ``open_`` (sid, n) have that many. What its sets share lies in shingles that several open sets have.
+    ``open_`` (sid, n) have that many. What the two have in common lies in shingles that open sets of other
+    components have.
     """
-    rows = members.join(open_, "sid")
-    own = None
+    parts = shuffle_partitions(shelf.spark)
+
+    def possible(shared: Column, n: Column, m: Column) -> Column:
+        """Whether sets of ``n`` and ``m`` that have at most ``shared`` in common may link."""
+        return (100 + PERCENT) * shared >= PERCENT * (n + m)
 
     def narrowed(rows: DataFrame) -> DataFrame:
         """Rows of buckets with two components and a partner of fitting size, of sets that still have enough of them."""
         here = rows.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
         each = here.groupBy("sig").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.min("n").alias("least"))
-        # a partner has `least` shingles or more; the two share at most n - own
-        can = (100 + PERCENT) * (F.col("n") - F.col("own")) >= PERCENT * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * PERCENT / 100)))
-        here = here.join(each.where("first <> last").select("sig", "least"), "sig").where(can).drop("least")
+        partner = F.greatest("least", F.ceil(F.col("n") * PERCENT / 100))
+        here = here.join(each.where("first <> last").select("sig", "least"), "sig").where(possible(F.col("shared"), F.col("n"), partner))
         enough = here.groupBy("sid").agg(F.count("*").alias("c"), F.first("n").alias("n")).where(F.col("c") >= _fewest(F.col("n"))).select("sid", "c")
-        return shelf.put(here.drop("c").join(enough, "sid"))
+        return shelf.put(here.join(enough, "sid"))
 
-    rows = narrowed(rows.withColumn("own", F.lit(0).cast("long"))).drop("label", "c")
-    if rows.isEmpty():
-        return labels
-    own = own_shingles(rows.select("sid").distinct(), arrays)
-    rows = rows.drop("own").join(shelf.put(own), "sid", "left").fillna(0, ["own"])
-    possible = lambda n, own_, m, own_m: (100 + PERCENT) * F.least(n - own_, m - own_m) >= PERCENT * (n + m)
-    for _ in range(STARS):
+    rows = members.join(open_, "sid").withColumn("shared", F.col("n"))
+    for turn in range(STARS + 1):
         rows = narrowed(rows)
         if rows.isEmpty():
             return labels
-        hub = rows.groupBy("sig").agg(F.min(F.struct("own", F.xxhash64("sid"), "sid", "n", "label")).alias("hub"))
-        near = rows.join(hub, "sig").where(F.col("label") != F.col("hub.label")).where(possible(F.col("n"), F.col("own"), F.col("hub.n"), F.col("hub.own")))
-        pairs = near.select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b")).distinct()
-        labels = more_links(pairs, labels, arrays, shelf)
-        rows = rows.drop("label", "c")
-    rows = narrowed(rows)
-    x, y = (rows.select("sig", *[F.col(c).alias(f"{c}_{z}") for c in ("sid", "n", "own", "label", "c")]) for z in "xy")
-    least = _least_shared(F.col("n_x"), F.col("n_y"))
-    can = possible(F.col("n_x"), F.col("own_x"), F.col("n_y"), F.col("own_y"))
-    meet = x.join(y, "sig").where((F.col("sid_x") < F.col("sid_y")) & (F.col("label_x") != F.col("label_y")) & can & (F.least("c_x", "c_y") >= least))
-    shared = meet.groupBy(F.col("sid_x").alias("a"), F.col("sid_y").alias("b")).agg(F.count("*").alias("shared"), F.first(least).alias("least"))
-    return more_links(shared.where("shared >= least"), labels, arrays, shelf)
+        shared = shelf.put(shared_shingles(rows.select("sid", "label").distinct(), arrays, parts))
+        rows = narrowed(rows.select("sid", "sig", "n").join(shared, "sid"))
+        if rows.isEmpty():
+            return labels
+        if turn == STARS:
+            break
+        # stars only save work, so some buckets suffice
+        some = rows.where(F.pmod(F.xxhash64(F.lit(turn), "sig"), F.lit(STAR_SHARE)) == 0)
+        hub = some.groupBy("sig").agg(F.min(F.struct((F.col("n") - F.col("shared")).alias("own"), F.xxhash64("sid"), "sid", "n", "label", "shared")).alias("hub"))
+        near = some.join(hub, "sig").where(F.col("label") != F.col("hub.label")).where(possible(F.least("shared", "hub.shared"), F.col("n"), F.col("hub.n")))
+        labels = more_links(near.select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b")).distinct(), labels, arrays, shelf)
+        rows = rows.select("sid", "sig", "n", "shared")
+    # of a pair, x has the larger set; it has `least` in common with a partner, y has 6/7 of its own shingles
+    sets = rows.groupBy("sid", "label", "n", "shared").agg(F.min("least").alias("least"))
+    sets = shelf.put(sets.withColumn("least", F.greatest("least", F.ceil(F.col("n") * PERCENT / 100))))
+    must = lambda n, m: F.ceil((n + m) * PERCENT / (100 + PERCENT))
+    first = rarest_shingles(sets.select("sid", "label"), arrays, parts).where("across").join(sets, "sid")
+    first = shelf.put(first.where(F.col("place") <= F.col("n") - must(F.col("n"), F.col("least")) + 1).select("sid", "s", "place", "label", "n", "shared"))
+    x, y = (first.select("s", *[F.col(c).alias(f"{c}_{z}") for c in ("sid", "n", "shared", "label", "place")]) for z in "xy")
+    y = y.where(F.col("place_y") <= F.col("n_y") - must(F.col("n_y"), F.col("n_y")) + 1)
+    need = must(F.col("n_x"), F.col("n_y"))
+    larger = (F.col("n_x") > F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("sid_x") > F.col("sid_y")))
+    can = (F.least("shared_x", "shared_y") >= need) & (F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y")) + 1 >= need)
+    meet = x.join(y, "s").where((F.col("label_x") != F.col("label_y")) & larger & (100 * F.col("n_y") >= PERCENT * F.col("n_x")) & can)
+    return more_links(meet.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")).distinct(), labels, arrays, shelf)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

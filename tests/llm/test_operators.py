@@ -351,11 +351,14 @@ def test_decontamination_of_scripts_without_spaces(spark):
     assert got == {(0, 0), (1, 1), (2, 2)}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [0, components.SMALL_GRAPH])
+def test_components(spark, small):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 102), (7, 7)], "a long, b long")
-    got = {r.node: r.label for r in components.components(edges).collect()}
+    got = {r.node: r.label for r in components.components(edges, small=small).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
-    assert components.components(empty(edges)).count() == 0
+    assert components.components(empty(edges), small=small).count() == 0
+    more = components.merged(components.components(edges, small=small), spark.createDataFrame([(102, 40), (500, 501)], "a long, b long"))
+    assert {r.node: r.label for r in more.collect()} == {i: 0 for i in [*range(41), 100, 101, 102]} | {500: 500, 501: 500}
 
 
 def test_components_are_never_partial(spark):
