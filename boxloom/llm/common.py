@@ -108,10 +108,9 @@ def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     Rows that a bitmap of fixed size shows to be absent stay where they are; only the others, those to go
     and a few more, are shuffled to an exact anti-join.
     """
-    names = [f"`{c}`" for c in docs.columns]
-    flag = "held_by_map"
-    marked = docs.select("*", bitmap(gone, key, WITHOUT_BITS).scalar().alias("map_of_gone"))
-    marked = marked.select(*names, F.coalesce(let(F.col("map_of_gone"), lambda m: may_hold(m, F.col(key))), F.lit(False)).alias(flag))
-    keep = marked.where(~F.col(flag) | F.col(key).isNull()).select(*names)
-    look = marked.where(F.col(flag) & F.col(key).isNotNull()).select(*names)
-    return keep.unionByName(look.join(gone, key, "left_anti").select(*names))
+    # all columns of the documents travel as one, so that none can clash with those that are needed here
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(key).alias("key"), bitmap(gone, key, WITHOUT_BITS).scalar().alias("map"))
+    marked = marked.select("doc", "key", F.coalesce(let(F.col("map"), lambda m: may_hold(m, F.col("key"))), F.lit(False)).alias("held"))
+    keep = marked.where("NOT held OR key IS NULL").select("doc.*")
+    look = marked.where("held AND key IS NOT NULL").select("doc", "key")
+    return keep.unionByName(look.join(gone.select(F.col(key).alias("key")), "key", "left_anti").select("doc.*"))

@@ -2,26 +2,29 @@
 
 A byte is removed if a LENGTH-byte string that covers it also starts in a document with a smaller id.
 
-Whole copies of a text of a smaller document lose every byte and are left out of what follows; only the
-least document of each text remains. Every LENGTH-byte window has an anchor, the place in it with the least hash of GRAM bytes. Equal windows
-have equal anchors, so only windows whose anchor gram occurs in two documents can repeat, and windows need
-to meet only those with the same anchor gram. Anchor grams (about one byte in sixteen) are aggregated to
-their least and greatest document; those in several documents mark a bitmap of fixed size. A second pass
-sends the fragments around anchors that pass the bitmap to the tasks that own their gram, sorted by
-document. Each task feeds them batch by batch to its index family: a batch gets a suffix array (prefix
-doubling, limited to LENGTH bytes), is merge-scanned against the sorted suffixes of all existing levels,
-and becomes a new level; levels of like size merge, so a suffix is merged O(log n) times. A fragment that
-the family has as a whole from a smaller document is answered by a memo (128-bit digests). What the bitmap
-lets through by chance costs time only: matches are always compared on all LENGTH bytes.
+Whole copies of a text of a smaller document (equal in two independent 64-bit hashes) lose every byte and
+are left out of what follows; only the least document of each text remains. Every LENGTH-byte window has an
+anchor, the place in it with the least hash of GRAM bytes. Equal windows have equal anchors, so only
+windows whose anchor gram occurs in two documents can repeat, and windows need to meet only those with the
+same anchor gram. Anchor grams (about one byte in sixteen) are aggregated to their least and greatest
+document; those in several documents mark a bitmap, sized by their number up to MAX_GRAM_BITS. A second
+pass sends the fragments around anchors that pass the bitmap to the tasks that own their gram. A fragment
+that the same task has sent before from a smaller document (128-bit digests) is answered on the spot, so a
+passage that many documents share sends few rows to its owner. There, fragments are sorted by a slice of
+their grams and by document, and feed batch by batch an index family, one for each slice: a batch gets a
+suffix array (prefix doubling, limited to LENGTH bytes), is merge-scanned against the sorted suffixes of
+all existing levels, and becomes a new level; levels of like size merge, so a suffix is merged O(log n)
+times. Fragments that the family has as a whole from a smaller document are answered by digest as well.
+What the bitmap lets through by chance costs time only.
 
 Defined results: null and empty texts, and texts of under LENGTH bytes, lose nothing; rows with a null key
-neither lose nor remove anything; rows with equal keys do not remove from each other; other columns are
-ignored.
+neither lose nor remove anything; rows with equal keys do not remove from each other; the key is a whole
+number (anything else is cast to one, and counts as null where that fails); very long texts are worked on in
+overlapping pieces; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,18 +33,23 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import bitmap, let, may_hold, table, written
+from boxloom.llm.common import Shelf, bitmap, let, may_hold, table
+from boxloom.llm.shingling import chunks
 
 LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1
-#: Bytes of text that a worker hashes at once (a longer text is a chunk of its own).
-CHUNK = 4_000_000
-#: Bits of the map of repeated grams, and of the map of documents that lose something.
-GRAM_BITS = 1 << 26
+#: Bytes of text that a worker hashes at once.
+CHUNK = 400_000
+#: Bits of the map of repeated grams: GRAM_LOAD for each, within these bounds; and of the map of documents that lose something.
+MIN_GRAM_BITS, MAX_GRAM_BITS, GRAM_LOAD = 1 << 20, 1 << 28, 16
 DOC_BITS = 1 << 22
 #: Window starts in one batch of the index family.
-BATCH = 300_000
+BATCH = 100_000
+#: Slices of a task's grams that have an index family of their own, one after the other.
+SLICES = 16
+#: Fragments whose digests a worker remembers.
+REMEMBERED = 200_000
 
 
 def _slide(x: np.ndarray, width: int, least: bool) -> np.ndarray:
@@ -89,16 +97,18 @@ def anchors(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return places, h, low
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows, bytes, ends) of parts of a batch with a column ``raw`` of binaries."""
-    col = batch.column("raw")
-    offsets = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
-    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)
-    row = 0
-    while row < len(col):
-        end = min(len(col), max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK, "right")) - 1))
-        yield np.arange(row, end), data[offsets[row] : offsets[end]], offsets[row + 1 : end + 1] - offsets[row]
-        row = end
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(rows, bytes, ends, place in the text) of parts of a batch with a column ``raw`` of binaries.
+
+    Texts longer than a chunk come in pieces that overlap by LENGTH - 1 bytes: each window lies in one of them.
+    """
+    for a, b, data, ends in chunks(batch.column("raw"), CHUNK):
+        if b - a > 1 or len(data) <= CHUNK:
+            yield np.arange(a, b), data, ends, 0
+            continue
+        for at in range(0, len(data) - LENGTH + 1, CHUNK):
+            piece = data[at : at + CHUNK + LENGTH - 1]
+            yield np.array([a]), piece, np.array([len(piece)]), at
 
 
 def gram_table(docs: DataFrame) -> DataFrame:
@@ -107,7 +117,7 @@ def gram_table(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            for rows, raw, ends in _chunks(batch):
+            for rows, raw, ends, _ in _chunks(batch):
                 at, h, _ = anchors(raw, ends)
                 yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(keys[rows[np.searchsorted(ends, at, "right")]])], ["h", "key"])
 
@@ -115,15 +125,19 @@ def gram_table(docs: DataFrame) -> DataFrame:
 
 
 def fragment_table(docs: DataFrame, held) -> DataFrame:
-    """(h, key, th, at, bytes): what lies around anchors whose gram the broadcast bitmap ``held`` may hold."""
+    """(h, key, th, at, stop, bytes): what lies around anchors whose gram the broadcast bitmap ``held`` may hold.
+
+    Rows without bytes are ranges that are known to repeat already; their h only deals them out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
+        least: dict[bytes, int] = {}  # of fragments that were sent on: their least document
         for batch in batches:
             keys, hashes = batch.column("key").to_numpy(), batch.column("th").to_numpy()
-            for rows, raw, ends in _chunks(batch):
+            for rows, raw, ends, shift in _chunks(batch):
                 at, h, low = anchors(raw, ends)
-                place = bit_of(h[at])
+                place = bit_of(h[at], len(bits) * 64)
                 at = at[(bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1]
                 if not len(at):
                     continue
@@ -134,23 +148,38 @@ def fragment_table(docs: DataFrame, held) -> DataFrame:
                 begin = at - SPAN + 1 + mine.argmax(1)
                 stop = at - mine[:, ::-1].argmax(1) + LENGTH
                 doc = np.searchsorted(ends, at, "right")
+                key = keys[rows[doc]]
                 text = raw.tobytes()
+                pieces: list[bytes | None] = [text[a:b] for a, b in zip(begin.tolist(), stop.tolist())]
+                of = key.tolist()
+                for i in np.argsort(key, kind="stable").tolist():
+                    name = xxhash.xxh3_128_digest(pieces[i])
+                    if least.get(name, of[i]) < of[i]:
+                        pieces[i] = None
+                    else:
+                        least[name] = of[i]
+                if len(least) > REMEMBERED:
+                    least.clear()
+                base = np.concatenate([[0], ends])[doc] - shift
+                known = np.array([x is None for x in pieces])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(h[at].view(np.int64)),
-                        pa.array(keys[rows[doc]]),
+                        pa.array(np.where(known, key, h[at].view(np.int64))),
+                        pa.array(key),
                         pa.array(hashes[rows[doc]]),
-                        pa.array(begin - np.concatenate([[0], ends])[doc]),
-                        pa.array([text[a:b] for a, b in zip(begin.tolist(), stop.tolist())], pa.binary()),
+                        pa.array(begin - base),
+                        pa.array(stop - base),
+                        pa.array(pieces, pa.binary()),
                     ],
-                    ["h", "key", "th", "at", "bytes"],
+                    ["h", "key", "th", "at", "stop", "bytes"],
                 )
 
-    return docs.select("key", "th", "raw").mapInArrow(run, "h long, key long, th long, at long, bytes binary")
+    return docs.select("key", "th", "raw").mapInArrow(run, "h long, key long, th long, at long, stop long, bytes binary")
 
 
-def bit_of(h: np.ndarray) -> np.ndarray:
-    return (h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - GRAM_BITS.bit_length() + 1)
+def bit_of(h: np.ndarray, bits: int) -> np.ndarray:
+    """The bit of a gram in a map of ``bits`` (a power of two)."""
+    return (h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits.bit_length() + 1)
 
 
 class Level:
@@ -227,10 +256,10 @@ class Family:
 
 def repeated_spans(fragments: DataFrame) -> DataFrame:
     """(key, th, start, stop): byte ranges that occur in documents with smaller keys."""
-    dealt = fragments.repartition("h").sortWithinPartitions("key", "th", "at")
+    dealt = fragments.repartition("h").withColumn("slice", F.pmod(F.xxhash64(F.lit(3), "h"), F.lit(SLICES)).cast("int")).sortWithinPartitions("slice", "key", "th", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = Family()
+        family, slice_ = Family(), -1
         memo: dict[bytes, int] = {}  # whole fragments that the family has, with their least document
 
         def answer(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch | None:
@@ -255,26 +284,33 @@ def repeated_spans(fragments: DataFrame) -> DataFrame:
             new: list[tuple[int, int, int, bytes]] = []
             windows = 0
             known: list[tuple[int, int, int, int]] = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "th", "at", "bytes"))):
-                name = xxhash.xxh3_128_digest(row[3])
-                if memo.setdefault(name, row[0]) < row[0]:  # all its windows start in that document
-                    known.append((*row[:3], row[2] + len(row[3])))
+            for now, *row, stop, piece in zip(*(batch.column(c).to_pylist() for c in ("slice", "key", "th", "at", "stop", "bytes"))):
+                if piece is None:
+                    known.append((*row, stop))
                     continue
-                new.append(row)
-                windows += len(row[3]) - LENGTH + 1
-                if windows >= BATCH:
-                    out = answer(new)
+                if now != slice_ or windows >= BATCH:
+                    out = answer(new) if new else None
                     new, windows = [], 0
                     if out is not None:
                         yield out
+                    if now != slice_:  # grams of another slice have nothing in common with these
+                        family, slice_ = Family(), now
+                        memo.clear()
+                if memo.setdefault(xxhash.xxh3_128_digest(piece), row[0]) < row[0]:  # all its windows start in that document
+                    known.append((*row, stop))
+                    continue
+                new.append((*row, piece))
+                windows += len(piece) - LENGTH + 1
             if new:
                 out = answer(new)
                 if out is not None:
                     yield out
+            if len(memo) > REMEMBERED:
+                memo.clear()
             if known:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*known)], ["key", "th", "start", "stop"])
 
-    return dealt.select("key", "th", "at", "bytes").mapInArrow(run, "key long, th long, start long, stop long")
+    return dealt.select("slice", "key", "th", "at", "stop", "bytes").mapInArrow(run, "key long, th long, start long, stop long")
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -288,28 +324,31 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _hashed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, raw and two independent hashes of the text; rows without a key or with short texts are left out."""
+    rows = docs.select(F.col(key).try_cast("long").alias("key"), F.col(text).cast("binary").alias("raw")).where(f"key IS NOT NULL AND octet_length(raw) >= {LENGTH}")
+    return rows.select("key", F.xxhash64("raw").alias("th"), F.xxhash64(F.lit(7), "raw").alias("th2"), "raw")
+
+
 def copies_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(th, low) of the texts of LENGTH bytes or more that several keys have, with the least of these."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("th"), F.octet_length(text).alias("n")).where(f"key IS NOT NULL AND n >= {LENGTH}")
-    return written(rows.groupBy("th").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("th", "low"))
+    """(th, th2, low) of the texts of LENGTH bytes or more that several keys have, with the least of these."""
+    return _hashed(docs, key, text).groupBy("th", "th2").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("th", "th2", "low")
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, copies: DataFrame, shelf: Shelf, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, th, spans (array of start, stop), kept (binary) of each distinct (key, text) that loses bytes.
 
-    Whole copies of a text of a smaller document are not listed: see ``copies_of``. They lose every byte.
+    Whole copies of a text of a smaller document, see ``copies`` (from ``copies_of``), are not listed: they lose
+    every byte.
     """
-    raw = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("raw")).where(f"key IS NOT NULL AND octet_length(raw) >= {LENGTH}")
-    copies = copies_of(docs, key, text)
     # texts that occur once stay where they are; of the others only the copies in the least document count
-    marked = raw.withColumn("map", bitmap(copies, "th", DOC_BITS).scalar())
-    flagged = marked.select("key", "th", "raw", let(F.col("map"), lambda m: may_hold(m, F.col("th"))).alias("held"))
-    some = written(flagged.where("held").select("key", "th", "raw").join(copies.select("th", "low"), "th", "left").where("low IS NULL OR key = low").select("key", "th", "raw"))
+    marked = _hashed(docs, key, text).withColumn("map", bitmap(copies, "th", DOC_BITS).scalar())
+    flagged = marked.select("key", "th", "th2", "raw", let(F.col("map"), lambda m: may_hold(m, F.col("th"))).alias("held"))
+    some = shelf.put(flagged.where("held").select("key", "th", "th2", "raw").join(copies, ["th", "th2"], "left").where("low IS NULL OR key = low").select("key", "th", "raw"))
     first = flagged.where("NOT held").select("key", "th", "raw").unionByName(some)
-    grams = gram_table(first).groupBy("h").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    bits = _gram_map(grams)
-    spans = repeated_spans(fragment_table(first, docs.sparkSession.sparkContext.broadcast(bits)))
-    per_doc = written(spans.groupBy("key", "th").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
+    grams = shelf.put(gram_table(first).groupBy("h").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("h"))
+    spans = repeated_spans(fragment_table(first, docs.sparkSession.sparkContext.broadcast(_gram_map(grams))))
+    per_doc = shelf.put(spans.groupBy("key", "th").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
     may = first.withColumn("map", bitmap(per_doc, "th", DOC_BITS).scalar())
     near = may.where(let(F.col("map"), lambda m: may_hold(m, F.col("th")))).select("key", "th", "raw")
     hit = near.join(per_doc, ["key", "th"])
@@ -336,11 +375,12 @@ BLOCK_BITS = 1 << 18
 
 
 def _gram_map(grams: DataFrame) -> np.ndarray:
-    """The bitmap of the grams: GRAM_BITS / 8 bytes, whatever their number; the driver gets its blocks."""
+    """The bitmap of the grams, GRAM_LOAD bits for each but MAX_GRAM_BITS at most; the driver gets its blocks."""
+    bits = 1 << max(MIN_GRAM_BITS, min(MAX_GRAM_BITS, GRAM_LOAD * grams.count())).bit_length() - 1
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = bit_of(batch.column("h").to_numpy().view(np.uint64)).astype(np.int64)
+            place = bit_of(batch.column("h").to_numpy().view(np.uint64), bits).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(place // BLOCK_BITS), pa.array(place % BLOCK_BITS)], ["block", "place"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,28 +389,32 @@ def _gram_map(grams: DataFrame) -> np.ndarray:
             of, at = batch.column("block").to_numpy(), batch.column("place").to_numpy()
             for k in np.unique(of).tolist():
                 held.setdefault(k, np.zeros(BLOCK_BITS, bool))[at[of == k]] = True
-        for k, bits in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["block", "bits"])
+        for k, marks in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary())], ["block", "bits"])
 
     dealt = grams.select("h").mapInArrow(places, "block long, place long").repartition("block")
-    out = np.zeros(GRAM_BITS // 64, np.uint64)
-    for row in dealt.mapInArrow(blocks, "block long, bits binary").collect():
+    out = np.zeros(bits // 64, np.uint64)
+    for row in dealt.mapInArrow(blocks, "block long, bits binary").toLocalIterator():
         out[row["block"] * (BLOCK_BITS // 64) : (row["block"] + 1) * (BLOCK_BITS // 64)] |= np.frombuffer(row["bits"], "<u8")
     return out
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_bytes, n_removed, n_spans, kept_sha256 of each row of ``docs``."""
-    lost = dedup(docs, key, text)
+    shelf = Shelf(docs.sparkSession)
+    copies = shelf.put(copies_of(docs, key, text))
+    lost = dedup(docs, copies, shelf, key, text)
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
-    cut_ = lost.select("key", "th", size.alias("removed"), F.size("spans").cast("long").alias("runs"), F.sha2("kept", 256).alias("sha")).dropDuplicates(["key", "th"])
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias(key), F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("th"), F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body.cast("binary"), 256).alias("whole"))
+    cut_ = shelf.put(lost.select("key", "th", size.alias("removed"), F.size("spans").cast("long").alias("runs"), F.sha2("kept", 256).alias("sha")).dropDuplicates(["key", "th"]))
+    shelf.clear(cut_, copies)
+    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    # the hashes are those of _hashed
+    rows = docs.select(F.col(key).alias("given"), F.col(key).try_cast("long").alias("key"), F.xxhash64(raw).alias("th"), F.xxhash64(F.lit(7), raw).alias("th2"), F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("whole"))
     zero = F.lit(0).cast("long")
-    joined = rows.join(cut_, ["key", "th"], "left").join(copies_of(docs, key, text), "th", "left")
+    joined = rows.join(cut_, ["key", "th"], "left").join(copies, ["th", "th2"], "left")
     copy = F.coalesce((F.col("low") < F.col("key")) & (F.col("n_bytes") >= LENGTH), F.lit(False))
     return joined.select(
-        F.col(key),
+        F.col("given").alias(key),
         "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("removed", zero)).alias("n_removed"),
         F.when(copy, F.lit(1).cast("long")).otherwise(F.coalesce("runs", zero)).alias("n_spans"),
