@@ -535,12 +535,25 @@ def shared_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame
     """(sid, shared): how many shingles of each of ``sets`` (sid, label) one of them with another label has too, at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (found := _gathered(batches)) is not None:
-            s, sid, begin, across = found
-            names, n = np.unique(sid[np.repeat(across, np.diff(np.append(begin, len(s))))], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n)], ["sid", "n"])
+        if (found := _gathered(batches)) is None:
+            return
+        s, sid, begin, across = found
+        names, n = np.unique(sid[np.repeat(across, np.diff(np.append(begin, len(s))))], return_counts=True)
+        order, cuts = by_part(mix(names.view(np.uint64)), parts)
+        names, n = names[order], n[order]
+        if cuts:
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _, _ in cuts], pa.int32()), pa.array([names[a:b].tobytes() for _, a, b in cuts], pa.binary()), pa.array([n[a:b].astype(np.int64).tobytes() for _, a, b in cuts], pa.binary())], ["part", "sids", "counts"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)) for batch in batches for a, b in zip(batch.column("sids").to_pylist(), batch.column("counts").to_pylist())]
+        if held:
+            sid, n = (np.concatenate([x[k] for x in held]) for k in range(2))
+            names, at = np.unique(sid, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.bincount(at, n).astype(np.int64))], ["sid", "shared"])
 
-    return dealt_shingles(sets, arrays, parts).mapInArrow(count, "sid long, n long").groupBy("sid").agg(F.sum("n").alias("shared"))
+    # counts of a part travel as blocks too: a row for each set and part would be many more than sets
+    counts = dealt_shingles(sets, arrays, parts).mapInArrow(count, "part int, sids binary, counts binary")
+    return counts.repartitionById(parts, "part").mapInArrow(total, "sid long, shared long")
 
 
 def rarest_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame:
