@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
+    """The folder in ``spark.checkpoint.dir``; a local one only where that is unset and all runs in one process, as in tests."""
     there = spark.conf.get("spark.checkpoint.dir", None)
     if not there:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         there = tempfile.mkdtemp(prefix="boxloom-")
         spark.conf.set("spark.checkpoint.dir", there)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():

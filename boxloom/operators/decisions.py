@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxloom.functions.geometry import area_frac, plate_to_yolo
+from boxloom.functions.geometry import area_frac, iou, plate_to_yolo
 
 #: Thresholds that define the semantics.
 PLATE_CONF, OCR_CONF, PLATE_LEN = 0.65, 0.80, 5
@@ -148,3 +148,74 @@ def relabel(boxes: DataFrame, decided: DataFrame, fallback_car: bool = True) ->
         new = new.when(F.col("cls") == old, F.when(is_car, car).otherwise(other))
         how = how.when(F.col("cls") == old, F.when(F.col("best_cls").isNull(), "fallback").otherwise("decided"))
     return joined.withColumn("new_cls", new).withColumn("how", how).where("new_cls IS NOT NULL").drop("best_cls")
+
+
+#: The detector's vehicle classes by id; of these, what counts as a bike.
+COCO_VEHICLES = {1: "bicycle", 2: "car", 3: "motorcycle", 5: "bus", 7: "truck"}
+BIKES = ("bicycle", "motorcycle")
+
+
+def is_vehicle(cls: Column) -> Column:
+    return cls.isin(*COCO_VEHICLES)
+
+
+def is_bike(cls: Column) -> Column:
+    """Whether a detector's class is a bike; any other class is none."""
+    return cls.isin(*[k for k, name in COCO_VEHICLES.items() if name in BIKES])
+
+
+def batch_class(cls: Column, orientation: str) -> Column:
+    """The data set's class of a detector's class in a batch that was taken from the ``front`` or the ``back``."""
+    if orientation not in ("front", "back"):
+        raise ValueError(f"orientation is front or back, not {orientation!r}")
+    back = int(orientation == "back")
+    return F.when(is_bike(cls), F.lit(back)).otherwise(F.lit(2 + back))
+
+
+def suppress(detections: DataFrame, conf: float = 0.25, overlap: float = 0.45, classes: bool = True) -> DataFrame:
+    """``detections`` from ``conf`` on that no surer kept one of their class overlaps by more than ``overlap``, numbered anew.
+
+    The detections of an image are gathered and folded in falling confidence. Without ``classes`` any kept one counts.
+    """
+    box = ("x1", "y1", "x2", "y2", "conf", "cls")
+    falling = F.sort_array(F.collect_list(F.struct((-F.col("conf")).alias("o"), F.col("det_idx").alias("i"), *box)))
+    per = detections.where(F.col("conf") >= conf).groupBy("image_id").agg(falling.alias("d"))
+
+    def step(kept: Column, x: Column) -> Column:
+        hides = F.exists(kept, lambda k: ((k["cls"] == x["cls"]) | F.lit(not classes)) & (iou(k, x) > overlap))
+        return F.when(hides, kept).otherwise(F.array_append(kept, x))
+
+    kept = per.select("image_id", F.aggregate("d", F.slice("d", 1, 0), step).alias("d"))
+    each = kept.select("image_id", F.posexplode("d").alias("det_idx", "x"))
+    return each.select("image_id", "det_idx", *[F.col(f"x.{c}").alias(c) for c in box])
+
+
+def vehicle_lines(lines: DataFrame, plate_class: int = 4) -> DataFrame:
+    """The label lines of other classes than ``plate_class``, as they stand; ``lines`` comes from ``labels.parse``."""
+    return lines.where((F.col("n_tokens") >= 5) & F.col("cls").isNotNull() & (F.col("cls") != plate_class))
+
+
+def recover_plates(images: DataFrame, lines: DataFrame, detections: DataFrame, plate_class: int = 4, model_class: int = 0) -> DataFrame:
+    """(image_id, status, lines): recovered with the vehicle lines and a line for each plate found, rejected without one, read_failed.
+
+    ``images``: image_id, width, height (null: not readable). ``lines``: image_id, line_no, line, with the columns of
+    ``labels.parse``. ``detections`` of the plate model: image_id, det_idx, cls, x1..y2. A plate of no area counts as none;
+    what is left is clamped only after that.
+    """
+    found = detections.where(F.col("cls") == model_class).join(images.where("width IS NOT NULL"), "image_id").where((F.col("x1") != F.col("x2")) & (F.col("y1") != F.col("y2")))
+    yolo = plate_to_yolo(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], F.col("width"), F.col("height"))
+    plate = F.format_string(f"{plate_class} %.6f %.6f %.6f %.6f", *yolo)
+    plates = found.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("det_idx", plate.alias("line")))).alias("plates"))
+    vehicles = vehicle_lines(lines, plate_class).groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("line_no", F.trim("line").alias("line")))).alias("vehicles"))
+    none = F.expr("array()").cast("array<string>")
+    status = F.when(F.col("width").isNull(), "read_failed").when(F.col("plates").isNotNull(), "recovered").otherwise("rejected")
+    text = F.concat(F.coalesce(F.transform("vehicles", lambda x: x["line"]), none), F.coalesce(F.transform("plates", lambda x: x["line"]), none))
+    joined = images.join(vehicles, "image_id", "left").join(plates, "image_id", "left")
+    return joined.select("image_id", status.alias("status"), F.when(status == "recovered", text).otherwise(none).alias("lines"))
+
+
+def relabel_counts(relabelled: DataFrame) -> DataFrame:
+    """(new_cls, how, n, pct): boxes by new class and reason, and their share of all."""
+    per = relabelled.groupBy("new_cls", "how").agg(F.count("*").alias("n"))
+    every = relabelled.agg(F.count("*").alias("every"))
+    return per.join(F.broadcast(every)).select("new_cls", "how", "n", (100.0 * F.col("n") / F.greatest("every", F.lit(1))).alias("pct"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,30 +13,37 @@ from boxloom.functions.session import cut
 
 
 def exact_duplicates(rows: DataFrame, key: str, content: str) -> DataFrame:
-    """(key, first, kept): the least key with the same content, in two aggregations; hot contents combine before the shuffle."""
+    """(key, first, kept): the least key with the same content, in two aggregations; hot contents combine before the shuffle.
+
+    Rows without content are copies of nothing: each is its own first.
+    """
     hashed = rows.select(F.col(key), F.sha2(F.col(content), 256).alias("sha"))
-    first = hashed.groupBy("sha").agg(F.min(key).alias("first"))
-    return hashed.join(first, "sha").select(key, "first", (F.col(key) == F.col("first")).alias("kept"))
+    first = hashed.where("sha IS NOT NULL").groupBy("sha").agg(F.min(key).alias("first"))
+    return hashed.join(first, "sha", "left").select(key, F.coalesce("first", key).alias("first"), (F.col(key) == F.coalesce("first", key)).alias("kept"))
 
 
-def _bands(bits: int, within: int) -> tuple[int, int]:
-    """(bands, bands that agree at least): as many bands as leave two equal ones for each pair, if 64 bits allow it."""
-    bands = min(within + 2, bits)
-    return bands, bands - within
+def _bands(within: int) -> tuple[int, int]:
+    """(bands, bands that agree at least): three equal bands of within + 3 where that is few probes, else two of within + 2."""
+    agree = 3 if comb(within + 3, 3) <= 100 else 2
+    return within + agree, agree
 
 
 def near_pairs(hashes: DataFrame, key: str, h: str, within: int = 6) -> DataFrame:
     """(a, b, distance) of all pairs a < b at most ``within`` bits apart; nothing is lost.
 
-    64 bits in within + 2 bands: two bands at least are equal in such a pair. Equal hashes collapse first,
-    pairs of distinct hashes meet by equi-joins on band pairs, and keys come back at the end.
+    64 bits in within + 3 bands: three bands at least are equal in such a pair. Equal hashes collapse first,
+    pairs of distinct hashes meet by equi-joins on band triples (84 probes of 21 bits at a distance of 6), and
+    keys come back at the end. Beyond a distance of 6 pairs of bands serve, which get short: the number of
+    hashes that meet by chance then grows with their square, so wide distances suit small tables only.
     """
-    bands, agree = _bands(64, within)
+    if not 0 <= within <= 62:
+        raise ValueError("a distance between 0 and 62 bits is needed")
+    bands, agree = _bands(within)
     edges = [64 * k // bands for k in range(bands + 1)]
-    cut_ = [F.expr(f"shiftright({h}, {a}) & {(1 << (b - a)) - 1}L") for a, b in zip(edges, edges[1:])]
+    cut_ = [F.expr(f"shiftright(h, {a}) & {(1 << (b - a)) - 1}L") for a, b in zip(edges, edges[1:])]
     keyed = hashes.where(F.col(h).isNotNull()).select(F.col(key).alias("key"), F.col(h).alias("h"))
     distinct = keyed.select("h").distinct()
-    combos = list(combinations(range(bands), min(2, agree)))
+    combos = list(combinations(range(bands), agree))
     probe = F.array(*[F.struct(F.lit(k).alias("c"), F.xxhash64(*[cut_[i] for i in c]).alias("v")) for k, c in enumerate(combos)])
     exploded = distinct.select("h", F.explode(probe).alias("x")).select("h", "x.c", "x.v")
     other = exploded.withColumnRenamed("h", "h2")
@@ -82,9 +90,59 @@ def dedup_reasons(rows: DataFrame, key: str, content: str, kept: DataFrame) -> D
     return marked.join(first, "sha", "left").select(key, reason.alias("reason"))
 
 
-def numbered_targets(moves: DataFrame, key: str, target: str) -> DataFrame:
-    """``moves`` with a free name for each row: the second row of a target gets ``stem__1.ext``, and so on."""
-    n = F.row_number().over(Window.partitionBy(target).orderBy(key)) - 1
+def curated(rows: DataFrame, key: str, content: str, h: str, within: int = 6, known: DataFrame | None = None) -> DataFrame:
+    """(key, reason, sha, hash): exact and near duplicates in one pass over the keys in order, against what is kept.
+
+    A row is corrupt_image without a hash, exact_duplicate if a kept row with a smaller key has its bytes,
+    near_duplicate if one is at most ``within`` bits away, else ok (kept). ``known`` (sha, hash) are kept rows of
+    earlier runs, which come before all rows. What is dropped drops nothing else.
+    """
+    hashed = cut(rows.select(F.col(key).alias("key"), F.sha2(F.col(content), 256).alias("sha"), F.col(h).alias("hash")))
+    good = hashed.where("hash IS NOT NULL")
+    # equal bytes have equal hashes, so near pairs contain exact ones and decide who is kept
+    nodes = good.select(F.struct(F.lit(1).alias("run"), F.col("key").cast("string").alias("name"), F.col("key").alias("key")).alias("node"), "hash")
+    if known is not None:
+        before = known.where("hash IS NOT NULL").select(F.struct(F.lit(0).alias("run"), F.concat_ws(":", "sha", "hash").alias("name"), F.lit(None).cast(rows.schema[key].dataType).alias("key")).alias("node"), "hash").distinct()
+        nodes = nodes.unionByName(before)
+    order = "struct(node.run, node.key, node.name)"
+    nodes = cut(nodes.select(F.expr(order).alias("node"), "hash"))
+    pairs = near_pairs(nodes, "node", "hash", within)
+    pairs = pairs.where("NOT (a.run = 0 AND b.run = 0)")  # what is known is kept
+    kept = keep_greedily(nodes, pairs, "node").where("kept AND node.run = 1").select(F.col("node.key").alias("key"), F.lit(True).alias("kept"))
+    marked = good.join(kept, "key", "left")
+    first = marked.where("kept").groupBy("sha").agg(F.min("key").alias("first"))
+    seen = marked.join(first, "sha", "left")
+    old = F.lit(False)
+    if known is not None:
+        seen = seen.join(known.select("sha").where("sha IS NOT NULL").distinct().withColumn("old", F.lit(True)), "sha", "left")
+        old = F.coalesce("old", F.lit(False))
+    reason = F.when(F.coalesce("kept", F.lit(False)), "ok").when(old | (F.col("first") < F.col("key")), "exact_duplicate").otherwise("near_duplicate")
+    decided = seen.select("key", reason.alias("reason"), "sha", "hash")
+    corrupt = hashed.where("hash IS NULL").select("key", F.lit("corrupt_image").alias("reason"), "sha", "hash")
+    return decided.unionByName(corrupt).withColumnRenamed("key", key)
+
+
+def numbered_targets(moves: DataFrame, key: str, target: str, taken: DataFrame | None = None) -> DataFrame:
+    """``moves`` with a free name for each row: the first row of a target keeps it, the next ones get ``stem__1.ext`` and so on.
+
+    Numbers go on until the name is no target of another row and not in ``taken`` (one column). Rows are ranked
+    inside their target only; where numbers meet names that are there already, the next ones are taken.
+    """
     name = F.col(target)
     suffix = F.regexp_extract(name, r"(\.[^.]+)$", 1)
-    return moves.withColumn("free_name", F.when(n == 0, name).otherwise(F.concat(F.regexp_replace(name, r"\.[^.]+$", ""), F.lit("__"), n.cast("string"), suffix)))
+    base = F.regexp_replace(name, r"\.[^.]+$", "")
+    n = F.row_number().over(Window.partitionBy(target).orderBy(key)) - 1
+    there = moves.select(name.alias("name"))
+    if taken is not None:
+        there = there.unionByName(taken.select(F.col(taken.columns[0]).alias("name")))
+        blocked = taken.select(F.col(taken.columns[0]).alias(target)).distinct().withColumn("_at_hand", F.lit(1))
+        ranked = moves.join(blocked, target, "left").withColumn("_n", n + F.coalesce("_at_hand", F.lit(0))).drop("_at_hand")
+    else:
+        ranked = moves.withColumn("_n", n)
+    # numbers that a name of the form stem__k.ext occupies: skipped when counting
+    form = r"^(.*)__([0-9]{1,9})(\.[^.]+)?$"
+    used = there.distinct().select((F.regexp_extract("name", form, 1)).alias("_base"), F.regexp_extract("name", form, 3).alias("_suffix"), F.regexp_extract("name", form, 2).alias("_k")).where("_k <> '' AND _k = CAST(CAST(_k AS INT) AS STRING)")
+    holes = used.groupBy("_base", "_suffix").agg(F.sort_array(F.collect_set(F.col("_k").cast("int"))).alias("_holes"))
+    placed = ranked.withColumn("_base", base).withColumn("_suffix", suffix).join(holes, ["_base", "_suffix"], "left")
+    free = F.aggregate(F.coalesce("_holes", F.expr("array()").cast("array<int>")), F.col("_n"), lambda k, hole: F.when((hole >= 1) & (hole <= k), k + 1).otherwise(k))
+    return placed.withColumn("free_name", F.when(F.col("_n") == 0, name).otherwise(F.concat("_base", F.lit("__"), free.cast("string"), "_suffix"))).select(*moves.columns, "free_name")

@@ -1,16 +1,17 @@
 """Matching ground truth with detections: five policies, each a fold over one image's boxes.
 
 The boxes of an image are gathered by one shuffle on the image; what follows is expressions over its
-arrays, so no pair of boxes ever becomes a row. Ground truth has (image_id, box_idx, cls, x1..y2),
+arrays; but for ``best_class``, which joins the pairs of an image, no pair of boxes becomes a row. Ground truth has (image_id, box_idx, cls, x1..y2),
 detections (image_id, det_idx, cls, conf, x1..y2), det_idx counting in falling confidence.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxloom.functions.geometry import iou
+from boxloom.operators.curation import sample_by_hash
 
 
 def gather(gt: DataFrame, pred: DataFrame) -> DataFrame:
@@ -139,3 +140,13 @@ def review(gt: DataFrame, pred: DataFrame, least: float = 0.3, good: float = 0.5
     s = both.select("image_id", F.size("g").alias("gt_boxes"), F.size("p").alias("pred_boxes"), F.aggregate("g", start, step).alias("s"))
     out = s.select("image_id", "gt_boxes", "pred_boxes", F.col("s.missed").alias("missed"), (F.col("pred_boxes") - F.size("s.used")).alias("spurious"), F.col("s.wrong").alias("wrong_class"), F.col("s.loose").alias("loose_box"))
     return out.withColumn("badness", 3 * F.col("missed") + 2 * F.col("spurious") + 2 * F.col("wrong_class") + F.col("loose_box"))
+
+
+def ranked_review(errors: DataFrame, k: int, key: str = "image_id", seed: int = 42) -> DataFrame:
+    """A sample of ``k`` images of ``errors`` with sample_pos, part (bad or good) and place: the worst first, in sample order among equals.
+
+    The sample is bounded, so its order takes one small window.
+    """
+    sampled = sample_by_hash(errors, key, k, seed)
+    place = F.row_number().over(Window.orderBy(F.desc("badness"), "sample_pos")) - 1
+    return sampled.withColumn("part", F.when(F.col("badness") > 0, "bad").otherwise("good")).withColumn("place", place)

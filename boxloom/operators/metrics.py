@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxloom.functions.labels import remap
 from boxloom.functions.session import cut
 from boxloom.operators.matching import true_positives
 
@@ -21,12 +22,16 @@ CLASSES = {
 IOU_STEPS = [0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]
 
 
-def class_distribution(boxes: DataFrame, version: int = 1) -> DataFrame:
-    """(cls, name, boxes, images, image_pct) of known classes and of those seen; percentages of all images in ``boxes``."""
+def class_distribution(boxes: DataFrame, version: int = 1, files: DataFrame | None = None) -> DataFrame:
+    """(cls, name, boxes, images, image_pct) of known classes and of those seen.
+
+    Percentages are of all label files in ``files`` (image_id), empty and unreadable ones included; without
+    ``files``, of the images in ``boxes``.
+    """
     spark = boxes.sparkSession
     known = spark.createDataFrame(list(enumerate(CLASSES[version])), "cls int, name string")
     seen = boxes.where("cls IS NOT NULL").groupBy("cls").agg(F.count("*").alias("boxes"), F.countDistinct("image_id").alias("images"))
-    total = boxes.select(F.countDistinct("image_id").alias("n"))
+    total = boxes.select(F.countDistinct("image_id").alias("n")) if files is None else files.select(F.count("*").alias("n"))
     both = seen.join(F.broadcast(known), "cls", "full")
     return both.join(F.broadcast(total)).select(
         "cls",
@@ -37,6 +42,19 @@ def class_distribution(boxes: DataFrame, version: int = 1) -> DataFrame:
     )
 
 
+def file_totals(files: DataFrame, boxes: DataFrame) -> DataFrame:
+    """One row: files, boxes, with_boxes, empty (readable, without a box), unreadable of ``files`` (image_id, readable)."""
+    per = boxes.groupBy("image_id").agg(F.count("*").alias("n"))
+    each = files.join(per, "image_id", "left").select("readable", F.coalesce("n", F.lit(0)).alias("n"))
+    return each.agg(
+        F.count("*").alias("files"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("boxes"),
+        F.count_if(F.col("n") > 0).alias("with_boxes"),
+        F.count_if(F.col("readable") & (F.col("n") == 0)).alias("empty"),
+        F.count_if(~F.col("readable")).alias("unreadable"),
+    )
+
+
 def confusion(matched: DataFrame, n_classes: int = 4) -> DataFrame:
     """(cls, p0.., missed) of the output of ``best_class``; a match of an unknown class counts as missed."""
     known = F.col("pred_cls").between(0, n_classes - 1)
@@ -55,10 +73,17 @@ def class_accuracy(confused: DataFrame, n_classes: int = 4) -> DataFrame:
     return x.withColumn("class_acc", F.round(F.try_divide(100.0 * F.col("correct"), F.col("found")), 4)).withColumn("detection", F.round(F.try_divide(100.0 * F.col("found"), F.col("gt")), 4))
 
 
+def overall_accuracy(per_class: DataFrame) -> DataFrame:
+    """One row over the rows of ``class_accuracy``: gt, found, correct, class_acc, detection."""
+    sums = per_class.agg(*[F.sum(c).alias(c) for c in ("gt", "found", "correct")])
+    return sums.withColumn("class_acc", F.round(F.try_divide(100.0 * F.col("correct"), F.col("found")), 4)).withColumn("detection", F.round(F.try_divide(100.0 * F.col("found"), F.col("gt")), 4))
+
+
 def ranked(flags: DataFrame) -> DataFrame:
     """``flags`` with tp_sum and fp_sum so far, by threshold in falling confidence (then image, then index)."""
     order = [F.desc("conf"), "image_id", "det_idx"]
-    rows = cut(flags.repartitionByRange("threshold", *order).withColumn("range", F.spark_partition_id()))
+    # kept first: else the matching runs once to sample its ranges and once more to fill them
+    rows = cut(cut(flags).repartitionByRange("threshold", *order).withColumn("range", F.spark_partition_id()))
     totals = rows.groupBy("threshold", "range").agg(F.sum(F.col("tp").cast("long")).alias("t"), F.count("*").alias("n"))
     earlier = Window.partitionBy("threshold").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     # one row for each range and threshold: bounded by the number of partitions
@@ -91,7 +116,34 @@ def average_precision(gt: DataFrame, pred: DataFrame, thresholds: list[float]) -
     if not n_gt:
         raise ValueError("no ground truth boxes")
     curve = precision_recall(true_positives(gt, pred, thresholds), n_gt)
-    return curve.where("tp").groupBy("threshold").agg(F.round(F.sum("envelope") / n_gt, 8).alias("ap"), F.count("*").alias("n_tp"))
+    got = curve.where("tp").groupBy("threshold").agg((F.sum("envelope") / n_gt).alias("ap"), F.count("*").alias("n_tp"))
+    every = gt.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double")
+    return F.broadcast(every).join(got, "threshold", "left").select("threshold", F.coalesce("ap", F.lit(0.0)).alias("ap"), F.coalesce("n_tp", F.lit(0)).alias("n_tp"))
+
+
+def of_classes(boxes: DataFrame, classes: dict[int, int] | None = None, only: int | None = None) -> DataFrame:
+    """``boxes`` with cls through a class map, and of one class only where ``only`` is given; for both sides of a comparison."""
+    mapped = boxes.withColumn("cls", remap(F.col("cls"), classes or {}))
+    return mapped if only is None else mapped.where(F.col("cls") == only)
+
+
+def mean_average_precision(gt: DataFrame, pred: DataFrame, thresholds: list[float] = IOU_STEPS) -> DataFrame:
+    """One row: ap50 and ap, the mean over ``thresholds``, which counts those without a true positive as 0."""
+    each = average_precision(gt, pred, thresholds)
+    return each.agg(F.max(F.when(F.col("threshold") == 0.5, F.col("ap"))).alias("ap50"), F.avg("ap").alias("ap"))
+
+
+def class_average_precision(gt: DataFrame, pred: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """(cls, n_gt, ap) of each class that has ground truth: detections meet boxes of their own class only.
+
+    All classes in one pass: an image and a class together are what is matched.
+    """
+    together = F.struct("image_id", "cls")
+    flags = true_positives(gt.withColumn("image_id", together), pred.withColumn("image_id", together), [threshold])
+    per = flags.select(F.col("image_id.cls").alias("threshold"), "image_id", "det_idx", "conf", "tp")  # ranked apart by class
+    n_gt = gt.groupBy("cls").agg(F.count("*").alias("n_gt"))
+    curve = precision_recall(per, 1).where("tp").groupBy(F.col("threshold").alias("cls")).agg(F.sum("envelope").alias("area"))
+    return n_gt.join(curve, "cls", "left").select("cls", "n_gt", (F.coalesce("area", F.lit(0.0)) / F.col("n_gt")).alias("ap"))
 
 
 def operating_point(gt: DataFrame, pred: DataFrame, conf: float = 0.65, threshold: float = 0.5) -> DataFrame:
@@ -100,4 +152,11 @@ def operating_point(gt: DataFrame, pred: DataFrame, conf: float = 0.65, threshol
     n = flags.agg(F.count_if("tp").alias("tp"), F.count_if(~F.col("tp")).alias("fp")).join(gt.agg(F.count("*").alias("n_gt")))
     p, r = F.col("tp") / F.greatest(F.col("tp") + F.col("fp"), F.lit(1)), F.col("tp") / F.greatest("n_gt", F.lit(1))
     f1 = 2 * p * r / F.greatest(p + r, F.lit(1e-12))
-    return n.select("tp", "fp", (F.col("n_gt") - F.col("tp")).alias("fn"), F.round(p, 8).alias("precision"), F.round(r, 8).alias("recall"), F.round(f1, 8).alias("f1"))
+    return n.select("tp", "fp", (F.col("n_gt") - F.col("tp")).alias("fn"), p.alias("precision"), r.alias("recall"), f1.alias("f1"))
+
+
+def error_totals(errors: DataFrame, gt: str, *kinds: str) -> DataFrame:
+    """(kind, n, pct_of_gt): the sum of each error column of per-image ``errors``, and its share of the boxes in column ``gt``."""
+    sums = errors.agg(F.coalesce(F.sum(gt), F.lit(0)).alias("g"), *[F.coalesce(F.sum(k), F.lit(0)).cast("long").alias(k) for k in kinds])
+    each = sums.select("g", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("n")) for k in kinds])).alias("x"))
+    return each.select("x.kind", "x.n", (100.0 * F.col("x.n") / F.greatest("g", F.lit(1))).alias("pct_of_gt"))

@@ -87,6 +87,51 @@ def class_distribution(spark, sf_dir):
     return K.class_distribution(table(spark, sf_dir, "v_gt"))
 
 
+_FILES = ", f AS (SELECT o_orderkey AS image_id, o_orderstatus <> 'P' AS readable FROM orders), b AS (SELECT g.* FROM v_gt g JOIN f ON f.image_id = g.image_id WHERE readable)"
+
+
+def _files(spark, sf_dir):
+    """Label files, some of which cannot be read, and the boxes of the others."""
+    files = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image_id"), (F.col("o_orderstatus") != "P").alias("readable"))
+    return files, table(spark, sf_dir, "v_gt").join(files.where("readable").select("image_id"), "image_id")
+
+
+@query(
+    _FILES + """, k AS (SELECT * FROM (VALUES (0, 'bike_front'), (1, 'bike_back'), (2, 'non_bike_front'), (3, 'non_bike_back'), (4, 'reg_plate')) k(cls, name)),
+s AS (SELECT cls, count(*) AS boxes, count(DISTINCT image_id) AS images FROM b GROUP BY cls)
+SELECT coalesce(s.cls, k.cls) AS cls, coalesce(name, concat('class_', s.cls)) AS name, coalesce(boxes, 0) AS boxes, coalesce(images, 0) AS images,
+  round(100.0::DOUBLE * coalesce(images, 0) / greatest((SELECT count(*) FROM f), 1), 4) AS image_pct FROM s FULL JOIN k ON s.cls = k.cls""",
+    "v_gt",
+)
+def class_distribution_files(spark, sf_dir):
+    files, boxes = _files(spark, sf_dir)
+    return K.class_distribution(boxes, 2, files)
+
+
+@query(
+    _FILES + """, n AS (SELECT f.image_id, readable, count(b.image_id) AS n FROM f LEFT JOIN b ON b.image_id = f.image_id GROUP BY ALL)
+SELECT count(*) AS files, CAST(sum(n) AS BIGINT) AS boxes, count(*) FILTER (n > 0) AS with_boxes, count(*) FILTER (readable AND n = 0) AS empty, count(*) FILTER (NOT readable) AS unreadable FROM n""",
+    "v_gt",
+)
+def class_file_totals(spark, sf_dir):
+    return K.file_totals(*_files(spark, sf_dir))
+
+
+@query(", b AS (SELECT list_sort(list(DISTINCT cls)) AS classes, max(cls) + 1 AS n_names FROM v_gt) SELECT unnest(classes) AS cls, n_names FROM b", "v_gt")
+def classes_seen(spark, sf_dir):
+    return C.classes_seen(table(spark, sf_dir, "v_gt")).select(F.explode("classes").alias("cls"), "n_names")
+
+
+@query("SELECT DISTINCT image_id FROM v_gt WHERE cls = 3", "v_gt")
+def images_with_class(spark, sf_dir):
+    return C.with_class(table(spark, sf_dir, "v_gt"), 3)
+
+
+@query(_PARSED + "SELECT p.image_id, p.line_no, l.line FROM p JOIN v_label_lines l ON l.image_id = p.image_id AND l.line_no = p.line_no WHERE n_tokens >= 5 AND cls IS NOT NULL AND cls <> 4", "v_label_lines")
+def vehicle_lines(spark, sf_dir):
+    return D.vehicle_lines(_lines(spark, sf_dir)).select("image_id", "line_no", "line")
+
+
 @query(", m AS (SELECT image_id, box_idx, CASE cls WHEN 0 THEN 4 WHEN 1 THEN 2 ELSE cls END AS cls FROM v_gt) SELECT cls, count(*) AS n FROM m GROUP BY cls", "v_gt")
 def class_map(spark, sf_dir):
     boxes = table(spark, sf_dir, "v_gt").withColumn("cls", L.remap(F.col("cls"), L.parse_class_map("0:4, 1:2,")))
@@ -193,6 +238,11 @@ def confusion_matrix(spark, sf_dir):
     return K.confusion(_best(spark, sf_dir))
 
 
+@query(_CONF + " SELECT CAST(sum(p0 + p1 + p2 + p3 + missed) AS BIGINT) AS gt, CAST(sum(p0 + p1 + p2 + p3) AS BIGINT) AS found, CAST(sum(CASE cls WHEN 0 THEN p0 WHEN 1 THEN p1 WHEN 2 THEN p2 ELSE p3 END) AS BIGINT) AS correct, round(100.0::DOUBLE * sum(CASE cls WHEN 0 THEN p0 WHEN 1 THEN p1 WHEN 2 THEN p2 ELSE p3 END) / sum(p0 + p1 + p2 + p3), 4) AS class_acc, round(100.0::DOUBLE * sum(p0 + p1 + p2 + p3) / sum(p0 + p1 + p2 + p3 + missed), 4) AS detection FROM cm", *_BOTH)
+def overall_accuracy(spark, sf_dir):
+    return K.overall_accuracy(K.class_accuracy(K.confusion(_best(spark, sf_dir))))
+
+
 @query(
     _CONF + """, f AS (SELECT cls, p0 + p1 + p2 + p3 + missed AS gt, p0 + p1 + p2 + p3 AS found, CASE cls WHEN 0 THEN p0 WHEN 1 THEN p1 WHEN 2 THEN p2 ELSE p3 END AS correct FROM cm)
 SELECT cls, gt, found, correct, round(100.0::DOUBLE * correct / nullif(found, 0), 4) AS class_acc, round(100.0::DOUBLE * found / nullif(gt, 0), 4) AS detection FROM f""",
@@ -220,7 +270,8 @@ n_gt AS (SELECT count(*) AS c FROM v_gt_px)"""
     )
 
 
-_AP = " SELECT thr AS threshold, round(sum(env) / (SELECT c FROM n_gt), 6) AS ap, count(*) AS n_tp FROM env WHERE tp GROUP BY thr"
+_EACH_AP = ", ap AS (SELECT t.thr AS threshold, coalesce(sum(env) FILTER (tp), 0) / (SELECT c FROM n_gt) AS ap, count(*) FILTER (tp) AS n_tp FROM thr t LEFT JOIN env e ON e.thr = t.thr GROUP BY t.thr)"
+_AP = _EACH_AP + " SELECT threshold, round(ap, 6) AS ap, n_tp FROM ap"
 
 
 def _rounded(ap: DataFrame) -> DataFrame:
@@ -237,6 +288,41 @@ def ap_50_95(spark, sf_dir):
     return _rounded(K.average_precision(*_both(spark, sf_dir), K.IOU_STEPS))
 
 
+_TEN = "[0.5::DOUBLE, 0.55::DOUBLE, 0.6::DOUBLE, 0.65::DOUBLE, 0.7::DOUBLE, 0.75::DOUBLE, 0.8::DOUBLE, 0.85::DOUBLE, 0.9::DOUBLE, 0.95::DOUBLE]"
+
+
+@query(_greedy(_TEN) + _EACH_AP + " SELECT round(max(ap) FILTER (threshold = 0.5::DOUBLE), 6) AS ap50, round(avg(ap), 6) AS ap FROM ap", *_BOTH)
+def mean_ap(spark, sf_dir):
+    return K.mean_average_precision(*_both(spark, sf_dir)).select(F.round("ap50", 6).alias("ap50"), F.round("ap", 6).alias("ap"))
+
+
+_BY_CLASS = _PAIRS + """, cand AS (SELECT gcls AS cls, image_id, det_idx, list(box_idx ORDER BY iou DESC, box_idx) AS l FROM pair WHERE iou >= 0.5::DOUBLE AND gcls = pcls GROUP BY ALL),
+ord AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY cls, image_id ORDER BY det_idx) AS k FROM cand),
+rec AS (SELECT cls, image_id, k, det_idx, [l[1]] AS used, true AS tp FROM ord WHERE k = 1
+  UNION ALL SELECT o.cls, o.image_id, o.k, o.det_idx, CASE WHEN len(list_filter(o.l, lambda x: NOT list_contains(r.used, x))) > 0 THEN list_append(r.used, list_filter(o.l, lambda x: NOT list_contains(r.used, x))[1]) ELSE r.used END,
+    len(list_filter(o.l, lambda x: NOT list_contains(r.used, x))) > 0 FROM rec r JOIN ord o ON o.cls = r.cls AND o.image_id = r.image_id AND o.k = r.k + 1),
+flag AS MATERIALIZED (SELECT p.cls, p.image_id, p.det_idx, p.conf, coalesce(r.tp, false) AS tp FROM v_pred p LEFT JOIN rec r ON r.cls = p.cls AND r.image_id = p.image_id AND r.det_idx = p.det_idx),
+cum AS (SELECT *, sum(tp::INT) OVER w AS tps, count(*) OVER w AS n FROM flag WINDOW w AS (PARTITION BY cls ORDER BY conf DESC, image_id, det_idx ROWS UNBOUNDED PRECEDING)),
+env AS (SELECT cls, tp, max(tps / n) OVER (PARTITION BY cls ORDER BY conf DESC, image_id, det_idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS env FROM cum),
+n AS (SELECT cls, count(*) AS n_gt FROM v_gt_px GROUP BY cls)
+SELECT n.cls, n_gt, round(coalesce((SELECT sum(env) FROM env e WHERE e.cls = n.cls AND tp), 0) / n_gt, 6) AS ap FROM n"""
+
+
+@query(_BY_CLASS, *_BOTH)
+def class_ap(spark, sf_dir):
+    return K.class_average_precision(*_both(spark, sf_dir)).select("cls", "n_gt", F.round("ap", 6).alias("ap"))
+
+
+_ONLY = ", go AS (SELECT image_id, box_idx, 4 AS cls, x1, y1, x2, y2 FROM v_gt_px WHERE cls IN (0, 4)), po AS (SELECT image_id, det_idx, x1, y1, x2, y2, conf, 4 AS cls FROM v_pred WHERE cls IN (0, 4))"
+
+
+@query(_ONLY + _greedy("[0.5::DOUBLE]").replace("v_gt_px", "go").replace("v_pred", "po") + _AP, *_BOTH)
+def only_class_ap(spark, sf_dir):
+    classes, only = L.parse_class_map("0:4"), 4
+    gt, pred = (K.of_classes(side, classes, only) for side in _both(spark, sf_dir))
+    return _rounded(K.average_precision(gt, pred, [0.5]))
+
+
 @query(_greedy("[0.5::DOUBLE]") + " SELECT image_id, det_idx, tp, round(tps / (SELECT c FROM n_gt), 6) AS recall, round(prec, 6) AS precision, round(env, 6) AS envelope FROM env", *_BOTH)
 def pr_curve(spark, sf_dir):
     gt, pred = _both(spark, sf_dir)
@@ -324,6 +410,35 @@ def review_sample(spark, sf_dir):
     return M.review(*_both(spark, sf_dir))
 
 
+_REVIEW = SQL["review_sample"]
+_KINDS = ("missed", "spurious", "wrong_class", "loose_box")
+
+
+@query(
+    _REVIEW[: _REVIEW.rindex("SELECT image_id, n_gt AS gt_boxes")] + """, v AS (""" + _REVIEW[_REVIEW.rindex("SELECT image_id, n_gt AS gt_boxes") :] + """),
+q AS (SELECT *, row_number() OVER (ORDER BY md5('42' || CAST(image_id AS STRING)), image_id) - 1 AS sample_pos FROM v QUALIFY sample_pos < 200)
+SELECT image_id, badness, CASE WHEN badness > 0 THEN 'bad' ELSE 'good' END AS part, sample_pos, row_number() OVER (ORDER BY badness DESC, sample_pos) - 1 AS place FROM q"""
+)
+def review_of_a_sample(spark, sf_dir):
+    return M.ranked_review(M.review(*_both(spark, sf_dir)), 200).select("image_id", "badness", "part", "sample_pos", "place")
+
+
+def _totals(source: str, gt: str, *kinds: str) -> str:
+    sums = ", ".join(f"sum({k}) AS {k}" for k in kinds)
+    rows = " UNION ALL ".join(f"SELECT '{k}' AS kind, CAST({k} AS BIGINT) AS n, round(100.0::DOUBLE * {k} / greatest(g, 1), 6) AS pct_of_gt FROM z1" for k in kinds)
+    return f", z1 AS (SELECT sum({gt}) AS g, {sums} FROM {source}) {rows}"
+
+
+@query(_PLATE + _totals("pe", "gt_plates", "missed", "spurious", "loose_box", "wrong_class"), *_BOTH)
+def plate_error_totals(spark, sf_dir):
+    return K.error_totals(M.plate_errors(*_both(spark, sf_dir)), "gt_plates", "missed", "spurious", "loose_box", "wrong_class").withColumn("pct_of_gt", F.round("pct_of_gt", 6))
+
+
+@query(_REVIEW[: _REVIEW.rindex("SELECT image_id, n_gt AS gt_boxes")] + ", v AS (" + _REVIEW[_REVIEW.rindex("SELECT image_id, n_gt AS gt_boxes") :] + ")" + _totals("v", "gt_boxes", *_KINDS))
+def review_totals(spark, sf_dir):
+    return K.error_totals(M.review(*_both(spark, sf_dir)), "gt_boxes", *_KINDS).withColumn("pct_of_gt", F.round("pct_of_gt", 6))
+
+
 # ---- duplicates ------------------------------------------------------------------------------------
 
 
@@ -359,6 +474,15 @@ def dedup_reasons(spark, sf_dir):
     return U.dedup_reasons(docs, "doc_id", "text", kept)
 
 
+@query(
+    _KEEP + """, w AS (SELECT r.vec_id, o.h, r.keep FROM r JOIN o ON o.vec_id = r.vec_id)
+SELECT vec_id, CASE WHEN keep THEN 'ok' WHEN EXISTS (SELECT 1 FROM w x WHERE x.keep AND x.h = w.h AND x.vec_id < w.vec_id) THEN 'exact_duplicate' ELSE 'near_duplicate' END AS reason FROM w"""
+)
+def curated_images(spark, sf_dir):
+    rows = hashes(spark, sf_dir).withColumn("content", F.col("h").cast("string"))
+    return U.curated(rows, "vec_id", "content", "h", 20).select("vec_id", "reason")
+
+
 # ---- addresses, merging, splitting -----------------------------------------------------------------
 
 _URL = "CASE WHEN trim({0}) <> '' AND lower(trim({0})) <> 'none' AND starts_with(trim({0}), 'http') THEN trim({0}) END"
@@ -375,10 +499,10 @@ def url_filename(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", X.url_file_name(F.col("url")).alias("file_name"))
 
 
-@query("SELECT url FROM pages WHERE page_id % 3 = 0 INTERSECT SELECT url FROM pages WHERE page_id % 2 = 0")
+@query("SELECT host FROM (SELECT regexp_extract(url, '//([^/]*)', 1) AS host FROM pages WHERE html LIKE '%<script%') INTERSECT SELECT regexp_extract(url, '//([^/]*)', 1) FROM pages WHERE NOT coalesce(html LIKE '%<script%', false)")
 def batch_overlap(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return pages.where("page_id % 3 = 0").select("url").intersect(pages.where("page_id % 2 = 0").select("url"))
+    pages = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "//([^/]*)", 1).alias("host"), F.coalesce(F.col("html").contains("<script"), F.lit(False)).alias("scripted"))
+    return C.overlap(pages.where("scripted"), pages.where("NOT scripted"), "host")
 
 
 _MERGE = """WITH m AS (SELECT doc_id, source, concat('img', doc_id % 700) AS label, n_chars >= 100 AS ok FROM documents),
@@ -387,7 +511,7 @@ o AS (SELECT doc_id, source, CASE WHEN NOT ok THEN 'no_label' WHEN row_number()
 
 def _merged(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", F.concat(F.lit("img"), F.col("doc_id") % 700).alias("label"))
-    return C.merge(rows, ["source", "doc_id"], "label", "label", F.col("n_chars") >= 100)
+    return C.merge(rows, ["source", "doc_id"], "label", F.col("n_chars") >= 100)
 
 
 @query(_MERGE + " SELECT doc_id, outcome FROM o")
@@ -420,6 +544,37 @@ def split_counts(spark, sf_dir):
     return C.split_by_hash(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id").groupBy("split", "source").agg(F.count("*").alias("n"))
 
 
+_LABELLED = "l AS (SELECT doc_id, bool_or(quality = 1) AS nonempty FROM labels GROUP BY doc_id), g AS (SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing_label' WHEN nonempty THEN 'valid' ELSE 'empty_label' END AS outcome FROM documents d LEFT JOIN l ON l.doc_id = d.doc_id)"
+
+
+def _pairs_of(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("nonempty"))
+    return C.gather_pairs(table(spark, sf_dir, "documents").select("doc_id"), labels, "doc_id")
+
+
+@query(f"WITH {_LABELLED} SELECT doc_id, outcome FROM g")
+def gather_pairs(spark, sf_dir):
+    return _pairs_of(spark, sf_dir).select("doc_id", "outcome")
+
+
+@query(f"WITH {_LABELLED} SELECT outcome, count(*) AS n FROM g GROUP BY outcome")
+def gather_pair_counts(spark, sf_dir):
+    return _pairs_of(spark, sf_dir).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("SELECT c.conv_id, c.turn, d.doc_id AS image FROM conversations c LEFT JOIN documents d ON d.doc_id = c.conv_id")
+def labels_with_images(spark, sf_dir):
+    labels = table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    images = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), F.col("doc_id").alias("image"))
+    return C.labels_with_images(labels, images, "conv_id").select("conv_id", "turn", "image")
+
+
+@query("SELECT doc_id FROM documents WHERE n_chars >= 100 UNION SELECT doc_id FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)")
+def kept_still_there(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return C.still_there(docs.where("n_chars >= 100"), table(spark, sf_dir, "labels"), docs, "doc_id")
+
+
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def resume_pending(spark, sf_dir):
     return C.pending(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id")
@@ -564,3 +719,48 @@ def json_payload_parse(spark, sf_dir):
 @query("SELECT event_type AS status, count(*) AS n FROM events GROUP BY 1")
 def download_status_counts(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("status")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) FILTER (value >= 0) AS n, round(avg(value) FILTER (value >= 0), 6) AS mean, min(value) FILTER (value >= 0) AS least, max(value) FILTER (value >= 0) AS greatest, count(*) FILTER (value < 0) AS unreadable FROM events")
+def brightness_summary(spark, sf_dir):
+    return C.score_summary(table(spark, sf_dir, "events"), "value").withColumn("mean", F.round("mean", 6))
+
+
+@query(_RELABEL + " SELECT new_cls, how, count(*) AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM n), 6) AS pct FROM n GROUP BY ALL", "v_gt", "v_pred")
+def relabel_shares(spark, sf_dir):
+    return D.relabel_counts(_relabelled(spark, sf_dir)).withColumn("pct", F.round("pct", 6))
+
+
+@query("SELECT image_id, det_idx, CASE WHEN cls IN (1, 3) THEN 1 ELSE 3 END AS batch_class FROM v_pred WHERE cls IN (1, 2, 3, 5, 7)", "v_pred")
+def batch_labels(spark, sf_dir):
+    pred = table(spark, sf_dir, "v_pred")
+    return pred.where(D.is_vehicle(F.col("cls"))).select("image_id", "det_idx", D.batch_class(F.col("cls"), "back").alias("batch_class"))
+
+
+@query(
+    f""", c AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY conf DESC, det_idx) AS k FROM v_pred WHERE conf >= 0.25::DOUBLE),
+hide0 AS (SELECT g.image_id, g.k AS a, p.k AS b, {_INTER} AS inter, (g.x2 - g.x1) * (g.y2 - g.y1) + (p.x2 - p.x1) * (p.y2 - p.y1) AS areas FROM c g JOIN c p ON p.image_id = g.image_id AND p.cls = g.cls AND g.k < p.k),
+hide AS MATERIALIZED (SELECT image_id, b, list(a) AS a FROM hide0 WHERE areas - inter > 0 AND inter / (areas - inter) > 0.45::DOUBLE GROUP BY ALL),
+x AS MATERIALIZED (SELECT c.image_id, c.k, coalesce(h.a, []) AS a FROM c LEFT JOIN hide h ON h.image_id = c.image_id AND h.b = c.k),
+r AS (SELECT image_id, k, [k] AS kept, true AS keep FROM x WHERE k = 1
+  UNION ALL SELECT x.image_id, x.k, CASE WHEN list_has_any(r.kept, x.a) THEN r.kept ELSE list_append(r.kept, x.k) END, NOT list_has_any(r.kept, x.a) FROM r JOIN x ON x.image_id = r.image_id AND x.k = r.k + 1)
+SELECT c.image_id, c.conf, c.cls, CAST(row_number() OVER (PARTITION BY c.image_id ORDER BY c.k) - 1 AS INT) AS det_idx FROM c JOIN r ON r.image_id = c.image_id AND r.k = c.k WHERE keep""",
+    "v_pred",
+)
+def suppressed(spark, sf_dir):
+    return D.suppress(table(spark, sf_dir, "v_pred")).select("image_id", "conf", "cls", "det_idx")
+
+
+@query(
+    """, v AS (SELECT image_id, count(*) AS n FROM v_gt WHERE cls <> 4 GROUP BY 1),
+d AS (SELECT image_id, count(*) FILTER (cls = 0 AND x1 <> x2 AND y1 <> y2) AS n FROM v_pred GROUP BY 1),
+i AS (SELECT o_orderkey AS image_id, o_orderstatus <> 'P' AS readable FROM orders)
+SELECT i.image_id, CASE WHEN NOT readable THEN 'read_failed' WHEN d.n > 0 THEN 'recovered' ELSE 'rejected' END AS status, CASE WHEN readable AND d.n > 0 THEN coalesce(v.n, 0) + d.n ELSE 0 END AS n_lines
+FROM i LEFT JOIN v ON v.image_id = i.image_id LEFT JOIN d ON d.image_id = i.image_id""",
+    "v_gt", "v_pred",
+)
+def plate_recovery(spark, sf_dir):
+    images = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image_id"), F.when(F.col("o_orderstatus") != "P", WIDTH).alias("width"), F.lit(HEIGHT).alias("height"))
+    line = F.format_string("%d %.2f %.2f %.2f %.2f", "cls", "cx", "cy", "w", "h")
+    lines = L.parse(table(spark, sf_dir, "v_gt").select("image_id", F.col("box_idx").alias("line_no"), line.alias("line")))
+    return D.recover_plates(images, lines, table(spark, sf_dir, "v_pred")).select("image_id", "status", F.size("lines").cast("long").alias("n_lines"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxloom.functions.session import cut
+from boxloom.operators.dedup import curated
 
 
 def run_new_files(spark: SparkSession, folder: str, schema: str, checkpoint: str, job: Callable[[DataFrame, int], None], fmt: str = "parquet") -> None:
@@ -17,34 +18,66 @@ def run_new_files(spark: SparkSession, folder: str, schema: str, checkpoint: str
     query.awaitTermination()
 
 
+def _recorded(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The table of earlier runs; None before the first."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
 def dedup_batch(batch: DataFrame, state_path: str, key: str, content: str) -> DataFrame:
-    """Rows of a batch whose content neither the state nor an earlier row of the batch has; they join the state.
+    """Rows of a batch whose content neither an earlier batch nor an earlier row of this one has; they join the state.
 
-    The state is an append-only table, so a batch that is run again finds its own rows there and adds nothing.
+    The state is an append-only table of contents with the keys that brought them. A batch that is run again,
+    because the caller's sink failed after the state had grown, finds its own rows there and gives them again.
+    Rows without content are copies of nothing, and are always given.
     """
     spark = batch.sparkSession
     hashed = batch.withColumn("sha", F.sha2(F.col(content), 256))
-    first = hashed.groupBy("sha").agg(F.min(key).alias("first"))
-    new = hashed.join(first, "sha").where(F.col(key) == F.col("first")).drop("first").dropDuplicates(["sha"])
-    try:
-        state = spark.read.schema("sha string").parquet(state_path)
-        new = new.join(state, "sha", "left_anti")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    kept = cut(new)  # a cached plan would be computed anew once the state that it reads has grown
-    kept.select("sha").write.mode("append").parquet(state_path)
-    return kept
+    none = hashed.where("sha IS NULL")
+    first = hashed.where("sha IS NOT NULL").groupBy("sha").agg(F.min(key).alias("_first"))
+    new = hashed.join(first, "sha").where(F.col(key) == F.col("_first")).drop("_first").dropDuplicates(["sha"])
+    state = _recorded(spark, state_path, "sha string, name string")
+    if state is None:
+        fresh = kept = cut(new.withColumn("_own", F.lit(False)))
+    else:
+        owner = state.groupBy("sha").agg(F.min("name").alias("_name"))
+        seen = new.join(owner, "sha", "left").withColumn("_own", F.col("_name").isNotNull())
+        kept = cut(seen.where(F.col("_name").isNull() | (F.col("_name") == F.col(key).cast("string"))).drop("_name"))
+        fresh = kept.where("NOT _own")
+    fresh.select("sha", F.col(key).cast("string").alias("name")).write.mode("append").parquet(state_path)
+    return kept.drop("_own").select(*hashed.columns).unionByName(none)
 
 
-def retry_failures(done_path: str, rows: DataFrame, key: str, work: Callable[[DataFrame], DataFrame], failed: tuple[str, ...] = ("api_fail", "size_fail")) -> DataFrame:
-    """Runs ``work`` on rows not done before; only those without a failed status are recorded, so the others come again."""
-    spark = rows.sparkSession
-    try:
-        rows = rows.join(spark.read.schema(f"{key} {rows.schema[key].dataType.simpleString()}").parquet(done_path), key, "left_anti")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    out = cut(work(rows))
+def curate_batch(batch: DataFrame, state_path: str, key: str, content: str, h: str, within: int = 6) -> DataFrame:
+    """(key, reason) of a batch, exact and near duplicates of what this and all earlier batches kept; the kept join the state.
+
+    A batch that is run again gets the decisions of its first run: what it put into the state does not count
+    against itself.
+    """
+    spark = batch.sparkSession
+    state = _recorded(spark, state_path, "sha string, hash long, name string")
+    known = None
+    if state is not None:
+        known = cut(state.join(batch.select(F.col(key).cast("string").alias("name")), "name", "left_anti").select("sha", "hash"))
+    decided = cut(curated(batch, key, content, h, within, known))
+    kept = decided.where("reason = 'ok'").select("sha", "hash", F.col(key).cast("string").alias("name"))
+    (kept if state is None else kept.join(state.select("name"), "name", "left_anti").select("sha", "hash", "name")).write.mode("append").parquet(state_path)
+    return decided.select(key, "reason")
+
+
+def retry_failures(done_path: str, rows: DataFrame, key: str, work: Callable[[DataFrame], DataFrame], failed: tuple[str, ...] = ("api_fail", "size_fail"), sink: Callable[[DataFrame], None] | None = None) -> DataFrame:
+    """Runs ``work`` on rows not done before; only those without a failed status are recorded, so the others come again.
+
+    ``sink`` gets the results before they are recorded: if it fails, nothing is recorded, and the rows come
+    again. Without it, the caller stores what is returned, and a failure after the record loses it.
+    """
+    done = _recorded(rows.sparkSession, done_path, f"{key} {rows.schema[key].dataType.simpleString()}")
+    out = cut(work(rows if done is None else rows.join(done, key, "left_anti")))
+    if sink is not None:
+        sink(out)
     out.where(~F.col("status").isin(*failed)).select(key).write.mode("append").parquet(done_path)
     return out

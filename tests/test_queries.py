@@ -9,7 +9,7 @@ import pytest
 from boxloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("lineitem", "events", "documents", "embeddings", "pages", "labels")
+TABLES = ("lineitem", "orders", "events", "documents", "embeddings", "pages", "labels", "conversations")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables are not here")
 
 
