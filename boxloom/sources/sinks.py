@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boxloom.functions.session import cut
+
 
 def append_removals(rows: DataFrame, path: str) -> None:
     """Adds (image, reason, vehicle_id, plate_confidence, ocr_confidence) to a CSV log; nulls are empty, scores have four places."""
@@ -23,6 +30,68 @@ def write_splits(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
+def write_files(rows: DataFrame, root: str) -> DataFrame:
+    """Writes each row (name, content: binary or string) as a file of its own below ``root``; gives (name, length).
+
+    For data sets that a trainer reads file by file. Each file is written beside its place and renamed, so a
+    reader sees all of it or nothing, and a task that runs again leaves the same files. Workers write through
+    pyarrow's file systems: ``root`` is a path or URI that all of them reach.
+    """
+    import pyarrow.fs as fs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{os.path.abspath(root)}")
+        made: set[str] = set()
+        for batch in batches:
+            lengths = []
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
+                at = f"{base}/{name}"
+                folder = at.rsplit("/", 1)[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                beside = f"{folder}/.{uuid.uuid4().hex}"
+                with store.open_output_stream(beside) as out:
+                    out.write(content)
+                store.move(beside, at)
+                lengths.append(len(content))
+            yield pa.RecordBatch.from_arrays([batch.column("name").cast(pa.string()), pa.array(lengths, pa.int64())], ["name", "length"])
+
+    body = F.coalesce(F.col("content").cast("binary"), F.lit(b""))
+    written = rows.where("name IS NOT NULL").select("name", body.alias("content")).mapInArrow(run, "name string, length long")
+    return cut(written)
+
+
+def materialise_splits(rows: DataFrame, root: str) -> DataFrame:
+    """Writes labels as ``labels/<split>/<stem>.txt`` below ``root`` and one list of images for each split, ``<split>.txt``.
+
+    ``rows``: split, stem, image (where it lies), text (its label file). Images are listed, not copied. Gives
+    (split, images).
+    """
+    name = F.concat(F.lit("labels/"), "split", F.lit("/"), "stem", F.lit(".txt"))
+    write_files(rows.select(name.alias("name"), F.col("text").alias("content")), root)
+    for split in [r.split for r in rows.select("split").distinct().orderBy("split").collect()]:
+        rows.where(F.col("split") == split).select("image").orderBy("image").write.mode("overwrite").text(f"{root.rstrip('/')}/{split}.list")
+    return rows.groupBy("split").agg(F.count("*").alias("images"))
+
+
+def merge_into(rows: DataFrame, root: str) -> DataFrame:
+    """Adds the label files of rows with outcome ``added`` (see ``curation.merge``) to a data set; gives (outcome, n).
+
+    ``rows``: name (image), image (where it lies), stem, text, outcome. The images' places are appended to
+    ``images`` as a table: a reference each, no copy.
+    """
+    added = rows.where("outcome = 'added'")
+    write_files(added.select(F.concat(F.lit("labels/"), "stem", F.lit(".txt")).alias("name"), F.col("text").alias("content")), root)
+    added.select("name", "image").write.mode("append").parquet(f"{root.rstrip('/')}/images")
+    return rows.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+def write_url_list(urls: DataFrame, path: str) -> None:
+    """The distinct URLs in order, a line each."""
+    urls.select("url").distinct().orderBy("url").write.mode("overwrite").text(path)
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).csv(path)
 
@@ -33,12 +102,25 @@ def label_text(boxes: DataFrame) -> DataFrame:
     return boxes.groupBy("image_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("box_idx", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
 
 
+def class_names(seen: list[int], names: dict[int, str]) -> list[str]:
+    """A name for each id from 0 to the greatest of ``seen``, made up where ``names`` has none; one at least."""
+    return [names.get(k) or f"class_{k}" for k in range(1 + max([0, *seen]))]
+
+
 def data_yaml(names: dict[int, str], root: str, folders: dict[str, str], as_list: bool = True) -> str:
-    """The data set's configuration: names up to the greatest id, ``class_<i>`` where one is missing."""
-    every = [names.get(i, f"class_{i}") for i in range(max(names, default=-1) + 1)]
-    lines = [f"path: {root}", *[f"{k}: {v}" for k, v in folders.items()], f"nc: {len(every)}"]
-    lines += [f"names: {every}"] if as_list else ["names:", *[f"  {i}: {n}" for i, n in enumerate(every)]]
-    return "\n".join(lines) + "\n"
+    """The data set's configuration with its names as a list or, in the other dialect, one to a line by id.
+
+    Without any name there is one class, ``class_0``.
+    """
+    every = class_names(list(names), names)
+    head = {"path": root, **folders, "nc": len(every)}
+    named = f" {every}" if as_list else "".join(f"\n  {k}: {name}" for k, name in enumerate(every))
+    return "".join(f"{k}: {v}\n" for k, v in head.items()) + f"names:{named}\n"
+
+
+def classes_text(names: list[str]) -> str:
+    """The dialect of labelling tools: a name a line."""
+    return "".join(f"{name}\n" for name in names)
 
 
 def overlays(gt: DataFrame, pred: DataFrame) -> DataFrame:

@@ -75,3 +75,54 @@ def test_incremental(spark, tmp_path):
     work = lambda df: df.withColumn("status", F.when(F.col("id") == 1, "api_fail").otherwise("plated"))
     assert incremental.retry_failures(f"{at}/done", rows, "id", work).count() == 2
     assert [r.id for r in incremental.retry_failures(f"{at}/done", rows, "id", work).collect()] == [1]
+
+
+def png(width, height):
+    return b"\x89PNG\r\n\x1a\n\0\0\0\x0dIHDR" + width.to_bytes(4, "big") + height.to_bytes(4, "big") + b"\x08\x02\0\0\0" + bytes(4)
+
+
+def make_model():
+    """Two vehicles in each image; the second is a copy that is suppressed."""
+    return lambda batch: [[(10, 10, 60, 60, 0.9, 3), (10, 10, 60, 59, 0.8, 3), (0, 0, 3, 3, 0.7, 2)] for _ in batch]
+
+
+def make_service():
+    return lambda content: '{"plates":[{"confidence":0.9,"ocr_confidence":0.9,"plate":"AB123","bbox":[20,20,40,30]}]}'
+
+
+def make_client():
+    return lambda url: png(100, 100) if "good" in url else b""
+
+
+def test_a_batch_from_addresses_to_metrics(spark, tmp_path, capsys, monkeypatch):
+    from boxloom import __main__ as cli
+
+    monkeypatch.syspath_prepend(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    at, here = str(tmp_path), "tests.test_sources"
+    put(f"{at}/t.csv", "entry_image_url,exit_image_url\nhttp://h/good1.png,http://h/bad.png\nhttp://h/good2.png,none\n")
+    cli.main(["add-dataset", "--name", "n", "--orientation", "back", "--base", at, "--merged", f"{at}/m", "--csv", f"{at}/t.csv", "--model", f"{here}:make_model", "--plates", f"{here}:make_service", "--client", f"{here}:make_client"])
+    assert sorted(os.listdir(f"{at}/n_images")) == ["good1.png", "good2.png"]
+    assert [r.error for r in spark.read.option("header", True).csv(f"{at}/n_images_failed").collect()] == ["empty body"]
+    assert open(f"{at}/m/labels/good1.txt").read() == "1 0.350000 0.350000 0.500000 0.500000\n4 0.300000 0.250000 0.200000 0.100000"
+    cli.main(["download", "--urls", f"{at}/n_urls", "--out", f"{at}/n_images", "--client", f"{here}:make_client"])  # only what failed
+    assert "ok" not in capsys.readouterr().out.split("status|n")[-1]
+    cli.main(["split", "--images", f"{at}/n_images", "--labels", f"{at}/m/labels", "--out", f"{at}/s", "--ratios", "0.5,0.5,0", "--names", "1:bike_back,4:reg_plate"])
+    assert "names: ['class_0', 'bike_back', 'class_2', 'class_3', 'reg_plate']" in open(f"{at}/s/data.yaml").read()
+    pred = spark.createDataFrame([("good1", 10.0, 10.0, 60.0, 60.0, 0.9, 1), ("good2", 10.0, 10.0, 60.0, 60.0, 0.8, 1)], "image_id string, x1 double, y1 double, x2 double, y2 double, conf double, cls int")
+    pred.write.parquet(f"{at}/pred")
+    where = ["--images", f"{at}/n_images", "--labels", f"{at}/m/labels", "--detections", f"{at}/pred"]
+    for job in (["metrics", "--only", "1"], ["classification"], ["bad-predictions"], ["plate-errors"], ["review"]):
+        cli.main([*job, *where])
+    said = capsys.readouterr().out
+    assert "|1.0 |1.0|2  |0  |0  |1.0      |1.0   |1.0|" in said
+    cli.main(["distribution", "--labels", f"{at}/m/labels", "--version", "2"])
+    assert "|1  |bike_back     |2    |2     |100.0    |" in capsys.readouterr().out
+    cli.main(["merge", "--sources", f"{at}/n_dataset", f"{at}/n_dataset", "--out", f"{at}/again"])
+    assert "collision|2" in capsys.readouterr().out
+
+
+def test_services_and_models_give_rows(spark):
+    rows = spark.createDataFrame([("a", bytearray(b"x"))], "image string, content binary")
+    assert external.detect(rows, make_model).count() == 3
+    got = external.ask_service(rows, make_service).first()
+    assert got.api_error is None and "AB123" in got.payload
