@@ -1,6 +1,8 @@
 """URL filters: rules first, link-graph propagation for hosts that no rule reaches.
 
-Host edges come from the absolute links of pages. Trust spreads from trusted hosts along links
+Host edges come from the absolute links of pages. Seeds are the hosts of pages that a rule decides, and hosts
+that are only linked to where a rule covers a whole host. A rule for a path makes a seed of the host of each
+page that it fits; a host may be a seed of both kinds. Trust spreads from trusted hosts along links
 (personalised PageRank), distrust from blocked hosts against them (who links to bad hosts is suspect). A
 host is blocked when its distrust is above its trust and above the part ``min_score`` / UNIT of what one
 blocked seed host starts with, so how many other seeds share UNIT does not matter. Scores are fixed-point
@@ -8,7 +10,8 @@ integers, so sums do not depend on the order of rows, and a rerun gives the same
 
 Defined results: a null url or one without ``://`` has empty host and path, no rule, and is allowed;
 pages without links, or with links to their own host only, add no edges; without edges every host that no
-rule reaches is allowed; repeated rows get a row each.
+rule reaches is allowed; repeated rows get a row each; rules of equal length go in the order given; very
+long urls and pages are read as a whole; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import ascii_lower, cut, table
+from boxloom.llm.common import ascii_lower, cut, table, written
 
 #: (action, host, path) of the query; a parameter of the operator.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -75,13 +78,16 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataF
     return scores
 
 
-def host_verdicts(pages: DataFrame, html: str, min_score: int = MIN_SCORE, rounds: int = ROUNDS) -> DataFrame:
+def host_verdicts(pages: DataFrame, html: str, rules=RULES, min_score: int = MIN_SCORE, rounds: int = ROUNDS) -> DataFrame:
     """(host, trust, distrust, method_verdict) of hosts that propagation reaches; ``pages`` has host, fit."""
     edges = cut(host_edges(pages, html))
     none = pages.sparkSession.createDataFrame([], "host string, trust long, distrust long, method_verdict string")
     if edges.isEmpty():
         return none
-    seeds = cut(pages.where("fit IS NOT NULL AND host <> ''").select("host", "fit.verdict").distinct())
+    judged = written(pages.where("fit IS NOT NULL AND host <> ''").select("host", "fit.verdict").distinct())
+    # hosts that are linked to, but have no page here, fit the rules for whole hosts
+    linked = written(edges.select(F.col("dst").alias("host")).distinct()).select("host", rule_of(F.col("host"), F.lit("/"), rules).alias("fit"))
+    seeds = judged.unionByName(written(linked.where("fit IS NOT NULL").select("host", "fit.verdict"))).distinct()
     trust = propagate(edges, seeds.where("verdict = 'allow'").select("host"), rounds).withColumnRenamed("score", "trust")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     blocked = seeds.where("verdict = 'block'").select("host")
@@ -95,7 +101,7 @@ def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     """``key``, host, path, rule, verdict, trust, distrust of each page."""
     parsed = pages.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), F.col(html).alias("html"))
     fitted = parsed.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
-    verdicts = host_verdicts(fitted, "html", min_score, rounds)
+    verdicts = host_verdicts(fitted, "html", rules, min_score, rounds)
     return (
         fitted.drop("html")
         .join(verdicts, "host", "left")
