@@ -1,23 +1,29 @@
 """PII spans by weak-supervision aggregation.
 
 A worker finds base spans by exact patterns with checks, and candidate spans by broad ones: addresses
-written out with (at), national telephone numbers, account and social security numbers, and the base spans
-themselves. Labelers vote +1, -1 or 0 on each candidate: shape (regular expression), gazetteer, context
-words, checksum or digit count, and boundary. How often each combination of kind, votes and features
+written out with (at), national telephone numbers, account and social security numbers, keys and tokens
+(long runs of letters and digits), street addresses, names behind a title, and the base spans themselves.
+Labelers vote +1, -1 or 0 on each candidate: shape (regular expression), gazetteer, context words for or
+against it, checksum, digit count or entropy, and boundary; they may disagree. How often each combination of kind, votes and features
 occurs is counted over the whole corpus; there are at most a few thousand combinations, whatever the
 corpus. On these counts, expectation-maximisation estimates how reliable each labeler is and how probable
 each combination; a logistic model on the features, fitted to these probabilities, is the span classifier.
 Candidates that it accepts are added; base spans always stay.
 
 Defined results: null and empty texts have no spans; repeated rows give a row each; a candidate that
-overlaps a base span is never added; a corpus without candidates adds none.
+overlaps a base span is never added; a corpus without candidates adds none; very long texts are read as a
+whole, in linear time; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +33,7 @@ from pyspark.sql import functions as F
 from boxloom.llm.common import table, written
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("email_written", "phone_national", "iban", "ssn")
+MORE_KINDS = ("email_written", "phone_national", "iban", "ssn", "secret", "street", "name")
 KINDS = BASE_KINDS + MORE_KINDS
 #: A candidate is added from this probability on.
 ACCEPT = 0.9
@@ -46,6 +52,16 @@ _NUMBER = re.compile(r"(?<![0-9A-Za-z.@+-])\(?[0-9]{2,5}\)?(?:[ ./-]{1,2}[0-9]{2
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
 _NATIONAL = re.compile(r"\(?0?[0-9]{2,4}\)?[ /-][0-9]{3,4}[ -]?[0-9]{3,4}")
 
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{0,200}[0-9])(?=[A-Za-z0-9+/_-]{0,200}[A-Za-z])[A-Za-z0-9+/_-]{16,200}={0,2}(?![A-Za-z0-9+/_=-])")
+_HEX = re.compile(r"(?:[0-9a-f]{24,}|[0-9A-F]{24,})")
+_STREET = re.compile(r"(?<![A-Za-z0-9.,-])[0-9]{1,5}[a-z]? (?:[A-Z][a-z]{1,20} ){1,3}[A-Z][a-z]{1,10}\b")
+_NAME = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof)\b\.? [A-Z][a-z]{1,20}(?: [A-Z][a-z]{1,20})?")
+_ASSIGNED = re.compile(r"""[A-Za-z]["']? ?(?::|=|:=|=>) ?["']?$""")
+
+#: How keys of well-known services begin, words that streets end on, frequent first names.
+PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "sk-", "sk_live_", "xoxb-", "xoxp-", "eyJ", "AIza", "glpat-")
+STREETS = frozenset("Street St Road Rd Avenue Ave Lane Ln Drive Dr Boulevard Blvd Square Court Way Place".split())
+NAMES = frozenset("James Mary John Anna Robert Maria Michael Peter Paul Laura David Thomas Sarah Julia Carlos Marie Pierre Hans".split())
 #: Endings of addresses, and states that issue account numbers.
 ENDINGS = frozenset("com org net edu gov info biz io de fr es it nl uk eu at ch pl".split())
 IBAN_STATES = frozenset("AT BE CH CZ DE DK ES FI FR GB IE IT LU NL NO PL PT SE".split())
@@ -54,6 +70,16 @@ FOR_WORDS = frozenset("mail email e-mail contact tel phone telephone call fax mo
 AGAINST_WORDS = frozenset("version isbn page no number order item id section vol chapter year lines row total".split())
 
 
+#: The same for keys and tokens.
+SECRET_WORDS = frozenset("token key secret password passwd pwd api apikey auth bearer credential credentials access private".split())
+HASH_WORDS = frozenset("sha md commit hash digest checksum revision etag build version id uuid path file".split())
+
+
+def entropy(s: str) -> float:
+    """Bits a character."""
+    return -sum(n / len(s) * math.log2(n / len(s)) for n in Counter(s).values())
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for k, c in enumerate(reversed(digits)):
@@ -62,6 +88,10 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+#: What any pattern starts from.
+STARTS = r"[@0-9]|[(\[{]at[)\]}]|\b(?:Mr|Mrs|Ms|Dr|Prof)\b"
+
+
 def _digits(s: str) -> str:
     return re.sub("[^0-9]", "", s)
 
@@ -100,30 +130,43 @@ def _code(kind: int, text: str, a: int, b: int) -> int:
     digits = _digits(span)
     before = text[max(0, a - 30) : a].lower()
     words = re.findall(r"[a-z-]+", before)[-3:]
-    shape = {"email_written": "dot" in span or "." in span, "phone_national": bool(_NATIONAL.fullmatch(span)), "iban": True, "ssn": True}.get(name, True)
+    shape = {"email_written": "dot" in span or "." in span, "phone_national": bool(_NATIONAL.fullmatch(span)), "secret": bool(_HEX.fullmatch(span)) or (any(c.isupper() for c in span) and any(c.islower() for c in span)), "street": span.rsplit(" ", 1)[-1] in STREETS, "name": span.count(" ") == 2}.get(name, True)
     if name.startswith("email"):
         gazetteer = re.split(r"[^A-Za-z0-9]+", span.rstrip(")]}"))[-1].lower() in ENDINGS
     elif name == "iban":
         gazetteer = span[:2] in IBAN_STATES
+    elif name == "secret":
+        gazetteer = True if span.startswith(PREFIXES) else None
+    elif name == "street":
+        gazetteer = span.rsplit(" ", 1)[-1] in STREETS
+    elif name == "name":
+        gazetteer = True if NAMES & set(span.split(" ")) else None
     else:
         gazetteer = None
-    context = True if any(w in FOR_WORDS for w in words) else False if any(w in AGAINST_WORDS for w in words) else None
+    speak_for, against = (SECRET_WORDS, HASH_WORDS) if name == "secret" else (FOR_WORDS, AGAINST_WORDS)
+    context = None
+    for w in words:  # the nearest word counts
+        context = True if w in speak_for else False if w in against else context
     if name == "iban":
         check = _iban_holds(span)
     elif name == "card":
         check = luhn(digits)
     elif name == "ssn":
         check = digits[:3] not in ("000", "666") and digits[0] != "9"
+    elif name == "secret":
+        turns = len(re.findall(r"[0-9]+|[A-Za-z]+", span))  # random letters and digits take turns
+        check = True if entropy(span) >= 3 and turns >= 5 else False if entropy(span) < 2.5 or turns < 3 else None
     elif name.startswith("phone"):
         check = 9 <= len(digits) <= 15
     else:
         check = None
     left, right = text[a - 1 : a], text[b : b + 1]
-    bound = not (left.isalnum() or right.isalnum())
+    assigned = name == "secret" and bool(_ASSIGNED.search(text[max(0, a - 12) : a]))
+    bound = assigned if name == "secret" else not (left.isalnum() or right.isalnum())  # a value, not a word of prose
     code = kind
     for vote in (shape, gazetteer, context, check, bound):
         code = code * 3 + (1 if vote is None else 2 * vote)
-    for feature in (min(3, len(span) // 8), min(3, len(digits) // 4), int(left.isspace() or not left), int("\n" in text[b : b + 2] or not right), int("(" in span)):
+    for feature in (min(3, len(span) // 8), min(3, len(digits) // 4), int(left.isspace() or not left), int("\n" in text[b : b + 2] or not right), int(assigned or (name != "secret" and "(" in span))):
         code = code * 4 + feature
     return code
 
@@ -148,13 +191,19 @@ def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[
     taken = sorted(x for spans in base.values() for x in spans)
     out = [(k, a, b, _code(k, text, a, b)) for k, name in enumerate(BASE_KINDS) for a, b in base[name]]
 
+    stops = list(accumulate((y for _, y in taken), max))  # spans of different kinds may overlap
+
     def free(a: int, b: int) -> bool:
-        return not any(x < b and a < y for x, y in taken)
+        k = bisect_left(taken, (b,))
+        return k == 0 or stops[k - 1] <= a
 
     found: list[tuple[int, int, int]] = []
     if "at" in text:
         found += [(4, *m.span()) for m in _WRITTEN.finditer(text)]
     found += [(6, *m.span()) for m in _IBAN.finditer(text)]
+    found += [(8, *m.span()) for m in _SECRET.finditer(text)]
+    found += [(9, *m.span()) for m in _STREET.finditer(text)]
+    found += [(10, *m.span()) for m in _NAME.finditer(text)]
     found += [(7 if _SSN.fullmatch(m[0]) else 5, *m.span()) for m in _NUMBER.finditer(text) if 7 <= len(_digits(m[0])) <= 12]
     end = -1
     for kind, a, b in sorted(found, key=lambda x: x[1:]):
@@ -167,7 +216,7 @@ def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[
 def span_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, kinds, starts, stops, codes) of each row: arrays of the base spans and candidates in it."""
     # most texts hold nothing that any pattern starts from, and need not travel
-    body = F.when(F.col(text).rlike(r"[@0-9]|[(\[{]at[)\]}]"), F.col(text))
+    body = F.when(F.col(text).rlike(STARTS), F.col(text))
     schema = f"key {docs.schema[key].dataType.simpleString()}, kinds array<int>, starts array<int>, stops array<int>, codes array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +241,8 @@ class SpanModel:
             return
         kind, votes, _ = _decode(codes)
         n = counts.astype(float)
-        p = 1 / (1 + np.exp(-1.5 * (votes - 1).sum(1)))  # the majority, to begin with
+        # the majority, to begin with; context counts more, as only it tells a key from a digest
+        p = 1 / (1 + np.exp(-1.5 * ((votes - 1) * (1, 1, 2.5, 1, 1)).sum(1)))
         for _ in range(rounds):
             log = np.zeros((len(codes), 2))
             self.reliability = np.zeros((2, N_VOTES, 3))
@@ -238,11 +288,11 @@ def train(spans: DataFrame) -> SpanModel:
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text", accept: float = ACCEPT) -> DataFrame:
-    """``key``, counts and digest of base spans, and all spans, of each row of ``docs``."""
+    """``key``, counts and digest of base spans, all spans and how many they are, of each row of ``docs``."""
     spans = written(span_table(docs, key, text))
     model = train(spans)
-    names = [key, *[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans"]
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"n_{k} long" for k in BASE_KINDS) + ", base_sha256 string, spans string"
+    names = [key, *[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans", "n_spans"]
+    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"n_{k} long" for k in BASE_KINDS) + ", base_sha256 string, spans string, n_spans long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,9 +304,9 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", accept: float
                     good = model.score(np.array(codes, np.int64)) >= accept
                     every = sorted(x for x, g in zip(zip(kinds, starts, stops), good) if g or x[0] < len(BASE_KINDS))
                 said = [",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in xs) for xs in (base, every)]
-                rows.append((*[sum(k == i for k, _, _ in base) for i in range(4)], hashlib.sha256(said[0].encode()).hexdigest(), said[1]))
-            cols = list(zip(*rows)) if rows else [()] * 6
-            types = [pa.int64()] * 4 + [pa.string()] * 2
+                rows.append((*[sum(k == i for k, _, _ in base) for i in range(4)], hashlib.sha256(said[0].encode()).hexdigest(), said[1], len(every)))
+            cols = list(zip(*rows)) if rows else [()] * 7
+            types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), *[pa.array(c, t) for c, t in zip(cols, types)]], names)
 
     return spans.mapInArrow(run, schema)
@@ -286,7 +336,7 @@ def redact(docs: DataFrame, text: str = "text", accept: float = ACCEPT, model: S
                 out.append(t if not spans else "".join([*parts, t[done:]]))
             yield batch.set_column(at, text, pa.array(out, pa.string()))
 
-    hit = F.col(text).rlike(r"[@0-9]|[(\[{]at[)\]}]")
+    hit = F.col(text).rlike(STARTS)
     clean = docs.where(~F.coalesce(hit, F.lit(False)))
     return clean.unionByName(docs.where(F.coalesce(hit, F.lit(False))).mapInArrow(run, docs.schema))
 
