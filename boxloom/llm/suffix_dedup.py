@@ -97,17 +97,17 @@ def anchors(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return places, h, low
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+def _chunks(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
     """(rows, bytes, ends, place in the text) of parts of a batch with a column ``raw`` of binaries.
 
-    Texts longer than a chunk come in pieces that overlap by LENGTH - 1 bytes: each window lies in one of them.
+    Texts longer than ``size`` come in pieces that overlap by LENGTH - 1 bytes: each window lies in one of them.
     """
-    for a, b, data, ends in chunks(batch.column("raw"), CHUNK):
-        if b - a > 1 or len(data) <= CHUNK:
+    for a, b, data, ends in chunks(batch.column("raw"), size):
+        if b - a > 1 or len(data) <= size:
             yield np.arange(a, b), data, ends, 0
             continue
-        for at in range(0, len(data) - LENGTH + 1, CHUNK):
-            piece = data[at : at + CHUNK + LENGTH - 1]
+        for at in range(0, len(data) - LENGTH + 1, size):
+            piece = data[at : at + size + LENGTH - 1]
             yield np.array([a]), piece, np.array([len(piece)]), at
 
 
@@ -117,7 +117,7 @@ def gram_table(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            for rows, raw, ends, _ in _chunks(batch):
+            for rows, raw, ends, _ in _chunks(batch, CHUNK):
                 at, h, _ = anchors(raw, ends)
                 yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(keys[rows[np.searchsorted(ends, at, "right")]])], ["h", "key"])
 
@@ -135,7 +135,7 @@ def fragment_table(docs: DataFrame, held) -> DataFrame:
         least: dict[bytes, int] = {}  # of fragments that were sent on: their least document
         for batch in batches:
             keys, hashes = batch.column("key").to_numpy(), batch.column("th").to_numpy()
-            for rows, raw, ends, shift in _chunks(batch):
+            for rows, raw, ends, shift in _chunks(batch, CHUNK):
                 at, h, low = anchors(raw, ends)
                 place = bit_of(h[at], len(bits) * 64)
                 at = at[(bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1]
