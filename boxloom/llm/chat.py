@@ -2,7 +2,8 @@ r"""Chat formatting by event-sourced reconstruction.
 
 A log holds one row an event: (conv_id, turn, seq, kind, role, text). Kinds: ``message`` begins a message
 of its turn with a role and a text; ``delta`` appends to the newest message of the turn; ``edit`` replaces
-its text; ``regenerate`` takes the text back and drops what was said in later turns before it. The log is
+its text; ``regenerate`` takes the text back and drops every event of later turns before it, their own
+regenerates included. The log is
 partitioned by conversation and sorted by (turn, seq); a worker folds it as a stream, so it holds one
 message at a time, and a conversation with a third of all rows needs no more memory than a short one.
 
@@ -11,8 +12,10 @@ a backslash: ``\`` becomes ``\\``, ``### `` becomes ``#\## ``, ``</turn>`` becom
 also escapes ``:``. Taking a backslash off each escaped character reads the text back.
 
 Defined results: a null text or role is empty; rows of the same turn are messages each, ordered by seq,
-role and text; null conv_ids are one conversation; a delta, edit or regenerate of a turn that has no
-message begins one with its own role; an empty log gives no rows.
+role and text; null conv_ids are one conversation; a null seq is before all others; a delta, edit or
+regenerate of a turn that has no message begins one with its own role; repeated events count as often as
+they are there; an empty log gives no rows; very long texts are held one at a time; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -82,13 +85,12 @@ def fold(events: Iterator[tuple]) -> Iterator[tuple]:
             if conv != (conv_id,):
                 conv, dropped = (conv_id,), None
             group = key
+        if dropped is not None and (seq is None or seq < dropped):
+            continue
         if kind == "regenerate":
-            if dropped is None or seq > dropped:
-                dropped = seq
+            dropped = seq if seq is not None else dropped
             role = held[0][1] if held else role
             held[:] = [[seq, role, [text]]]
-        elif dropped is not None and seq is not None and seq < dropped:
-            continue
         elif kind == "message" or not held:
             if held:
                 yield (*group, held[0][1], "".join(held[0][2]))
