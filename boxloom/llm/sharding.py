@@ -7,11 +7,13 @@ into the open shard with the tightest room left, found in a balanced tree; the s
 all items fit the shards is found by bisection, which makes the shards near equal (law ``bytes``).
 
 Slots come from per-part counts and a rank inside each part: parts hold about ``part_rows`` rows of one
-item, so an item with a third of all rows is ranked by many tasks.
+item, dealt out by key and place in the input, so an item with a third of all rows is ranked by many tasks,
+also if all have one key. Slots of an item that needs several parts depend on the order of the input.
 
 Defined results: a null text has 0 bytes and shares the group of the empty text; repeated rows and null
 doc_ids get a slot each; an empty table gives no rows; a group larger than a shard's fair share has a
-shard to itself. Other columns are ignored.
+shard to itself; groups of equal size go in the order of the hashes of their texts; very long texts count
+like others. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -114,8 +116,29 @@ def pack_evenly(sizes: list[int], shards: int) -> list[int]:
     return out
 
 
-def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS, bundles: int = BUNDLES, fine: int = FINE, part_rows: int = PART_ROWS) -> DataFrame:
-    """``key``, size, text_crc32, law, shard, slot, grown_shard of each row of ``docs``."""
+def pack_into(sizes: list[int], capacity: int) -> list[int]:
+    """The shard of each item under ``capacity``: best fit decreasing, which opens a shard where no open one has room.
+
+    An item above the capacity has a shard to itself.
+    """
+    if capacity <= 0:
+        raise ValueError("a capacity above 0 is needed")
+    rooms, opened, out = Rooms(), 0, [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        got = rooms.take_tightest(sizes[i]) if sizes[i] <= capacity else None
+        if got is None:
+            got, opened = (max(capacity, sizes[i]), opened), opened + 1
+        out[i] = got[1]
+        rooms.put((got[0] - sizes[i], got[1]))
+    return out
+
+
+def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS, bundles: int = BUNDLES, fine: int = FINE, part_rows: int = PART_ROWS, capacity: int | None = None) -> DataFrame:
+    """``key``, size, text_crc32, law, shard, slot, grown_shard of each row of ``docs``.
+
+    With a ``capacity`` in bytes, as many shards are opened as best fit decreasing needs; ``shards`` then only
+    says how large a group must be to be packed by itself.
+    """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
     rows = cut(
@@ -125,7 +148,8 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
             F.crc32(body).alias("text_crc32"),
             F.xxhash64(F.md5(body)).alias("a"),
             F.xxhash64(F.lit(1), F.md5(body)).alias("b"),
-        ).select("key", F.coalesce("had", F.lit(ROW_BYTES).cast("long")).alias("size"), "text_crc32", "a", "b")
+            F.xxhash64(F.monotonically_increasing_id()).alias("salt"),  # settled here: rows are kept
+        ).select("key", F.coalesce("had", F.lit(ROW_BYTES).cast("long")).alias("size"), "text_crc32", "a", "b", "salt")
     )
     groups = cut(rows.groupBy("a", "b").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")))
     total = groups.agg(F.sum("bytes")).first()[0] or 0
@@ -139,7 +163,11 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
     sizes = [*alone["bytes"].tolist(), *rest["bytes"].tolist()]
     items = [*alone["item"].tolist(), *rest["item"].tolist()]
     counts = [*alone["n"].tolist(), *rest["n"].tolist()]
-    where = pack_evenly(sizes, shards)
+    if capacity is None:
+        where = pack_evenly(sizes, shards)
+    else:
+        where = pack_into(sizes, capacity)
+        shards = max(where, default=-1) + 1
     begin, next_slot = [], [0] * shards
     for k, n in zip(where, counts):
         begin.append(next_slot[k])
@@ -151,7 +179,7 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
         rows.join(F.broadcast(own), ["a", "b"], "left")
         .withColumn("item", F.coalesce("own", bundle))
         .join(F.broadcast(places), "item")
-        .withColumn("part", F.pmod(F.xxhash64(F.lit(3), "key", "a"), F.col("parts")))
+        .withColumn("part", F.pmod(F.xxhash64(F.lit(3), "key", "salt"), F.col("parts")))
     )
     per_part = placed.groupBy("item", "part").agg(F.count("*").alias("in_part"))
     before = per_part.withColumn("earlier", F.sum("in_part").over(Window.partitionBy("item").orderBy("part")) - F.col("in_part")).drop("in_part")
