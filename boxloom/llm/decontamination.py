@@ -1,18 +1,23 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame operations only.
 
-Tokens are lower-cased runs of letters and digits; in scripts without spaces each letter is one. Fixed masks over neighbouring tokens ignore some
-positions, so a seed survives a substituted token there. Seeds of all benchmark items set bits in a map
-of fixed size; a text keeps only the places whose seed is in the map (two bits by independent hashes), and
-these places join the benchmark seeds exactly. Around each hit the neighbourhoods of both are laid side by
-side and the best run is scored: +1 for an equal token, -2 for a different one. A text and an item overlap
-when the run reaches ``min_score``, or four fifths of an item that is shorter, or when the tokens equal in
-that position of the two reach four fifths of the item.
+Tokens are lower-cased runs of letters and digits; in scripts without spaces each letter is one. Fixed masks
+over neighbouring tokens ignore some positions, so a seed survives a substituted token there. Seeds of all
+benchmark items set bits in a map of fixed size; a text keeps only the places whose seed is in the map (two
+bits by independent hashes), and these places join the benchmark seeds exactly. Around each hit the
+neighbourhoods of both, AROUND tokens to each side, are laid side by side and the best run is scored: +1 for
+an equal token, -2 for a different one. A text and an item overlap when the run reaches ``min_score``, or
+four fifths of an item that is shorter, or when the tokens equal in that position of the two reach four
+fifths of the item. Scores and equal tokens count what lies in the neighbourhood, 65 tokens at most.
+
+Items of fewer than ``min_item`` tokens are too short for the masks. With ``short_items`` they match word for
+word: one seed of all their tokens, looked up at every place of the texts. Without it they match nothing.
 
 Hot seeds: texts are matched in a join on the seed that AQE can split, and what leaves it is merged by
 (document, item) with partial sums before the shuffle. Only the benchmark's seeds are ever repeated for a
-place. Defined results: null and empty texts and items match nothing; items with fewer than ``min_item``
-tokens match nothing; repeated items count as one each by their id; repeated documents give one row
-together; no benchmark gives no rows.
+place. Defined results: null and empty texts and items match nothing; repeated items count as one each by
+their id; repeated documents give one row together, and so do documents without a key; of several hits the
+greatest score and the greatest number of equal tokens stand; very long texts are read as a whole; no
+benchmark gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,7 +46,7 @@ def token_hashes(text: Column) -> Column:
 
 def _seed(h: Column, at: Column, mask: tuple[int, ...]) -> Column:
     """The seed of a mask laid at place ``at`` (from 0) of the hashes ``h``."""
-    return F.xxhash64(F.lit(mask[-1] * 100 + mask[1]), *[F.get(h, at + k) if k else F.get(h, at) for k in mask])
+    return F.xxhash64(F.lit(sum(1 << k for k in mask)), *[F.get(h, at + k) if k else F.get(h, at) for k in mask])
 
 
 def _places(h: Column, mask: tuple[int, ...]) -> Column:
@@ -55,15 +60,25 @@ def _around(h: Column, at: Column) -> Column:
     return F.transform(F.sequence(F.lit(-AROUND), F.lit(AROUND)), lambda k: F.when(at + k >= 0, F.get(h, at + k)))
 
 
-def benchmark_seeds(benchmark: DataFrame, key: str, text: str, min_item: int) -> DataFrame:
-    """(seed, item, item_tokens, item_around) of all places and masks of items with ``min_item`` tokens or more."""
-    items = benchmark.select(F.col(key).alias("item"), token_hashes(F.col(text)).alias("ih")).where(F.size("ih") >= min_item)
+def whole(n: int) -> tuple[int, ...]:
+    """The mask of an item of ``n`` tokens that must match word for word."""
+    return tuple(range(n))
+
+
+def benchmark_seeds(benchmark: DataFrame, key: str, text: str, min_item: int, short: bool = False) -> DataFrame:
+    """(seed, item, item_tokens, item_around) of all places and masks of items with ``min_item`` tokens or more.
+
+    With ``short``, also of the others: their one seed.
+    """
+    items = benchmark.select(F.col(key).alias("item"), token_hashes(F.col(text)).alias("ih")).where(F.size("ih") >= (1 if short else min_item))
     ih = F.col("ih")
 
     def of(mask: tuple[int, ...]) -> Column:
         return F.transform(_places(ih, mask), lambda i: F.struct(_seed(ih, i, mask).alias("seed"), i.alias("q")))
 
     each = F.concat(*map(of, MASKS))
+    for n in range(1, min_item):
+        each = F.when(F.size(ih) == n, F.array(F.struct(_seed(ih, F.lit(0), whole(n)).alias("seed"), F.lit(0).alias("q")))).otherwise(each)
     hits = items.select("item", "ih", F.explode(each).alias("x"))
     return hits.select(F.col("x.seed").alias("seed"), "item", F.size("ih").alias("item_tokens"), _around(F.col("ih"), F.col("x.q")).alias("item_around"))
 
@@ -80,9 +95,12 @@ def _best_run(a: Column, b: Column) -> Column:
     return F.aggregate(same, start, step)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", min_score: int = MIN_SCORE, min_item: int = MIN_ITEM, map_bits: int = MAP_BITS) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", min_score: int = MIN_SCORE, min_item: int = MIN_ITEM, map_bits: int = MAP_BITS, short_items: bool = False) -> DataFrame:
     """``key``, ``item_key``, score and equal tokens of each document and item that overlap."""
-    seeds = written(benchmark_seeds(benchmark, item_key, item_text, min_item))
+    seeds = written(benchmark_seeds(benchmark, item_key, item_text, min_item, short_items))
+    # the lengths that short items have: fewer than min_item numbers
+    lengths = [r.item_tokens for r in seeds.where(F.col("item_tokens") < min_item).select("item_tokens").distinct().orderBy("item_tokens").collect()]
+    masks = [*MASKS, *[m for m in map(whole, lengths) if m not in MASKS]]
     marks = seeds.select("seed").unionByName(seeds.select(F.xxhash64(F.lit(5), "seed").alias("seed")))
 
     def found(h: Column, map_: Column) -> Column:
@@ -93,7 +111,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
             there = F.filter(_places(h, mask), lambda i: let(_seed(h, i, mask), known))
             return F.transform(there, lambda i: F.struct(_seed(h, i, mask).alias("seed"), _around(h, i).alias("around")))
 
-        return F.concat(*map(of, MASKS))
+        return F.concat(*map(of, masks))
 
     # named once, so that the optimizer puts the subquery's value in place instead of a copy into each row
     with_map = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), bitmap(marks, "seed", map_bits).scalar().alias("map"))
@@ -111,7 +129,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 QUERIES = {"op10_decontamination": op10_decontamination}
