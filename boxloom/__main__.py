@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from boxloom import jobs
 
-JOBS = {f.__name__.replace("_", "-"): f for f in (jobs.extract_urls, jobs.download, jobs.remove_duplicates, jobs.brightness, jobs.merge, jobs.split, jobs.label, jobs.add_plates, jobs.add_dataset, jobs.distribution, jobs.classification, jobs.metrics, jobs.bad_predictions, jobs.plate_errors, jobs.review)}
+JOBS = {f.__name__.replace("_", "-"): f for f in (jobs.extract_urls, jobs.download, jobs.remove_duplicates, jobs.brightness, jobs.merge, jobs.split, jobs.label, jobs.add_plates, jobs.add_dataset, jobs.recover_plates, jobs.draw, jobs.crops, jobs.distribution, jobs.classification, jobs.metrics, jobs.bad_predictions, jobs.plate_errors, jobs.review)}
 
 
 def _ratios(text: str) -> tuple[float, ...]:

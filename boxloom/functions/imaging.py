@@ -1,7 +1,9 @@
-"""Pixels: brightness and perceptual hash, in Arrow batches of the decoded data."""
+"""Pixels: brightness, perceptual hash, outlines and crops, in Arrow batches of the decoded data."""
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,3 +59,68 @@ def phash(data: Column, height: Column, width: Column, channels: Column) -> Colu
             yield _each(s, phash_of, None).astype("Int64")
 
     return F.pandas_udf(of, "long")(data, height, width, channels)
+
+
+# ---- drawing and cropping ------------------------------------------------------------------------------
+
+#: Blue, green and red of what is drawn, by kind; anything else is drawn like a detection.
+COLOURS = {"gt": (0, 255, 0), "pred": (0, 0, 255), "plate": (255, 255, 0)}
+
+
+def pixels(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
+    """A blue-green-red image as an array that may be written to."""
+    x = np.frombuffer(data, np.uint8).reshape(height, width, channels)
+    return np.repeat(x, 3, 2) if channels == 1 else x[:, :, :3].copy()
+
+
+def png(image: np.ndarray) -> bytes:
+    """A blue-green-red image as a PNG file."""
+    height, width = image.shape[:2]
+    rows = np.zeros((height, 1 + 3 * width), np.uint8)  # each row begins with the number of its filter, 0
+    rows[:, 1:] = image[:, :, ::-1].reshape(height, -1)
+
+    def chunk(kind: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    head = struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows.tobytes(), 6)) + chunk(b"IEND", b"")
+
+
+def outlined(image: np.ndarray, boxes: list, thickness: int = 2) -> np.ndarray:
+    """``image`` with the outlines of (kind, x1, y1, x2, y2), cut off at its edges; boxes without an area draw nothing."""
+    height, width = image.shape[:2]
+    for kind, *corners in boxes:
+        x1, y1, x2, y2 = (int(round(v)) for v in corners)
+        if x2 <= x1 or y2 <= y1:
+            continue
+        ys, xs = (slice(max(0, a), max(0, min(m, b))) for a, b, m in ((y1, y2, height), (x1, x2, width)))
+        colour = COLOURS.get(kind, COLOURS["pred"])
+        for a, b in ((y1, y1 + thickness), (y2 - thickness, y2)):
+            image[max(0, a) : max(0, min(height, b)), xs] = colour
+        for a, b in ((x1, x1 + thickness), (x2 - thickness, x2)):
+            image[ys, max(0, a) : max(0, min(width, b))] = colour
+    return image
+
+
+def drawn(data: Column, height: Column, width: Column, channels: Column, boxes: Column) -> Column:
+    """PNG files of images with the outlines of ``boxes``, an array of structs (kind, x1, y1, x2, y2); null for what cannot be read."""
+
+    def of(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for d, h, w, c, b in batches:
+            yield pd.Series([None if pd.isna(wi) else png(outlined(pixels(di, int(hi), int(wi), int(ci)), [(x["kind"], x["x1"], x["y1"], x["x2"], x["y2"]) for x in (bi if bi is not None else [])])) for di, hi, wi, ci, bi in zip(d, h, w, c, b)], dtype=object)
+
+    return F.pandas_udf(of, "binary")(data, height, width, channels, boxes)
+
+
+def cropped(data: Column, height: Column, width: Column, channels: Column, box: Column) -> Column:
+    """PNG files of the part of each image that ``box``, a struct of whole numbers (x1, y1, x2, y2), covers; null without a part."""
+
+    def of(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.DataFrame]]) -> Iterator[pd.Series]:
+        for d, h, w, c, b in batches:
+            out = []
+            for di, hi, wi, ci, (x1, y1, x2, y2) in zip(d, h, w, c, b[["x1", "y1", "x2", "y2"]].itertuples(index=False)):
+                part = None if pd.isna(wi) or pd.isna(x1) else pixels(di, int(hi), int(wi), int(ci))[max(0, int(y1)) : max(0, int(y2)), max(0, int(x1)) : max(0, int(x2))]
+                out.append(None if part is None or not part.size else png(part))
+            yield pd.Series(out, dtype=object)
+
+    return F.pandas_udf(of, "binary")(data, height, width, channels, box)

@@ -13,10 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxloom.functions import geometry as G
 from boxloom.functions import imaging
 from boxloom.functions import labels as L
 from boxloom.functions import text as X
-from boxloom.functions.geometry import to_yolo
 from boxloom.functions.session import cut
 from boxloom.operators import curation as C
 from boxloom.operators import decisions as D
@@ -151,7 +151,7 @@ def label(spark: SparkSession, images: str, out: str, orientation: str, model: s
     kept = boxes.join(decided.where("status = 'labeled'").select("image_id"), "image_id").join(sizes, "image_id")
     corners, size = [F.col(c) for c in ("x1", "y1", "x2", "y2")], (F.col("width"), F.col("height"))
     kept = kept.where((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")) >= D.BOX_AREA * size[0] * size[1])
-    yolo = dict(zip(("cx", "cy", "w", "h"), to_yolo(*corners, *size)))
+    yolo = dict(zip(("cx", "cy", "w", "h"), G.to_yolo(*corners, *size)))
     text = sinks.label_text(kept.select("image_id", F.col("det_idx").alias("box_idx"), D.batch_class(F.col("cls"), orientation).alias("cls"), *[v.alias(k) for k, v in yolo.items()]))
     sinks.write_files(text.select(F.concat(F.lit("labels/"), X.stem(F.col("image_id")), F.lit(".txt")).alias("name"), F.col("text").alias("content")), out)
     sinks.write_files(rows.join(decided.where("status = 'labeled'"), "image_id").select(F.concat(F.lit("images/"), "image_id").alias("name"), "content"), out)
@@ -202,6 +202,48 @@ def add_plates(spark: SparkSession, images: str, labels: str, service: str) -> D
     return status.groupBy("status").agg(F.count("*").alias("n"))
 
 
+def recover_plates(spark: SparkSession, images: str, labels: str, out: str, model: str, conf: float = 0.45, overlap: float = 0.45) -> DataFrame:
+    """Labels with the plates that a local model finds, below ``out``/recovered, and lists of the images recovered and rejected."""
+    rows = files.images(spark, images).select(F.col("stem").alias("image_id"), "path", "content")
+    sizes = files.image_sizes(rows, "image_id")
+    lines = L.parse(files.label_lines(spark, labels)).withColumnRenamed("stem", "image_id")
+    found = D.suppress(external.detect(rows, named(model), "image_id"), conf, overlap)
+    decided = cut(D.recover_plates(sizes, lines, found).join(rows.select("image_id", "path"), "image_id"))
+    done = decided.where("status = 'recovered'")
+    sinks.write_files(done.select(F.concat(F.lit("labels/"), "image_id", F.lit(".txt")).alias("name"), F.concat(F.array_join("lines", "\n"), F.lit("\n")).alias("content")), f"{out}/recovered")
+    for status in ("recovered", "rejected"):
+        decided.where(F.col("status") == status).select("path").orderBy("path").write.mode("overwrite").text(f"{out}/{status}.list")
+    return decided.groupBy("status").agg(F.count("*").alias("n"))
+
+
+def draw(spark: SparkSession, images: str, labels: str, out: str, detections: str | None = None, limit: int = 0) -> DataFrame:
+    """PNG copies of images with their boxes, and of detections where they are given; counts what is drawn of each class."""
+    rows = files.images(spark, images).select(F.col("stem").alias("image"), "content")
+    gt = files.ground_truth(files.boxes(spark, labels), files.image_sizes(rows).withColumnRenamed("image", "stem"))
+    box = ["x1", "y1", "x2", "y2"]
+    every = gt.select("image_id", F.lit("gt").alias("kind"), "cls", *box)
+    if detections is not None:
+        every = every.unionByName(files.detections(spark, detections).select("image_id", F.lit("pred").alias("kind"), "cls", *box))
+    listed = files.sorted_images(spark, images, limit).select("name")
+    drawn_ = _pixels(spark, images).join(listed, "name", "left_semi").withColumn("image_id", X.stem(F.col("name")))
+    every = cut(every.join(drawn_.select("image_id"), "image_id", "left_semi"))
+    per = every.groupBy("image_id").agg(F.collect_list(F.struct("kind", *box)).alias("boxes"))
+    made = drawn_.join(per, "image_id", "left").select(F.concat("image_id", F.lit(".png")).alias("name"), imaging.drawn("data", "height", "width", "channels", "boxes").alias("content"))
+    sinks.write_files(made.where("content IS NOT NULL"), out)
+    return every.groupBy("kind", "cls").agg(F.count("*").alias("boxes")).orderBy("kind", "cls")
+
+
+def crops(spark: SparkSession, images: str, labels: str, out: str, pad: float = 0.15, least: int = 8) -> DataFrame:
+    """PNG crops of all boxes with ``pad`` of their size around them; those with a side below ``least`` pixels are left out."""
+    boxes = files.boxes(spark, labels).withColumnRenamed("stem", "image_id")
+    decoded = _pixels(spark, images).where("width IS NOT NULL").withColumn("image_id", X.stem(F.col("name")))
+    window = G.padded_crop(*[F.col(c) for c in ("cx", "cy", "w", "h")], F.col("width"), F.col("height"), pad)
+    each = decoded.join(boxes, "image_id").withColumn("box", F.struct(*[v.alias(k) for v, k in zip(window, ("x1", "y1", "x2", "y2"))]))
+    good = each.where((F.col("box.x2") - F.col("box.x1") >= least) & (F.col("box.y2") - F.col("box.y1") >= least))
+    made = good.select(F.format_string("%d/%s_%d.png", "cls", "image_id", "line_no").alias("name"), imaging.cropped("data", "height", "width", "channels", "box").alias("content"))
+    return sinks.write_files(made.where("content IS NOT NULL"), out).agg(F.count("*").alias("crops"))
+
+
 # ---- evaluation ---------------------------------------------------------------------------------------
 
 

@@ -126,3 +126,47 @@ def test_services_and_models_give_rows(spark):
     assert external.detect(rows, make_model).count() == 3
     got = external.ask_service(rows, make_service).first()
     assert got.api_error is None and "AB123" in got.payload
+
+
+def make_plate_model():
+    return lambda batch: [[(2, 2, 12, 8, 0.9, 0)] if len(c) < 2000 else [] for c in batch]
+
+
+def test_pictures_with_outlines_and_crops(spark, tmp_path, capsys):
+    from boxloom import __main__ as cli
+
+    at = str(tmp_path)
+    black = np.zeros((40, 60, 3), np.uint8)
+    noise = np.random.default_rng(1).integers(0, 255, (40, 60, 3)).astype(np.uint8)
+    put(f"{at}/i/a.png", imaging.png(black))
+    put(f"{at}/i/b.png", imaging.png(noise))
+    put(f"{at}/l/a.txt", "1 0.5 0.5 0.5 0.5\n4 .1 .1 .01 .01\n")
+    back = spark.read.format("image").load(f"{at}/i").select("image.*").orderBy("origin").collect()
+    assert bytes(back[1].data) == noise.tobytes() and (back[0].height, back[0].width) == (40, 60)
+    cli.main(["draw", "--images", f"{at}/i", "--labels", f"{at}/l", "--out", f"{at}/d"])
+    x = spark.read.format("image").load(f"{at}/d/a.png").select("image.data").first().data
+    x = np.frombuffer(bytes(x), np.uint8).reshape(40, 60, 3)
+    assert (x[10, 15:45] == (0, 255, 0)).all() and (x[20, 20] == 0).all() and sorted(os.listdir(f"{at}/d")) == ["a.png", "b.png"]
+    cli.main(["crops", "--images", f"{at}/i", "--labels", f"{at}/l", "--out", f"{at}/c"])
+    assert os.listdir(f"{at}/c/1") == ["a_0.png"] and not os.path.exists(f"{at}/c/4")
+    cli.main(["recover-plates", "--images", f"{at}/i", "--labels", f"{at}/l", "--out", f"{at}/r", "--model", "tests.test_sources:make_plate_model"])
+    assert open(f"{at}/r/recovered/labels/a.txt").read() == "1 0.5 0.5 0.5 0.5\n4 0.116667 0.125000 0.166667 0.150000\n"
+    assert [r.value.rsplit("/", 1)[1] for r in spark.read.text(f"{at}/r/rejected.list").collect()] == ["b.png"]
+    assert "recovered|1" in capsys.readouterr().out
+
+
+def test_brightness_and_duplicates_of_a_folder(spark, tmp_path, capsys):
+    from boxloom import __main__ as cli
+
+    at = str(tmp_path)
+    rnd = np.random.default_rng(3)
+    one = rnd.integers(0, 255, (64, 64, 3)).astype(np.uint8)
+    for name, x in (("a", one), ("b", one), ("c", np.clip(one.astype(int) + 2, 0, 255).astype(np.uint8)), ("d", rnd.integers(0, 30, (64, 64, 3)).astype(np.uint8))):
+        put(f"{at}/i/{name}.png", imaging.png(x))
+    put(f"{at}/i/e.png", b"no picture")
+    cli.main(["remove-duplicates", "--images", f"{at}/i", "--out", f"{at}/dup"])
+    got = {r.name[0]: r.reason for r in spark.read.option("header", True).csv(f"{at}/dup").collect()}
+    assert got == {"a": "ok", "b": "exact_duplicate", "c": "near_duplicate", "d": "ok", "e": "corrupt_image"}
+    cli.main(["brightness", "--images", f"{at}/i", "--out", f"{at}/br"])
+    assert [r.name for r in spark.read.option("header", True).csv(f"{at}/br/dark").collect()] == ["d.png"]
+    assert "band" in capsys.readouterr().out
