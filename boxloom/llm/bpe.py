@@ -3,11 +3,12 @@
 Texts are split into pieces on the JVM. A worker encodes each distinct piece once: the piece is a doubly
 linked list of positions, and the new pieces of a batch lie in one such list side by side; every merge
 rank that some adjacent pair has owns a bucket of positions; a two-level bitmap over the ranks finds the
-lowest non-empty bucket by find-first-set. Entries whose pair has changed meanwhile are skipped. A piece of n bytes takes O(n log n) however long it is,
-so one endless "word" does not cost n^2.
+lowest non-empty bucket by find-first-set. Entries whose pair has changed meanwhile are skipped. A piece of
+n bytes takes O(n log n) however long it is, so one endless "word" does not cost n^2.
 
 Defined results: null and empty texts encode to no ids and decode to no bytes; repeated rows and null
-doc_ids give a row each; other columns of the input are ignored by ``digests`` and kept by ``encode``.
+doc_ids give a row each; very long texts and pieces are encoded whole; pairs of equal rank merge from the
+left; other columns of the input, whatever their names, are ignored by ``digests`` and kept by ``encode``.
 """
 
 from __future__ import annotations

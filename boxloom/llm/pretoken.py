@@ -67,6 +67,10 @@ def chunks(batch: pa.RecordBatch, special: str | None = None) -> Iterator[tuple[
         row = end
 
 
+#: Longer pieces are not remembered, so a cache is bounded in bytes as well as in entries.
+LONG_PIECE = 128
+
+
 class TwoAges(dict):
     """A cache of what ``make`` gives for a key: when young entries fill it, they become the old ones."""
 
@@ -90,6 +94,8 @@ class TwoAges(dict):
         return values
 
     def keep(self, key, value) -> None:
+        if len(key) > LONG_PIECE:
+            return
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()

@@ -10,7 +10,8 @@ Learning uses at most ``max_labelled`` labelled rows, those with the least hash
 else covers all rows. Defined results: null and empty texts have no words and fail the base test; rows
 without statistics that a condition needs pass it; labels for unknown ids are ignored, and of several
 labels of an id the lowest quality counts; no labels give an empty list, which keeps what passes the base
-test; repeated rows are judged each for itself.
+test; repeated rows are judged each for itself; of conditions with equal gain the first in the order of
+features and thresholds is taken; very long texts are read as a whole; other columns pass through.
 """
 
 from __future__ import annotations
@@ -225,6 +226,11 @@ def _best(counts: dict[tuple[str, int], tuple[int, int]], cells: dict[str, list[
     return best
 
 
+def passes(text: Column, rules: DecisionList) -> Column:
+    """True for texts that pass the base test and that no rule rejects; their statistics are computed once."""
+    return let(stats(text), lambda s: ~base_failed(s) & rules.verdict(s))
+
+
 def judge(docs: DataFrame, rules: DecisionList, text: str = "text") -> DataFrame:
     """``docs`` with columns base_failed and kept, and ``quality_stats``, replacing columns of these names."""
     judged = docs.withColumn("quality_stats", stats(F.col(text)))

@@ -6,7 +6,8 @@ merges all its occurrences from the left (in runs such as a a a, every other pai
 pair left drop out. The symbols that survive are the tokens; ids are never written.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; the special token's string inside a text
-counts as one token, which is the library's default; repeated rows give a row each.
+counts as one token, which is the library's default; repeated rows and null doc_ids give a row each; very
+long texts and pieces are counted whole; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

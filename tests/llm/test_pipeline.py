@@ -57,10 +57,16 @@ def docs_of(spark, rows=ROWS):
     return spark.createDataFrame(rows, SCHEMA).withColumns(more)
 
 
+def untouched(got, but=()):
+    """Whether the further columns are as ``docs_of`` made them."""
+    more = [c for c in got.columns if c not in ("doc_id", "text", "lang", "source", "n_chars", *but)]
+    return len(more) == 13 and got.where(" OR ".join(f"`{c}` <> 1" for c in more)).count() == 0
+
+
 def test_quality_rules(spark, folder):
     docs = docs_of(spark)
     got = corpus_pipeline.quality_rules(spark, docs, folder)
-    assert got.columns == docs.columns
+    assert got.columns == docs.columns and untouched(got)
     kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
 
     def passes(t):
@@ -73,7 +79,7 @@ def test_quality_rules(spark, folder):
 def test_near_duplicates(spark, folder):
     docs = docs_of(spark)
     got = corpus_pipeline.near_duplicates(spark, docs, folder)
-    assert got.columns == docs.columns
+    assert got.columns == docs.columns and untouched(got)
     classes = brute_classes([r[1] for r in ROWS])
     least = {}
     for (k, *_), (_, _, root) in zip(ROWS, classes):
@@ -86,7 +92,7 @@ def test_near_duplicates(spark, folder):
 def test_benchmark_leaks(spark, folder):
     docs = docs_of(spark)
     got = corpus_pipeline.benchmark_leaks(spark, docs, folder)
-    assert got.columns == docs.columns
+    assert got.columns == docs.columns and untouched(got)
     gone = {d for d, *_ in contaminated([r[:2] for r in ROWS], list(enumerate(ITEMS)), True)} - {None}
     assert gone and sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == sorted((str(k), str(t)) for k, t, *_ in ROWS if k not in gone)
 
@@ -94,7 +100,7 @@ def test_benchmark_leaks(spark, folder):
 def test_private_data(spark, folder):
     docs = docs_of(spark)
     got = corpus_pipeline.private_data(spark, docs, folder)
-    assert got.columns == docs.columns
+    assert got.columns == docs.columns and untouched(got)
     clean = {(r.doc_id, r.text) for r in got.collect()}
     for k, t, *_ in ROWS:
         spans = sorted((a, b, kind) for kind, found in pii.base_spans(t or "").items() for a, b in found)
