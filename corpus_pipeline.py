@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     rows without an id are judged like others, but never labelled.
     """
     rules = quality.learn(docs, table(spark, sf_dir, "labels"))
-    return quality.judge(docs, rules).where("kept").select(*docs.columns)
+    return docs.where(quality.passes(F.col("text"), rules))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
