@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions.session import cut, shared_dir
 
-__all__ = ["Shelf", "ascii_lower", "bitmap", "cut", "let", "may_hold", "shared_dir", "shuffle_partitions", "table", "without", "words", "written"]
+__all__ = ["Shelf", "ascii_lower", "bitmap", "cut", "discard", "let", "may_hold", "shared_dir", "shuffle_partitions", "table", "without", "words", "written"]
 
 #: Words are runs of anything but the ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,11 +22,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: compressed, column-pruned, survives lost executors."""
+#: Tables that this process has written and not deleted yet.
+_WRITTEN: list[str] = []
+
+
+def _stored(df: DataFrame) -> tuple[str, DataFrame]:
     path = f"{shared_dir(df.sparkSession)}/boxloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN.append(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: compressed, column-pruned, survives lost executors."""
+    return _stored(df)[1]
+
+
+def discard(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this process. Results that were not stored elsewhere cannot be read afterwards."""
+    for path in list(_WRITTEN):
+        _delete(spark, path)
 
 
 class Shelf:
@@ -37,9 +59,7 @@ class Shelf:
 
     def put(self, df: DataFrame) -> DataFrame:
         """``df`` as ``written``."""
-        path = f"{shared_dir(self.spark)}/boxloom-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
+        path, out = _stored(df)
         self.paths[path] = out
         return out
 
@@ -47,8 +67,7 @@ class Shelf:
         """Deletes all tables but those in ``keep``; nothing may read them any more."""
         for path, df in list(self.paths.items()):
             if not any(df is k for k in keep):
-                where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+                _delete(self.spark, path)
                 del self.paths[path]
 
 

@@ -308,3 +308,17 @@ def test_without_keeps_clashing_columns(spark):
     docs = spark.range(50).select("id", F.lit(1).alias("map_of_gone"), F.lit(2).alias("key"), F.lit(3).alias("doc"), F.lit(4).alias("held"), F.lit(5).alias("a.b"))
     got = common.without(docs, spark.range(10), "id")
     assert got.columns == docs.columns and sorted(r.id for r in got.collect()) == list(range(10, 50))
+
+
+def test_intermediate_tables_can_be_deleted(spark, tmp_path):
+    shelf = common.Shelf(spark)
+    one, two = shelf.put(spark.range(3)), shelf.put(spark.range(4))
+    three = common.written(spark.range(5))
+    paths = [df.inputFiles()[0].removeprefix("file://") for df in (one, two, three)]
+    shelf.clear(two)
+    assert [os.path.exists(p) for p in paths] == [False, True, True] and two.count() == 4
+    mine = common._WRITTEN[:]
+    common._WRITTEN[:] = [p for p in mine if any(p in x for x in paths)]
+    common.discard(spark)
+    assert not any(os.path.exists(p) for p in paths) and common._WRITTEN == []
+    common._WRITTEN[:] = [p for p in mine if not any(p in x for x in paths)]
