@@ -53,7 +53,7 @@ BUCKET = 12
 #: Rounds of stars in large buckets before their remaining pairs are formed, and the share of buckets that each uses.
 STARS, STAR_SHARE = 2, 8
 #: Signatures that a worker gathers before it sends them on, and members of one signature in these that count as many.
-FLUSH = 2_000_000
+FLUSH = 500_000
 HOT = 64
 #: Sets whose names a worker remembers, to skip copies.
 REMEMBERED = 100_000
@@ -224,6 +224,7 @@ def signature_blocks(docs: DataFrame, text: str, bucket: int, parts: int) -> Dat
 
         def emit() -> pa.RecordBatch:
             sig, sid = (np.concatenate([x[k] for x in held]) for k in range(2))
+            held.clear()
             order = np.argsort(sig)
             sig, sid = sig[order], sid[order]
             begin = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
@@ -257,7 +258,7 @@ def signature_blocks(docs: DataFrame, text: str, bucket: int, parts: int) -> Dat
                 if size_held >= FLUSH or len(seen) > REMEMBERED:
                     if held:
                         yield emit()
-                    held, size_held, turn = [], 0, turn + 1
+                    size_held, turn = 0, turn + 1
                     if len(seen) > REMEMBERED:  # only here: no set is twice in what is sent on together
                         seen.clear()
         if held:
@@ -284,6 +285,7 @@ def bucket_rows(blocks: DataFrame, bucket: int, parts: int) -> DataFrame:
 
         def work(part: int, blocks_: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
             sig, sid = (np.concatenate([x[k] for x in blocks_]) for k in range(2))
+            blocks_.clear()
             order = np.argsort(sig)
             ranked = sig[order]
             same = ranked[1:] == ranked[:-1]
@@ -354,9 +356,9 @@ def set_arrays(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = held.value, set()
         for batch in batches:
-            out = []
             for _, _, s, size, sids in _sets(batch):
                 size = size[size > 0]
+                out = []
                 place = (sids.view(np.uint64) >> np.uint64(20)) & np.uint64(MAP_BITS - 1)
                 may = (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
                 begin = np.cumsum(size) - size
@@ -367,11 +369,11 @@ def set_arrays(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
                     x = s[begin[i] : begin[i] + size[i]]
                     k = int(np.searchsorted(x, np.uint64(1 << 62)))
                     out.append((sid, len(x), x[:k].tobytes(), x[k:].tobytes()))
+                if out:
+                    cols = list(zip(*out))
+                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())], ["sid", "n", "low", "high"])
                 if len(seen) > REMEMBERED:
                     seen.clear()
-            if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())], ["sid", "n", "low", "high"])
 
     found = _raw(docs, text).mapInArrow(run, "sid long, n long, low binary, high binary")
     return found.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
@@ -490,6 +492,7 @@ def dealt_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame:
 
         def emit() -> pa.RecordBatch:
             s, of = (np.concatenate([x[k] for x in held]) for k in range(2))
+            held.clear()
             order, cuts = by_part(s, parts)
             s, of = s[order], of[order]
             rows = []
@@ -505,7 +508,7 @@ def dealt_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame:
                 size += len(s)
                 if size >= FLUSH:
                     yield emit()
-                    held, size = [], 0
+                    size = 0
                     label.clear()
         if held:
             yield emit()
@@ -525,6 +528,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray
     if not held:
         return None
     s, sid, label = (np.concatenate([x[k] for x in held]) for k in range(3))
+    held.clear()
     order = np.argsort(s)
     s, sid, label = s[order], sid[order], label[order]
     begin = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
