@@ -499,10 +499,10 @@ def url_filename(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", X.url_file_name(F.col("url")).alias("file_name"))
 
 
-@query("SELECT host FROM (SELECT regexp_extract(url, '//([^/]*)', 1) AS host FROM pages WHERE html LIKE '%<script%') INTERSECT SELECT regexp_extract(url, '//([^/]*)', 1) FROM pages WHERE NOT coalesce(html LIKE '%<script%', false)")
+@query("SELECT regexp_extract(url, '//([^/]*)', 1) AS host FROM pages WHERE contains(url, '/en/') INTERSECT SELECT regexp_extract(url, '//([^/]*)', 1) FROM pages WHERE NOT contains(url, '/en/')")
 def batch_overlap(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "//([^/]*)", 1).alias("host"), F.coalesce(F.col("html").contains("<script"), F.lit(False)).alias("scripted"))
-    return C.overlap(pages.where("scripted"), pages.where("NOT scripted"), "host")
+    pages = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "//([^/]*)", 1).alias("host"), F.col("url").contains("/en/").alias("english"))
+    return C.overlap(pages.where("english"), pages.where("NOT english"), "host")
 
 
 _MERGE = """WITH m AS (SELECT doc_id, source, concat('img', doc_id % 700) AS label, n_chars >= 100 AS ok FROM documents),
