@@ -53,3 +53,8 @@ def band_label(v: Column) -> Column:
     for low, top in zip(bottoms, BAND_TOPS):
         out = out.when(v < top, f"{low:03d}-{top:03d}")
     return out.otherwise(f"{bottoms[-1]:03d}-plus")
+
+
+def fixed(x: Column, places: int) -> Column:
+    """A number with so many places: its exact value rounded, halves to even, as Python writes it."""
+    return F.replace(F.format_number(x, places), F.lit(","), F.lit(""))

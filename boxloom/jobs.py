@@ -193,7 +193,7 @@ def add_plates(spark: SparkSession, images: str, labels: str, service: str) -> D
     plates = asked.select("image_id", F.posexplode(D.parse_payload(F.col("payload"))).alias("plate_idx", "p")).select("image_id", "plate_idx", F.col("p.plate_confidence").alias("confidence"), F.col("p.bbox").alias("bbox"))
     status = cut(D.plate_status(sizes, plates))
     found = status.where("status = 'plated'").select("image_id", F.posexplode("boxes").alias("k", "b"))
-    added = found.select("image_id", (F.lit(1_000_000) + F.col("k")).alias("line_no"), F.format_string("4 %.6f %.6f %.6f %.6f", "b.cx", "b.cy", "b.w", "b.h").alias("line"))
+    added = found.select("image_id", (F.lit(1_000_000) + F.col("k")).alias("line_no"), F.concat_ws(" ", F.lit("4"), *[X.fixed(F.col(f"b.{c}"), 6) for c in ("cx", "cy", "w", "h")]).alias("line"))
     kept = lines.where(L.any_text(F.col("line"))).select("image_id", "line_no", "line", F.coalesce("cls", F.lit(-1)).alias("cls"))
     every = D.upsert_plates(kept, added)
     touched = every.join(status.where("status = 'plated'").select("image_id"), "image_id", "left_semi")

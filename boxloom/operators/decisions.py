@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxloom.functions.geometry import area_frac, iou, plate_to_yolo
+from boxloom.functions.text import fixed
 
 #: Thresholds that define the semantics.
 PLATE_CONF, OCR_CONF, PLATE_LEN = 0.65, 0.80, 5
@@ -204,7 +205,7 @@ def recover_plates(images: DataFrame, lines: DataFrame, detections: DataFrame, p
     """
     found = detections.where(F.col("cls") == model_class).join(images.where("width IS NOT NULL"), "image_id").where((F.col("x1") != F.col("x2")) & (F.col("y1") != F.col("y2")))
     yolo = plate_to_yolo(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], F.col("width"), F.col("height"))
-    plate = F.format_string(f"{plate_class} %.6f %.6f %.6f %.6f", *yolo)
+    plate = F.concat_ws(" ", F.lit(str(plate_class)), *[fixed(v, 6) for v in yolo])
     plates = found.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("det_idx", plate.alias("line")))).alias("plates"))
     vehicles = vehicle_lines(lines, plate_class).groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("line_no", F.trim("line").alias("line")))).alias("vehicles"))
     none = F.expr("array()").cast("array<string>")

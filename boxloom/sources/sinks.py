@@ -10,13 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boxloom.functions import text as X
 from boxloom.functions.session import cut
 
 
 def append_removals(rows: DataFrame, path: str) -> None:
     """Adds (image, reason, vehicle_id, plate_confidence, ocr_confidence) to a CSV log; nulls are empty, scores have four places."""
-    four = [F.format_string("%.4f", F.col(c)).alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ("plate_confidence", "ocr_confidence")]
-    four = [F.when(F.col(c).isNotNull(), x).alias(c) if c in rows.columns else x for c, x in zip(("plate_confidence", "ocr_confidence"), four)]
+    scores = ("plate_confidence", "ocr_confidence")
+    four = [(X.fixed(F.col(c), 4) if c in rows.columns else F.lit(None).cast("string")).alias(c) for c in scores]
     rows.select("image", "reason", "vehicle_id", *four).write.mode("append").option("header", True).option("nullValue", "").csv(path)
 
 
@@ -98,7 +99,7 @@ def write_csv(rows: DataFrame, path: str) -> None:
 
 def label_text(boxes: DataFrame) -> DataFrame:
     """(image_id, text): the label file of each image, with six places."""
-    line = F.format_string("%d %.6f %.6f %.6f %.6f", "cls", "cx", "cy", "w", "h")
+    line = F.concat_ws(" ", F.col("cls").cast("string"), *[X.fixed(F.col(c), 6) for c in ("cx", "cy", "w", "h")])
     return boxes.groupBy("image_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("box_idx", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
 
 

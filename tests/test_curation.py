@@ -237,3 +237,12 @@ def test_a_shared_folder_is_asked_for_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Fake())
+
+
+def test_numbers_are_written_as_python_writes_them(spark):
+    from boxloom.functions.text import fixed
+
+    rnd = random.Random(1)
+    xs = [0.125, 0.375, 0.0, 1.0, 2.5, 1e-7, 5e-7, 1234567.5, 0.12345, 999.9999995] + [rnd.random() for _ in range(3000)] + [k / 64 for k in range(200)] + [k / 1e5 + 5e-6 for k in range(300)]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", fixed(F.col("x"), 2).alias("two"), fixed(F.col("x"), 4).alias("four"), fixed(F.col("x"), 6).alias("six")).collect()
+    assert [(r.two, r.four, r.six) for r in got] == [(f"{r.x:.2f}", f"{r.x:.4f}", f"{r.x:.6f}") for r in got]
