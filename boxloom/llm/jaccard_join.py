@@ -35,6 +35,7 @@ others; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -434,11 +435,23 @@ def _fewest(n: Column) -> Column:
     return F.greatest(F.lit(1), F.least(*[_least_shared(n, m) for m in ends]) - 5)
 
 
-def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> DataFrame:
-    """``key``, n_shingles, component_id of each row of ``docs``."""
+@dataclass(frozen=True)
+class Candidates:
+    """Tables on ``shelf`` that the join goes on from."""
+
+    sets: DataFrame  # (key, n, sid) of each row
+    classes: DataFrame  # (sid, rep, n) of each set that is not empty; rep is the least key
+    pairs: DataFrame  # (a, b, shared) of sets that share enough signatures of small buckets, or may do so in all
+    members: DataFrame  # (sid, sig) of large buckets
+    open_: DataFrame  # (sid, n) of sets with enough members there
+    arrays: DataFrame  # (sid, n, low, high): the shingles of all these sets
+    shelf: Shelf
+
+
+def candidates(docs: DataFrame, key: str, text: str, bucket: int) -> Candidates:
+    """What may link, by signatures alone."""
     spark = docs.sparkSession
-    shelf = Shelf(spark)
-    parts = shuffle_partitions(spark)
+    shelf, parts = Shelf(spark), shuffle_partitions(spark)
     sets = shelf.put(set_table(docs, key, text))
     classes = shelf.put(sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("key").alias("rep"), F.first("n").alias("n")))
     found = shelf.put(bucket_rows(signature_blocks(docs, text, bucket, parts), bucket, parts))
@@ -454,18 +467,47 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
     pairs = shelf.put(rows.where(fits & (F.col("shared") + F.least("large_a", "large_b") >= _least_shared(F.col("n_a"), F.col("n_b")))).select("a", "b", "shared"))
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).unionByName(open_.select("sid")).distinct()
     arrays = shelf.put(set_arrays(docs, text, shelf.put(wanted)))
+    return Candidates(sets, classes, pairs, members, open_, arrays, shelf)
+
 
+def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> DataFrame:
+    """``key``, n_shingles, component_id of each row of ``docs``."""
+    c = candidates(docs, key, text, bucket)
     # the best pair of each class first, then what still joins two components
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
-    labels = shelf.put(components(links(best, arrays, shelf)))
-    labels = more_links(pairs.join(best, ["a", "b"], "left_anti"), labels, arrays, shelf)
-    labels = settle(members, open_, labels, arrays, shelf)
+    best = c.pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
+    labels = c.shelf.put(components(links(best, c.arrays, c.shelf)))
+    labels = more_links(c.pairs.join(best, ["a", "b"], "left_anti"), labels, c.arrays, c.shelf)
+    labels = settle(c.members, c.open_, labels, c.arrays, c.shelf)
 
-    named = classes.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    named = c.classes.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_set = shelf.put(named.join(least, "label").select("sid", "component_id"))
-    shelf.clear(sets, of_set)
-    return sets.join(of_set, "sid", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+    of_set = c.shelf.put(named.join(least, "label").select("sid", "component_id"))
+    c.shelf.clear(c.sets, of_set)
+    return c.sets.join(of_set, "sid", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+
+
+def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+    """(all links between different sets, members): (a, b) with a < b, and (``key``, n_shingles, sid, n_links) of each row.
+
+    a, b and sid name classes of equal sets; n_links is how many other classes a row's class links with, null for
+    empty sets. Unlike ``jaccard_join`` this forms the links inside components too, whose number may grow with
+    the square of a group of near copies: it is for those who need the links themselves.
+    """
+    c = candidates(docs, key, text, bucket)
+    parts = shuffle_partitions(docs.sparkSession)
+    found = links(c.pairs, c.arrays, c.shelf)
+    # each set is a component of its own here: what two sets share, different components share
+    each = c.open_.select("sid", F.col("sid").alias("label"), "n")
+    shared = c.shelf.put(shared_shingles(each.select("sid", "label"), c.arrays, parts))
+    least = F.ceil(F.col("n") * PERCENT / 100)
+    able = c.shelf.put(each.join(shared, "sid").withColumn("least", least).where((100 + PERCENT) * F.col("shared") >= PERCENT * (F.col("n") + F.col("least"))))
+    more = links(rare_pairs(able, c.arrays, c.shelf, parts), c.arrays, c.shelf)
+    every = c.shelf.put(found.unionByName(more).distinct())
+    degree = c.shelf.put(every.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("n_links")))
+    c.shelf.clear(c.sets, every, degree)
+    zero = F.when(F.col("sid").isNotNull(), F.lit(0).cast("long"))
+    members = c.sets.join(degree, "sid", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "sid", F.coalesce("n_links", zero).alias("n_links"))
+    return every, members
 
 
 def more_links(pairs: DataFrame, labels: DataFrame, arrays: DataFrame, shelf: Shelf) -> DataFrame:
@@ -614,9 +656,17 @@ def settle(members: DataFrame, open_: DataFrame, labels: DataFrame, arrays: Data
         near = some.join(hub, "sig").where(F.col("label") != F.col("hub.label")).where(possible(F.least("shared", "hub.shared"), F.col("n"), F.col("hub.n")))
         labels = more_links(near.select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b")).distinct(), labels, arrays, shelf)
         rows = rows.select("sid", "sig", "n", "shared")
-    # of a pair, x has the larger set; it has `least` in common with a partner, y has 6/7 of its own shingles
     sets = rows.groupBy("sid", "label", "n", "shared").agg(F.min("least").alias("least"))
     sets = shelf.put(sets.withColumn("least", F.greatest("least", F.ceil(F.col("n") * PERCENT / 100))))
+    return more_links(rare_pairs(sets, arrays, shelf, parts), labels, arrays, shelf)
+
+
+def rare_pairs(sets: DataFrame, arrays: DataFrame, shelf: Shelf, parts: int) -> DataFrame:
+    """(a, b) of ``sets`` (sid, label, n, shared, least) with different labels that meet in their rarest shingles.
+
+    ``shared`` bounds what a set has in common with others, ``least`` is the least size of a partner. Of a pair,
+    x has the larger set and must share 3/7 of the sizes with the least partner, y 6/7 of its own shingles.
+    """
     must = lambda n, m: F.ceil((n + m) * PERCENT / (100 + PERCENT))
     first = rarest_shingles(sets.select("sid", "label"), arrays, parts).where("across").join(sets, "sid")
     first = shelf.put(first.where(F.col("place") <= F.col("n") - must(F.col("n"), F.col("least")) + 1).select("sid", "s", "place", "label", "n", "shared"))
@@ -626,7 +676,7 @@ def settle(members: DataFrame, open_: DataFrame, labels: DataFrame, arrays: Data
     larger = (F.col("n_x") > F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("sid_x") > F.col("sid_y")))
     can = (F.least("shared_x", "shared_y") >= need) & (F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y")) + 1 >= need)
     meet = x.join(y, "s").where((F.col("label_x") != F.col("label_y")) & larger & (100 * F.col("n_y") >= PERCENT * F.col("n_x")) & can)
-    return more_links(meet.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")).distinct(), labels, arrays, shelf)
+    return meet.select(F.least("sid_x", "sid_y").alias("a"), F.greatest("sid_x", "sid_y").alias("b")).distinct()
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -198,17 +198,39 @@ def test_the_least_over_partners_is_a_bound(spark):
         assert r.f <= max(1, min(jaccard_join.least_shared(r.id, m) for m in range(-(-r.id * 3 // 4), r.id * 4 // 3 + 1)))
 
 
-@pytest.mark.parametrize("small, large", [(33, 44), (45, 60), (150, 200)])
-def test_jaccard_join_finds_contained_sets_in_large_buckets(spark, small, large):
-    rnd = random.Random(small)
-    fresh = lambda n: [f"w{rnd.getrandbits(60)}" for _ in range(n)]
+@pytest.mark.parametrize("bucket", [2, 12])
+def test_all_links_between_sets(spark, bucket):
+    rnd = random.Random(33)
+    texts = [None, "", "a b", "A b"]
+    for n in (20, 60, 150):
+        base = [f"w{n}x{k}" for k in range(n)]
+        for _ in range(18):
+            t = list(base)
+            for _ in range(rnd.choice([0, 1, 1, 2, n // 15])):
+                t[rnd.randrange(n)] = f"e{rnd.randrange(40)}"
+            texts.append(" ".join(t))
+    texts += texts[-3:]
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w := re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())) >= 5 else frozenset([tuple(w)] if w else []) for t in texts]
+    linked = {frozenset((x, y)) for x in set(sets) for y in set(sets) if x != y and x and y and 100 * len(x & y) >= 75 * len(x | y)}
+    pairs, members = jaccard_join.jaccard_links(frame(spark, texts), bucket=bucket)
+    of = {r.doc_id: r for r in members.collect()}
+    named = {of[i].sid: s for i, s in enumerate(sets)}
+    got = [frozenset((named[r.a], named[r.b])) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == linked
+    assert [of[i].n_links for i in range(len(texts))] == [sum(s in x for x in linked) if s else None for s in sets]
+
+
+def test_jaccard_join_finds_contained_sets_in_large_buckets(spark):
     texts = []
-    for _ in range(6):
-        w = fresh(large + 4)
-        texts += [" ".join(w), " ".join(w[: small + 4]), " ".join(w[large - small :])]
-        for _ in range(8):  # these share passages with the pair, but do not link
-            at = rnd.randrange(large - large // 2)
-            texts.append(" ".join(w[at : at + large // 2] + fresh(large // 2)))
+    for small, large in ((33, 44), (45, 60), (150, 200)):
+        rnd = random.Random(small)
+        fresh = lambda n: [f"w{rnd.getrandbits(60)}" for _ in range(n)]
+        for _ in range(6):
+            w = fresh(large + 4)
+            texts += [" ".join(w), " ".join(w[: small + 4]), " ".join(w[large - small :])]
+            for _ in range(8):  # these share passages with the pair, but do not link
+                at = rnd.randrange(large - large // 2)
+                texts.append(" ".join(w[at : at + large // 2] + fresh(large // 2)))
     want = brute_classes(texts)
     assert sorted(map(tuple, jaccard_join.jaccard_join(frame(spark, texts), bucket=2).collect())) == want
 
