@@ -74,7 +74,7 @@ LONG_PIECE = 128
 class TwoAges(dict):
     """A cache of what ``make`` gives for a key: when young entries fill it, they become the old ones."""
 
-    def __init__(self, make: Callable, most: int = 120_000):
+    def __init__(self, make: Callable, most: int = 200_000):
         self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):
