@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 from math import comb
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,13 +55,45 @@ def near_pairs(hashes: DataFrame, key: str, h: str, within: int = 6) -> DataFram
     return a.join(both, "h").join(b, "h2").where("a < b").select("a", "b", hamming(F.col("h"), F.col("h2")).alias("distance"))
 
 
-def keep_greedily(nodes: DataFrame, pairs: DataFrame, key: str, max_rounds: int | None = None) -> DataFrame:
-    """(key, kept): in key order, a node is kept unless an earlier kept one is its partner.
+#: Pairs that one task holds at most.
+FEW_PAIRS = 200_000
 
-    A fixpoint: a node is kept once all earlier partners are dropped, and dropped once one is kept. The
+
+def _dropped(pairs: DataFrame) -> DataFrame:
+    """(node) of those that an earlier kept partner drops, by one task over few ``pairs`` (a, b) in the order of b."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gone: set[int] = set()
+        for batch in batches:
+            out = []
+            for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
+                if b not in gone and a not in gone:  # all that could drop a have been read, as it is before b
+                    gone.add(b)
+                    out.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(out, pa.int64()))], ["node"])
+
+    kind = pairs.schema["b"].dataType.simpleString()
+    rows = pairs.coalesce(1).sortWithinPartitions("b", "a")
+    return rows.select(F.col("b").alias("node"), F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")).mapInArrow(run, f"node {kind}")
+
+
+def keep_greedily(nodes: DataFrame, pairs: DataFrame, key: str, max_rounds: int | None = None, few: int = FEW_PAIRS) -> DataFrame:
+    """(key, kept): in key order, a node is kept unless an earlier kept one is its partner; ``pairs`` have a < b.
+
+    At most ``few`` pairs (counted) are decided by one task in one pass, unless ``max_rounds`` are given. More
+    go by a fixpoint: a node is kept once all earlier partners are dropped, and dropped once one is kept; the
     number of rounds is the longest chain of decisions, not the number of nodes. Never a partial result:
     raises if ``max_rounds`` do not settle all nodes, or if a partner that is no node blocks one for ever.
     """
+    if max_rounds is None:
+        known = cut(pairs.select("a", "b"))
+        if known.count() <= few:
+            every = cut(nodes.select(F.col(key).alias("node")))
+            ends = known.select(F.col("a").alias("node")).union(known.select(F.col("b").alias("node")))
+            if not ends.join(every, "node", "left_anti").isEmpty():
+                raise ValueError("a pair names a node that is not there")
+            gone = _dropped(known).withColumn("gone", F.lit(True))
+            return every.join(gone, "node", "left").select(F.col("node").alias(key), F.col("gone").isNull().alias("kept"))
     open_ = cut(nodes.select(F.col(key).alias("node")))
     edges = cut(pairs.select("a", "b"))
     done, turn = None, 0

@@ -71,6 +71,22 @@ def test_curated_in_one_pass_and_in_batches(spark, tmp_path):
     assert got == greedy(rows, 6)
 
 
+@pytest.mark.parametrize("few", [0, U.FEW_PAIRS])
+def test_keeping_few_or_many_pairs(spark, few):
+    rnd = random.Random(7)
+    want = sorted({tuple(sorted(rnd.sample(range(40), 2))) for _ in range(60)} | {(k, k + 1) for k in range(100, 130)})
+    kept = []
+    for k in [*range(40), *range(100, 131)]:
+        if not any((j, k) in want for j in kept):
+            kept.append(k)
+    nodes = spark.createDataFrame([(k,) for k in [*range(40), *range(100, 131)]], "id long")
+    pairs = spark.createDataFrame(want, "a long, b long")
+    got = U.keep_greedily(nodes, pairs, "id", few=few).collect()
+    assert sorted(r.id for r in got if r.kept) == kept and len(got) == 71
+    with pytest.raises(ValueError):
+        U.keep_greedily(nodes, pairs.union(spark.createDataFrame([(-5, 3)], "a long, b long")), "id", few=few)
+
+
 def test_near_pairs_at_any_distance(spark):
     rnd = random.Random(5)
     base = rnd.getrandbits(64)
