@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions.session import cut, shared_dir
 
-__all__ = ["Shelf", "ascii_lower", "bitmap", "cut", "discard", "let", "may_hold", "shared_dir", "shuffle_partitions", "table", "without", "words", "written"]
+__all__ = ["Shelf", "ascii_lower", "bitmap", "cut", "discard", "let", "may_hold", "shared_dir", "shuffle_partitions", "small_batches", "table", "without", "words", "written"]
 
 #: Words are runs of anything but the ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,8 +17,20 @@ SPACES = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Bytes of an Arrow batch for sessions that leave the setting at its default: an executor holds several at once.
+ARROW_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets batches for workers hold ARROW_BYTES, unless the session sets a size of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables, read lazily through Spark (any file system Spark knows)."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
