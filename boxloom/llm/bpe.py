@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from boxloom.llm.common import table
+from boxloom.llm.common import table, tidied
 from boxloom.llm.pretoken import TwoAges, chunks, pieces, unsplit
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -225,7 +225,7 @@ def encode(docs: DataFrame, text: str = "text", out: str = "ids", path: str | No
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(row, end - row), lists], ["row", out])
 
     schema = T.StructType([T.StructField("row", inner.schema["row"].dataType), T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return inner.mapInArrow(run, schema).select("row.*", F.col(out))
+    return inner.mapInArrow(tidied(run), schema).select("row.*", F.col(out))
 
 
 def decode(coded: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
@@ -241,7 +241,7 @@ def decode(coded: DataFrame, ids: str = "ids", out: str = "decoded", path: str |
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(got, pa.binary())], ["row", out])
 
     schema = T.StructType([T.StructField("row", inner.schema["row"].dataType), T.StructField(out, T.BinaryType())])
-    return inner.mapInArrow(run, schema).select("row.*", F.col(out))
+    return inner.mapInArrow(tidied(run), schema).select("row.*", F.col(out))
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -269,7 +269,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
     fields = [(key, docs.schema[key].dataType), ("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
     fields += [("ids", T.ArrayType(T.IntegerType()))] * with_ids
     names = [name for name, _ in fields]
-    return inner.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
+    return inner.mapInArrow(tidied(run), T.StructType([T.StructField(*f) for f in fields]))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import Shelf, shuffle_partitions, table
+from boxloom.llm.common import Shelf, shuffle_partitions, table, tidied
 from boxloom.llm.components import components, merged
 from boxloom.llm.shingling import GOLD, chunks, mix, shingle_sets
 
@@ -185,7 +185,7 @@ def set_table(docs: DataFrame, key: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("key").slice(a, b - a), pa.array(size), pa.array(sid, mask=size == 0)], ["key", "n", "sid"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return _raw(docs, text, F.col(key).alias("key")).mapInArrow(run, f"key {kind}, n long, sid long")
+    return _raw(docs, text, F.col(key).alias("key")).mapInArrow(tidied(run), f"key {kind}, n long, sid long")
 
 
 def by_part(sig: np.ndarray, parts: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -265,7 +265,7 @@ def signature_blocks(docs: DataFrame, text: str, bucket: int, parts: int) -> Dat
         if held:
             yield emit()
 
-    return _raw(docs, text).mapInArrow(run, "part int, open boolean, block binary, owners binary")
+    return _raw(docs, text).mapInArrow(tidied(run), "part int, open boolean, block binary, owners binary")
 
 
 def bucket_rows(blocks: DataFrame, bucket: int, parts: int) -> DataFrame:
@@ -331,7 +331,7 @@ def bucket_rows(blocks: DataFrame, bucket: int, parts: int) -> DataFrame:
         for part in sorted(held):
             yield from work(part, held.pop(part))
 
-    return blocks.repartitionById(parts, "part").mapInArrow(run, "kind byte, a long, b long, n int")
+    return blocks.repartitionById(parts, "part").mapInArrow(tidied(run), "kind byte, a long, b long, n int")
 
 
 # ---- verification -------------------------------------------------------------------------------------
@@ -376,7 +376,7 @@ def set_arrays(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
                 if len(seen) > REMEMBERED:
                     seen.clear()
 
-    found = _raw(docs, text).mapInArrow(run, "sid long, n long, low binary, high binary")
+    found = _raw(docs, text).mapInArrow(tidied(run), "sid long, n long, low binary, high binary")
     return found.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
 
 
@@ -413,8 +413,8 @@ def links(pairs: DataFrame, arrays: DataFrame, shelf: Shelf) -> DataFrame:
             ok = pa.array(shared * (100 + PERCENT) >= PERCENT * (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], ["a", "b"])
 
-    likely = shelf.put(both(pairs.select("a", "b"), "low").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(first, "a long, b long, shared long"))
-    return shelf.put(both(likely, "high").select("a", "b", "shared", "n_a", "n_b", "s_a", "s_b").mapInArrow(second, "a long, b long"))
+    likely = shelf.put(both(pairs.select("a", "b"), "low").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(tidied(first), "a long, b long, shared long"))
+    return shelf.put(both(likely, "high").select("a", "b", "shared", "n_a", "n_b", "s_a", "s_b").mapInArrow(tidied(second), "a long, b long"))
 
 
 # ---- the join -----------------------------------------------------------------------------------------
@@ -556,7 +556,7 @@ def dealt_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame:
             yield emit()
 
     each = arrays.join(sets, "sid").select("sid", "label", "low", "high")
-    return each.mapInArrow(deal, "part int, block binary, labels binary").repartitionById(parts, "part")
+    return each.mapInArrow(tidied(deal), "part int, block binary, labels binary").repartitionById(parts, "part")
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
@@ -598,8 +598,8 @@ def shared_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.bincount(at, n).astype(np.int64))], ["sid", "shared"])
 
     # counts of a part travel as blocks too: a row for each set and part would be many more than sets
-    counts = dealt_shingles(sets, arrays, parts).mapInArrow(count, "part int, sids binary, counts binary")
-    return counts.repartitionById(parts, "part").mapInArrow(total, "sid long, shared long")
+    counts = dealt_shingles(sets, arrays, parts).mapInArrow(tidied(count), "part int, sids binary, counts binary")
+    return counts.repartitionById(parts, "part").mapInArrow(tidied(total), "sid long, shared long")
 
 
 def rarest_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame:
@@ -613,7 +613,7 @@ def rarest_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame
                 at = slice(k, k + 100_000)
                 yield pa.RecordBatch.from_arrays([pa.array(sid[at]), pa.array(s.view(np.int64)[at]), pa.array(np.repeat(count, count)[at]), pa.array(np.repeat(across, count)[at])], ["sid", "s", "n", "across"])
 
-    rows = dealt_shingles(sets, arrays, parts).mapInArrow(each, "sid long, s long, n long, across boolean")
+    rows = dealt_shingles(sets, arrays, parts).mapInArrow(tidied(each), "sid long, s long, n long, across boolean")
     return rows.select("sid", "s", "across", F.row_number().over(Window.partitionBy("sid").orderBy("n", "s")).alias("place"))
 
 

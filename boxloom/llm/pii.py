@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import table, written
+from boxloom.llm.common import table, tidied, written
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("email_written", "phone_national", "iban", "ssn", "secret", "street", "name")
@@ -229,7 +229,7 @@ def span_table(docs: DataFrame, key: str, text: str) -> DataFrame:
             types = (pa.int32(), pa.int32(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("key"), *[pa.array(c, pa.list_(t)) for c, t in zip(cols, types)]], ["key", "kinds", "starts", "stops", "codes"])
 
-    return docs.select(F.col(key).alias("key"), body.alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(key).alias("key"), body.alias("text")).mapInArrow(tidied(run), schema)
 
 
 class SpanModel:
@@ -309,7 +309,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", accept: float
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), *[pa.array(c, t) for c, t in zip(cols, types)]], names)
 
-    return spans.mapInArrow(run, schema)
+    return spans.mapInArrow(tidied(run), schema)
 
 
 def redact(docs: DataFrame, text: str = "text", accept: float = ACCEPT, model: SpanModel | None = None) -> DataFrame:
@@ -338,7 +338,7 @@ def redact(docs: DataFrame, text: str = "text", accept: float = ACCEPT, model: S
 
     hit = F.col(text).rlike(STARTS)
     clean = docs.where(~F.coalesce(hit, F.lit(False)))
-    return clean.unionByName(docs.where(F.coalesce(hit, F.lit(False))).mapInArrow(run, docs.schema))
+    return clean.unionByName(docs.where(F.coalesce(hit, F.lit(False))).mapInArrow(tidied(run), docs.schema))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
