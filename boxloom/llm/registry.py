@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold QUERIES and, where SQL can express them, ORACLE_SQL.
-MODULES = ("bpe", "token_count", "chat", "sharding", "quality", "url_filter", "decontamination", "jaccard_join", "suffix_dedup", "pii", "base")
+MODULES = ("bpe", "token_count", "chat", "sharding", "quality", "url_filter", "decontamination", "jaccard_join", "suffix_dedup", "pii", "embedding_dedup", "prefix_trie", "centroids", "base")
 
 
 def _all(name: str) -> dict:
