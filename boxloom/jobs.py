@@ -10,7 +10,7 @@ import importlib
 import urllib.request
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from boxloom.functions import geometry as G
@@ -23,7 +23,7 @@ from boxloom.operators import decisions as D
 from boxloom.operators import dedup as U
 from boxloom.operators import matching as M
 from boxloom.operators import metrics as K
-from boxloom.sources import external, files, sinks
+from boxloom.sources import dataset, external, files, filesets, sinks
 
 VEHICLE_CONF = 0.4
 
@@ -52,22 +52,21 @@ def extract_urls(spark: SparkSession, csv: str, out: str) -> DataFrame:
     return urls.agg(F.count("*").alias("urls"))
 
 
-def download(spark: SparkSession, urls: str, out: str, client: str | None = None, tries: int = 3, partitions: int = 32) -> DataFrame:
+def download(spark: SparkSession, urls: str, out: str, client: str = "boxloom.jobs:http_client", tries: int = 3, partitions: int = 32) -> DataFrame:
     """Fetches the addresses of a list that are not in ``out`` yet; failures go to ``out`` + ``_failed`` as CSV.
 
-    A file is there as a whole or not at all, so a job that broke off goes on where it was.
+    A file is there as a whole or not at all, so a job that broke off goes on where it was. What is left to
+    fetch is a list of its own, ``out`` + ``_wanted.txt``, of which each task reads a range.
     """
-    wanted = files.url_list(spark, urls).select("url", X.url_file_name(F.col("url")).alias("name"))
-    try:
-        done = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(out).select(X.file_name(F.col("path")).alias("name"))
-        wanted = C.pending(wanted, done, "name")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    first = wanted.where("name <> ''").groupBy("name").agg(F.min("url").alias("url"))  # one file for a name
-    got = cut(external.fetch(first, named(client) if client else http_client, tries, partitions=partitions).join(first, "url"))
+    place = out.rstrip("/")
+    wanted = files.url_list(spark, urls).select("url", X.url_file_name(F.col("url")).alias("name")).where("name <> ''")
+    wanted = C.pending(wanted, dataset.listing(spark, out), "name")
+    first = cut(wanted.groupBy("name").agg(F.min("url").alias("url")))  # one file for a name
+    dataset.save_lines(first.select("url").orderBy("url"), f"{place}_wanted.txt")
+    fetched = spark.read.format("fetched").option("urls", filesets.reachable(spark, f"{place}_wanted.txt"))
+    got = cut(fetched.option("client", client).option("tries", tries).option("partitions", partitions).load().join(first, "url"))
     sinks.write_files(got.where("status = 'ok'").select("name", "content"), out)
-    sinks.write_csv(got.where("status <> 'ok'").select("url", "error"), f"{out.rstrip('/')}_failed")
+    sinks.write_csv(got.where("status <> 'ok'").select("url", "error"), f"{place}_failed")
     return got.groupBy("status").agg(F.count("*").alias("n"))
 
 
@@ -110,28 +109,52 @@ def _stems(spark: SparkSession, images: str) -> DataFrame:
     return best.join(found.select(F.col("name").alias("image"), F.col("path")), "image").select("stem", F.col("image").alias("name"), F.col("path").alias("image"))
 
 
-def merge(spark: SparkSession, sources: list[str], out: str) -> DataFrame:
-    """Adds data sets (folders with ``images`` and ``labels``) to one, the first of equal names wins; images stay where they are."""
+def _outcomes(spark: SparkSession, counts: dict[str, int], name: str, number: str = "n") -> DataFrame:
+    return spark.createDataFrame(sorted(counts.items()), f"{name} string, {number} long")
+
+
+def _source(spark: SparkSession, source: str) -> DataFrame | None:
+    """(name, stem, image, text, nonempty) of a folder with ``images`` and ``labels``; None if it has no images folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{source}/images")
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return None
+    labels = _labels(spark, f"{source}/labels").select("stem", "text", "nonempty")
+    return files.images(spark, f"{source}/images").select("name", "stem", F.col("path").alias("image")).join(labels, "stem", "left")
+
+
+def merge(spark: SparkSession, sources: list[str], out: str, images: str = "reference") -> DataFrame:
+    """Adds data sets (folders with ``images`` and ``labels``) to one; what it holds and the first of equal names win.
+
+    A source that is not there is skipped. ``images``: reference, link or copy (see ``dataset.Grown``).
+    """
     every = None
     for rank, source in enumerate(sources):
-        rows = _stems(spark, f"{source}/images").join(_labels(spark, f"{source}/labels"), "stem", "left").withColumn("rank", F.lit(rank))
-        every = rows if every is None else every.unionByName(rows)
-    decided = cut(C.merge(every, ["rank", "name"], "stem", F.col("nonempty")))
-    return sinks.merge_into(decided.select("name", "image", "stem", "text", "outcome"), out)
+        rows = _source(spark, source)
+        if rows is not None:
+            rows = rows.withColumn("rank", F.lit(rank)).withColumn("source", F.lit(source))
+            every = rows if every is None else every.unionByName(rows)
+    counts = dataset.Grown(spark, out, images).merge(every, ["rank", "name"]) if every is not None else {}
+    return _outcomes(spark, counts, "outcome")
+
 
+def split(spark: SparkSession, images: str, labels: str, out: str, ratios: tuple[float, float, float] = (0.7, 0.2, 0.1), seed: int = 42, by_hash: bool = True, names: dict[int, str] | None = None, layout: str = "by_kind", link: bool = False) -> DataFrame:
+    """Valid pairs of images and labels dealt out to train, val and test, with images, labels, lists and a configuration.
 
-def split(spark: SparkSession, images: str, labels: str, out: str, ratios: tuple[float, float, float] = (0.7, 0.2, 0.1), seed: int = 42, by_hash: bool = True, names: dict[int, str] | None = None) -> DataFrame:
-    """Valid pairs of images and labels dealt out to train, val and test, with label files, lists and a configuration."""
+    ``images`` is a folder, or the root of a grown data set. ``layout``: by_kind (images/train) or by_split
+    (train/images). Images are copied, or linked to with ``link``.
+    """
     labelled = _labels(spark, labels)
-    pairs = cut(C.gather_pairs(_stems(spark, images), labelled).where("outcome = 'valid'").join(labelled.select("stem", "text", "classes"), "stem"))
-    parts = tuple(zip(("train", "val", "test"), ratios))
+    stems = dataset.Grown(spark, images).held().where("image IS NOT NULL").select("stem", "name", "image") if dataset.is_grown(spark, images) else _stems(spark, images)
+    pairs = cut(C.gather_pairs(stems, labelled).where("outcome = 'valid'").join(labelled.select("stem", "text", "classes"), "stem"))
+    parts = tuple(zip(dataset.SPLITS, ratios))
     dealt = cut(C.split_by_hash(pairs, "name", parts, seed) if by_hash else C.split_seeded(pairs, "name", parts, seed))
-    counts = sinks.materialise_splits(dealt.select("split", "stem", "image", "text"), out)
+    counts = dataset.save_splits(dealt.select("split", "stem", "name", "image", "text"), out, layout, link)
     seen = dealt.select(F.explode("classes").alias("cls")).distinct()
     every = [r.cls for r in seen.where("cls IS NOT NULL").collect()]  # a number for each class
-    text = sinks.data_yaml(dict(enumerate(sinks.class_names(every, names or {}))), out, {s: f"{s}.list" for s, _ in parts})
+    root = filesets.reachable(spark, out).removeprefix("file://")
+    text = sinks.data_yaml(dict(enumerate(sinks.class_names(every, names or {}))), root, dataset.split_folders(layout))
     sinks.write_files(spark.createDataFrame([("data.yaml", text)], "name string, content string"), out)
-    return counts
+    return _outcomes(spark, counts, "split", "images")
 
 
 def label(spark: SparkSession, images: str, out: str, orientation: str, model: str, conf: float = VEHICLE_CONF, service: str | None = None) -> DataFrame:
@@ -143,9 +166,7 @@ def label(spark: SparkSession, images: str, out: str, orientation: str, model: s
     if service is None:
         seen = boxes.select("image_id", "det_idx", F.lit(True).alias("visible"))
     else:
-        asked = external.ask_service(rows, named(service), "image_id").select("image_id", F.explode_outer(D.parse_payload(F.col("payload"))).alias("p"))
-        best = asked.groupBy("image_id").agg(F.max("p.plate_confidence").alias("best"))
-        seen = boxes.join(best, "image_id", "left").select("image_id", "det_idx", F.coalesce(F.col("best") >= D.PLATE_CONF, F.lit(False)).alias("visible"))
+        seen = plates_in_crops(spark, images, boxes, service)
     images_ = sizes.select("image_id", F.col("width").isNotNull().alias("readable"), "width", "height")
     decided = cut(_decided(images_, boxes, seen))
     kept = boxes.join(decided.where("status = 'labeled'").select("image_id"), "image_id").join(sizes, "image_id")
@@ -159,6 +180,22 @@ def label(spark: SparkSession, images: str, out: str, orientation: str, model: s
     return decided.groupBy("status").agg(F.count("*").alias("n"))
 
 
+def plates_in_crops(spark: SparkSession, images: str, boxes: DataFrame, service: str) -> DataFrame:
+    """(image_id, det_idx, visible): whether the service finds a plate in the crop of a box; its own crop for each.
+
+    Crops are cut on the workers, between detector and service. A box of less than a pixel, or of an image that
+    cannot be read, has no visible plate, nor has one whose call fails.
+    """
+    window = G.crop_box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], F.col("width"), F.col("height"))
+    each = boxes.join(_pixels(spark, images).where("width IS NOT NULL").withColumnRenamed("name", "image_id"), "image_id")
+    each = each.withColumn("box", window).where("box IS NOT NULL")
+    content = imaging.cropped("data", "height", "width", "channels", "box")
+    rows = each.select(F.struct("image_id", "det_idx").alias("at"), content.alias("content")).where("content IS NOT NULL")
+    asked = external.ask_service(rows, named(service), "at").select("at", F.explode(D.parse_payload(F.col("payload"))).alias("p"))
+    best = asked.groupBy("at").agg(F.max("p.plate_confidence").alias("best"))
+    return boxes.select("image_id", "det_idx", F.struct("image_id", "det_idx").alias("at")).join(best, "at", "left").select("image_id", "det_idx", F.coalesce(F.col("best") >= D.PLATE_CONF, F.lit(False)).alias("visible"))
+
+
 def _decided(images: DataFrame, boxes: DataFrame, seen: DataFrame) -> DataFrame:
     """``decisions.label_decision`` for images of different sizes: corners as if all were one by one."""
     sized = boxes.join(images.select("image_id", "width", "height"), "image_id")
@@ -175,7 +212,7 @@ def add_dataset(spark: SparkSession, name: str, orientation: str, base: str, mer
         images = f"{base}/{name}_images"
         extract_urls(spark, csv, f"{base}/{name}_urls")
         if not skip_download:
-            download(spark, f"{base}/{name}_urls", images, client)
+            download(spark, f"{base}/{name}_urls", images, *([client] if client else []))
     label(spark, images, f"{base}/{name}_dataset", orientation, model, conf)
     counts = merge(spark, [f"{base}/{name}_dataset"], merged)
     if plates is not None:
@@ -241,7 +278,9 @@ def crops(spark: SparkSession, images: str, labels: str, out: str, pad: float =
     each = decoded.join(boxes, "image_id").withColumn("box", F.struct(*[v.alias(k) for v, k in zip(window, ("x1", "y1", "x2", "y2"))]))
     good = each.where((F.col("box.x2") - F.col("box.x1") >= least) & (F.col("box.y2") - F.col("box.y1") >= least))
     made = good.select(F.format_string("%d/%s_%d.png", "cls", "image_id", "line_no").alias("name"), imaging.cropped("data", "height", "width", "channels", "box").alias("content"))
-    return sinks.write_files(made.where("content IS NOT NULL"), out).agg(F.count("*").alias("crops"))
+    seen = Observation("crops")
+    sinks.write_files(made.where("content IS NOT NULL").observe(seen, F.count("*").alias("crops")), out)
+    return spark.createDataFrame([(seen.get["crops"],)], "crops long")
 
 
 # ---- evaluation ---------------------------------------------------------------------------------------

@@ -12,15 +12,26 @@ from boxloom.functions.session import cut
 from boxloom.functions.text import band_label, valid_url
 
 
-def merge(rows: DataFrame, order: list[str], label: str, nonempty: Column | None = None) -> DataFrame:
+def merge(rows: DataFrame, order: list[str], label: str, nonempty: Column | None = None, held: DataFrame | None = None, name: str | None = None) -> DataFrame:
     """``rows`` with outcome added, no_label or collision: sources in rank order, a label that is already there collides.
 
     A label is named after its image's stem, so images with equal names have equal labels, and the label
-    decides for both. The first row by ``order`` of those with a label that is not empty wins.
+    decides for both. The first row by ``order`` of those with a label that is not empty wins. ``held`` has the
+    ``label`` and ``name`` of what the output holds (either may be null): a row whose label or name is among
+    them collides, and does not stand in the way of others.
     """
     ok = F.lit(True) if nonempty is None else F.coalesce(nonempty, F.lit(False))
-    rank = F.row_number().over(Window.partitionBy(label, ok).orderBy(*order))
-    return rows.withColumn("outcome", F.when(~ok, "no_label").when(rank == 1, "added").otherwise("collision"))
+    if held is None:
+        rank = F.row_number().over(Window.partitionBy(label, ok).orderBy(*order))
+        return rows.withColumn("outcome", F.when(~ok, "no_label").when(rank == 1, "added").otherwise("collision"))
+    met = F.lit(False)
+    for k, c in enumerate((label, name)):
+        there = held.where(F.col(c).isNotNull()).select(F.col(c).alias(f"_held{k}")).distinct()
+        rows = rows.join(there, rows[c] == there[f"_held{k}"], "left")
+        met = met | F.col(f"_held{k}").isNotNull()
+    rank = F.row_number().over(Window.partitionBy(label, ok & ~met).orderBy(*order))
+    outcome = F.when(~ok, "no_label").when(met, "collision").when(rank == 1, "added").otherwise("collision")
+    return rows.withColumn("outcome", outcome).drop("_held0", "_held1")
 
 
 def gather_pairs(images: DataFrame, labels: DataFrame, stem: str = "stem", nonempty: str = "nonempty") -> DataFrame:

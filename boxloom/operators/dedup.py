@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
-from math import comb
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -12,6 +10,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions.geometry import hamming
 from boxloom.functions.session import cut
+from boxloom.operators.near import near, probes
 
 
 def exact_duplicates(rows: DataFrame, key: str, content: str) -> DataFrame:
@@ -24,35 +23,20 @@ def exact_duplicates(rows: DataFrame, key: str, content: str) -> DataFrame:
     return hashed.join(first, "sha", "left").select(key, F.coalesce("first", key).alias("first"), (F.col(key) == F.coalesce("first", key)).alias("kept"))
 
 
-def _bands(within: int) -> tuple[int, int]:
-    """(bands, bands that agree at least): three equal bands of within + 3 where that is few probes, else two of within + 2."""
-    agree = 3 if comb(within + 3, 3) <= 100 else 2
-    return within + agree, agree
-
-
 def near_pairs(hashes: DataFrame, key: str, h: str, within: int = 6) -> DataFrame:
     """(a, b, distance) of all pairs a < b at most ``within`` bits apart; nothing is lost.
 
     64 bits in within + 3 bands: three bands at least are equal in such a pair. Equal hashes collapse first,
     pairs of distinct hashes meet by equi-joins on band triples (84 probes of 21 bits at a distance of 6), and
     keys come back at the end. Beyond a distance of 6 pairs of bands serve, which get short: the number of
-    hashes that meet by chance then grows with their square, so wide distances suit small tables only.
+    hashes that meet by chance then grows with their square, so wide distances suit small tables only. Rows of
+    equal hashes are pairs too here: for decisions on large tables see ``curated``, which has members instead.
     """
-    if not 0 <= within <= 62:
-        raise ValueError("a distance between 0 and 62 bits is needed")
-    bands, agree = _bands(within)
-    edges = [64 * k // bands for k in range(bands + 1)]
-    cut_ = [F.expr(f"shiftright(h, {a}) & {(1 << (b - a)) - 1}L") for a, b in zip(edges, edges[1:])]
-    keyed = hashes.where(F.col(h).isNotNull()).select(F.col(key).alias("key"), F.col(h).alias("h"))
-    distinct = keyed.select("h").distinct()
-    combos = list(combinations(range(bands), agree))
-    probe = F.array(*[F.struct(F.lit(k).alias("c"), F.xxhash64(*[cut_[i] for i in c]).alias("v")) for k, c in enumerate(combos)])
-    exploded = distinct.select("h", F.explode(probe).alias("x")).select("h", "x.c", "x.v")
-    other = exploded.withColumnRenamed("h", "h2")
-    near = exploded.join(other, ["c", "v"]).where("h < h2").where(hamming(F.col("h"), F.col("h2")) <= within).select("h", "h2").distinct()
-    both = near.unionByName(near.select(F.col("h2").alias("h"), F.col("h").alias("h2"))).unionByName(distinct.select("h", F.col("h").alias("h2")))
-    a, b = keyed.withColumnRenamed("key", "a"), keyed.select(F.col("key").alias("b"), F.col("h").alias("h2"))
-    return a.join(both, "h").join(b, "h2").where("a < b").select("a", "b", hamming(F.col("h"), F.col("h2")).alias("distance"))
+    keyed = hashes.where(F.col(h).isNotNull()).select(F.col(key).alias("key"), F.col(h).alias("hash"))
+    probed = probes(keyed.select("hash").distinct(), within)
+    both = near(probed, probed, within)
+    a, b = keyed.withColumnRenamed("key", "a"), keyed.select(F.col("key").alias("b"), F.col("hash").alias("other"))
+    return a.join(both, "hash").join(b, "other").where("a < b").select("a", "b", hamming(F.col("hash"), F.col("other")).alias("distance"))
 
 
 #: Pairs that one task holds at most.
@@ -124,36 +108,64 @@ def dedup_reasons(rows: DataFrame, key: str, content: str, kept: DataFrame) -> D
     return marked.join(first, "sha", "left").select(key, reason.alias("reason"))
 
 
+def decide(rows: DataFrame, within: int, met: DataFrame | None = None, held: DataFrame | None = None) -> DataFrame:
+    """(key, sha, hash, reason, kept_by, own) of ``rows`` (key, sha, hash).
+
+    ``met`` (hash, other, name): kept hashes of earlier runs near those of the rows, and the least name that has
+    each. ``held`` (sha, hash, name): kept images of earlier runs with the hashes of the rows. A row is
+    corrupt_image without a hash; ok if it is kept already (``own``: its name and bytes), or if no kept hash is
+    near and it has the least key of its hash; exact_duplicate if what is kept has its bytes, near_duplicate
+    otherwise. ``kept_by`` is the least name that is kept and near, its own for what is kept.
+    """
+    good = rows.where("hash IS NOT NULL")
+    reps = good.groupBy("hash").agg(F.min(F.struct("key", "sha")).alias("first"))
+    known = None
+    if met is not None:
+        known = cut(met.groupBy("hash").agg(F.min("name").alias("by")))
+        reps = reps.join(known.select("hash"), "hash", "left_anti")
+    reps = cut(reps)
+    open_ = probes(reps.select("hash"), within)
+    pairs = near(open_, open_, within)
+    node = F.struct(F.col("first.key").alias("key"), "hash")
+    named = reps.select("hash", node.alias("node"))
+    ends = pairs.where("hash <> other").join(named, "hash").join(named.select(F.col("hash").alias("other"), F.col("node").alias("to")), "other")
+    ends = cut(ends.where("node < to").select(F.col("node").alias("a"), F.col("to").alias("b")))
+    kept = cut(keep_greedily(named, ends, "node"))
+    by = ends.join(kept.where("kept").select(F.col("node").alias("a")), "a").groupBy(F.col("b").alias("node")).agg(F.min("a.key").alias("by"))
+    judged = reps.join(kept.withColumn("hash", F.col("node.hash")), "hash").join(by, "node", "left")
+    judged = judged.select("hash", "kept", F.col("first.key").alias("least"), F.col("first.sha").alias("first_sha"), F.when(F.col("kept"), F.col("first.key")).otherwise(F.col("by")).cast("string").alias("by"))
+    if known is not None:
+        none = [F.lit(v).cast(judged.schema[c].dataType).alias(c) for c, v in (("kept", False), ("least", None), ("first_sha", None))]
+        judged = judged.unionByName(known.select("hash", *none, "by"))
+    seen = good.join(judged, "hash")
+    own, same = F.lit(False), F.lit(False)
+    if held is not None:
+        names = held.groupBy("sha", "hash").agg(F.collect_set("name").alias("names"))
+        seen = seen.join(names, ["sha", "hash"], "left")
+        same = F.col("names").isNotNull()
+        own = F.coalesce(F.array_contains("names", F.col("key").cast("string")), F.lit(False))
+    ok = own | (F.col("kept") & (F.col("key") == F.col("least")))
+    reason = F.when(ok, "ok").when(same | (F.col("kept") & F.col("sha").eqNullSafe(F.col("first_sha"))), "exact_duplicate").otherwise("near_duplicate")
+    decided = seen.select("key", "sha", "hash", reason.alias("reason"), F.when(own, F.col("key").cast("string")).otherwise(F.col("by")).alias("kept_by"), own.alias("own"))
+    corrupt = rows.where("hash IS NULL").select("key", "sha", "hash", F.lit("corrupt_image").alias("reason"), F.lit(None).cast("string").alias("kept_by"), F.lit(False).alias("own"))
+    return decided.unionByName(corrupt)
+
+
 def curated(rows: DataFrame, key: str, content: str, h: str, within: int = 6, known: DataFrame | None = None) -> DataFrame:
     """(key, reason, sha, hash): exact and near duplicates in one pass over the keys in order, against what is kept.
 
     A row is corrupt_image without a hash, exact_duplicate if a kept row with a smaller key has its bytes,
     near_duplicate if one is at most ``within`` bits away, else ok (kept). ``known`` (sha, hash) are kept rows of
-    earlier runs, which come before all rows. What is dropped drops nothing else.
+    earlier runs, which come before all rows. What is dropped drops nothing else. Equal bytes have equal hashes.
     """
     hashed = cut(rows.select(F.col(key).alias("key"), F.sha2(F.col(content), 256).alias("sha"), F.col(h).alias("hash")))
-    good = hashed.where("hash IS NOT NULL")
-    # equal bytes have equal hashes, so near pairs contain exact ones and decide who is kept
-    nodes = good.select(F.struct(F.lit(1).alias("run"), F.col("key").cast("string").alias("name"), F.col("key").alias("key")).alias("node"), "hash")
-    if known is not None:
-        before = known.where("hash IS NOT NULL").select(F.struct(F.lit(0).alias("run"), F.concat_ws(":", "sha", "hash").alias("name"), F.lit(None).cast(rows.schema[key].dataType).alias("key")).alias("node"), "hash").distinct()
-        nodes = nodes.unionByName(before)
-    order = "struct(node.run, node.key, node.name)"
-    nodes = cut(nodes.select(F.expr(order).alias("node"), "hash"))
-    pairs = near_pairs(nodes, "node", "hash", within)
-    pairs = pairs.where("NOT (a.run = 0 AND b.run = 0)")  # what is known is kept
-    kept = keep_greedily(nodes, pairs, "node").where("kept AND node.run = 1").select(F.col("node.key").alias("key"), F.lit(True).alias("kept"))
-    marked = good.join(kept, "key", "left")
-    first = marked.where("kept").groupBy("sha").agg(F.min("key").alias("first"))
-    seen = marked.join(first, "sha", "left")
-    old = F.lit(False)
+    met = held = None
     if known is not None:
-        seen = seen.join(known.select("sha").where("sha IS NOT NULL").distinct().withColumn("old", F.lit(True)), "sha", "left")
-        old = F.coalesce("old", F.lit(False))
-    reason = F.when(F.coalesce("kept", F.lit(False)), "ok").when(old | (F.col("first") < F.col("key")), "exact_duplicate").otherwise("near_duplicate")
-    decided = seen.select("key", reason.alias("reason"), "sha", "hash")
-    corrupt = hashed.where("hash IS NULL").select("key", F.lit("corrupt_image").alias("reason"), "sha", "hash")
-    return decided.unionByName(corrupt).withColumnRenamed("key", key)
+        before = known.where("hash IS NOT NULL").select("sha", "hash", F.lit(None).cast("string").alias("name"))
+        own = hashed.where("hash IS NOT NULL").select("hash").distinct()
+        met = near(probes(own, within), probes(before.select("hash").distinct(), within), within).withColumn("name", F.lit(None).cast("string"))
+        held = before.join(own, "hash", "left_semi")
+    return decide(hashed, within, met, held).select(F.col("key").alias(key), "reason", "sha", "hash")
 
 
 def numbered_targets(moves: DataFrame, key: str, target: str, taken: DataFrame | None = None) -> DataFrame:

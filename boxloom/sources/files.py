@@ -48,9 +48,12 @@ def boxes(spark: SparkSession, folder: str, recursive: bool = False) -> DataFram
 
 
 def find_images(names: DataFrame, stems: DataFrame, order: tuple[str, ...] = ("jpg", "jpeg", "png", "webp", "bmp", "tif", "tiff")) -> DataFrame:
-    """``stems`` with the image of each stem whose extension comes first in ``order``; null without one."""
-    rank = F.array_position(F.array(*map(F.lit, order)), F.regexp_extract("name", r"\.([^.]+)$", 1))
-    best = names.withColumn("_r", rank).where("_r > 0").groupBy("stem").agg(F.min_by("name", "_r").alias("image"))
+    """``stems`` with the image of each stem whose extension, in either case, comes first in ``order``; null without one.
+
+    Of names that differ in case only the first in their order is taken.
+    """
+    rank = F.array_position(F.array(*map(F.lit, order)), F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1)))
+    best = names.withColumn("_r", rank).where("_r > 0").groupBy("stem").agg(F.min_by("name", F.struct("_r", "name")).alias("image"))
     return stems.join(best, "stem", "left")
 
 

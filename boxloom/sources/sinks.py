@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxloom.functions import text as X
-from boxloom.functions.session import cut
+from boxloom.sources import dataset
 
 
 def append_removals(rows: DataFrame, path: str) -> None:
@@ -31,48 +26,25 @@ def write_splits(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
-def write_files(rows: DataFrame, root: str) -> DataFrame:
-    """Writes each row (name, content: binary or string) as a file of its own below ``root``; gives (name, length).
+def write_files(rows: DataFrame, root: str) -> None:
+    """Writes each row (name, content: binary or string) as a file of its own below ``root``: all of them or none.
 
-    For data sets that a trainer reads file by file. Each file is written beside its place and renamed, so a
-    reader sees all of it or nothing, and a task that runs again leaves the same files. Workers write through
-    pyarrow's file systems: ``root`` is a path or URI that all of them reach.
+    For data sets that a trainer reads file by file. Rows without a name are left out; a null content is empty.
     """
-    import pyarrow.fs as fs
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{os.path.abspath(root)}")
-        made: set[str] = set()
-        for batch in batches:
-            lengths = []
-            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
-                at = f"{base}/{name}"
-                folder = at.rsplit("/", 1)[0]
-                if folder not in made:
-                    store.create_dir(folder, recursive=True)
-                    made.add(folder)
-                beside = f"{folder}/.{uuid.uuid4().hex}"
-                with store.open_output_stream(beside) as out:
-                    out.write(content)
-                store.move(beside, at)
-                lengths.append(len(content))
-            yield pa.RecordBatch.from_arrays([batch.column("name").cast(pa.string()), pa.array(lengths, pa.int64())], ["name", "length"])
-
     body = F.coalesce(F.col("content").cast("binary"), F.lit(b""))
-    written = rows.where("name IS NOT NULL").select("name", body.alias("content")).mapInArrow(run, "name string, length long")
-    return cut(written)
+    dataset.save_files(rows.where("name IS NOT NULL").select("name", body.alias("content")), root)
 
 
 def materialise_splits(rows: DataFrame, root: str) -> DataFrame:
-    """Writes labels as ``labels/<split>/<stem>.txt`` below ``root`` and one list of images for each split, ``<split>.txt``.
+    """Writes labels as ``labels/<split>/<stem>.txt`` below ``root`` and one list of images for each split, ``<split>.list``.
 
-    ``rows``: split, stem, image (where it lies), text (its label file). Images are listed, not copied. Gives
-    (split, images).
+    ``rows``: split, stem, image (where it lies), text (its label file). Images are listed, not copied, for tools
+    that take lists; ``dataset.save_splits`` writes what a trainer reads. Gives (split, images).
     """
     name = F.concat(F.lit("labels/"), "split", F.lit("/"), "stem", F.lit(".txt"))
     write_files(rows.select(name.alias("name"), F.col("text").alias("content")), root)
     for split in [r.split for r in rows.select("split").distinct().orderBy("split").collect()]:
-        rows.where(F.col("split") == split).select("image").orderBy("image").write.mode("overwrite").text(f"{root.rstrip('/')}/{split}.list")
+        dataset.save_lines(rows.where(F.col("split") == split).select("image").orderBy("image"), f"{root.rstrip('/')}/{split}.list")
     return rows.groupBy("split").agg(F.count("*").alias("images"))
 
 
@@ -80,7 +52,8 @@ def merge_into(rows: DataFrame, root: str) -> DataFrame:
     """Adds the label files of rows with outcome ``added`` (see ``curation.merge``) to a data set; gives (outcome, n).
 
     ``rows``: name (image), image (where it lies), stem, text, outcome. The images' places are appended to
-    ``images`` as a table: a reference each, no copy.
+    ``images`` as a table: a reference each, no copy. What the output holds is for the caller to know;
+    ``dataset.Grown`` keeps that.
     """
     added = rows.where("outcome = 'added'")
     write_files(added.select(F.concat(F.lit("labels/"), "stem", F.lit(".txt")).alias("name"), F.col("text").alias("content")), root)
@@ -90,7 +63,7 @@ def merge_into(rows: DataFrame, root: str) -> DataFrame:
 
 def write_url_list(urls: DataFrame, path: str) -> None:
     """The distinct URLs in order, a line each."""
-    urls.select("url").distinct().orderBy("url").write.mode("overwrite").text(path)
+    dataset.save_lines(urls.select("url").distinct().orderBy("url"), path)
 
 
 def write_csv(rows: DataFrame, path: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxloom.functions.session import cut
-from boxloom.operators.dedup import curated
+from boxloom.operators.hash_index import HashIndex
 
 
 def run_new_files(spark: SparkSession, folder: str, schema: str, checkpoint: str, job: Callable[[DataFrame, int], None], fmt: str = "parquet") -> None:
@@ -55,18 +55,13 @@ def dedup_batch(batch: DataFrame, state_path: str, key: str, content: str) -> Da
 def curate_batch(batch: DataFrame, state_path: str, key: str, content: str, h: str, within: int = 6) -> DataFrame:
     """(key, reason) of a batch, exact and near duplicates of what this and all earlier batches kept; the kept join the state.
 
-    A batch that is run again gets the decisions of its first run: what it put into the state does not count
-    against itself.
+    The state is a ``HashIndex``, of which a batch reads what its own hashes may meet. A batch that is run again
+    gets the decisions of its first run: a kept image is told by its name and bytes, and does not count against
+    itself. A name that comes back with other bytes is another image; what the name stood for stays kept.
     """
-    spark = batch.sparkSession
-    state = _recorded(spark, state_path, "sha string, hash long, name string")
-    known = None
-    if state is not None:
-        known = cut(state.join(batch.select(F.col(key).cast("string").alias("name")), "name", "left_anti").select("sha", "hash"))
-    decided = cut(curated(batch, key, content, h, within, known))
-    kept = decided.where("reason = 'ok'").select("sha", "hash", F.col(key).cast("string").alias("name"))
-    (kept if state is None else kept.join(state.select("name"), "name", "left_anti").select("sha", "hash", "name")).write.mode("append").parquet(state_path)
-    return decided.select(key, "reason")
+    rows = cut(batch.select(F.col(key).alias("key"), F.sha2(F.col(content), 256).alias("sha"), F.col(h).alias("hash")))
+    decided = HashIndex(batch.sparkSession, state_path, within).curate(rows)
+    return decided.select(F.col("key").alias(key), "reason")
 
 
 def retry_failures(done_path: str, rows: DataFrame, key: str, work: Callable[[DataFrame], DataFrame], failed: tuple[str, ...] = ("api_fail", "size_fail"), sink: Callable[[DataFrame], None] | None = None) -> DataFrame:
