@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tabl
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark", "conversations"):
+    for t in ("documents", "pages", "labels", "benchmark", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS FROM '{SF}/{t}.parquet'")
     got = registry.queries()[name](spark, SF)
     want = con.execute(registry.oracle_sql()[name])
@@ -26,5 +26,5 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_has_a_query():
     names = set(registry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert set(registry.oracle_sql()) <= names
