@@ -9,6 +9,9 @@ an equal token, -2 for a different one. A text and an item overlap when the run
 four fifths of an item that is shorter, or when the tokens equal in that position of the two reach four
 fifths of the item. Scores and equal tokens count what lies in the neighbourhood, 65 tokens at most.
 
+Items of fewer than FEW tokens have two shorter masks besides, so that any fifth of their tokens may be replaced;
+texts are looked up with these only where the benchmark has such items. The map has MAP_BITS bits for each seed.
+
 Items of fewer than ``min_item`` tokens are too short for the masks. With ``short_items`` they match word for
 word: one seed of all their tokens, looked up at every place of the texts. Without it they match nothing.
 
@@ -29,10 +32,13 @@ from boxloom.llm.common import bitmap, let, may_hold, table, written
 
 #: Places of the tokens that count; the others are ignored.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6), (0, 2, 3, 6, 7))
+#: The same for items of fewer than FEW tokens: of these and MASKS one always lies on tokens that were not replaced.
+FEW_MASKS, FEW = ((0, 1, 2, 3), (0, 1, 4, 5)), 12
 AROUND = 32
 MIN_SCORE = 10
 MIN_ITEM = 6
-MAP_BITS = 1 << 22
+#: Bits of the map for each mark (two for each seed), and the least and greatest size of the map: 32 KB to 16 MB.
+MAP_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 18, 1 << 27
 #: Letters of scripts that put no spaces between words.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
@@ -65,6 +71,16 @@ def whole(n: int) -> tuple[int, ...]:
     return tuple(range(n))
 
 
+def masks_for(n: int) -> tuple[tuple[int, ...], ...]:
+    """The masks of an item of ``n`` tokens, at least MIN_ITEM."""
+    return (*MASKS, *FEW_MASKS) if n < FEW else MASKS
+
+
+def map_size(seeds: int) -> int:
+    """Bits of the map for a number of seeds: a power of two."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (2 * seeds * MAP_BITS - 1).bit_length()))
+
+
 def benchmark_seeds(benchmark: DataFrame, key: str, text: str, min_item: int, short: bool = False) -> DataFrame:
     """(seed, item, item_tokens, item_around) of all places and masks of items with ``min_item`` tokens or more.
 
@@ -76,7 +92,7 @@ def benchmark_seeds(benchmark: DataFrame, key: str, text: str, min_item: int, sh
     def of(mask: tuple[int, ...]) -> Column:
         return F.transform(_places(ih, mask), lambda i: F.struct(_seed(ih, i, mask).alias("seed"), i.alias("q")))
 
-    each = F.concat(*map(of, MASKS))
+    each = F.when(F.size(ih) < FEW, F.concat(*map(of, masks_for(FEW - 1)))).otherwise(F.concat(*map(of, masks_for(FEW))))
     for n in range(1, min_item):
         each = F.when(F.size(ih) == n, F.array(F.struct(_seed(ih, F.lit(0), whole(n)).alias("seed"), F.lit(0).alias("q")))).otherwise(each)
     hits = items.select("item", "ih", F.explode(each).alias("x"))
@@ -95,12 +111,15 @@ def _best_run(a: Column, b: Column) -> Column:
     return F.aggregate(same, start, step)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", min_score: int = MIN_SCORE, min_item: int = MIN_ITEM, map_bits: int = MAP_BITS, short_items: bool = False) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", min_score: int = MIN_SCORE, min_item: int = MIN_ITEM, map_bits: int | None = None, short_items: bool = False) -> DataFrame:
     """``key``, ``item_key``, score and equal tokens of each document and item that overlap."""
     seeds = written(benchmark_seeds(benchmark, item_key, item_text, min_item, short_items))
-    # the lengths that short items have: fewer than min_item numbers
-    lengths = [r.item_tokens for r in seeds.where(F.col("item_tokens") < min_item).select("item_tokens").distinct().orderBy("item_tokens").collect()]
-    masks = [*MASKS, *[m for m in map(whole, lengths) if m not in MASKS]]
+    # the lengths of items that need masks of their own: fewer than FEW numbers
+    few = seeds.where(F.col("item_tokens") < max(FEW, min_item)).select("item_tokens").distinct()
+    lengths = sorted(r.item_tokens for r in few.collect())
+    masks = [*MASKS, *(FEW_MASKS if any(min_item <= n < FEW for n in lengths) else ())]
+    masks += [m for m in (whole(n) for n in lengths if n < min_item) if m not in masks]
+    map_bits = map_bits or map_size(seeds.count())
     marks = seeds.select("seed").unionByName(seeds.select(F.xxhash64(F.lit(5), "seed").alias("seed")))
 
     def found(h: Column, map_: Column) -> Column:
@@ -118,14 +137,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     places = with_map.select("key", let(F.col("map"), lambda m: let(token_hashes(F.col("text")), lambda h: found(h, m))).alias("x"))
     # explode() would infer a filter on the array that computes it a second time
     hits = places.select("key", F.explode_outer("x").alias("x")).where("x IS NOT NULL").select("key", "x.seed", "x.around")
-    scored = hits.join(seeds, "seed").select("key", "item", "item_tokens", _best_run(F.col("around"), F.col("item_around")).alias("run"))
     enough = F.least(F.lit(min_score), F.ceil(F.col("item_tokens") * 4 / 5))
-    return (
-        scored.where((F.col("run.best") >= enough) | (5 * F.col("run.equal") >= 4 * F.col("item_tokens")))
-        .groupBy("key", "item")
-        .agg(F.max("run.best").alias("score"), F.max("run.equal").alias("equal_tokens"))
-        .select(F.col("key").alias(key), F.col("item").alias(item_key), "score", "equal_tokens")
-    )
+
+    def judged(run: Column) -> Column:
+        good = (run["best"] >= enough) | (5 * run["equal"] >= 4 * F.col("item_tokens"))
+        return F.when(good, F.struct(run["best"].alias("score"), run["equal"].alias("equal")))
+
+    # one array of one, exploded, so that no filter on the result moves down and computes it again
+    run = F.explode_outer(F.array(let(_best_run(F.col("around"), F.col("item_around")), judged)))
+    scored = hits.join(seeds, "seed").select("key", "item", run.alias("run")).where("run IS NOT NULL")
+    best = scored.groupBy("key", "item").agg(F.max("run.score").alias("score"), F.max("run.equal").alias("equal_tokens"))
+    return best.select(F.col("key").alias(key), F.col("item").alias(item_key), "score", "equal_tokens")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
