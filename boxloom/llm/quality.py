@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import SPACES, WORD, cut, let, table, words, written
+from boxloom.llm.common import SPACES, WORD, cut, let, table, words
 
 WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
@@ -158,14 +158,14 @@ def labelled_stats(docs: DataFrame, labels: DataFrame, key: str, text: str, max_
     chosen = best.orderBy(F.xxhash64("label_key"), "label_key").limit(max_labelled)
     # bounded by max_labelled rows of two numbers
     rows = docs.select(F.col(key).alias("label_key"), F.col(text).alias("label_text")).join(F.broadcast(chosen), "label_key")
-    # written first: else the filter on statistics moves below the join, where it reads every text
-    texts = written(rows.select("label_key", "label_text", (F.col("quality") == 0).cast("int").alias("bad")))
-    return texts.select("label_key", "bad", stats(F.col("label_text")).alias("s")).where(~base_failed(F.col("s")))
+    # cut before the filter, which would move below the statistics and compute them again for each thing it tests
+    known = cut(rows.select("label_key", (F.col("quality") == 0).cast("int").alias("bad"), stats(F.col("label_text")).alias("s")))
+    return known.where(~base_failed(F.col("s")))
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED, max_rules: int = 6, max_conditions: int = 3, min_precision: float = 0.97, min_cover: int = 4) -> DecisionList:
     """A decision list that rejects what resembles rows labelled with quality 0."""
-    rows = cut(labelled_stats(docs, labels, key, text, max_labelled))
+    rows = labelled_stats(docs, labels, key, text, max_labelled)
     probs = [k / BINS for k in range(1, BINS)] + [0.97, 0.99]
     s = F.col("s")
     quantiles = rows.select([F.percentile_approx(f(s), probs, 10_000).alias(name) for name, f in FEATURES.items()]).first()
