@@ -52,7 +52,8 @@ _NUMBER = re.compile(r"(?<![0-9A-Za-z.@+-])\(?[0-9]{2,5}\)?(?:[ ./-]{1,2}[0-9]{2
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
 _NATIONAL = re.compile(r"\(?0?[0-9]{2,4}\)?[ /-][0-9]{3,4}[ -]?[0-9]{3,4}")
 
-_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{0,200}[0-9])(?=[A-Za-z0-9+/_-]{0,200}[A-Za-z])[A-Za-z0-9+/_-]{16,200}={0,2}(?![A-Za-z0-9+/_=-])")
+# entered at the start of a run only, so that runs of any length take linear time
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{16,}+={0,2}(?![A-Za-z0-9+/_=-])")
 _HEX = re.compile(r"(?:[0-9a-f]{24,}|[0-9A-F]{24,})")
 _STREET = re.compile(r"(?<![A-Za-z0-9.,-])[0-9]{1,5}[a-z]? (?:[A-Z][a-z]{1,20} ){1,3}[A-Z][a-z]{1,10}\b")
 _NAME = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof)\b\.? [A-Z][a-z]{1,20}(?: [A-Z][a-z]{1,20})?")
