@@ -1,6 +1,7 @@
 """URL verdicts, shards, contamination, event logs and learned parts against plain Python, with odd rows."""
 
 import collections
+import itertools
 import os
 import random
 import re
@@ -140,7 +141,7 @@ def contaminated(docs, items, short):
         a = tokens_of(t)
         for i, u in items:
             b = tokens_of(u)
-            masks = decontamination.MASKS if len(b) >= decontamination.MIN_ITEM else [tuple(range(len(b)))] if short and b else []
+            masks = decontamination.masks_for(len(b)) if len(b) >= decontamination.MIN_ITEM else [tuple(range(len(b)))] if short and b else []
             for mask in masks:
                 for q in range(len(b) - mask[-1]):
                     for p in range(len(a) - mask[-1]):
@@ -181,6 +182,42 @@ def test_contamination_against_all_pairs(spark, short):
     assert {r for r in more if r[0] is not None} == got and decontamination.overlaps(again, bench, short_items=short).count() == len(more)
 
 
+def test_any_fifth_of_an_item_may_be_replaced(spark):
+    """Against no masks at all: each text holds an item with floor(n / 5) tokens replaced."""
+    rnd = random.Random(8)
+    items, texts, want = [], [], set()
+    for n in range(6, 21):
+        item = [f"i{n}w{k}" for k in range(n)]
+        every = [c for r in range(n // 5 + 1) for c in itertools.combinations(range(n), r)]
+        for places in every if n < 12 else rnd.sample(every, 25):
+            want.add((len(texts), n))
+            around = [f"f{rnd.randrange(500)}" for _ in range(20)]
+            texts.append(" ".join([*around[:10], *[f"x{k}" if k in places else w for k, w in enumerate(item)], *around[10:]]))
+        items.append((n, " ".join(item)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for some in (bench, bench.where("item_id >= 12"), bench.where("item_id < 8")):
+        ids = {r.item_id for r in some.collect()}
+        got = {(r.doc_id, r.item_id) for r in decontamination.overlaps(frame(spark, texts), some).collect()}
+        assert got == {(d, i) for d, i in want if i in ids}
+
+
+def test_overlaps_are_scored_once_a_row(spark):
+    bench = spark.createDataFrame([(1, "a b c d e f g h")], "item_id long, text string")
+    df = decontamination.overlaps(frame(spark, ["x a b c d e f g h"]), bench)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with") == 1 and [decontamination.map_size(n) for n in (1, 10**5, 10**9)] == [1 << 18, 1 << 22, 1 << 27]
+
+
+def test_statistics_are_computed_once_a_labelled_text(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(quality, "cut", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or common.cut(df))
+    docs = frame(spark, [" ".join(f"w{k}" for k in range(30))] * 3)
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, quality int")
+    assert quality.labelled_stats(docs, labels, "doc_id", "text", 100).count() == 2
+    once = docs.select(quality.stats(F.col("text")).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plans) == 1 and plans[0].count("regexp_replace") == once.count("regexp_replace")
+
+
 # ---- event logs ---------------------------------------------------------------------------------------
 
 
@@ -322,3 +359,15 @@ def test_intermediate_tables_can_be_deleted(spark, tmp_path):
     common.discard(spark)
     assert not any(os.path.exists(p) for p in paths) and common._WRITTEN == []
     common._WRITTEN[:] = [p for p in mine if not any(p in x for x in paths)]
+
+
+def test_keys_of_any_length_are_candidates():
+    rnd = random.Random(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for n in (16, 102, 200, 201, 5000, 300_000):
+        key = "a1" + "".join(rnd.choice(letters) for _ in range(n - 2))
+        text = f'token = "{key}" and more'
+        found = [(a, b) for k, a, b, _ in pii.candidates(text, pii.base_spans(text)) if pii.KINDS[k] == "secret"]
+        assert found == [(9, 9 + n)], n
+    for text in ("a" * 300_000, "1" * 300_000, "a1" * 7, "-" * 100_000 + "x"):
+        assert not [1 for k, *_ in pii.candidates(text, pii.base_spans(text)) if pii.KINDS[k] == "secret"]
