@@ -1,16 +1,19 @@
 """Matching ground truth with detections: five policies, each a fold over one image's boxes.
 
 The boxes of an image are gathered by one shuffle on the image; what follows is expressions over its
-arrays; but for ``best_class``, which joins the pairs of an image, no pair of boxes becomes a row. Ground truth has (image_id, box_idx, cls, x1..y2),
+arrays; but for ``best_class``, which joins the pairs of an image, and images with very many boxes, no pair of
+boxes becomes a row. Ground truth has (image_id, box_idx, cls, x1..y2),
 detections (image_id, det_idx, cls, conf, x1..y2), det_idx counting in falling confidence.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxloom.functions.geometry import iou
+from boxloom.operators import spatial
 from boxloom.operators.curation import sample_by_hash
 
 
@@ -36,13 +39,16 @@ def _once(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def best_class(gt: DataFrame, pred: DataFrame, least: float = 0.3) -> DataFrame:
-    """M1: (image_id, box_idx, cls, pred_cls): the class of the best detection, the last of equal ones; not exclusive."""
-    p = pred.select("image_id", "det_idx", F.col("cls").alias("pred_cls"), F.struct("x1", "y1", "x2", "y2").alias("pb"))
-    g = gt.select("image_id", "box_idx", "cls", F.struct("x1", "y1", "x2", "y2").alias("gb"))
-    over = g.join(p, "image_id", "left").withColumn("iou", iou(F.col("gb"), F.col("pb"), clamped=False))
-    hit = F.when(F.col("iou") >= least, F.struct("iou", "det_idx"))
-    return over.groupBy("image_id", "box_idx", "cls").agg(F.max_by("pred_cls", hit).alias("pred_cls"))
+def best_class(gt: DataFrame, pred: DataFrame, least: float = 0.3, few: int = spatial.FEW) -> DataFrame:
+    """M1: (image_id, box_idx, cls, pred_cls): the class of the best detection, the last of equal ones; not exclusive.
+
+    Images with more than ``few`` pairs meet by cells of a grid (see ``spatial``), the others in one join.
+    """
+    box = ["x1", "y1", "x2", "y2"]
+    met = spatial.pairs(gt.select("image_id", "box_idx", "cls", *box), pred.select("image_id", "det_idx", "cls", *box), few=few)
+    over = met.select("image_id", "a.box_idx", F.col("a.cls").alias("cls"), "b.det_idx", F.col("b.cls").alias("pred_cls"), iou(F.col("a"), F.col("b"), clamped=False).alias("iou"))
+    best = over.where(F.col("iou") >= least).groupBy("image_id", "box_idx", "cls").agg(F.max_by("pred_cls", F.struct("iou", "det_idx")).alias("pred_cls"))
+    return gt.select("image_id", "box_idx", "cls").join(best, ["image_id", "box_idx", "cls"], "left")
 
 
 def true_positives(gt: DataFrame, pred: DataFrame, thresholds: list[float]) -> DataFrame:
@@ -65,8 +71,44 @@ def true_positives(gt: DataFrame, pred: DataFrame, thresholds: list[float]) -> D
     return each.select("threshold", "image_id", F.col("x.p.i").alias("det_idx"), F.col("x.p.conf").alias("conf"), F.col("x.tp").alias("tp"))
 
 
-def image_errors(gt: DataFrame, pred: DataFrame, least: float = 0.5) -> DataFrame:
-    """M3: (image_id, n_gt, n_pred, true_pos, class_mismatch, false_neg, false_pos, badness): greedy over all pairs by falling overlap."""
+def image_errors(gt: DataFrame, pred: DataFrame, least: float = 0.5, few: int = spatial.FEW) -> DataFrame:
+    """M3: (image_id, n_gt, n_pred, true_pos, class_mismatch, false_neg, false_pos, badness): greedy over all pairs by falling overlap.
+
+    Images with more than ``few`` pairs meet by cells of a grid, and only the pairs that overlap enough are gathered.
+    """
+    busy = spatial.crowded(gt, pred, few=few)
+    many = gt.join(busy, "image_id", "left_semi"), pred.join(busy, "image_id", "left_semi")
+    matched = _errors_of_few(gt.join(busy, "image_id", "left_anti"), pred.join(busy, "image_id", "left_anti"), least)
+    matched = matched.unionByName(_errors_of_many(busy, *many, least))
+    n = F.col("true_pos") + F.col("class_mismatch")
+    out = matched.withColumn("false_neg", F.col("n_gt") - n).withColumn("false_pos", F.col("n_pred") - n)
+    return out.withColumn("badness", F.col("false_neg") + F.col("false_pos") + F.col("class_mismatch"))
+
+
+def _errors_of_many(busy: DataFrame, gt: DataFrame, pred: DataFrame, least: float) -> DataFrame:
+    """``_errors_of_few`` for the images in ``busy`` (image_id, n_one, n_other)."""
+    box = ["x1", "y1", "x2", "y2", "cls"]
+    met = spatial.overlapping(gt.select("image_id", "box_idx", *box), pred.select("image_id", "det_idx", *box))
+    scored = met.select("image_id", iou(F.col("b"), F.col("a")).alias("iou"), F.col("b.det_idx").alias("pi"), F.col("a.box_idx").alias("gi"), (F.col("a.cls") == F.col("b.cls")).alias("same"))
+
+    def greedy(rows: pd.DataFrame) -> pd.DataFrame:
+        """One image's pairs, those that overlap enough: some for each box, not all with all."""
+        boxes, found, right, wrong = set(), set(), 0, 0
+        for x in rows.sort_values(["iou", "pi", "gi", "same"], ascending=False).itertuples(index=False):
+            if x.pi not in found and x.gi not in boxes:
+                found.add(x.pi)
+                boxes.add(x.gi)
+                right, wrong = right + bool(x.same), wrong + (not x.same)
+        return pd.DataFrame({"image_id": rows["image_id"][:1], "true_pos": [right], "class_mismatch": [wrong]})
+
+    kind = gt.schema["image_id"].dataType.simpleString()
+    done = scored.where(F.col("iou") >= least).groupBy("image_id").applyInPandas(greedy, f"image_id {kind}, true_pos int, class_mismatch int")
+    counts = busy.select("image_id", F.col("n_one").cast("int").alias("n_gt"), F.col("n_other").cast("int").alias("n_pred")).join(done, "image_id", "left")
+    return counts.select("image_id", "n_gt", "n_pred", F.coalesce("true_pos", F.lit(0)).alias("true_pos"), F.coalesce("class_mismatch", F.lit(0)).alias("class_mismatch"))
+
+
+def _errors_of_few(gt: DataFrame, pred: DataFrame, least: float) -> DataFrame:
+    """(image_id, n_gt, n_pred, true_pos, class_mismatch) by a fold over all pairs of an image."""
     both = gather(gt, pred)
     pairs = F.flatten(F.transform("p", lambda p, pi: F.transform(F.col("g"), lambda g, gi: F.struct(iou(g, p).alias("iou"), pi.alias("pi"), gi.alias("gi"), (g["cls"] == p["cls"]).alias("same")))))
     falling = F.reverse(F.sort_array(F.filter(pairs, lambda x: x["iou"] >= least)))
@@ -83,9 +125,7 @@ def image_errors(gt: DataFrame, pred: DataFrame, least: float = 0.5) -> DataFram
     ints = F.expr("array()").cast("array<int>")
     start = F.struct(ints.alias("up"), ints.alias("ug"), F.lit(0).alias("tp"), F.lit(0).alias("cm"))
     s = both.select("image_id", F.size("g").alias("n_gt"), F.size("p").alias("n_pred"), F.aggregate(falling, start, step).alias("s"))
-    n = F.col("s.tp") + F.col("s.cm")
-    out = s.select("image_id", "n_gt", "n_pred", F.col("s.tp").alias("true_pos"), F.col("s.cm").alias("class_mismatch"), (F.col("n_gt") - n).alias("false_neg"), (F.col("n_pred") - n).alias("false_pos"))
-    return out.withColumn("badness", F.col("false_neg") + F.col("false_pos") + F.col("class_mismatch"))
+    return s.select("image_id", "n_gt", "n_pred", F.col("s.tp").alias("true_pos"), F.col("s.cm").alias("class_mismatch"))
 
 
 def plate_errors(gt: DataFrame, pred: DataFrame, target: int = 4, least: float = 0.3, good: float = 0.5) -> DataFrame:

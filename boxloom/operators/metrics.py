@@ -42,6 +42,17 @@ def class_distribution(boxes: DataFrame, version: int = 1, files: DataFrame | No
     )
 
 
+def class_totals(boxes: DataFrame, files: DataFrame) -> DataFrame:
+    """(cls, boxes, images, is_total): a row for each class that occurs and a total of all, in one pass by rollup.
+
+    The total's images are all label files in ``files`` (image_id), those without a box included, as in the report.
+    """
+    # a row for each file, with no class, so that files without boxes take part in the total alone
+    both = boxes.where("cls IS NOT NULL").select("image_id", "cls").unionByName(files.select("image_id", F.lit(None).cast("int").alias("cls")))
+    rows = both.rollup("cls").agg(F.count("cls").alias("boxes"), F.count_distinct("image_id").alias("images"), (F.grouping("cls") == 1).alias("is_total"))
+    return rows.where("is_total OR cls IS NOT NULL")
+
+
 def file_totals(files: DataFrame, boxes: DataFrame) -> DataFrame:
     """One row: files, boxes, with_boxes, empty (readable, without a box), unreadable of ``files`` (image_id, readable)."""
     per = boxes.groupBy("image_id").agg(F.count("*").alias("n"))

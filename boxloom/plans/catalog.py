@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxloom import sql
 from boxloom.functions import geometry as G
 from boxloom.functions import labels as L
 from boxloom.functions import text as X
+from boxloom.functions.session import cut, shared_dir
 from boxloom.operators import curation as C
 from boxloom.operators import decisions as D
 from boxloom.operators import dedup as U
 from boxloom.operators import matching as M
 from boxloom.operators import metrics as K
+from boxloom.operators import spatial as S
+from boxloom.operators.hash_index import HashIndex
 from boxloom.plans.fixtures import HASH_SQL, HEIGHT, WIDTH, hashes, table, with_views
+from boxloom.sources.manifest import Manifest
+from boxloom.streaming.exact import dedup_new_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -117,6 +124,16 @@ def class_file_totals(spark, sf_dir):
     return K.file_totals(*_files(spark, sf_dir))
 
 
+@query(
+    _FILES + """ SELECT cls, count(*) AS boxes, count(DISTINCT image_id) AS images, false AS is_total FROM b WHERE cls IS NOT NULL GROUP BY cls
+UNION ALL SELECT NULL, (SELECT count(*) FROM b WHERE cls IS NOT NULL), count(DISTINCT image_id), true FROM f""",
+    "v_gt",
+)
+def class_totals(spark, sf_dir):
+    files, boxes = _files(spark, sf_dir)
+    return K.class_totals(boxes, files)
+
+
 @query(", b AS (SELECT list_sort(list(DISTINCT cls)) AS classes, max(cls) + 1 AS n_names FROM v_gt) SELECT unnest(classes) AS cls, n_names FROM b", "v_gt")
 def classes_seen(spark, sf_dir):
     return C.classes_seen(table(spark, sf_dir, "v_gt")).select(F.explode("classes").alias("cls"), "n_names")
@@ -210,10 +227,17 @@ def _both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query(_PAIRS + " SELECT image_id, box_idx, det_idx, CAST(floor(iou * 1e6 + 0.5) AS BIGINT) AS iou_ppm FROM pair WHERE iou >= 0.5::DOUBLE", *_BOTH)
 def iou_pairs(spark, sf_dir):
-    gt, pred = _both(spark, sf_dir)
-    box = F.struct("x1", "y1", "x2", "y2")
-    x = gt.select("image_id", "box_idx", box.alias("a")).join(pred.select("image_id", "det_idx", box.alias("b")), "image_id").withColumn("iou", G.iou(F.col("a"), F.col("b")))
-    return x.where("iou >= 0.5").select("image_id", "box_idx", "det_idx", F.floor(F.col("iou") * 1e6 + 0.5).alias("iou_ppm"))
+    box = ["x1", "y1", "x2", "y2"]
+    gt, pred = (x.select("image_id", k, *box) for x, k in zip(_both(spark, sf_dir), ("box_idx", "det_idx")))
+    x = S.pairs(gt, pred).withColumn("iou", G.iou(F.col("a"), F.col("b")))
+    return x.where("iou >= 0.5").select("image_id", "a.box_idx", "b.det_idx", F.floor(F.col("iou") * 1e6 + 0.5).alias("iou_ppm"))
+
+
+@query(_PAIRS + " SELECT image_id, box_idx, det_idx FROM pair WHERE iou > 0", *_BOTH)
+def overlapping_boxes(spark, sf_dir):
+    box = ["x1", "y1", "x2", "y2"]
+    gt, pred = (x.select("image_id", k, *box) for x, k in zip(_both(spark, sf_dir), ("box_idx", "det_idx")))
+    return S.overlapping(gt, pred).select("image_id", "a.box_idx", "b.det_idx")
 
 
 _BEST = _PAIRS + """, best AS (SELECT g.image_id, g.box_idx, g.cls, (SELECT pcls FROM pair p WHERE p.image_id = g.image_id AND p.box_idx = g.box_idx AND iou >= 0.3::DOUBLE AND conf >= 0.25::DOUBLE ORDER BY iou DESC, det_idx DESC LIMIT 1) AS pred_cls FROM v_gt_px g)"""
@@ -483,6 +507,34 @@ def curated_images(spark, sf_dir):
     return U.curated(rows, "vec_id", "content", "h", 20).select("vec_id", "reason")
 
 
+_RUNS = f"""WITH RECURSIVE v AS MATERIALIZED ({HASH_SQL}), o AS MATERIALIZED (SELECT v.vec_id, h, label % 2 AS run, row_number() OVER (ORDER BY label % 2, v.vec_id) AS k FROM v JOIN embeddings e ON e.vec_id = v.vec_id),
+r AS (SELECT 1::BIGINT AS k, [h] AS kept, vec_id, h, run, true AS keep FROM o WHERE k = 1
+  UNION ALL SELECT o.k, CASE WHEN len(list_filter(r.kept, lambda x: bit_count(xor(x, o.h)) <= 20)) = 0 THEN list_append(r.kept, o.h) ELSE r.kept END, o.vec_id, o.h, o.run,
+    len(list_filter(r.kept, lambda x: bit_count(xor(x, o.h)) <= 20)) = 0 FROM r JOIN o ON o.k = r.k + 1)
+SELECT vec_id, run, CASE WHEN keep THEN 'ok' WHEN EXISTS (SELECT 1 FROM r x WHERE x.keep AND x.h = r.h AND x.k < r.k) THEN 'exact_duplicate' ELSE 'near_duplicate' END AS reason FROM r"""
+
+
+@query(_RUNS)
+def hash_index_runs(spark, sf_dir):
+    """Two runs of the index of hashes: the second reads what the first has committed."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("label") % 2).alias("run")).join(hashes(spark, sf_dir), "vec_id")
+    rows = rows.select("run", F.col("vec_id").alias("key"), F.sha2(F.col("h").cast("string"), 256).alias("sha"), F.col("h").alias("hash"))
+    index = HashIndex(spark, f"{shared_dir(spark)}/hash-index-{uuid.uuid4().hex}", within=20)
+    runs = [index.curate(rows.where(F.col("run") == k).drop("run")).withColumn("run", F.lit(k)) for k in (0, 1)]
+    index.manifest.delete()
+    return runs[0].unionByName(runs[1]).select(F.col("key").alias("vec_id"), "run", "reason")
+
+
+@query("SELECT doc_id, sha256(text) AS sha, doc_id = min(doc_id) OVER (PARTITION BY text) AS kept FROM documents WHERE text IS NOT NULL UNION ALL SELECT doc_id, NULL, true FROM documents WHERE text IS NULL")
+def exact_dedup_stream(spark, sf_dir):
+    """The documents as a stream, with the first key of each text in a state store."""
+    at = f"{shared_dir(spark)}/exact-{uuid.uuid4().hex}"
+    schema = "doc_id long, text string"
+    # a pattern, since a stream takes a file by a pattern only, and a folder in either way
+    dedup_new_files(spark, f"{sf_dir}/documents.parque[t]", schema, f"{at}/checkpoint", f"{at}/out", "doc_id", "text")
+    return spark.read.schema("doc_id long, sha string, kept boolean").parquet(f"{at}/out")
+
+
 # ---- addresses, merging, splitting -----------------------------------------------------------------
 
 _URL = "CASE WHEN trim({0}) <> '' AND lower(trim({0})) <> 'none' AND starts_with(trim({0}), 'http') THEN trim({0}) END"
@@ -524,6 +576,27 @@ def merge_collisions(spark, sf_dir):
     return _merged(spark, sf_dir).groupBy("source", "outcome").agg(F.count("*").alias("n"))
 
 
+@query(
+    """WITH m AS (SELECT doc_id, concat('img', doc_id % 700) AS label, concat('img', doc_id % 700, '.', doc_id % 3) AS name, n_chars >= 100 AS ok, source = (SELECT min(source) FROM documents) AS first FROM documents),
+a AS (SELECT *, CASE WHEN NOT ok THEN 'no_label' WHEN row_number() OVER (PARTITION BY label, ok ORDER BY doc_id) = 1 THEN 'added' ELSE 'collision' END AS outcome FROM m WHERE first),
+h AS (SELECT label FROM a WHERE outcome = 'added'), b AS (SELECT m.*, label IN (SELECT label FROM h) AS met FROM m WHERE NOT first),
+c AS (SELECT doc_id, CASE WHEN NOT ok THEN 'no_label' WHEN met THEN 'collision' WHEN row_number() OVER (PARTITION BY label, ok ORDER BY doc_id) = 1 THEN 'added' ELSE 'collision' END AS outcome FROM b)
+SELECT doc_id, outcome FROM a UNION ALL SELECT doc_id, outcome FROM c"""
+)
+def merge_into_filled(spark, sf_dir):
+    """One source merged into an empty output, then all others into what that version of it holds."""
+    label = F.concat(F.lit("img"), F.col("doc_id") % 700)
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", "source", (F.col("n_chars") >= 100).alias("ok"), label.alias("stem"), F.concat(label, F.lit("."), F.col("doc_id") % 3).alias("name"))
+    rows = rows.withColumn("first", F.col("source") == docs.agg(F.min("source")).scalar())
+    held = Manifest(spark, f"{shared_dir(spark)}/merge-{uuid.uuid4().hex}")
+    one = cut(C.merge(rows.where("first"), ["doc_id"], "stem", F.col("ok")))
+    held.commit(0, {"images": held.stage("images", one.where("outcome = 'added'").select("name", "stem"))})
+    two = cut(C.merge(rows.where("NOT first"), ["doc_id"], "stem", F.col("ok"), held.read("images", "name string, stem string"), "name"))
+    held.delete()
+    return one.unionByName(two).select("doc_id", "outcome")
+
+
 @query("SELECT doc_id, source AS target, CASE WHEN n = 0 THEN source || '.txt' ELSE source || '__' || n || '.txt' END AS free_name FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS n FROM documents)")
 def safe_move_names(spark, sf_dir):
     moves = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("target"), F.concat("source", F.lit(".txt")).alias("name"))
@@ -681,6 +754,25 @@ def relabel_stats(spark, sf_dir):
     return _relabelled(spark, sf_dir).groupBy("new_cls", "how").agg(F.count("*").alias("n"))
 
 
+_REASONS = (
+    _RELABEL
+    + """, s AS (SELECT image_id, box_idx, image_id % 17 = 0 AS gone, CAST(least(1, cx + w / 2 + w * 0.15::DOUBLE) * 40 AS DOUBLE) AS x2, CAST(greatest(0, cx - w / 2 - w * 0.15::DOUBLE) * 40 AS DOUBLE) AS x1,
+  CAST(least(1, cy + h / 2 + h * 0.15::DOUBLE) * 30 AS DOUBLE) AS y2, CAST(greatest(0, cy - h / 2 - h * 0.15::DOUBLE) * 30 AS DOUBLE) AS y1 FROM v_gt),
+z AS (SELECT n.image_id, how, CASE WHEN how = 'direct' THEN 'direct' WHEN how = 'decided' THEN CASE WHEN new_cls IN (2, 3) THEN 'car' ELSE 'other' END WHEN gone THEN 'no_image'
+  WHEN trunc(x2) - trunc(x1) < 8 OR trunc(y2) - trunc(y1) < 8 THEN 'bad_crop' ELSE 'no_detection' END AS why FROM n JOIN s ON s.image_id = n.image_id AND s.box_idx = n.box_idx)
+SELECT how, why, count(*) AS boxes, count(DISTINCT image_id) AS files, CAST(grouping_id(how, why) AS INT) AS level FROM z GROUP BY ROLLUP (how, why)"""
+)
+
+
+@query(_REASONS, "v_gt", "v_pred")
+def relabel_reasons(spark, sf_dir):
+    """Why boxes got their new class, with sub-totals; images of 40 by 30 pixels, every 17th of them missing."""
+    boxes = table(spark, sf_dir, "v_gt")
+    gone = F.col("image_id") % 17 == 0
+    images = boxes.select("image_id").distinct().select("image_id", F.when(~gone, 40).alias("width"), F.when(~gone, 30).alias("height"))
+    return D.relabel_reasons(_relabelled(spark, sf_dir), D.crop_states(boxes, images))
+
+
 # ---- scores, payloads, status ----------------------------------------------------------------------
 
 _BAND = "CASE " + " ".join(f"WHEN value < {t} THEN '{b:03d}-{t:03d}'" for b, t in zip((0, *X.BAND_TOPS[:-1]), X.BAND_TOPS)) + " ELSE '100-plus' END"
@@ -764,3 +856,38 @@ def plate_recovery(spark, sf_dir):
     line = F.format_string("%d %.2f %.2f %.2f %.2f", "cls", "cx", "cy", "w", "h")
     lines = L.parse(table(spark, sf_dir, "v_gt").select("image_id", F.col("box_idx").alias("line_no"), line.alias("line")))
     return D.recover_plates(images, lines, table(spark, sf_dir, "v_pred")).select("image_id", "status", F.size("lines").cast("long").alias("n_lines"))
+
+
+# ---- SQL surface -----------------------------------------------------------------------------------
+
+
+@query(_PARSED + "SELECT image_id, line_no, cls, cx, cy, w, h FROM p WHERE n_tokens >= 5 AND cls IS NOT NULL AND cx IS NOT NULL AND cy IS NOT NULL AND w IS NOT NULL AND h IS NOT NULL", "v_label_lines")
+def sql_parse_label(spark, sf_dir):
+    """Label files of several lines, parsed by a table function in SQL."""
+    sql.register(spark)
+    lines = table(spark, sf_dir, "v_label_lines")
+    return spark.sql(
+        """SELECT f.image_id, b.* FROM (SELECT image_id, array_join(transform(array_sort(collect_list(struct(line_no, line))), x -> x.line), '\n') AS text FROM {lines} GROUP BY image_id) f,
+LATERAL parse_label(f.text) b""",
+        lines=lines,
+    )
+
+
+@query(_PAIRS + " SELECT image_id, box_idx, det_idx, CAST(floor(iou * 1e6 + 0.5) AS BIGINT) AS iou_ppm FROM pair WHERE iou >= 0.5::DOUBLE", *_BOTH)
+def sql_box_iou(spark, sf_dir):
+    sql.register(spark)
+    gt, pred = _both(spark, sf_dir)
+    return spark.sql(
+        """SELECT image_id, box_idx, det_idx, CAST(floor(iou * 1e6 + 0.5) AS BIGINT) AS iou_ppm FROM (
+  SELECT g.image_id, g.box_idx, p.det_idx, box_iou(named_struct('x1', g.x1, 'y1', g.y1, 'x2', g.x2, 'y2', g.y2), named_struct('x1', p.x1, 'y1', p.y1, 'x2', p.x2, 'y2', p.y2)) AS iou
+  FROM {gt} g JOIN {pred} p ON p.image_id = g.image_id) WHERE iou >= 0.5D""",
+        gt=gt,
+        pred=pred,
+    )
+
+
+@query(f"SELECT {_BAND} AS band, CAST(bit_count(xor(event_id, user_id)) AS INT) AS distance, count(*) AS n FROM events WHERE value >= 0 GROUP BY ALL")
+def sql_bands(spark, sf_dir):
+    sql.register(spark)
+    events = table(spark, sf_dir, "events")
+    return spark.sql("SELECT band_label(value) AS band, hamming(event_id, user_id) AS distance, count(*) AS n FROM {events} WHERE value >= 0 GROUP BY ALL", events=events)
