@@ -8,9 +8,16 @@ import typing
 
 from pyspark.sql import SparkSession
 
-from boxloom import jobs
+from boxloom import filters, jobs, reports
 
-JOBS = {f.__name__.replace("_", "-"): f for f in (jobs.extract_urls, jobs.download, jobs.remove_duplicates, jobs.brightness, jobs.merge, jobs.split, jobs.label, jobs.add_plates, jobs.add_dataset, jobs.recover_plates, jobs.draw, jobs.crops, jobs.distribution, jobs.classification, jobs.metrics, jobs.bad_predictions, jobs.plate_errors, jobs.review)}
+JOBS = {
+    f.__name__.replace("_", "-"): f
+    for f in (
+        jobs.extract_urls, jobs.download, jobs.remove_duplicates, jobs.brightness, jobs.merge, jobs.split, jobs.label, jobs.add_plates, jobs.add_dataset, jobs.recover_plates, jobs.draw, jobs.crops,
+        filters.triage, filters.validate, filters.relabel,
+        reports.distribution, jobs.classification, jobs.metrics, reports.bad_predictions, reports.plate_errors, reports.review, reports.infer_draw,
+    )
+}
 
 
 def _ratios(text: str) -> tuple[float, ...]:
@@ -27,7 +34,7 @@ def _names(text: str) -> dict[int, str]:
 def _arguments(job) -> dict[str, tuple[object, object]]:
     """name: (type, default) of what a job takes besides the session; those of evaluations that it hands on included."""
     found: dict[str, tuple[object, object]] = {}
-    for f in (job, jobs._sides if any(p.kind is p.VAR_KEYWORD for p in inspect.signature(job).parameters.values()) else None):
+    for f in (job, jobs.sides if any(p.kind is p.VAR_KEYWORD for p in inspect.signature(job).parameters.values()) else None):
         if f is not None:
             hints = typing.get_type_hints(f)
             for name, p in inspect.signature(f).parameters.items():

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from boxloom.functions import glyphs
+
 
 def gray(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     """Luma of a blue-green-red image."""
@@ -64,7 +66,7 @@ def phash(data: Column, height: Column, width: Column, channels: Column) -> Colu
 # ---- drawing and cropping ------------------------------------------------------------------------------
 
 #: Blue, green and red of what is drawn, by kind; anything else is drawn like a detection.
-COLOURS = {"gt": (0, 255, 0), "pred": (0, 0, 255), "plate": (255, 255, 0)}
+COLOURS = {"gt": (0, 255, 0), "pred": (0, 0, 255), "plate": (255, 255, 0), "other": (0, 165, 255)}
 
 
 def pixels(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
@@ -87,10 +89,14 @@ def png(image: np.ndarray) -> bytes:
 
 
 def outlined(image: np.ndarray, boxes: list, thickness: int = 2) -> np.ndarray:
-    """``image`` with the outlines of (kind, x1, y1, x2, y2), cut off at its edges; boxes without an area draw nothing."""
+    """``image`` with the outlines of (kind, x1, y1, x2, y2[, caption]), cut off at its edges; boxes without an area draw nothing.
+
+    Captions come after all outlines, above their boxes.
+    """
     height, width = image.shape[:2]
-    for kind, *corners in boxes:
-        x1, y1, x2, y2 = (int(round(v)) for v in corners)
+    said = []
+    for kind, x1, y1, x2, y2, *text in boxes:
+        x1, y1, x2, y2 = (int(round(v)) for v in (x1, y1, x2, y2))
         if x2 <= x1 or y2 <= y1:
             continue
         ys, xs = (slice(max(0, a), max(0, min(m, b))) for a, b, m in ((y1, y2, height), (x1, x2, width)))
@@ -99,15 +105,19 @@ def outlined(image: np.ndarray, boxes: list, thickness: int = 2) -> np.ndarray:
             image[max(0, a) : max(0, min(height, b)), xs] = colour
         for a, b in ((x1, x1 + thickness), (x2 - thickness, x2)):
             image[ys, max(0, a) : max(0, min(width, b))] = colour
+        if text and text[0]:
+            said.append((x1, y1, text[0], colour))
+    for x, y, text, colour in said:
+        glyphs.caption(image, x, y, text, colour, max(1, min(height, width) // 300))
     return image
 
 
 def drawn(data: Column, height: Column, width: Column, channels: Column, boxes: Column) -> Column:
-    """PNG files of images with the outlines of ``boxes``, an array of structs (kind, x1, y1, x2, y2); null for what cannot be read."""
+    """PNG files of images with the outlines of ``boxes``, an array of structs (kind, x1, y1, x2, y2[, caption]); null for what cannot be read."""
 
     def of(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for d, h, w, c, b in batches:
-            yield pd.Series([None if pd.isna(wi) else png(outlined(pixels(di, int(hi), int(wi), int(ci)), [(x["kind"], x["x1"], x["y1"], x["x2"], x["y2"]) for x in (bi if bi is not None else [])])) for di, hi, wi, ci, bi in zip(d, h, w, c, b)], dtype=object)
+            yield pd.Series([None if pd.isna(wi) else png(outlined(pixels(di, int(hi), int(wi), int(ci)), [(x["kind"], x["x1"], x["y1"], x["x2"], x["y2"], x.get("caption")) for x in (bi if bi is not None else [])])) for di, hi, wi, ci, bi in zip(d, h, w, c, b)], dtype=object)
 
     return F.pandas_udf(of, "binary")(data, height, width, channels, boxes)
 

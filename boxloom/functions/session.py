@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,3 +27,10 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder; its lineage ends here."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_counted(df: DataFrame, column: str, values: tuple[str, ...]) -> tuple[DataFrame, dict[str, int]]:
+    """``cut`` of ``df``, and how often each of ``values`` stands in ``column``, counted while it is computed."""
+    seen = Observation(column)
+    done = cut(df.observe(seen, *[F.count_if(F.col(column) == v).alias(v) for v in values]))
+    return done, {v: n for v, n in seen.get.items() if n}

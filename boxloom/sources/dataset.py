@@ -37,12 +37,14 @@ def save_lines(rows: DataFrame, path: str) -> None:
     rows.toDF("line").write.format("linefile").mode("append").save(filesets.reachable(spark, path))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def listing(spark: SparkSession, folder: str) -> DataFrame:
     """(name) of the files of a folder; none if there is no such folder. Contents are not read."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-        return spark.createDataFrame([], "name string")
-    return spark.read.format("binaryFile").load(folder).select(X.file_name(F.col("path")).alias("name"))
+    return filesets.listed(spark, folder).select("name")
 
 
 class Grown:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from boxloom.functions import geometry as G
 from boxloom.functions import labels as L
 from boxloom.functions import text as X
+from boxloom.sources import filesets
 
 
 def images(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
@@ -35,11 +36,18 @@ def decoded(spark: SparkSession, folder: str) -> DataFrame:
     return raw.select(F.col("origin").alias("path"), F.when(good, F.col("height")).alias("height"), F.when(good, F.col("width")).alias("width"), F.col("nChannels").alias("channels"), "data")
 
 
+def label_texts(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """(stem, text) of text files, a row each, empty ones included."""
+    found = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
+    texts = found.select(X.stem(X.file_name(F.col("_metadata.file_path"))).alias("stem"), F.col("value").alias("text"))
+    # empty files are left out by that reader
+    empty = filesets.listed(spark, folder, recursive).where("size = 0 AND name LIKE '%.txt'")
+    return texts.unionByName(empty.select(X.stem(F.col("name")).alias("stem"), F.lit("").alias("text")))
+
+
 def label_lines(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
-    """(stem, line_no, line) of text files."""
-    files = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.txt").option("wholetext", True).text(folder)
-    each = files.select(X.stem(X.file_name(F.col("_metadata.file_path"))).alias("stem"), F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("line_no", "line"))
-    return each
+    """(stem, line_no, line) of text files; an empty file is one empty line."""
+    return label_texts(spark, folder, recursive).select("stem", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("line_no", "line"))
 
 
 def boxes(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
@@ -59,9 +67,7 @@ def find_images(names: DataFrame, stems: DataFrame, order: tuple[str, ...] = ("j
 
 def url_list(spark: SparkSession, path: str) -> DataFrame:
     """(line_no, url): distinct lines that begin with http, the first of equal ones. A missing file raises."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("line_no", "line"))
-    urls = lines.select("line_no", X.strip(F.col("line")).alias("url")).where(F.col("url").startswith("http"))
-    return urls.groupBy("url").agg(F.min("line_no").alias("line_no")).select("line_no", "url")
+    return urls(spark, path).groupBy("url").agg(F.min("line_no").alias("line_no")).select("line_no", "url")
 
 
 def transactions(spark: SparkSession, path: str) -> DataFrame:
@@ -96,9 +102,12 @@ def count_images(spark: SparkSession, folder: str, recursive: bool = False) -> i
 
 
 def urls(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, url): lines that begin with http, equal ones as often as they are there."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("line_no", "line"))
-    return lines.select("line_no", X.strip(F.col("line")).alias("url")).where(F.col("url").startswith("http"))
+    """(line_no, url): lines that begin with http, equal ones as often as they are there.
+
+    Many tasks read one list; line_no rises from line to line of a file, but skips numbers.
+    """
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), X.strip(F.col("value")).alias("url"))
+    return lines.where(F.col("url").startswith("http"))
 
 
 def _png(b: bytes) -> tuple[int, int] | None:

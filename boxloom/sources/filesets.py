@@ -8,6 +8,7 @@ a file as a whole or not at all. Workers reach the target through pyarrow's file
     filesets   rows (name, content binary[, source string]): a file each; a null content is copied from the
                source, or linked to it with option ``link`` where both are local
     linefile   rows (line): one text file, the partitions' lines in their order; sorted rows give a sorted file
+    listed     a folder: (path, name, size) of its files, by one task; Spark's own readers leave out empty files
     fetched    a list of addresses, a line each, in partitions of byte ranges: (url, status, error, content)
 """
 
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.fs as fs
 from pyspark import TaskContext
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from boxloom.sources.external import with_retries
@@ -32,13 +33,18 @@ from boxloom.sources.external import with_retries
 COPY_BYTES = 1 << 20
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI, on the session's file system if it names none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return re.sub(r"^file:/+", "file:///", at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri().toString())
+
+
 def reachable(spark: SparkSession, path: str) -> str:
     """``path`` as a URI that all workers reach; refuses a local one unless the master is local."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    uri = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri().toString()
+    uri = qualified(spark, path)
     if uri.startswith("file:") and not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError(f"{path} is a local folder of each worker of {spark.sparkContext.master}")
-    return re.sub(r"^file:/+", "file:///", uri)
+    return uri
 
 
 def store(uri: str) -> tuple[fs.FileSystem, str]:
@@ -249,7 +255,36 @@ class Fetched(DataSource):
         return FetchReader(dict(self.options))
 
 
+class ListReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.path, self.recursive = options["path"], options.get("recursive", "false") == "true"
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        at, path = store(self.path)
+        for info in at.get_file_info(fs.FileSelector(path, allow_not_found=True, recursive=self.recursive)):
+            if info.type == fs.FileType.File:
+                yield info.path, info.base_name, info.size
+
+
+class Listed(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "listed"
+
+    def schema(self) -> str:
+        return "path string, name string, size long"
+
+    def reader(self, schema) -> ListReader:
+        return ListReader(dict(self.options))
+
+
+def listed(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """(path, name, size) of all files of a folder; none if there is no such folder."""
+    register(spark)
+    return spark.read.format("listed").option("recursive", str(recursive).lower()).load(qualified(spark, folder))
+
+
 def register(spark: SparkSession) -> None:
     """Makes the formats of this module known to the session."""
-    for source in (FileSets, LineFile, Fetched):
+    for source in (FileSets, LineFile, Fetched, Listed):
         spark.dataSource.register(source)
