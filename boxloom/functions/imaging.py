@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,18 +30,64 @@ def shrink(x: np.ndarray, height: int, width: int) -> np.ndarray:
     return sums / n
 
 
+def luma(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
+    """Gray bytes of a blue-green-red image: weights in 65,536ths, rounded."""
+    x = np.frombuffer(data, np.uint8).reshape(height, width, channels).astype(np.int64)
+    if channels == 1:
+        return x[:, :, 0].astype(np.uint8)
+    return ((x[:, :, 2] * 19595 + x[:, :, 1] * 38470 + x[:, :, 0] * 7471 + 0x8000) >> 16).astype(np.uint8)
+
+
+#: Bits behind the point of the weights of a resampling, and its reach in pixels of the smaller image.
+_BITS, _REACH = 22, 3.0
+
+
+@lru_cache(maxsize=256)
+def lanczos(size: int, to: int) -> np.ndarray:
+    """(to, size) whole-number weights that resample ``size`` pixels to ``to``, each row's sum near 2^22."""
+    scale = size / to
+    wide = max(scale, 1.0)
+    out = np.zeros((to, size), np.int64)
+    for k in range(to):
+        centre = (k + 0.5) * scale
+        low, high = max(0, int(centre - _REACH * wide + 0.5)), min(size, int(centre + _REACH * wide + 0.5))
+        x = (np.arange(low, high) - centre + 0.5) / wide
+        w = np.where((x >= -_REACH) & (x < _REACH), np.sinc(x) * np.sinc(x / _REACH), 0.0)
+        w = w / w.sum() * (1 << _BITS)
+        out[k, low:high] = np.trunc(w + np.where(w < 0, -0.5, 0.5)).astype(np.int64)
+    return out
+
+
+def resampled(x: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Gray bytes at another size: rows first, then columns, each rounded to bytes; a side that fits stays."""
+
+    def rounded(sums: np.ndarray) -> np.ndarray:
+        return np.clip((sums + (1 << (_BITS - 1))) >> _BITS, 0, 255)
+
+    y = x.astype(np.int64)
+    if x.shape[1] != width:
+        y = rounded(y @ lanczos(x.shape[1], width).T)
+    return (rounded(lanczos(x.shape[0], height) @ y) if x.shape[0] != height else y).astype(np.uint8)
+
+
 def phash_of(x: np.ndarray) -> int:
-    """64 bits, most significant first: which of the 8 x 8 lowest cosine terms of a 32 x 32 image exceed their median."""
+    """64 bits, most significant first: which of the 8 x 8 lowest cosine terms of a 32 x 32 image exceed their median.
+
+    The cosine transform is not normalised, and the image is gray bytes, made smaller by Lanczos resampling in
+    whole numbers, as the usual libraries do it: hashes of the same pixels are theirs, bit by bit, but for images
+    (such as flat ones) whose terms differ from their median by less than a rounding error.
+    """
     k = np.arange(32)
-    basis = np.cos(np.pi * np.outer(np.arange(8), 2 * k + 1) / 64)
-    low = basis @ shrink(x, 32, 32) @ basis.T
+    basis = 2 * np.cos(np.pi * np.outer(np.arange(8), 2 * k + 1) / 64)
+    small = resampled(np.clip(np.rint(x), 0, 255).astype(np.uint8), 32, 32).astype(float)
+    low = basis @ small @ basis.T
     bits = (low > np.median(low)).ravel()
     h = int("".join("1" if b else "0" for b in bits), 2)
     return h - (1 << 64) if h >> 63 else h
 
 
-def _each(series: tuple[pd.Series, ...], of, missing):
-    return pd.Series([missing if pd.isna(w) or h < 1 or w < 1 else of(gray(d, int(h), int(w), int(c))) for d, h, w, c in zip(*series)])
+def _each(series: tuple[pd.Series, ...], of, missing, as_gray=gray):
+    return pd.Series([missing if pd.isna(w) or h < 1 or w < 1 else of(as_gray(d, int(h), int(w), int(c))) for d, h, w, c in zip(*series)])
 
 
 def brightness(data: Column, height: Column, width: Column, channels: Column) -> Column:
@@ -58,7 +105,7 @@ def phash(data: Column, height: Column, width: Column, channels: Column) -> Colu
 
     def of(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for s in batches:
-            yield _each(s, phash_of, None).astype("Int64")
+            yield _each(s, phash_of, None, luma).astype("Int64")
 
     return F.pandas_udf(of, "long")(data, height, width, channels)
 

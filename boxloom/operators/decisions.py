@@ -46,20 +46,21 @@ def best_plates(plates: DataFrame, *group: str) -> DataFrame:
 def validate(images: DataFrame, boxes: DataFrame, plates: DataFrame, min_side: int = 8) -> DataFrame:
     """(image_id, accepted, reason, vehicle_id): the first failing vehicle decides.
 
-    ``images``: image_id, has_label, readable. ``boxes``: image_id, vehicle_id, crop_w, crop_h.
+    ``images``: image_id, has_label, readable. ``boxes``: image_id, vehicle_id, crop_w, crop_h; a row without a
+    vehicle_id is a line that is no box, and a label of such lines alone is empty.
     ``plates``: image_id, vehicle_id, plate_idx, plate_confidence, ocr_confidence, plate.
     """
     best = best_plates(plates, "image_id", "vehicle_id").select("image_id", "vehicle_id", "valid")
     each = boxes.join(best, ["image_id", "vehicle_id"], "left")
     crop_bad = (F.col("crop_w") < min_side) | (F.col("crop_h") < min_side)
-    why = F.when(F.col("valid").isNull(), "no_plate_detected").when(~F.col("valid"), "plate_below_threshold")
+    why = F.when(F.col("vehicle_id").isNotNull(), F.when(F.col("valid").isNull(), "no_plate_detected").when(~F.col("valid"), "plate_below_threshold"))
     per = each.groupBy("image_id").agg(
-        F.count("*").alias("n"),
+        F.count("vehicle_id").alias("n"),
         F.min(F.when(crop_bad, F.col("vehicle_id"))).alias("bad_crop"),
         F.min(F.when(why.isNotNull(), F.struct("vehicle_id", why.alias("why")))).alias("bad"),
     )
     reason = (
-        F.when(~F.col("has_label"), "missing_label").when(F.col("n").isNull(), "empty_label").when(~F.col("readable"), "corrupt_image").when(F.col("bad_crop").isNotNull(), "invalid_crop").when(F.col("bad").isNotNull(), F.col("bad.why")).otherwise("ok")
+        F.when(~F.col("has_label"), "missing_label").when(F.coalesce("n", F.lit(0)) == 0, "empty_label").when(~F.col("readable"), "corrupt_image").when(F.col("bad_crop").isNotNull(), "invalid_crop").when(F.col("bad").isNotNull(), F.col("bad.why")).otherwise("ok")
     )
     out = images.join(per, "image_id", "left").select("image_id", reason.alias("reason"), F.when(reason == "invalid_crop", F.col("bad_crop")).when(reason.isin("no_plate_detected", "plate_below_threshold"), F.col("bad.vehicle_id")).alias("vehicle_id"))
     return out.withColumn("accepted", F.col("reason") == "ok")

@@ -168,6 +168,21 @@ def curated(rows: DataFrame, key: str, content: str, h: str, within: int = 6, kn
     return decide(hashed, within, met, held).select(F.col("key").alias(key), "reason", "sha", "hash")
 
 
+def _placed(rows: DataFrame, group: str, order: str) -> DataFrame:
+    """``rows`` with _place, from 0 in ``order`` inside ``group``: ranks inside ranges of rows, and counts of the ranges before.
+
+    A group with any share of all rows is ranked by many tasks; rows of one group and order must not be many.
+    """
+    dealt = cut(rows.repartitionByRange(group, order).withColumn("_range", F.spark_partition_id()))
+    counts = dealt.groupBy(group, "_range").agg(F.count("*").alias("_count"))
+    # a row for each range that a group reaches into
+    before = F.coalesce(F.sum("_count").over(Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(F.col(group).alias("_group"), F.col("_range").alias("_of"), before.alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(group, "_range").orderBy(order)) - 1
+    ranked = dealt.withColumn("_inside", inside).join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of")))
+    return ranked.withColumn("_place", F.col("_before") + F.col("_inside")).drop("_range", "_inside", "_group", "_of", "_before")
+
+
 def numbered_targets(moves: DataFrame, key: str, target: str, taken: DataFrame | None = None) -> DataFrame:
     """``moves`` with a free name for each row: the first row of a target keeps it, the next ones get ``stem__1.ext`` and so on.
 
@@ -177,18 +192,19 @@ def numbered_targets(moves: DataFrame, key: str, target: str, taken: DataFrame |
     name = F.col(target)
     suffix = F.regexp_extract(name, r"(\.[^.]+)$", 1)
     base = F.regexp_replace(name, r"\.[^.]+$", "")
-    n = F.row_number().over(Window.partitionBy(target).orderBy(key)) - 1
+    moves_ = _placed(moves, target, key)
+    n = F.col("_place")
     there = moves.select(name.alias("name"))
     if taken is not None:
         there = there.unionByName(taken.select(F.col(taken.columns[0]).alias("name")))
         blocked = taken.select(F.col(taken.columns[0]).alias(target)).distinct().withColumn("_at_hand", F.lit(1))
-        ranked = moves.join(blocked, target, "left").withColumn("_n", n + F.coalesce("_at_hand", F.lit(0))).drop("_at_hand")
+        ranked = moves_.join(blocked, target, "left").withColumn("_n", n + F.coalesce("_at_hand", F.lit(0))).drop("_at_hand")
     else:
-        ranked = moves.withColumn("_n", n)
+        ranked = moves_.withColumn("_n", n)
     # numbers that a name of the form stem__k.ext occupies: skipped when counting
     form = r"^(.*)__([0-9]{1,9})(\.[^.]+)?$"
     used = there.distinct().select((F.regexp_extract("name", form, 1)).alias("_base"), F.regexp_extract("name", form, 3).alias("_suffix"), F.regexp_extract("name", form, 2).alias("_k")).where("_k <> '' AND _k = CAST(CAST(_k AS INT) AS STRING)")
     holes = used.groupBy("_base", "_suffix").agg(F.sort_array(F.collect_set(F.col("_k").cast("int"))).alias("_holes"))
     placed = ranked.withColumn("_base", base).withColumn("_suffix", suffix).join(holes, ["_base", "_suffix"], "left")
-    free = F.aggregate(F.coalesce("_holes", F.expr("array()").cast("array<int>")), F.col("_n"), lambda k, hole: F.when((hole >= 1) & (hole <= k), k + 1).otherwise(k))
+    free = F.aggregate(F.coalesce("_holes", F.expr("array()").cast("array<int>")), F.col("_n").cast("int"), lambda k, hole: F.when((hole >= 1) & (hole <= k), k + 1).otherwise(k))
     return placed.withColumn("free_name", F.when(F.col("_n") == 0, name).otherwise(F.concat("_base", F.lit("__"), free.cast("string"), "_suffix"))).select(*moves.columns, "free_name")

@@ -327,3 +327,85 @@ def test_lines_of_label_files_are_numbered(spark, tmp_path):
         assert [r.url for r in files.urls(spark, f"{tmp_path}/u.txt").orderBy("line_no").collect()] == [f"http://h/{k * 7919 % 1000:04d}" for k in range(1000)]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+# ---- hashes, ranks, command line ----------------------------------------------------------------------
+
+
+def slowly_resampled(rows, height, width):
+    """Lanczos with reach 3 by its definition, weights of 22 bits, columns after rows, each rounded to bytes."""
+    from math import pi, sin
+
+    def weights(size, to, k):
+        scale = size / to
+        wide, centre = max(scale, 1.0), (k + 0.5) * scale
+        low, high = max(0, int(centre - 3 * wide + 0.5)), min(size, int(centre + 3 * wide + 0.5))
+
+        def value(x):
+            return 0.0 if not -3 <= x < 3 else 1.0 if x == 0 else sin(pi * x) / (pi * x) * (sin(pi * x / 3) / (pi * x / 3))
+
+        w = [value((i - centre + 0.5) / wide) for i in range(low, high)]
+        return low, [int(v / sum(w) * 2**22 + (-0.5 if v < 0 else 0.5)) for v in w]
+
+    def smaller(line, to):
+        out = []
+        for k in range(to):
+            low, w = weights(len(line), to, k)
+            out.append(max(0, min(255, (sum(a * b for a, b in zip(w, line[low:])) + 2**21) >> 22)))
+        return out if len(line) != to else list(line)
+
+    columns = list(zip(*[smaller(list(map(int, r)), width) for r in rows]))
+    return [list(r) for r in zip(*[smaller(list(c), height) for c in columns])]
+
+
+@pytest.mark.parametrize("height,width", [(97, 150), (32, 200), (10, 32), (20, 13)])
+def test_resampling_equals_its_definition(height, width):
+    x = np.random.default_rng(height).integers(0, 256, (height, width)).astype(np.uint8)
+    assert imaging.resampled(x, 32, 32).tolist() == slowly_resampled(x, 32, 32)
+    assert (imaging.resampled(np.full((height, width), 77, np.uint8), 32, 32) == 77).all()
+
+
+def test_hash_bits_by_the_definition(spark):
+    rnd = np.random.default_rng(9)
+    smooth = np.cumsum(np.cumsum(rnd.integers(-3, 4, (90, 140, 3)), 0), 1)
+    image = ((smooth - smooth.min()) * 255 // max(1, smooth.max() - smooth.min())).astype(np.uint8)
+    gray = (image[:, :, 2].astype(int) * 19595 + image[:, :, 1].astype(int) * 38470 + image[:, :, 0].astype(int) * 7471 + 32768) >> 16
+    small = np.array(slowly_resampled(gray, 32, 32), float)
+    cos = np.array([[2 * np.cos(np.pi * u * (2 * n + 1) / 64) for n in range(32)] for u in range(8)])
+    low = np.einsum("un,nm,vm->uv", cos, small, cos).ravel()
+    want = sum(1 << (63 - k) for k, v in enumerate(low) if v > np.median(low))
+    df = spark.createDataFrame([(bytearray(image.tobytes()), 90, 140, 3)], "data binary, height int, width int, channels int")
+    assert df.select(imaging.phash("data", "height", "width", "channels").alias("h")).first().h % 2**64 == want
+
+
+def test_ranks_of_a_hot_target(spark):
+    from boxloom.operators import dedup as U
+
+    moves = spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, "hot.jpg").otherwise(F.concat(F.lit("t"), F.col("id") % 7, F.lit(".jpg"))).alias("t")).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = U._placed(moves, "t", "k")
+        spread = dealt.where("t = 'hot.jpg'").select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = [(r.t, r.k, r["_place"]) for r in dealt.collect()]
+    by = collections.defaultdict(list)
+    for t, k, place in got:
+        by[t].append((k, place))
+    assert all([p for _, p in sorted(v)] == list(range(len(v))) for v in by.values()) and len(got) == 3000
+    assert spread > 1
+    names = {r.k: r.free_name for r in U.numbered_targets(moves, "k", "t").collect()}
+    assert names[1] == "hot.jpg" and names[2] == "hot__1.jpg" and len(set(names.values())) == 3000
+
+
+def test_every_job_has_a_command():
+    from boxloom import __main__ as cli
+
+    parser = cli.parser()
+    assert len(cli.JOBS) == 22
+    args = parser.parse_args(["relabel", "--images", "i", "--labels", "l", "--out", "o", "--model", "m:f", "--fallback", "other", "--crops-of-each", "5"])
+    assert (args.fallback, args.crops_of_each, args.pad) == ("other", 5, 0.15)
+    args = parser.parse_args(["plate-errors", "--images", "i", "--labels", "l", "--detections", "d", "--out", "o", "--split-by-type", "--names", "4:reg_plate"])
+    assert args.split_by_type and args.names == {4: "reg_plate"}
+    args = parser.parse_args(["split", "--images", "i", "--labels", "l", "--out", "o", "--layout", "by_split", "--no-by-hash", "--link"])
+    assert args.layout == "by_split" and not args.by_hash and args.link
