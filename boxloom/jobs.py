@@ -79,10 +79,11 @@ def pixels_of(spark: SparkSession, images: str) -> DataFrame:
     return files.decoded(spark, images).withColumn("name", X.file_name(F.col("path")))
 
 
-def remove_duplicates(spark: SparkSession, images: str, out: str, within: int = 6, state: str | None = None) -> DataFrame:
+def remove_duplicates(spark: SparkSession, images: str, out: str, within: int = 6, state: str | None = None, records: str | None = None) -> DataFrame:
     """The reason for each image of a folder: ok, exact or near duplicate of a kept one, or corrupt.
 
-    With ``state`` what earlier runs have kept counts too, and what this one keeps is added: an index of hashes.
+    With ``state`` what earlier runs have kept counts too, and what this one keeps is added: an index of hashes. A
+    new one begins with the ``records`` of an earlier tool (JSON lines of name, sha and phash), where these are given.
     """
     hashed = pixels_of(spark, images).select("name", imaging.phash("data", "height", "width", "channels").alias("hash"))
     rows = files.images(spark, images).select("name", "content").join(hashed, "name", "left")
@@ -90,7 +91,10 @@ def remove_duplicates(spark: SparkSession, images: str, out: str, within: int =
         decided = U.curated(rows, "name", "content", "hash", within)
     else:
         named_ = cut(rows.select(F.col("name").alias("key"), F.sha2("content", 256).alias("sha"), "hash"))
-        decided = HashIndex(spark, state, within).curate(named_).withColumnRenamed("key", "name")
+        index = HashIndex(spark, state, within)
+        if records is not None and not index.manifest.version():
+            index.adopt(files.dedup_records(spark, records).withColumnRenamed("phash", "hash"))
+        decided = index.curate(named_).withColumnRenamed("key", "name")
     decided, counts = cut_counted(decided.select("name", "reason"), "reason", REASONS)
     sinks.write_csv(decided, out)
     return counts_of(spark, counts, "reason")

@@ -72,6 +72,11 @@ class HashIndex:
         adds["entries"] = self.manifest.stage("entries", new.withColumn("bucket", self._bucket("hash")).repartition("bucket").sortWithinPartitions("bucket", "hash"), "bucket")
         return self.manifest.commit(version, adds, note=f"{self.within}:{self.buckets}")
 
+    def adopt(self, records: DataFrame) -> int:
+        """Makes the kept images of ``records`` (name, sha, hash), of another tool or an older record, the first version."""
+        kept = records.where("hash IS NOT NULL").select(F.col("name").alias("key"), "sha", "hash", F.lit("ok").alias("reason"), F.lit(False).alias("own"))
+        return self.add(kept, 0)
+
     def curate(self, rows: DataFrame, attempts: int = ATTEMPTS) -> DataFrame:
         """Decides on ``rows`` and keeps what is ok; decides anew where another run has committed meanwhile."""
         for _ in range(attempts):

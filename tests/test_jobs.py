@@ -206,6 +206,21 @@ def test_duplicates_of_earlier_runs(spark, tmp_path):
     assert {r["name"]: r["reason"] for r in csv(spark, f"{at}/o")} == {"b.png": "ok"}
 
 
+def test_duplicates_go_on_from_records(spark, tmp_path):
+    import hashlib
+
+    at, rnd = str(tmp_path), np.random.default_rng(5)
+    images = {n: rnd.integers(0, 255, (64, 64, 3)).astype(np.uint8) for n in "ab"}
+    for n, x in images.items():
+        put(f"{at}/i/{n}.png", imaging.png(x))
+    put(f"{at}/i/c.png", imaging.png(np.clip(images["a"].astype(int) + 1, 0, 255).astype(np.uint8)))
+    h = imaging.phash_of(imaging.luma(images["a"].tobytes(), 64, 64, 3)) % 2**64
+    put(f"{at}/r.json", '{"name":"old.png","sha":"%s","phash":%d}\n{"name":"broken"\n' % (hashlib.sha256(b"else").hexdigest(), h))
+    for _ in range(2):
+        got = jobs.remove_duplicates(spark, f"{at}/i", f"{at}/o", state=f"{at}/s", records=f"{at}/r.json")
+        assert {r.reason: r.n for r in got.collect()} == {"near_duplicate": 2, "ok": 1}
+
+
 def fails_on_b():
     def ask(content):
         if content.endswith(b"b") and not os.path.exists("/tmp/boxloom-service-is-up"):
