@@ -41,6 +41,8 @@ MISS = 0.002
 SPARE_BITS = 4
 #: Classes that one side of a cell holds (in the mean).
 BLOCK = 4096
+#: Rows of a cell up to which cells are worked on together.
+SMALL = 16
 #: Cosines that are held at once.
 PIECE = 1 << 20
 #: Scaled components and hyperplanes are whole numbers of this size at most: 65,536 products of them add up exactly.
@@ -111,24 +113,29 @@ def _coded(bits: int, tables: int):
     return run
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of one cell (b, i, j) after the other; they arrive sorted by these."""
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows of whole cells (b, i, j), which arrive sorted by these, and where each cell begins."""
     open_: list[pa.RecordBatch] = []
     name = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        b, i, j = (batch.column(c).to_numpy() for c in ("b", "i", "j"))
-        new = np.flatnonzero((b[1:] != b[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        for begin, end in zip([0, *new.tolist()], [*new.tolist(), batch.num_rows]):
-            now = (b[begin], i[begin], j[begin])
-            if now != name and open_:
-                yield pa.Table.from_batches(open_)
-                open_ = []
-            name = now
-            open_.append(batch.slice(begin, end - begin))
+        at = np.stack([batch.column(c).to_numpy() for c in ("b", "i", "j")])
+        last = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
+        begins = [*([0] if name is not None and (at[:, 0] != name).any() else []), *last.tolist()]
+        name = at[:, -1]
+        if begins:
+            yield _begun([*open_, batch.slice(0, begins[-1])])
+            open_ = []
+        open_.append(batch.slice(begins[-1] if begins else 0))
     if open_:
-        yield pa.Table.from_batches(open_)
+        yield _begun(open_)
+
+
+def _begun(batches: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+    whole = pa.Table.from_batches([x for x in batches if x.num_rows]).combine_chunks()
+    at = np.stack([whole.column(c).to_numpy() for c in ("b", "i", "j")])
+    return whole, np.concatenate([[0], np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1])
 
 
 def _labels(label: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
@@ -177,21 +184,53 @@ def _linked(threshold: float, bits: int, tables: int):
             _labels(label, p, q)
         return links, label
 
+    def small(cell: np.ndarray, t: np.ndarray, count: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(linked rows, label) of the rows ``x`` of many small cells, in the order of ``cell``."""
+        links, label = np.zeros(len(x), np.int64), np.arange(len(x))
+        x = scaled(x)
+        norm = np.sqrt((x * x).sum(axis=1))
+        ps, qs = [], []
+        for k in range(1, SMALL):
+            p = np.flatnonzero(cell[k:] == cell[:-k])
+            if not len(p):
+                break
+            near = np.einsum("ij,ij->i", x[p], x[p + k]) / (norm[p] * norm[p + k]) >= threshold
+            ps.append(p[near])
+            qs.append(p[near] + k)
+        p, q = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (ps, qs))
+        for k in range(0, len(p), 1024):
+            a, b = p[k : k + 1024], q[k : k + 1024]
+            met = codes(x[a], bits, tables) == codes(x[b], bits, tables)
+            fresh = ~(met & (np.arange(tables) < t[a][:, None])).any(axis=1)
+            a, b = a[fresh], b[fresh]
+            links += np.bincount(a, count[b], len(x)).astype(np.int64) + np.bincount(b, count[a], len(x)).astype(np.int64)
+            _labels(label, a, b)
+        return links, label
+
+    def told(cid: np.ndarray, links: np.ndarray, label: np.ndarray) -> Iterator[pa.RecordBatch]:
+        some = np.flatnonzero(links)
+        if len(some):
+            yield pa.RecordBatch.from_arrays([pa.array(cid[some]), pa.array(cid[label[some]]), pa.array(links[some])], ["a", "b", "links"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in _cells(batches):
-            cell = cell.combine_chunks()
-            cid, count, side = (cell.column(c).to_numpy() for c in ("cid", "count", "side"))
-            t, alone = int(cell.column("b")[0].as_py()) >> bits, cell.column("i")[0] == cell.column("j")[0]
-            column = cell.column("vec").chunk(0) if isinstance(cell.column("vec"), pa.ChunkedArray) else cell.column("vec")
-            for at, x in _sized(column):
-                here = side[at]
-                left, right = (np.arange(len(at)), None) if alone else (np.flatnonzero(here == 0), np.flatnonzero(here == 1))
-                if len(at) < 2 or right is not None and not (len(left) and len(right)):
-                    continue
-                links, label = sized(t, left, right, cid[at], count[at], x)
-                some = np.flatnonzero(links)
-                if len(some):
-                    yield pa.RecordBatch.from_arrays([pa.array(cid[at][some]), pa.array(cid[at][label[some]]), pa.array(links[some])], ["a", "b", "links"])
+        for whole, begins in _whole_cells(batches):
+            cid, count, side, b, i, j = (whole.column(c).to_numpy() for c in ("cid", "count", "side", "b", "i", "j"))
+            column = whole.column("vec").chunk(0)
+            ends = np.append(begins[1:], len(cid))
+            of = np.repeat(np.arange(len(begins)), ends - begins)
+            few = (ends - begins <= SMALL) & (i == j)[begins]
+            at_once = np.flatnonzero(few[of])
+            for at, x in _sized(column.take(pa.array(at_once))) if len(at_once) else ():
+                at_ = at_once[at]
+                yield from told(cid[at_], *small(of[at_], b[at_] >> bits, count[at_], x))
+            for k in np.flatnonzero(~few).tolist():
+                rows = slice(begins[k], ends[k])
+                for at, x in _sized(column.slice(begins[k], ends[k] - begins[k])):
+                    here = side[rows][at]
+                    left, right = (np.arange(len(at)), None) if i[begins[k]] == j[begins[k]] else (np.flatnonzero(here == 0), np.flatnonzero(here == 1))
+                    if len(at) < 2 or right is not None and not (len(left) and len(right)):
+                        continue
+                    yield from told(cid[rows][at], *sized(int(b[begins[k]]) >> bits, left, right, cid[rows][at], count[rows][at], x))
 
     return run
 
