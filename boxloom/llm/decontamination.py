@@ -37,8 +37,9 @@ FEW_MASKS, FEW = ((0, 1, 2, 3), (0, 1, 4, 5)), 12
 AROUND = 32
 MIN_SCORE = 10
 MIN_ITEM = 6
-#: Bits of the map for each mark (two for each seed), and the least and greatest size of the map: 32 KB to 16 MB.
-MAP_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 18, 1 << 27
+#: Bits of the map for each mark (two for each seed), so that one place in some 16,000 passes by chance, and the least
+#: and greatest size of the map: 128 KB to 16 MB.
+MAP_BITS, LEAST_BITS, MOST_BITS = 128, 1 << 20, 1 << 27
 #: Letters of scripts that put no spaces between words.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
@@ -127,8 +128,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
             return may_hold(map_, seed) & may_hold(map_, F.xxhash64(F.lit(5), seed))
 
         def of(mask: tuple[int, ...]) -> Column:
-            there = F.filter(_places(h, mask), lambda i: let(_seed(h, i, mask), known))
-            return F.transform(there, lambda i: F.struct(_seed(h, i, mask).alias("seed"), _around(h, i).alias("around")))
+            places = _places(h, mask)
+
+            def hits(seeds: Column) -> Column:
+                there = F.filter(places, lambda i: known(F.get(seeds, i)))
+                return F.transform(there, lambda i: F.struct(F.get(seeds, i).alias("seed"), _around(h, i).alias("around")))
+
+            return let(F.transform(places, lambda i: _seed(h, i, mask)), hits)
 
         return F.concat(*map(of, masks))
 

@@ -205,7 +205,7 @@ def test_overlaps_are_scored_once_a_row(spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h")], "item_id long, text string")
     df = decontamination.overlaps(frame(spark, ["x a b c d e f g h"]), bench)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("zip_with") == 1 and [decontamination.map_size(n) for n in (1, 10**5, 10**9)] == [1 << 18, 1 << 22, 1 << 27]
+    assert plan.count("zip_with") == 1 and [decontamination.map_size(n) for n in (1, 10**4, 10**9)] == [1 << 20, 1 << 22, 1 << 27]
 
 
 def test_statistics_are_computed_once_a_labelled_text(spark, monkeypatch):
