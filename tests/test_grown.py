@@ -128,7 +128,7 @@ def test_equal_hashes_are_members_and_never_pairs(spark, tmp_path):
 
 
 def test_a_batch_reads_the_folders_that_its_keys_name(spark, tmp_path):
-    index = HashIndex(spark, f"{tmp_path}/i", buckets=4096)
+    index = HashIndex(spark, f"{tmp_path}/i", buckets=128)
     index.curate(spark.createDataFrame(some_hashes(200, 1), ROWS))
     one = spark.createDataFrame([(5000, "x", 123456789)], ROWS)
     asked = index._only(index.manifest.read("bands", "key long, hash long, bucket int"), index.decide(one).select(F.explode(F.array(*[F.lit(k) for k in (3, 7)])).alias("bucket")))
