@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions.geometry import hamming
 from boxloom.functions.session import cut
-from boxloom.operators.near import near, probes
+from boxloom.operators.near import all_near, near, probes, wide
 
 
 def exact_duplicates(rows: DataFrame, key: str, content: str) -> DataFrame:
@@ -28,11 +28,20 @@ def near_pairs(hashes: DataFrame, key: str, h: str, within: int = 6) -> DataFram
 
     64 bits in within + 3 bands: three bands at least are equal in such a pair. Equal hashes collapse first,
     pairs of distinct hashes meet by equi-joins on band triples (84 probes of 21 bits at a distance of 6), and
-    keys come back at the end. Beyond a distance of 6 pairs of bands serve, which get short: the number of
-    hashes that meet by chance then grows with their square, so wide distances suit small tables only. Rows of
-    equal hashes are pairs too here: for decisions on large tables see ``curated``, which has members instead.
+    keys come back at the end. Beyond a distance of 6 distinct hashes are compared in blocks, each with each, which
+    is bounded in memory but grows with the square of their number. Rows of equal hashes are pairs too here: for
+    decisions on large tables see ``curated``, which has members instead.
     """
     keyed = hashes.where(F.col(h).isNotNull()).select(F.col(key).alias("key"), F.col(h).alias("hash"))
+    if wide(within):
+        keyed = cut(keyed)
+        unlike = all_near(keyed.select("hash").distinct(), within)
+        a, b = keyed.withColumnRenamed("key", "a"), keyed.select(F.col("key").alias("b"), F.col("hash").alias("other"))
+        # merged: what Spark expects of the pairs' size is far too little to send them to all
+        met = unlike.hint("merge").join(a.hint("merge"), "hash").join(b.hint("merge"), "other").where("a <> b")
+        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), hamming(F.col("hash"), F.col("other")).alias("distance"))
+        equal = a.hint("merge").join(b.withColumnRenamed("other", "hash").hint("merge"), "hash").where("a < b")
+        return met.unionByName(equal.select("a", "b", F.lit(0).alias("distance")))
     probed = probes(keyed.select("hash").distinct(), within)
     both = near(probed, probed, within)
     a, b = keyed.withColumnRenamed("key", "a"), keyed.select(F.col("key").alias("b"), F.col("hash").alias("other"))

@@ -11,6 +11,7 @@ from boxloom.operators import curation as C
 from boxloom.operators import decisions as D
 from boxloom.operators import dedup as U
 from boxloom.operators import metrics as K
+from boxloom.operators import near as N
 from boxloom.sources import files, sinks
 from boxloom.streaming import incremental
 
@@ -98,6 +99,30 @@ def test_near_pairs_at_any_distance(spark):
         assert {(r.a, r.b) for r in U.near_pairs(df, "k", "h", within).collect()} == want
 
 
+def _scattered(n, seed=11):
+    """``n`` hashes with both signs: copies, near copies and others; as Spark and as Python see them."""
+    rnd = random.Random(seed)
+    bases = [rnd.getrandbits(64) for _ in range(12)]
+    hs = [rnd.choice(bases) ^ sum(1 << b for b in rnd.sample(range(64), rnd.choice([0, 0, 3, 9, 15, 21]))) for _ in range(n)]
+    return hs, [h - (1 << 64) if h >> 63 else h for h in hs]
+
+
+def test_wide_pairs_are_compared_in_blocks(spark):
+    hs, signed = _scattered(300)
+    df = spark.createDataFrame([*enumerate(signed), (300, None)], "k int, h long")
+    want = {(i, j, (hs[i] ^ hs[j]).bit_count()) for j in range(300) for i in range(j) if (hs[i] ^ hs[j]).bit_count() <= 18}
+    pairs = U.near_pairs(df, "k", "h", 18)
+    plan = pairs._jdf.queryExecution().toString()
+    # 190 rows for each hash were taken for a small table and sent to all through the driver
+    assert "FlatMapGroupsInArrow" in plan and "BroadcastHashJoin" not in plan
+    assert sorted(tuple(r) for r in pairs.collect()) == sorted(want)
+    distinct = df.select(F.col("h").alias("hash")).where("hash IS NOT NULL").distinct()
+    links = sorted(tuple(sorted(r)) for r in N.all_near(distinct, 18, block=40).collect())
+    each = sorted(set(signed))
+    assert links == [(a, b) for i, a in enumerate(each) for b in each[i + 1 :] if ((a ^ b) & (2**64 - 1)).bit_count() <= 18]
+    assert U.near_pairs(df.where("false"), "k", "h", 18).count() == 0
+
+
 def test_a_batch_that_runs_again_gives_its_rows_again(spark, tmp_path):
     at = f"{tmp_path}/state"
     one, two = (spark.createDataFrame(rows, "id long, c string") for rows in ([(1, "x"), (2, "x"), (3, None)], [(4, "x"), (5, "y")]))
