@@ -484,8 +484,7 @@ r AS (SELECT 1::BIGINT AS k, [h] AS kept, vec_id, true AS keep FROM o WHERE k =
 
 @query(_KEEP + " SELECT vec_id, keep AS kept FROM r")
 def near_dup_greedy(spark, sf_dir):
-    h = hashes(spark, sf_dir)
-    return U.keep_greedily(h, U.near_pairs(h, "vec_id", "h", 20), "vec_id")
+    return U.kept_greedily(hashes(spark, sf_dir), "vec_id", "h", 20)
 
 
 @query(

@@ -123,6 +123,26 @@ def test_wide_pairs_are_compared_in_blocks(spark):
     assert U.near_pairs(df.where("false"), "k", "h", 18).count() == 0
 
 
+@pytest.mark.parametrize("within", [6, 20])
+def test_greedy_keeping_forms_no_pairs_at_wide_distances(spark, monkeypatch, within):
+    hs, signed = _scattered(200, 12)
+    df = spark.createDataFrame([*enumerate(signed), (200, None)], "k int, h long")
+    kept, by = [], {}
+    for k, h in enumerate(hs):
+        met = [j for j in kept if (hs[j] ^ h).bit_count() <= within]
+        by[k] = met[0] if met else None
+        kept += [] if met else [k]
+    if within == 20:  # pairs were 190 or 231 rows for each hash, and rows of a table of pairs
+        monkeypatch.setattr(U, "near_pairs", None)
+        monkeypatch.setattr(U, "near", None)
+    assert sorted(r.k for r in U.kept_greedily(df, "k", "h", within).where("kept").collect()) == [*kept, 200]
+    first = {h: k for k, h in reversed(list(enumerate(signed)))}
+    reps = spark.createDataFrame([(k, h) for h, k in first.items()], "node int, hash long")
+    for size in (30, 1000):
+        got = {first[r.hash]: r.by if r.by is None else first[r.by] for r in N.decided(reps, within, size).collect()}
+        assert got == {k: by[k] for k in first.values()}
+
+
 def test_a_batch_that_runs_again_gives_its_rows_again(spark, tmp_path):
     at = f"{tmp_path}/state"
     one, two = (spark.createDataFrame(rows, "id long, c string") for rows in ([(1, "x"), (2, "x"), (3, None)], [(4, "x"), (5, "y")]))
