@@ -141,6 +141,10 @@ def test_greedy_keeping_forms_no_pairs_at_wide_distances(spark, monkeypatch, wit
     for size in (30, 1000):
         got = {first[r.hash]: r.by if r.by is None else first[r.by] for r in N.decided(reps, within, size).collect()}
         assert got == {k: by[k] for k in first.values()}
+    rows = df.select("k", F.col("h").cast("string").alias("content"), "h")
+    reasons = {r.k: r.reason for r in U.curated(rows, "k", "content", "h", within).collect()}
+    same = lambda k: any(signed[j] == signed[k] for j in kept if j < k)
+    assert reasons == {k: "ok" if k in kept else "exact_duplicate" if same(k) else "near_duplicate" for k in by} | {200: "corrupt_image"}
 
 
 def test_a_batch_that_runs_again_gives_its_rows_again(spark, tmp_path):
