@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import ctypes
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxloom.functions.session import cut, shared_dir
+from boxloom.functions.session import _WRITTEN, Shelf, cut, discard, shared_dir, written  # noqa: F401
 
 __all__ = ["Shelf", "ascii_lower", "bitmap", "cut", "discard", "let", "may_hold", "shared_dir", "shuffle_partitions", "small_batches", "table", "tidied", "without", "words", "written"]
 
@@ -55,55 +54,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Tables that this process has written and not deleted yet.
-_WRITTEN: list[str] = []
-
-
-def _stored(df: DataFrame) -> tuple[str, DataFrame]:
-    path = f"{shared_dir(df.sparkSession)}/boxloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _WRITTEN.append(path)
-    return path, df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    if path in _WRITTEN:
-        _WRITTEN.remove(path)
-
-
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: compressed, column-pruned, survives lost executors."""
-    return _stored(df)[1]
-
-
-def discard(spark: SparkSession) -> None:
-    """Deletes all intermediate tables of this process. Results that were not stored elsewhere cannot be read afterwards."""
-    for path in list(_WRITTEN):
-        _delete(spark, path)
-
-
-class Shelf:
-    """Intermediate tables of one operator in the shared folder, which it can delete when it needs them no more."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, {}
-
-    def put(self, df: DataFrame) -> DataFrame:
-        """``df`` as ``written``."""
-        path, out = _stored(df)
-        self.paths[path] = out
-        return out
-
-    def clear(self, *keep: DataFrame) -> None:
-        """Deletes all tables but those in ``keep``; nothing may read them any more."""
-        for path, df in list(self.paths.items()):
-            if not any(df is k for k in keep):
-                _delete(self.spark, path)
-                del self.paths[path]
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     """How many partitions a shuffle has in this session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -71,6 +71,42 @@ def true_positives(gt: DataFrame, pred: DataFrame, thresholds: list[float]) -> D
     return each.select("threshold", "image_id", F.col("x.p.i").alias("det_idx"), F.col("x.p.conf").alias("conf"), F.col("x.tp").alias("tp"))
 
 
+def hits(gt: DataFrame, pred: DataFrame, thresholds: list[float]) -> DataFrame:
+    """M2 at up to 63 thresholds: (image_id, det_idx, conf, hits), a row for each detection.
+
+    Bit k of ``hits`` is set where ``true_positives`` has tp at the k-th threshold. Overlaps are computed once for all.
+    """
+    both = gather(gt, pred).where(F.size("p") > 0)
+    least = min(thresholds)
+
+    def met(p: Column) -> Column:
+        """The boxes that overlap enough for some threshold, the best first, the first of equal ones before the others."""
+        scored = F.transform("g", lambda g, k: F.struct((-iou(p, g)).alias("less"), k.alias("at")))
+        return F.sort_array(F.filter(scored, lambda x: x["less"] <= -least))
+
+    def step(threshold: Column):
+        def taken(s: Column, c: Column) -> Column:
+            def take(b: Column) -> Column:
+                tp = b.isNotNull()
+                return F.struct(F.when(tp, F.array_append(s["used"], b["at"])).otherwise(s["used"]).alias("used"), F.array_append(s["tp"], tp).alias("tp"))
+
+            return _once(F.get(F.filter(c, lambda x: (x["less"] <= -threshold) & ~F.array_contains(s["used"], x["at"])), F.lit(0)), take)
+
+        return taken
+
+    start = F.struct(F.expr("array()").cast("array<int>").alias("used"), F.expr("array()").cast("array<boolean>").alias("tp"))
+    each = _once(F.transform("p", met), lambda c: F.transform(F.array(*map(F.lit, thresholds)), lambda t: F.aggregate(c, start, step(t))["tp"]))
+
+    def masks(tp: Column) -> Column:
+        def mask(p: Column, i: Column) -> Column:
+            bits = [F.when(F.get(F.get(tp, F.lit(k)), i), F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k in range(len(thresholds))]
+            return F.struct(p["i"].alias("det_idx"), p["conf"].alias("conf"), sum(bits[1:], bits[0]).alias("hits"))
+
+        return F.transform("p", mask)
+
+    return both.select("image_id", F.inline(_once(each, masks)))
+
+
 def image_errors(gt: DataFrame, pred: DataFrame, least: float = 0.5, few: int = spatial.FEW) -> DataFrame:
     """M3: (image_id, n_gt, n_pred, true_pos, class_mismatch, false_neg, false_pos, badness): greedy over all pairs by falling overlap.
 

@@ -6,12 +6,14 @@ order and kept; totals of each range, one row a partition, become offsets; windo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxloom.functions.labels import remap
-from boxloom.functions.session import cut
-from boxloom.operators.matching import true_positives
+from boxloom.functions.session import Shelf, cut
+from boxloom.operators.matching import hits, true_positives
 
 #: The class names of the three versions of the data.
 CLASSES = {
@@ -126,10 +128,47 @@ def average_precision(gt: DataFrame, pred: DataFrame, thresholds: list[float]) -
     n_gt = gt.count()
     if not n_gt:
         raise ValueError("no ground truth boxes")
-    curve = precision_recall(true_positives(gt, pred, thresholds), n_gt)
-    got = curve.where("tp").groupBy("threshold").agg((F.sum("envelope") / n_gt).alias("ap"), F.count("*").alias("n_tp"))
-    every = gt.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double")
-    return F.broadcast(every).join(got, "threshold", "left").select("threshold", F.coalesce("ap", F.lit(0.0)).alias("ap"), F.coalesce("n_tp", F.lit(0)).alias("n_tp"))
+    parts = [_areas(gt, pred, thresholds[k : k + 63]) for k in range(0, len(thresholds), 63)]
+    return reduce(DataFrame.unionByName, parts).select("threshold", (F.col("area") / n_gt).alias("ap"), "n_tp")
+
+
+def _areas(gt: DataFrame, pred: DataFrame, thresholds: list[float]) -> DataFrame:
+    """(threshold, area, n_tp): the sum of the envelope over true positives, at up to 63 thresholds.
+
+    The order of the detections is the same at all thresholds, so each detection is one row of its place and a bit for
+    each threshold: kept, sorted and shuffled once for all of them. Precision has its peaks at true positives.
+    """
+    shelf, every = Shelf(gt.sparkSession), range(len(thresholds))
+    flags = shelf.put(hits(gt, pred, thresholds))
+    order = [F.desc("conf"), "image_id", "det_idx"]
+    # numbers that rise with the order: the range above, the place in it below
+    placed = flags.repartitionByRange(*order).sortWithinPartitions(*order).select(F.monotonically_increasing_id().alias("id"), "hits")
+    rows = shelf.put(placed.select(F.shiftright("id", 33).cast("int").alias("range"), F.col("id").bitwiseAND(F.lit((1 << 33) - 1)).alias("at"), "hits"))
+    shelf.clear(rows)
+
+    def bit(k: int) -> Column:
+        return F.shiftright("hits", k).bitwiseAND(F.lit(1))
+
+    totals = rows.groupBy("range").agg(F.count("*").alias("n"), *[F.sum(bit(k)).alias(f"t{k}") for k in every])
+    # one row for each range: bounded by the number of partitions
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut(totals.select("range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("n", *[f"t{k}" for k in every])]))
+    so_far = Window.partitionBy("range").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    counted = rows.where("hits <> 0").select("range", "at", "hits", *[F.sum(bit(k)).over(so_far).alias(f"t{k}") for k in every])
+    n = F.col("n_before") + F.col("at") + 1
+    curve = counted.join(F.broadcast(offsets), "range").select("range", "at", *[F.when(bit(k) == 1, (F.col(f"t{k}_before") + F.col(f"t{k}")) / n).alias(f"p{k}") for k in every])
+    best = curve.groupBy("range").agg(*[F.max(f"p{k}").alias(f"p{k}") for k in every])
+    later = Window.orderBy("range").rowsBetween(1, Window.unboundedFollowing)
+    after = cut(best.select("range", *[F.coalesce(F.max(f"p{k}").over(later), F.lit(0.0)).alias(f"after{k}") for k in every]))
+    # this place or later, read from the end: a frame that grows is linear, one that shrinks is not
+    from_end = Window.partitionBy("range").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0)
+    here = curve.select("range", *[F.when(F.col(f"p{k}").isNotNull(), F.max(f"p{k}").over(from_end)).alias(f"p{k}") for k in every])
+    envelope = here.join(F.broadcast(after), "range").select(*[F.when(F.col(f"p{k}").isNotNull(), F.greatest(f"p{k}", f"after{k}")).alias(f"e{k}") for k in every])
+    sums = envelope.agg(*[F.sum(f"e{k}").alias(f"e{k}") for k in every], *[F.count(f"e{k}").alias(f"c{k}") for k in every])
+    each = [F.struct(F.lit(float(t)).alias("threshold"), F.coalesce(f"e{k}", F.lit(0.0)).alias("area"), F.col(f"c{k}").alias("n_tp")) for k, t in enumerate(thresholds)]
+    areas = cut(sums.select(F.inline(F.array(*each))))
+    shelf.clear()
+    return areas
 
 
 def of_classes(boxes: DataFrame, classes: dict[int, int] | None = None, only: int | None = None) -> DataFrame:

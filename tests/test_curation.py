@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from boxloom.operators import curation as C
 from boxloom.operators import decisions as D
 from boxloom.operators import dedup as U
+from boxloom.operators import matching as M
 from boxloom.operators import metrics as K
 from boxloom.operators import near as N
 from boxloom.sources import files, sinks
@@ -171,6 +172,31 @@ def test_failures_of_the_sink_lose_nothing(spark, tmp_path):
     assert incremental.retry_failures(f"{tmp_path}/done", rows, "id", work).count() == 0
 
 
+def test_average_precision_has_a_row_for_each_detection_not_for_each_threshold(spark, monkeypatch):
+    rnd = random.Random(3)
+    box = lambda: (x := rnd.randrange(30), y := rnd.randrange(30), x + rnd.randrange(5, 30), y + rnd.randrange(5, 30))
+    gt = [(i, k, 0, *map(float, box())) for i in range(8) for k in range(i)]
+    pred = []
+    for i in range(9):
+        near = [[v + rnd.randrange(-2, 3) for v in g[3:]] for g in gt if g[0] == i for _ in range(2)] + [box()]
+        pred += [(i, k, 0, c, *map(float, b)) for k, (c, b) in enumerate(zip(sorted((rnd.randrange(6) / 6 for _ in near), reverse=True), near))]
+    g, p = spark.createDataFrame(gt, BOX).repartition(3), spark.createDataFrame(pred, DET).repartition(3)
+    flags = M.true_positives(g, p, K.IOU_STEPS).collect()
+    got = M.hits(g, p, K.IOU_STEPS).collect()
+    assert len(got) == len(pred)
+    assert {(t, r.image_id, r.det_idx, r.conf, bool(r.hits >> k & 1)) for r in got for k, t in enumerate(K.IOU_STEPS)} == set(map(tuple, flags))
+    want = {}
+    for t in K.IOU_STEPS:
+        tp = [r.tp for r in sorted((r for r in flags if r.threshold == t), key=lambda r: (-r.conf, r.image_id, r.det_idx))]
+        precision = [sum(tp[: n + 1]) / (n + 1) for n in range(len(tp))]
+        want[t] = (round(sum(max(precision[n:]) for n, x in enumerate(tp) if x) / len(gt), 9), sum(tp))
+    monkeypatch.setattr(K, "true_positives", None)  # ten rows for each detection, kept three times
+    many = [*K.IOU_STEPS, *[0.5 + k / 1000 for k in range(1, 60)]]
+    for thresholds in (K.IOU_STEPS, many):
+        ap = {r.threshold: (round(r.ap, 9), r.n_tp) for r in K.average_precision(g, p, thresholds).collect()}
+        assert len(ap) == len(set(thresholds)) and {t: ap[t] for t in want} == want
+
+
 def test_thresholds_without_hits_count(spark):
     gt = spark.createDataFrame([(1, 0, 0, 0.0, 0.0, 10.0, 10.0), (1, 1, 1, 50.0, 50.0, 60.0, 60.0)], BOX)
     pred = spark.createDataFrame([(1, 0, 0, 0.9, 0.0, 0.0, 10.0, 6.0), (1, 1, 0, 0.8, 50.0, 50.0, 60.0, 60.0)], DET)
