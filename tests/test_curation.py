@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from boxloom.functions import session
 from boxloom.operators import curation as C
 from boxloom.operators import decisions as D
 from boxloom.operators import dedup as U
@@ -197,6 +198,17 @@ def test_average_precision_has_a_row_for_each_detection_not_for_each_threshold(s
         assert len(ap) == len(set(thresholds)) and {t: ap[t] for t in want} == want
 
 
+def test_mean_average_precision_leaves_no_tables_of_detections(spark, monkeypatch):
+    gt = spark.createDataFrame([(i, 0, 0, 0.0, 0.0, 10.0, 10.0) for i in range(40)], BOX)
+    pred = spark.createDataFrame([(i, 0, 0, 1 - i / 99, 0.0, 0.0, 10.0, 5.0 + i % 6) for i in range(40)], DET)
+    monkeypatch.setattr(K, "true_positives", None)
+    there = set(os.listdir(session.shared_dir(spark)))
+    got = K.mean_average_precision(gt, pred, [0.5, 0.75]).first()
+    assert got.ap50 == 1.0 and 0.5 < got.ap < 1.0
+    # tables of detections are deleted; what stays is a row for each range or threshold
+    assert not [f for f in set(os.listdir(session.shared_dir(spark))) - there if f.startswith("boxloom-")]
+
+
 def test_thresholds_without_hits_count(spark):
     gt = spark.createDataFrame([(1, 0, 0, 0.0, 0.0, 10.0, 10.0), (1, 1, 1, 50.0, 50.0, 60.0, 60.0)], BOX)
     pred = spark.createDataFrame([(1, 0, 0, 0.9, 0.0, 0.0, 10.0, 6.0), (1, 1, 0, 0.8, 50.0, 50.0, 60.0, 60.0)], DET)
