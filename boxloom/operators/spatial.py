@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from boxloom.functions.session import cut
+
 #: Pairs of an image up to which all of them are looked at.
 FEW = 10_000
 BOX = ("x1", "y1", "x2", "y2")
@@ -62,6 +64,26 @@ def overlapping(one: DataFrame, other: DataFrame, key: str = "image_id") -> Data
     return met.where(share & (_cell(x, F.col("at")) == F.col("cx")) & (_cell(y, F.col("at")) == F.col("cy"))).select(key, "a", "b")
 
 
+def meeting(one: DataFrame, other: DataFrame, key: str = "image_id", few: int = FEW) -> DataFrame:
+    """(key, a, b) as ``overlapping``: a join by image, in which boxes are compared before they become a row; by cells in crowded images."""
+    solid = (F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))
+    one, other = one.where(solid), other.where(solid)
+    busy = cut(crowded(one, other, key, few).select(key))
+    if busy.isEmpty():
+        return _joined(one, other, key)
+    calm = _joined(one.join(busy, key, "left_anti"), other, key)
+    return calm.unionByName(overlapping(one.join(busy, key, "left_semi").select(*one.columns), other.join(busy, key, "left_semi").select(*other.columns), key))
+
+
+def _joined(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """(key, a, b) of all that overlap. Rows travel as plain columns, without structs beside them."""
+    a, b = (rows.select(key, *[F.col(c).alias(f"_{side}_{c}") for c in rows.columns if c != key]) for rows, side in ((one, "a"), (other, "b")))
+    x, y = (F.greatest(f"_a_{c}", f"_b_{c}") for c in ("x1", "y1"))
+    met = a.join(b, key).where((F.least("_a_x2", "_b_x2") > x) & (F.least("_a_y2", "_b_y2") > y))
+    back = [F.struct(*[F.col(c) if c == key else F.col(f"_{side}_{c}").alias(c) for c in rows.columns]).alias(side) for rows, side in ((one, "a"), (other, "b"))]
+    return met.select(key, *back)
+
+
 def pairs(one: DataFrame, other: DataFrame, key: str = "image_id", few: int = FEW) -> DataFrame:
     """(key, a, b): all pairs of images with few of them, the overlapping pairs of the others."""
     busy = crowded(one, other, key, few).select(key)

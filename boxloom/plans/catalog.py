@@ -237,7 +237,7 @@ def iou_pairs(spark, sf_dir):
 def overlapping_boxes(spark, sf_dir):
     box = ["x1", "y1", "x2", "y2"]
     gt, pred = (x.select("image_id", k, *box) for x, k in zip(_both(spark, sf_dir), ("box_idx", "det_idx")))
-    return S.overlapping(gt, pred).select("image_id", "a.box_idx", "b.det_idx")
+    return S.meeting(gt, pred).select("image_id", "a.box_idx", "b.det_idx")
 
 
 _BEST = _PAIRS + """, best AS (SELECT g.image_id, g.box_idx, g.cls, (SELECT pcls FROM pair p WHERE p.image_id = g.image_id AND p.box_idx = g.box_idx AND iou >= 0.3::DOUBLE AND conf >= 0.25::DOUBLE ORDER BY iou DESC, det_idx DESC LIMIT 1) AS pred_cls FROM v_gt_px g)"""

@@ -43,6 +43,15 @@ def test_cells_bring_all_overlapping_boxes_together_once(spark, seed):
     assert sorted((r.image_id, r.a.box_idx, r.b.det_idx) for r in got.collect()) == sorted(want)
 
 
+@pytest.mark.parametrize("few", [-1, 2000, S.FEW])
+def test_boxes_of_calm_images_are_not_dealt_to_cells(spark, few):
+    g, p = (spark.createDataFrame(rows, of) for rows, of in zip(some_boxes(5), (GT, PRED)))
+    met = S.meeting(g, p, few=few)
+    pairs = lambda df: sorted((r.image_id, r.a.box_idx, r.a.x1, r.b.det_idx, r.b.y2) for r in df.collect())
+    assert pairs(met) == pairs(S.overlapping(g, p))
+    assert ("Generate" in met._jdf.queryExecution().toString()) == (few < S.FEW)
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_crowded_images_are_matched_as_others_are(spark, seed):
     gt, pred = some_boxes(seed)
