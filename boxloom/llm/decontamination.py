@@ -15,6 +15,9 @@ texts are looked up with these only where the benchmark has such items. The map
 Items of fewer than ``min_item`` tokens are too short for the masks. With ``short_items`` they match word for
 word: one seed of all their tokens, looked up at every place of the texts. Without it they match nothing.
 
+Every mask of two tokens or more has two neighbours in it, so a mask is laid only where such a pair of a text is a
+pair of neighbours in the benchmark, by a map of those pairs: one look at each place instead of one for each mask.
+
 Hot seeds: texts are matched in a join on the seed that AQE can split, and what leaves it is merged by
 (document, item) with partial sums before the shuffle. Only the benchmark's seeds are ever repeated for a
 place. Defined results: null and empty texts and items match nothing; repeated items count as one each by
@@ -82,6 +85,22 @@ def map_size(seeds: int) -> int:
     return min(MOST_BITS, max(LEAST_BITS, 1 << (2 * seeds * MAP_BITS - 1).bit_length()))
 
 
+def lead(mask: tuple[int, ...]) -> int | None:
+    """The first place of a mask whose neighbour is in it too."""
+    return next((k for k in mask if k + 1 in mask), None)
+
+
+def _pair(h: Column, at: Column) -> Column:
+    """The key of the two tokens from place ``at`` on."""
+    return F.xxhash64(F.get(h, at), F.get(h, at + 1))
+
+
+def benchmark_pairs(benchmark: DataFrame, text: str) -> DataFrame:
+    """(pair) of all neighbours in the items, each once."""
+    items = benchmark.select(token_hashes(F.col(text)).alias("ih"))
+    return items.select(F.explode(F.transform(_places(F.col("ih"), (0, 1)), lambda i: _pair(F.col("ih"), i))).alias("pair")).distinct()
+
+
 def benchmark_seeds(benchmark: DataFrame, key: str, text: str, min_item: int, short: bool = False) -> DataFrame:
     """(seed, item, item_tokens, item_around) of all places and masks of items with ``min_item`` tokens or more.
 
@@ -123,24 +142,29 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     map_bits = map_bits or map_size(seeds.count())
     marks = seeds.select("seed").unionByName(seeds.select(F.xxhash64(F.lit(5), "seed").alias("seed")))
 
-    def found(h: Column, map_: Column) -> Column:
+    pairs = written(benchmark_pairs(benchmark, item_text))
+    pair_bits = map_size(pairs.count())
+
+    def found(h: Column, map_: Column, pairs_: Column) -> Column:
         def known(seed: Column) -> Column:
             return may_hold(map_, seed) & may_hold(map_, F.xxhash64(F.lit(5), seed))
 
-        def of(mask: tuple[int, ...]) -> Column:
-            places = _places(h, mask)
-
-            def hits(seeds: Column) -> Column:
-                there = F.filter(places, lambda i: known(F.get(seeds, i)))
-                return F.transform(there, lambda i: F.struct(F.get(seeds, i).alias("seed"), _around(h, i).alias("around")))
-
-            return let(F.transform(places, lambda i: _seed(h, i, mask)), hits)
-
-        return F.concat(*map(of, masks))
-
-    # named once, so that the optimizer puts the subquery's value in place instead of a copy into each row
-    with_map = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), bitmap(marks, "seed", map_bits).scalar().alias("map"))
-    places = with_map.select("key", let(F.col("map"), lambda m: let(token_hashes(F.col("text")), lambda h: found(h, m))).alias("x"))
+        def of(mask: tuple[int, ...], at: Column) -> Column:
+            first = lead(mask)
+            if first is None:
+                places = _places(h, mask)
+            else:
+                inside = F.filter(at, lambda i: (i >= first) & (i - first + mask[-1] < F.size(h)))
+                places = F.transform(inside, lambda i: i - first) if first else inside
+            laid = F.transform(places, lambda i: F.struct(_seed(h, i, mask).alias("seed"), i.alias("i")))
+            return F.transform(F.filter(laid, lambda x: known(x["seed"])), lambda x: F.struct(x["seed"].alias("seed"), _around(h, x["i"]).alias("around")))
+
+        there = F.filter(_places(h, (0, 1)), lambda i: may_hold(pairs_, _pair(h, i)))
+        return let(there, lambda at: F.concat(*[of(mask, at) for mask in masks]))
+
+    # named once, so that the optimizer puts the subqueries' values in place instead of copies into each row
+    with_map = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.struct(bitmap(marks, "seed", map_bits).scalar().alias("map"), bitmap(pairs, "pair", pair_bits).scalar().alias("pairs")).alias("maps"))
+    places = with_map.select("key", let(F.col("maps"), lambda m: let(token_hashes(F.col("text")), lambda h: found(h, m["map"], m["pairs"]))).alias("x"))
     # explode() would infer a filter on the array that computes it a second time
     hits = places.select("key", F.explode_outer("x").alias("x")).where("x IS NOT NULL").select("key", "x.seed", "x.around")
     enough = F.least(F.lit(min_score), F.ceil(F.col("item_tokens") * 4 / 5))

@@ -208,6 +208,14 @@ def test_overlaps_are_scored_once_a_row(spark):
     assert plan.count("zip_with") == 1 and [decontamination.map_size(n) for n in (1, 10**4, 10**9)] == [1 << 20, 1 << 22, 1 << 27]
 
 
+def test_masks_are_laid_where_neighbours_are_known_only(spark):
+    d = decontamination
+    masks = [*d.MASKS, *d.FEW_MASKS, *map(d.whole, range(2, d.MIN_ITEM))]
+    assert d.lead(d.whole(1)) is None and all(d.lead(m) in m and d.lead(m) + 1 in m for m in masks)
+    bench = frame(spark, ["a b c d", "A-b", "e", None]).select(F.col("text"))
+    assert d.benchmark_pairs(bench, "text").count() == 3
+
+
 def test_statistics_are_computed_once_a_labelled_text(spark, monkeypatch):
     plans = []
     monkeypatch.setattr(quality, "cut", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or common.cut(df))
