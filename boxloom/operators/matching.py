@@ -17,9 +17,8 @@ from boxloom.operators import spatial
 from boxloom.operators.curation import sample_by_hash
 
 
-def gather(gt: DataFrame, pred: DataFrame) -> DataFrame:
-    """(image_id, g, p): arrays of structs in index order, for every image of either side."""
-    box = ("cls", "x1", "y1", "x2", "y2")
+def gather(gt: DataFrame, pred: DataFrame, box: tuple[str, ...] = ("cls", "x1", "y1", "x2", "y2")) -> DataFrame:
+    """(image_id, g, p): arrays of structs of the columns ``box`` in index order, for every image of either side."""
     g = gt.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct(F.col("box_idx").alias("i"), *box))).alias("g"))
     p = pred.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct(F.col("det_idx").alias("i"), *box, "conf"))).alias("p"))
     both = g.join(p, "image_id", "full")
@@ -76,7 +75,7 @@ def hits(gt: DataFrame, pred: DataFrame, thresholds: list[float]) -> DataFrame:
 
     Bit k of ``hits`` is set where ``true_positives`` has tp at the k-th threshold. Overlaps are computed once for all.
     """
-    both = gather(gt, pred).where(F.size("p") > 0)
+    both = gather(gt, pred, ("x1", "y1", "x2", "y2")).where(F.size("p") > 0)
     least = min(thresholds)
 
     def met(p: Column) -> Column:

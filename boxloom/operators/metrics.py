@@ -6,8 +6,11 @@ order and kept; totals of each range, one row a partition, become offsets; windo
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +24,8 @@ CLASSES = {
     2: ("bike_front", "bike_back", "non_bike_front", "non_bike_back", "reg_plate"),
     3: ("bike_front", "bike_back", "car_front", "car_back", "other_front", "other_back", "reg_plate"),
 }
+#: Detections whose bits travel together in average precision: their sums and peaks, a row for so many, meet in one task.
+BLOCK = 1 << 16
 IOU_STEPS = [0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]
 
 
@@ -120,53 +125,96 @@ def precision_recall(flags: DataFrame, n_gt: int) -> DataFrame:
     return local.join(F.broadcast(after), ["threshold", "range"]).withColumn("envelope", F.greatest("here", "after")).drop("here", "after", "range")
 
 
-def average_precision(gt: DataFrame, pred: DataFrame, thresholds: list[float]) -> DataFrame:
+def average_precision(gt: DataFrame, pred: DataFrame, thresholds: list[float], n_gt: int | None = None) -> DataFrame:
     """(threshold, ap, n_tp): the area under the envelope, which only true positives add to. Class-agnostic.
 
-    Filter both sides by class before for a class's own value. Raises without ground truth.
+    Filter both sides by class before for a class's own value. ``n_gt`` is the number of rows of ``gt``, for those who
+    can count them for less. Raises without ground truth.
     """
-    n_gt = gt.count()
+    n_gt = gt.count() if n_gt is None else n_gt
     if not n_gt:
         raise ValueError("no ground truth boxes")
     parts = [_areas(gt, pred, thresholds[k : k + 63]) for k in range(0, len(thresholds), 63)]
     return reduce(DataFrame.unionByName, parts).select("threshold", (F.col("area") / n_gt).alias("ap"), "n_tp")
 
 
+def _blocks(flags: DataFrame, n_thresholds: int) -> DataFrame:
+    """(range, block, n, t0.., hits): the bits of up to BLOCK detections in falling confidence, and their sums by threshold.
+
+    The place of a detection is where its bits stand, so confidences, images and indices go no further than this.
+    """
+    order = [F.desc("conf"), "image_id", "det_idx"]
+    # numbers that rise with the order: the range above, the place in it below
+    placed = flags.repartitionByRange(*order).sortWithinPartitions(*order).select(F.monotonically_increasing_id().alias("id"), "hits")
+    width = next(f"<u{b}" for b in (1, 2, 4, 8) if n_thresholds <= 8 * b)
+    names = ["range", "block", "n", *[f"t{k}" for k in range(n_thresholds)], "hits"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, range_, block = np.zeros(0, width), 0, 0
+
+        def row(hits: np.ndarray) -> pa.RecordBatch:
+            sums = [int(np.count_nonzero(hits >> hits.dtype.type(k) & hits.dtype.type(1))) for k in range(n_thresholds)]
+            return pa.RecordBatch.from_pylist([dict(zip(names, [range_, block, len(hits), *sums, hits.tobytes()]))], schema)
+
+        for batch in batches:
+            if batch.num_rows:
+                range_ = batch.column("id")[0].as_py() >> 33
+                held = np.concatenate([held, batch.column("hits").to_numpy().astype(width)])
+            while len(held) >= BLOCK:
+                yield row(held[:BLOCK])
+                held, block = held[BLOCK:], block + 1
+        if len(held):
+            yield row(held)
+
+    schema = pa.schema([("range", pa.int32()), *[(c, pa.int64()) for c in names[1:-1]], ("hits", pa.binary())])
+    return placed.mapInArrow(pack, "range int, " + ", ".join(f"{c} long" for c in names[1:-1]) + ", hits binary")
+
+
 def _areas(gt: DataFrame, pred: DataFrame, thresholds: list[float]) -> DataFrame:
     """(threshold, area, n_tp): the sum of the envelope over true positives, at up to 63 thresholds.
 
     The order of the detections is the same at all thresholds, so each detection is one row of its place and a bit for
-    each threshold: kept, sorted and shuffled once for all of them. Precision has its peaks at true positives.
+    each threshold: kept, shuffled and sorted once for all of them, then only its bits stay, in blocks. What goes
+    from block to block is a row for each of them. Precision has its peaks at true positives.
     """
     shelf, every = Shelf(gt.sparkSession), range(len(thresholds))
+    width = next(f"<u{b}" for b in (1, 2, 4, 8) if len(thresholds) <= 8 * b)
     flags = shelf.put(hits(gt, pred, thresholds))
-    order = [F.desc("conf"), "image_id", "det_idx"]
-    # numbers that rise with the order: the range above, the place in it below
-    placed = flags.repartitionByRange(*order).sortWithinPartitions(*order).select(F.monotonically_increasing_id().alias("id"), "hits")
-    rows = shelf.put(placed.select(F.shiftright("id", 33).cast("int").alias("range"), F.col("id").bitwiseAND(F.lit((1 << 33) - 1)).alias("at"), "hits"))
-    shelf.clear(rows)
-
-    def bit(k: int) -> Column:
-        return F.shiftright("hits", k).bitwiseAND(F.lit(1))
-
-    totals = rows.groupBy("range").agg(F.count("*").alias("n"), *[F.sum(bit(k)).alias(f"t{k}") for k in every])
-    # one row for each range: bounded by the number of partitions
-    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut(totals.select("range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("n", *[f"t{k}" for k in every])]))
-    so_far = Window.partitionBy("range").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    counted = rows.where("hits <> 0").select("range", "at", "hits", *[F.sum(bit(k)).over(so_far).alias(f"t{k}") for k in every])
-    n = F.col("n_before") + F.col("at") + 1
-    curve = counted.join(F.broadcast(offsets), "range").select("range", "at", *[F.when(bit(k) == 1, (F.col(f"t{k}_before") + F.col(f"t{k}")) / n).alias(f"p{k}") for k in every])
-    best = curve.groupBy("range").agg(*[F.max(f"p{k}").alias(f"p{k}") for k in every])
-    later = Window.orderBy("range").rowsBetween(1, Window.unboundedFollowing)
-    after = cut(best.select("range", *[F.coalesce(F.max(f"p{k}").over(later), F.lit(0.0)).alias(f"after{k}") for k in every]))
-    # this place or later, read from the end: a frame that grows is linear, one that shrinks is not
-    from_end = Window.partitionBy("range").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0)
-    here = curve.select("range", *[F.when(F.col(f"p{k}").isNotNull(), F.max(f"p{k}").over(from_end)).alias(f"p{k}") for k in every])
-    envelope = here.join(F.broadcast(after), "range").select(*[F.when(F.col(f"p{k}").isNotNull(), F.greatest(f"p{k}", f"after{k}")).alias(f"e{k}") for k in every])
-    sums = envelope.agg(*[F.sum(f"e{k}").alias(f"e{k}") for k in every], *[F.count(f"e{k}").alias(f"c{k}") for k in every])
-    each = [F.struct(F.lit(float(t)).alias("threshold"), F.coalesce(f"e{k}", F.lit(0.0)).alias("area"), F.col(f"c{k}").alias("n_tp")) for k, t in enumerate(thresholds)]
-    areas = cut(sums.select(F.inline(F.array(*each))))
+    blocks = shelf.put(_blocks(flags, len(thresholds)))
+    shelf.clear(blocks)
+
+    def precisions(row: dict) -> list[np.ndarray]:
+        """For each threshold the precision at each true positive of a block."""
+        bits, out = np.frombuffer(row["hits"], width), []
+        for k in every:
+            at = np.flatnonzero(bits >> bits.dtype.type(k) & bits.dtype.type(1))
+            out.append((row[f"t{k}"] + np.arange(1, len(at) + 1)) / (row["n"] + at + 1))
+        return out
+
+    def peaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [{"range": r["range"], "block": r["block"]} | {f"p{k}": float(p.max()) if len(p) else None for k, p in enumerate(precisions(r))} for r in batch.to_pylist()]
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("range", pa.int32()), ("block", pa.int64()), *[(f"p{k}", pa.float64()) for k in every]]))
+
+    def envelopes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                # this place or later, read from the end
+                up = [np.maximum(np.maximum.accumulate(p[::-1]), r[f"p{k}"]) for k, p in enumerate(precisions(r))]
+                rows.append({f"e{k}": float(e.sum()) for k, e in enumerate(up)} | {f"c{k}": len(e) for k, e in enumerate(up)})
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([*[(f"e{k}", pa.float64()) for k in every], *[(f"c{k}", pa.int64()) for k in every]]))
+
+    place = Window.orderBy("range", "block")
+    earlier, later = place.rowsBetween(Window.unboundedPreceding, -1), place.rowsBetween(1, Window.unboundedFollowing)
+    before = cut(blocks.select("range", "block", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("n", *[f"t{k}" for k in every])]))
+    counted = blocks.select("range", "block", "hits").join(F.broadcast(before), ["range", "block"])
+    best = counted.mapInArrow(peaks, "range int, block long, " + ", ".join(f"p{k} double" for k in every))
+    after = cut(best.select("range", "block", *[F.coalesce(F.max(f"p{k}").over(later), F.lit(0.0)).alias(f"p{k}") for k in every]))
+    each = counted.join(F.broadcast(after), ["range", "block"]).mapInArrow(envelopes, ", ".join([*[f"e{k} double" for k in every], *[f"c{k} long" for k in every]]))
+    sums = each.agg(*[F.sum(f"e{k}").alias(f"e{k}") for k in every], *[F.coalesce(F.sum(f"c{k}"), F.lit(0)).alias(f"c{k}") for k in every])
+    rows = [F.struct(F.lit(float(t)).alias("threshold"), F.coalesce(f"e{k}", F.lit(0.0)).alias("area"), F.col(f"c{k}").alias("n_tp")) for k, t in enumerate(thresholds)]
+    areas = cut(sums.select(F.inline(F.array(*rows))))
     shelf.clear()
     return areas
 
@@ -177,9 +225,9 @@ def of_classes(boxes: DataFrame, classes: dict[int, int] | None = None, only: in
     return mapped if only is None else mapped.where(F.col("cls") == only)
 
 
-def mean_average_precision(gt: DataFrame, pred: DataFrame, thresholds: list[float] = IOU_STEPS) -> DataFrame:
+def mean_average_precision(gt: DataFrame, pred: DataFrame, thresholds: list[float] = IOU_STEPS, n_gt: int | None = None) -> DataFrame:
     """One row: ap50 and ap, the mean over ``thresholds``, which counts those without a true positive as 0."""
-    each = average_precision(gt, pred, thresholds)
+    each = average_precision(gt, pred, thresholds, n_gt)
     return each.agg(F.max(F.when(F.col("threshold") == 0.5, F.col("ap"))).alias("ap50"), F.avg("ap").alias("ap"))
 
 

@@ -14,6 +14,7 @@ from boxloom.operators import dedup as U
 from boxloom.operators import matching as M
 from boxloom.operators import metrics as K
 from boxloom.operators import near as N
+from boxloom.plans import fixtures
 from boxloom.sources import files, sinks
 from boxloom.streaming import incremental
 
@@ -209,6 +210,43 @@ def test_mean_average_precision_leaves_no_tables_of_detections(spark, monkeypatc
     assert not [f for f in set(os.listdir(session.shared_dir(spark))) - there if f.startswith("boxloom-")]
 
 
+def test_mean_average_precision_shuffles_lines_once(spark, tmp_path):
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, *range(60)]), rnd.randrange(1, 8), rnd.choice([None, *range(400)]), rnd.choice([None, *range(200)])) for _ in range(500)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    both = fixtures.by_image(spark, str(tmp_path))
+    for got, view in zip(both, ("v_gt_px", "v_pred")):
+        want = fixtures.table(spark, str(tmp_path), view)
+        assert got.schema == want.schema and got.count() == want.count()
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    # one table read by both sides, shuffled by the image; nothing is shuffled after that (three more before)
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    plan = M.hits(*both, K.IOU_STEPS)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert plan.count("Exchange") == plan.count("Exchange hashpartitioning(l_orderkey") == 2
+    assert plan.count("Union") == 0
+
+
+def test_average_precision_goes_from_block_to_block(spark, monkeypatch):
+    rnd = random.Random(7)
+    gt = [(i, 0, 0, 0.0, 0.0, 10.0, 10.0) for i in range(90)]
+    pred = [(i, 0, 0, rnd.randrange(5) / 5, 0.0, 0.0, 10.0, rnd.uniform(3, 10)) for i in range(100)]
+    g, p = spark.createDataFrame(gt, BOX), spark.createDataFrame(pred, DET)
+    n, rows = len(gt), sorted(pred, key=lambda r: (-r[3], r[0]))
+    for thresholds in ([0.5, 0.75, 0.99], [0.4 + k / 100 for k in range(59)]):
+        want = {}
+        for t in thresholds:
+            tp = [r[0] < n and r[7] / 10 >= t for r in rows]
+            precision = [sum(tp[: k + 1]) / (k + 1) for k in range(len(tp))]
+            want[t] = (round(sum(max(precision[k:]) for k, x in enumerate(tp) if x) / n, 9), sum(tp))
+        for block in (1, 7, 1 << 16):
+            monkeypatch.setattr(K, "BLOCK", block)
+            assert {r.threshold: (round(r.ap, 9), r.n_tp) for r in K.average_precision(g, p, thresholds, n).collect()} == want
+    # what is kept of a detection is its bits: no confidence, image or index
+    assert K._blocks(M.hits(g, p, [0.5]), 1).columns == ["range", "block", "n", "t0", "hits"]
+
+
 def test_thresholds_without_hits_count(spark):
     gt = spark.createDataFrame([(1, 0, 0, 0.0, 0.0, 10.0, 10.0), (1, 1, 1, 50.0, 50.0, 60.0, 60.0)], BOX)
     pred = spark.createDataFrame([(1, 0, 0, 0.9, 0.0, 0.0, 10.0, 6.0), (1, 1, 0, 0.8, 50.0, 50.0, 60.0, 60.0)], DET)
