@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boxloom.llm.common import Shelf, shuffle_partitions, table, tidied
-from boxloom.llm.components import components, merged
+from boxloom.llm.components import SMALL_GRAPH, components, merged
 from boxloom.llm.shingling import GOLD, chunks, mix, shingle_sets
 
 PERCENT = 75
@@ -53,6 +53,10 @@ SLACK = 60
 BUCKET = 12
 #: Rounds of stars in large buckets before their remaining pairs are formed, and the share of buckets that each uses.
 STARS, STAR_SHARE = 2, 8
+#: Sets whose remaining pairs are formed without more stars.
+FEW_SETS = 4_000
+#: Pairs, and shingles of their sets, that are verified in one pass; the pairs go to all tasks.
+FEW_PAIRS, FEW_SHINGLES = 50_000, 16_000_000
 #: Signatures that a worker gathers before it sends them on, and members of one signature in these that count as many.
 FLUSH = 500_000
 HOT = 64
@@ -391,7 +395,14 @@ def in_common(x: pa.Array, y: pa.Array) -> np.ndarray:
 
 
 def links(pairs: DataFrame, arrays: DataFrame, shelf: Shelf) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets link; a quarter of the domain rules out most others."""
+    """Those of ``pairs`` (a, b), a stored table, whose sets link; a quarter of the domain rules out most others.
+
+    A few small ones are verified at once: passes over next to nothing cost more than the work.
+    """
+    if pairs.count() <= FEW_PAIRS:
+        each = [arrays.join(F.broadcast(pairs.select("a", "b")), F.col("sid") == F.col(x)) for x in "ab"]
+        if (each[0].select("n").unionByName(each[1].select("n")).agg(F.sum("n")).first()[0] or 0) <= FEW_SHINGLES:
+            return shelf.put(_few_links(*each))
 
     def both(rows: DataFrame, part: str) -> DataFrame:
         for x in "ab":
@@ -417,6 +428,18 @@ def links(pairs: DataFrame, arrays: DataFrame, shelf: Shelf) -> DataFrame:
     return shelf.put(both(likely, "high").select("a", "b", "shared", "n_a", "n_b", "s_a", "s_b").mapInArrow(tidied(second), "a long, b long"))
 
 
+def _few_links(of_a: DataFrame, of_b: DataFrame) -> DataFrame:
+    """Those (a, b) whose sets, on either side, link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = pa.array(in_common(batch.column("s_a"), batch.column("s_b")) * (100 + PERCENT) >= PERCENT * (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], ["a", "b"])
+
+    sides = [side.select("a", "b", F.col("n").alias(f"n_{x}"), F.concat("low", "high").alias(f"s_{x}")) for x, side in (("a", of_a), ("b", of_b))]
+    return sides[0].join(sides[1], ["a", "b"]).mapInArrow(tidied(run), "a long, b long")
+
+
 # ---- the join -----------------------------------------------------------------------------------------
 
 
@@ -475,6 +498,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
     c = candidates(docs, key, text, bucket)
     # the best pair of each class first, then what still joins two components
     best = c.pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
+    best = c.shelf.put(best)
     labels = c.shelf.put(components(links(best, c.arrays, c.shelf)))
     labels = more_links(c.pairs.join(best, ["a", "b"], "left_anti"), labels, c.arrays, c.shelf)
     labels = settle(c.members, c.open_, labels, c.arrays, c.shelf)
@@ -501,7 +525,7 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text", buck
     shared = c.shelf.put(shared_shingles(each.select("sid", "label"), c.arrays, parts))
     least = F.ceil(F.col("n") * PERCENT / 100)
     able = c.shelf.put(each.join(shared, "sid").withColumn("least", least).where((100 + PERCENT) * F.col("shared") >= PERCENT * (F.col("n") + F.col("least"))))
-    more = links(rare_pairs(able, c.arrays, c.shelf, parts), c.arrays, c.shelf)
+    more = links(c.shelf.put(rare_pairs(able, c.arrays, c.shelf, parts)), c.arrays, c.shelf)
     every = c.shelf.put(found.unionByName(more).distinct())
     degree = c.shelf.put(every.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("n_links")))
     c.shelf.clear(c.sets, every, degree)
@@ -512,13 +536,17 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text", buck
 
 def more_links(pairs: DataFrame, labels: DataFrame, arrays: DataFrame, shelf: Shelf) -> DataFrame:
     """``labels`` after those ``pairs`` (a, b) that link and join two components."""
-    apart = pairs.select("a", "b")
+    apart, n = pairs.select("a", "b"), labels.count()
     for x in "ab":
-        apart = apart.join(labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")), x, "left")
+        of = labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}"))
+        apart = apart.join(F.broadcast(of) if n <= SMALL_GRAPH else of, x, "left")
     apart = shelf.put(apart.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b"))
     if apart.isEmpty():
         return labels
-    return shelf.put(merged(labels, links(apart, arrays, shelf)))
+    found = links(apart, arrays, shelf)
+    if n + found.count() <= SMALL_GRAPH:  # one task folds all of it
+        return shelf.put(components(found.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))))
+    return shelf.put(merged(labels, found))
 
 
 def dealt_shingles(sets: DataFrame, arrays: DataFrame, parts: int) -> DataFrame:
@@ -648,7 +676,7 @@ def settle(members: DataFrame, open_: DataFrame, labels: DataFrame, arrays: Data
         rows = narrowed(rows.select("sid", "sig", "n").join(shared, "sid"))
         if rows.isEmpty():
             return labels
-        if turn == STARS:
+        if turn == STARS or shared.count() <= FEW_SETS:
             break
         # stars only save work, so some buckets suffice
         some = rows.where(F.pmod(F.xxhash64(F.lit(turn), "sig"), F.lit(STAR_SHARE)) == 0)

@@ -396,3 +396,28 @@ def test_bitmap_and_without(spark):
     assert held >= set(range(0, 300, 3)) and len(held) < 200
     docs = spark.range(300).select(F.when(F.col("id") > 0, F.col("id")).alias("k"))
     assert {r.k for r in without(docs, keys, "k").collect()} == {None} | {i for i in range(1, 300) if i % 3}
+
+
+def test_few_pairs_and_sets_take_fewer_passes(spark, monkeypatch):
+    rnd = random.Random(11)
+    texts = []
+    for _ in range(6):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(90)]
+        texts += [" ".join(w if rnd.random() > 0.02 else f"x{rnd.randrange(99)}" for w in base) for _ in range(9)]
+    texts += [None, "", texts[0], "one two"]
+
+    def run():
+        group = f"passes-{rnd.random()}"
+        spark.sparkContext.setJobGroup(group, group)
+        got = sorted(map(tuple, jaccard_join.jaccard_join(frame(spark, texts), bucket=2).collect()))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)  # the session is shared
+        return got, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    want = brute_classes(texts)
+    few, n_few = run()
+    monkeypatch.setattr(jaccard_join, "FEW_SHINGLES", 10)  # few pairs, but of large sets: by quarters of the domain
+    assert run()[0] == few == want
+    for name in ("FEW_PAIRS", "FEW_SETS", "SMALL_GRAPH"):
+        monkeypatch.setattr(jaccard_join, name, -1)
+    many, n_many = run()
+    assert many == want and n_few < n_many
