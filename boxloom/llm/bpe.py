@@ -3,8 +3,9 @@
 Texts are split into pieces on the JVM. A worker encodes each distinct piece once: the piece is a doubly
 linked list of positions, and the new pieces of a batch lie in one such list side by side; every merge
 rank that some adjacent pair has owns a bucket of positions; a two-level bitmap over the ranks finds the
-lowest non-empty bucket by find-first-set. Entries whose pair has changed meanwhile are skipped. A piece of
-n bytes takes O(n log n) however long it is, so one endless "word" does not cost n^2.
+lowest non-empty bucket by find-first-set. Entries whose pair has changed meanwhile are skipped. A large
+bucket is merged at once in arrays, a small one, or one that brings up a lower rank, entry by entry. A piece
+of n bytes takes O(n log n) however long it is, so one endless "word" does not cost n^2.
 
 Defined results: null and empty texts encode to no ids and decode to no bytes; repeated rows and null
 doc_ids give a row each; very long texts and pieces are encoded whole; pairs of equal rank merge from the
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,6 +35,8 @@ LEAF_BITS = 8
 LEAF_MASK = (1 << LEAF_BITS) - 1
 #: Bytes of new pieces that share one queue at most; a longer piece has a queue of its own.
 QUEUE_BYTES = 2_000_000
+#: Entries from which a bucket is merged in arrays.
+AT_ONCE = 24
 
 
 class RankQueue:
@@ -57,6 +61,18 @@ class RankQueue:
         else:
             bucket.append(at)
 
+    def put_all(self, ranks: np.ndarray, places: np.ndarray) -> None:
+        order = np.argsort(ranks, kind="stable")
+        ranks, held = ranks[order], places[order].tolist()
+        begin = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(held)]
+        for rank, a, b in zip(ranks[begin[:-1]].tolist(), begin, begin[1:]):
+            bucket = self.buckets.get(rank)
+            if bucket is None:
+                self.buckets[rank] = held[a:b]
+                self.mark(rank)
+            else:
+                bucket += held[a:b]
+
     def take(self) -> tuple[int, list[int]]:
         """The lowest rank that is held, by find-first-set on each level, and its whole bucket."""
         high = (self.top & -self.top).bit_length() - 1
@@ -85,6 +101,68 @@ class Merger:
         for token, rank in ranks.items():
             if len(token) == 2:
                 self.first[token[0], token[1]] = rank
+        keys = np.fromiter(self.joined, np.int64, len(self.joined))
+        made = np.fromiter(self.joined.values(), np.int64, len(keys))
+        self.rights = self._partners(keys >> 20, keys & 0xFFFFF, made)
+        self.lefts = self._partners(keys & 0xFFFFF, keys >> 20, made)
+        #: What each token makes with the one whose turn it is; -1 for all between turns.
+        self.makes = np.full(self.size, -1, np.int64)
+
+    def _partners(self, own: np.ndarray, other: np.ndarray, made: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(begins by ``own``, ``other``, ``made``) in the order of ``own``."""
+        order = np.argsort(own, kind="stable")
+        return np.searchsorted(own[order], np.arange(self.size + 1)), other[order], made[order]
+
+    def _made(self, partners: tuple[np.ndarray, np.ndarray, np.ndarray], rank: int, tokens: np.ndarray) -> np.ndarray:
+        """The ranks of the pairs of ``rank`` with ``tokens``, -1 where there is none."""
+        begins, other, made = partners
+        some = slice(begins[rank], begins[rank + 1])
+        self.makes[other[some]] = made[some]
+        out = self.makes[tokens]
+        self.makes[other[some]] = -1
+        return out
+
+    def _at_once(self, rank: int, bucket: list[int], queue: RankQueue, after: np.ndarray, before: np.ndarray, pair: np.ndarray, token: np.ndarray) -> bool:
+        """Merges the whole ``bucket``; False, with nothing changed, if a lower pair would come up on the way."""
+        at = np.array(bucket)
+        at = np.sort(at[pair[at] == rank])
+        if not len(at):
+            return True
+        if (same := at[1:] == at[:-1]).any():
+            at = at[np.concatenate([[True], ~same])]
+        # in a run such as a a a, every other pair from the left
+        fresh = np.concatenate([[True], at[1:] != after[at[:-1]]])
+        if not fresh.all():
+            place = np.arange(len(at))
+            at = at[(place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0]
+        gone = after[at]
+        following = after[gone]
+        ends = following < 0
+        # one after the other from the left, a merge would meet what is still unmerged on its right ...
+        right = self._made(self.rights, rank, token[following])
+        right[ends] = -1
+        # ... and what is merged already on its left
+        left = before[at]
+        near = np.flatnonzero(left[1:] == gone[:-1]) + 1
+        left[near] = at[near - 1]
+        beside = token[left]
+        beside[near] = rank
+        made = self._made(self.lefts, rank, beside)
+        made[left < 0] = -1
+        if ((right >= 0) & (right < rank)).any() or ((made >= 0) & (made < rank)).any():
+            return False
+        token[at], after[at] = rank, following
+        token[gone] = pair[gone] = -1
+        before[following[~ends]] = at[~ends]
+        pair[at] = right
+        inner = left >= 0
+        pair[left[inner]] = made[inner]
+        right = pair[at]  # what a right neighbour's merge has changed is put as its left pair
+        right[near - 1] = -1
+        held, back = right >= 0, made >= 0
+        if held.any() or back.any():
+            queue.put_all(np.concatenate([right[held], made[back]]), np.concatenate([at[held], left[back]]))
+        return True
 
     def merge(self, pieces_: list[bytes]) -> list[bytes]:
         """The ids of each piece as little-endian bytes: the lowest rank merges next, the leftmost of equal ones."""
@@ -101,15 +179,16 @@ class Merger:
         pairs[end - 1] = -1
         queue = RankQueue(self.size)
         held = np.flatnonzero(pairs >= 0)
-        held = held[np.argsort(pairs[held], kind="stable")]
-        kinds, starts = np.unique(pairs[held], return_index=True)
-        for rank, places_ in zip(kinds.tolist(), np.split(held, starts[1:])):
-            queue.buckets[rank] = places_.tolist()
-            queue.mark(rank)
-        after, before, pair, token = follow.tolist(), lead.tolist(), pairs.tolist(), self.single[raw].tolist()
+        if len(held):
+            queue.put_all(pairs[held], held)
+        # the same memory, for one entry at a time and for many
+        after, before, pair, token = (array("q", x.tobytes()) for x in (follow, lead, pairs, self.single[raw]))
+        views = [np.frombuffer(x, np.int64) for x in (after, before, pair, token)]
         get, put = self.joined.get, queue.put
         while queue.top:
             rank, bucket = queue.take()
+            if len(bucket) >= AT_ONCE and self._at_once(rank, bucket, queue, *views):
+                continue
             bucket.sort()
             for k, at in enumerate(bucket):
                 if pair[at] != rank:
@@ -137,7 +216,7 @@ class Merger:
                         queue.buckets[rank] = rest
                         queue.mark(rank)
                     break
-        ids = np.array(token, np.int64)
+        ids = views[3]
         kept = ids >= 0
         blob = ids[kept].astype("<u4").tobytes()
         stop = np.cumsum(kept)[end - 1] * 4
@@ -150,9 +229,10 @@ class Codec:
     def __init__(self, path: str):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
+        bytes_of = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
-            self.bytes_of[rank] = token
+            bytes_of[rank] = token
+        self.bytes_of = pa.array(bytes_of, pa.large_binary())
         self.merger = Merger(self.ranks)
         self.cache = TwoAges(lambda p: self.fresh([p])[p])
 
@@ -187,18 +267,21 @@ class Codec:
         if not len(flat):
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
         coded = flat.dictionary_encode()
-        at = coded.indices.to_numpy().astype(np.int64)
         each = self.cache.all(coded.dictionary.to_pylist(), self.fresh)
-        lengths = np.fromiter(map(len, each), np.int64, len(each)) >> 2
-        starts = np.cumsum(lengths) - lengths
-        known = np.frombuffer(b"".join(each), "<u4")
-        n = lengths[at]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        ids = known[np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], n)]
+        got = pa.array(each, pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(got.buffers()[1], np.int64, len(got) + 1) >> 2
+        ids = np.frombuffer(got.buffers()[2], "<u4", ends[-1])
         return ids, ends[offsets]
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        return self.decode_all(ids, np.array([0, len(ids)]))[0].tobytes()
+
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> list[memoryview]:
+        """The bytes of the ids between each two neighbours of ``bounds``."""
+        got = self.bytes_of.take(pa.array(ids, pa.uint32()))
+        ends = np.frombuffer(got.buffers()[1], np.int64, len(ids) + 1)[bounds].tolist()
+        data = memoryview(got.buffers()[2] or b"")
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=4)
@@ -260,7 +343,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
                     batch.column("key").slice(row, end - row),
                     pa.array(np.diff(bounds)),
                     pa.array([sha(x.tobytes()).hexdigest() for x in rows]),
-                    pa.array([sha(own.decode(x)).hexdigest() for x in rows]),
+                    pa.array([sha(x).hexdigest() for x in own.decode_all(ids, bounds)]),
                 ]
                 if with_ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32))))

@@ -86,11 +86,19 @@ class TwoAges(dict):
 
     def all(self, keys: list, fresh: Callable[[list], dict]) -> list:
         """The values of distinct ``keys``; ``fresh`` makes those that are not held, all at once."""
-        old = self.old
-        new = fresh([k for k in keys if k not in self and k not in old])
-        values = [new[k] if k in new else self[k] for k in keys]
-        for k, v in new.items():
-            self.keep(k, v)
+        young, old = self.get, self.old.get
+        values = list(map(young, keys))
+        # all are read before any is kept: what is kept may push out entries that later keys still need
+        for i, v in enumerate(values):
+            if v is None:
+                values[i] = old(keys[i])
+        lacks = [i for i, v in enumerate(values) if v is None]
+        new = fresh([keys[i] for i in lacks])
+        for i in lacks:
+            values[i] = new[keys[i]]
+        for k, v in zip(keys, values):
+            if k not in self:
+                self.keep(k, v)
         return values
 
     def keep(self, key, value) -> None:

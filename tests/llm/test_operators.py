@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from boxloom.llm import bpe, chat, components, decontamination, jaccard_join, pii, quality, sharding, shingling, suffix_dedup, token_count, url_filter
+from boxloom.llm import bpe, chat, components, decontamination, jaccard_join, pii, pretoken, quality, sharding, shingling, suffix_dedup, token_count, url_filter
 from boxloom.llm.common import bitmap, let, may_hold, without
 
 RND = random.Random(7)
@@ -49,6 +49,42 @@ def test_bpe_equals_the_library(spark, odd):
     assert bpe.digests(empty(odd)).count() == 0
 
 
+def test_bpe_merges_a_large_bucket_at_once(monkeypatch):
+    own, put = bpe.codec(public_tokenizers.path(bpe.VOCABULARY)), []
+    monkeypatch.setattr(bpe.RankQueue, "put", lambda self, rank, at: put.append(at))
+    assert len(own.merger.merge([b"qzthe%dqz" % (i % 3) for i in range(1000)])) == 1000
+    assert len(put) < 100
+
+
+def test_bpe_merges_in_rank_order_whatever_the_vocabulary(monkeypatch):
+    def plain(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while found := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+            i = min(found)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [ranks[x] for x in parts]
+
+    rnd = random.Random(3)
+    for turn in range(150):
+        letters = [b"a", b"b", b"c"][: 1 + turn % 3]
+        # in no order of length: merges bring up pairs of lower ranks
+        tokens = list({b"".join(rnd.choices(letters, k=rnd.randint(2, 5))) for _ in range(12)})
+        rnd.shuffle(tokens)
+        ranks = {bytes([i]): i for i in range(256)} | {t: 256 + i for i, t in enumerate(tokens)}
+        texts = [b"".join(rnd.choices(letters, k=rnd.randint(1, 40))) for _ in range(40)]
+        monkeypatch.setattr(bpe, "AT_ONCE", rnd.choice([1, 24, 1000]))
+        assert [np.frombuffer(x, "<u4").tolist() for x in bpe.Merger(ranks).merge(texts)] == [plain(t, ranks) for t in texts]
+
+
+def test_a_cache_has_all_new_pieces_of_a_batch_made_together():
+    def alone(key):
+        raise AssertionError(f"{key} is made by itself")
+
+    cache = pretoken.TwoAges(alone, most=3)
+    for keys in ("abcdef", "abcdef", "ghifedcba", "abcdefghi"):
+        assert cache.all(list(keys), lambda new: {k: ord(k) for k in new}) == list(map(ord, keys))
+
+
 def test_token_counts_equal_the_library(odd):
     from tokenizers import Tokenizer
 
