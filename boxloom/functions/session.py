@@ -37,8 +37,9 @@ def cut_counted(df: DataFrame, column: str, values: tuple[str, ...]) -> tuple[Da
     return done, {v: n for v, n in seen.get.items() if n}
 
 
-#: Tables that this process has written and not deleted yet.
+#: Tables that this process has written and not deleted yet, and the names of those that the catalog knows.
 _WRITTEN: list[str] = []
+_NAMES: dict[str, str] = {}
 
 
 def _stored(df: DataFrame) -> tuple[str, DataFrame]:
@@ -48,7 +49,20 @@ def _stored(df: DataFrame) -> tuple[str, DataFrame]:
     return path, df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _bucketed(df: DataFrame, key: str) -> tuple[str, DataFrame]:
+    """As ``_stored``, in a bucket of ``key`` for each shuffle partition: joins on ``key`` leave it where it is."""
+    spark, label = df.sparkSession, uuid.uuid4().hex
+    path, name = f"{shared_dir(spark)}/boxloom-{label}", f"spark_catalog.default.boxloom_{label}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _WRITTEN.append(path)
+    _NAMES[path] = name
+    df.write.format("parquet").bucketBy(parts, key).option("path", path).saveAsTable(name)
+    return path, spark.table(name)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
+    if path in _NAMES:
+        spark.sql(f"DROP TABLE IF EXISTS {_NAMES.pop(path)}")
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     if path in _WRITTEN:
@@ -78,6 +92,12 @@ class Shelf:
         self.paths[path] = out
         return out
 
+    def put_by(self, df: DataFrame, key: str) -> DataFrame:
+        """``df`` as ``put``, for joins on ``key`` again and again; it must be dealt out by ``key`` already."""
+        path, out = _bucketed(df, key)
+        self.paths[path] = out
+        return out
+
     def clear(self, *keep: DataFrame) -> None:
         """Deletes all tables but those in ``keep``; nothing may read them any more."""
         for path, df in list(self.paths.items()):

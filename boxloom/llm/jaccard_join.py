@@ -201,19 +201,21 @@ def by_part(sig: np.ndarray, parts: int) -> tuple[np.ndarray, list[tuple[int, in
 
 
 def packed(sig: np.ndarray, sid: np.ndarray) -> bytes:
-    """Rows (48 bits of a signature, set) as bytes; each set is written once."""
-    names, at = np.unique(sid, return_inverse=True)
-    at = at.astype(np.uint16 if len(names) <= 1 << 16 else np.uint32)
-    return b"".join([np.array([len(sig), len(names)], "<u4").tobytes(), names.tobytes(), (sig >> np.uint64(32)).astype(np.uint32).tobytes(), (sig >> np.uint64(16)).astype(np.uint16).tobytes(), at.tobytes()])
+    """Rows (48 bits of a signature, set) as bytes; a run of one set has its name once, and the number of its rows."""
+    begin = np.flatnonzero(np.concatenate([[True], sid[1:] != sid[:-1]])) if len(sid) else np.zeros(0, np.int64)
+    count = np.diff(np.append(begin, len(sid)))
+    wide = int(count.max(initial=0)) > 255
+    head = np.array([len(sig), len(begin), wide], "<u4")
+    return b"".join([head.tobytes(), sid[begin].tobytes(), (sig >> np.uint64(32)).astype(np.uint32).tobytes(), (sig >> np.uint64(16)).astype(np.uint16).tobytes(), count.astype(np.uint32 if wide else np.uint8).tobytes()])
 
 
 def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, m = np.frombuffer(block, "<u4", 2).tolist()
-    names = np.frombuffer(block, np.int64, m, 8)
-    at = 8 + 8 * m
+    n, m, wide = np.frombuffer(block, "<u4", 3).tolist()
+    names = np.frombuffer(block, np.int64, m, 12)
+    at = 12 + 8 * m
     high, low = np.frombuffer(block, np.uint32, n, at), np.frombuffer(block, np.uint16, n, at + 4 * n)
-    where = np.frombuffer(block, np.uint16 if m <= 1 << 16 else np.uint32, n, at + 6 * n)
-    return high.astype(np.uint64) << np.uint64(16) | low, names[where]
+    count = np.frombuffer(block, np.uint32 if wide else np.uint8, m, at + 6 * n)
+    return high.astype(np.uint64) << np.uint64(16) | low, np.repeat(names, count)
 
 
 def signature_blocks(docs: DataFrame, text: str, bucket: int, parts: int) -> DataFrame:
@@ -231,10 +233,11 @@ def signature_blocks(docs: DataFrame, text: str, bucket: int, parts: int) -> Dat
             sig, sid = (np.concatenate([x[k] for x in held]) for k in range(2))
             held.clear()
             order = np.argsort(sig)
-            sig, sid = sig[order], sid[order]
-            begin = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-            count = np.diff(np.append(begin, len(sig)))
-            rest = (np.arange(len(sig)) - np.repeat(begin, count) > bucket) & np.repeat(count > HOT, count)
+            ranked = sig[order]
+            begin = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+            count = np.diff(np.append(begin, len(ranked)))
+            rest = np.zeros(len(sig), bool)  # rows stay set by set, which packs them best
+            rest[order] = (np.arange(len(sig)) - np.repeat(begin, count) > bucket) & np.repeat(count > HOT, count)
             rows = []
             if rest.any():
                 owner = (((sig[rest] & np.uint64(0xFFFFFF)) * np.uint64(parts)) >> np.uint64(24)).astype(np.int32)
@@ -258,7 +261,8 @@ def signature_blocks(docs: DataFrame, text: str, bucket: int, parts: int) -> Dat
                         new[i] = True
                 if new.any():
                     sig, of = signatures(s[np.repeat(new, size)], size[new])
-                    held.append((sig, sids[new][of]))
+                    order = np.argsort(of, kind="stable")
+                    held.append((sig[order], sids[new][of[order]]))
                     size_held += len(sig)
                 if size_held >= FLUSH or len(seen) > REMEMBERED:
                     if held:
@@ -489,7 +493,7 @@ def candidates(docs: DataFrame, key: str, text: str, bucket: int) -> Candidates:
     fits = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
     pairs = shelf.put(rows.where(fits & (F.col("shared") + F.least("large_a", "large_b") >= _least_shared(F.col("n_a"), F.col("n_b")))).select("a", "b", "shared"))
     wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).unionByName(open_.select("sid")).distinct()
-    arrays = shelf.put(set_arrays(docs, text, shelf.put(wanted)))
+    arrays = shelf.put_by(set_arrays(docs, text, shelf.put(wanted)), "sid")  # wide rows, shuffled once for all joins
     return Candidates(sets, classes, pairs, members, open_, arrays, shelf)
 
 

@@ -288,6 +288,26 @@ def test_blocks_round_trip():
         assert (back[0] == sig >> np.uint64(16)).all() and (back[1] == sid).all()
 
 
+def test_rows_of_a_set_are_packed_in_under_seven_bytes():
+    for n in (20, 2000):  # rows of each of five sets
+        sig, sid = np.random.default_rng(2).integers(0, 2**63, 5 * n).astype(np.uint64), np.repeat(np.arange(5) - 2, n)
+        block = jaccard_join.packed(sig, sid)
+        assert len(block) < 7 * len(sig)
+        back = jaccard_join.unpacked(block)
+        assert (back[0] == sig >> np.uint64(16)).all() and (back[1] == sid).all()
+    assert [len(x) for x in jaccard_join.unpacked(jaccard_join.packed(sig[:0], sid[:0]))] == [0, 0]
+
+
+def test_set_arrays_stay_where_they_are_in_joins(spark):
+    docs = frame(spark, ["%d a b c d e f g h i j k" % (i % 3) for i in range(9)])
+    found = jaccard_join.candidates(docs, "doc_id", "text", 2)
+    joined = found.arrays.hint("merge").join(found.classes.select("sid"), "sid").select("sid", "low", "high")
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # that of the classes
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith("boxloom_")]
+    found.shelf.clear()
+    assert names and not set(names) & {t.name for t in spark.catalog.listTables()}
+
+
 def test_shingles_of_odd_texts():
     texts = [t or "" for t in ODD] + ["a b c d", "A B c d", "a b c d e", "x" * 60 + " y", "x" * 59 + "y y"]
     s, size = as_sets(texts)
